@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from regtables.checks.registry import AS_OF, check, new_folder, new_schema, table
 from regtables.checks.sources import event_archives
 from regtables.operators.collapse import Collapsed
+from regtables.operators.sizing import pin
 from regtables.plans.datasets import ADVERSE_EVENT_COLUMNS, adverse_events, approval_records, approvals, package_inserts, review_reports
 from regtables.plans.pipeline import run_dataset
 from regtables.plans.specs import ADVERSE_EVENTS, APPROVALS, PACKAGE_INSERTS, REVIEW_REPORTS, XML_REPORT, DatasetSpec, with_config
@@ -107,8 +108,8 @@ def approvals_from_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- adverse events: archives of four members, merged into four tables ------------------------------
 
 
-def _star(spark: SparkSession, sf_dir: str) -> DatasetSpec:
-    archives = event_archives(spark, sf_dir)
+def _star(spark: SparkSession, sf_dir: str, again: bool = False) -> DatasetSpec:
+    archives = pin(event_archives(spark, sf_dir))  # as files they would be there already
 
     def build(root: str) -> dict[str, DataFrame]:
         frames = {stem: archive_csv(archives, stem, list(names)) for stem, names in ADVERSE_EVENT_COLUMNS.items()}
@@ -116,8 +117,10 @@ def _star(spark: SparkSession, sf_dir: str) -> DatasetSpec:
 
     # Equal source rows share a row id, and one of them stays.
     spec, root = _run(spark, ADVERSE_EVENTS, build, on_duplicate="last", watermark={"etag": "1"})
-    run_dataset(spark, spec, lambda: build(root), root, AS_OF, on_duplicate="last", watermark={"etag": "2"})  # merged again
-    run_dataset(spark, spec, lambda: {"none": None}, root, AS_OF, watermark={"etag": "2"})  # unchanged: not built
+    if again:
+        run_dataset(spark, spec, lambda: build(root), root, AS_OF, on_duplicate="last", watermark={"etag": "2"})
+        # Unchanged since: not built.
+        run_dataset(spark, spec, lambda: {"none": None}, root, AS_OF, watermark={"etag": "2"})
     return spec
 
 
@@ -141,7 +144,7 @@ UNION ALL SELECT 'adverse_drug', count(*), count(DISTINCT k) FROM (SELECT DISTIN
 UNION ALL SELECT 'adverse_reac', count(*), count(DISTINCT k) FROM (SELECT DISTINCT o_custkey AS k, o_orderdate, o_orderpriority FROM orders)
 """)
 def adverse_events_star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = _star(spark, sf_dir)
+    spec = _star(spark, sf_dir, again=True)
     counts = [
         _rows(spark, spec, key).agg(
             F.lit(spec.tables[key].name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),

@@ -25,27 +25,22 @@ _ERA = (
 )
 
 
-def _as_date(year: Column, month: Column, day: Column) -> Column:
-    # The cast takes yyyy-[m]m-[d]d and gives null, without an exception, for a day that does not exist.
-    return F.concat_ws("-", F.lpad(year, 4, "0"), month, day).try_cast("date")
-
-
 def to_iso_date(text: Column) -> Column:
     """Date of a text such as ``2025-09-08``, ``2025/9/8``, ``2023.01.15``, ``20250908``,
-    ``2025年9月8日`` or ``令和7年9月8日`` (``元年`` is year 1); null for anything else."""
+    ``2025年9月8日`` or ``令和7年9月8日`` (``元年`` is year 1); null for anything else.
 
-    def part(pattern: str, n: int) -> Column:
-        return F.regexp_extract(text, pattern, n)
-
-    base = F.coalesce(*[F.when(part(_ERA, 1) == era, F.lit(year)) for era, year in ERA_BASE_YEAR.items()])
-    era_year = F.when(part(_ERA, 2) == "元", F.lit(1)).otherwise(part(_ERA, 2).try_cast("int"))
+    Pass a column, not a long expression: the text is looked at several times.
+    """
+    # The cast takes yyyy-[m]m-[d]d and gives null, without an exception, for a day that does not exist.
+    western = F.regexp_replace(text, _WESTERN, "$1-$2-$3")
+    compact = F.regexp_replace(text, _COMPACT, "$1-$2-$3")
+    eras = F.create_map(*[F.lit(v) for item in ERA_BASE_YEAR.items() for v in item])
+    year = eras[F.regexp_extract(text, _ERA, 1)] + F.replace(F.regexp_extract(text, _ERA, 2), F.lit("元"), F.lit("1")).cast("int")
+    era = F.concat_ws("-", year.cast("string"), F.regexp_extract(text, _ERA, 3), F.regexp_extract(text, _ERA, 4))
     return (
-        F.when(text.rlike(_WESTERN), _as_date(*[part(_WESTERN, n) for n in (1, 2, 3)]))
-        .when(text.rlike(_COMPACT), _as_date(*[part(_COMPACT, n) for n in (1, 2, 3)]))
-        .when(
-            text.rlike(_ERA),
-            _as_date((base + era_year).cast("string"), part(_ERA, 3), part(_ERA, 4)),
-        )
+        F.when(text.rlike(_WESTERN), western.try_cast("date"))
+        .when(text.rlike(_COMPACT), compact.try_cast("date"))
+        .when(text.rlike(_ERA), era.try_cast("date"))
     )
 
 

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from regtables.functions.binding import let
 from regtables.functions.text import strip
-from regtables.functions.urls import url_join
+from regtables.functions.urls import base_parts, join_parts
 
-_NOISE = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+_NOISE = r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>)"
 _TAG = r"<[^>]*>"
 
 # Named character references read from these pages. &amp; must be replaced last.
@@ -44,58 +45,74 @@ def unescape(text: Column) -> Column:
     out = F.when(text.contains("&#"), F.aggregate(refs, text, numbered)).otherwise(text)
     for name, char in NAMED_ENTITIES.items():
         out = F.replace(out, F.lit(name), F.lit(char))
-    return out
+    return F.when(text.contains("&"), out).otherwise(text)
 
 
 def attribute(tag: Column, name: str) -> Column:
     """Value of an attribute of an opening tag; null if the tag does not have it."""
-    pattern = rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
-    value = F.concat(*[F.regexp_extract(tag, pattern, n) for n in (1, 2, 3)])
-    return F.when(tag.rlike(pattern), unescape(value))
+    written = F.regexp_extract(tag, rf"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)""", 1)
+
+    def value(w: Column) -> Column:
+        quoted = w.startswith('"') | w.startswith("'")
+        return F.when(quoted, unescape(F.substr(w, F.lit(2), F.length(w) - 2))).when(w != "", unescape(w))
+
+    return let(written, value)
 
 
 def inner_text(markup: Column) -> Column:
     """Text of the markup, every text node stripped, nodes joined without a separator."""
-    return unescape(F.array_join(F.transform(F.split(markup, _TAG), strip), ""))
+    return let(F.array_join(F.transform(F.split(markup, _TAG), strip), ""), unescape)
 
 
-def anchors(html: Column, base: Column) -> Column:
-    """All ``<a href>`` of a page as ``array<struct<pos, href, url, text, css_class>>``, in page order."""
-    found = F.regexp_extract_all(without_noise(html), F.lit(r"(?is)<a\s[^>]*>.*?</a\s*>"), 0)
+def _anchors(clean: Column, parts: Column) -> Column:
+    found = F.regexp_extract_all(clean, F.lit(r"(?is)<a\s[^>]*>.*?</a\s*>"), 0)
 
     def read(tag: Column, pos: Column) -> Column:
-        opening = F.regexp_extract(tag, r"(?is)^(<a\s[^>]*>)", 1)
-        href = attribute(opening, "href")
-        return F.struct(
+        opening = F.substring_index(tag, ">", 1)
+        named = F.struct(
             pos.alias("pos"),
-            href.alias("href"),
-            url_join(base, href).alias("url"),
+            attribute(opening, "href").alias("href"),
             inner_text(tag).alias("text"),
             attribute(opening, "class").alias("css_class"),
         )
+        return let(
+            named,
+            lambda a: F.struct(a["pos"], a["href"], join_parts(parts, a["href"]).alias("url"), a["text"], a["css_class"]),
+        )
 
     return F.filter(F.transform(found, read), lambda a: a["href"].isNotNull())
 
 
+def anchors(html: Column, base: Column) -> Column:
+    """All ``<a href>`` of a page as ``array<struct<pos, href, url, text, css_class>>``, in page order."""
+    return let(base_parts(base), lambda parts: _anchors(without_noise(html), parts))
+
+
 def _div_content(html: Column, div_id: str) -> Column:
-    """Markup from the opening tag of ``<div id=…>`` to the ``</div>`` that closes it, or to the end."""
+    """Markup from the opening tag of ``<div id=…>`` to the ``</div>`` that closes it, or to the end;
+    ``''`` without such a tag. The ends of inner divs are written as starts, which are not read."""
     opening = rf"""(?is)<div\b(?=[^>]*\sid\s*=\s*["']?{div_id}["'\s>])[^>]*>"""
-    rest = F.regexp_extract(html, rf"{opening}(.*)\z", 1)
-    marks = F.regexp_extract_all(rest, F.lit(r"(?i)</?div\b"), 0)
-    pieces = F.split(rest, r"(?i)</?div\b")
-    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("pieces"))
-
-    def step(acc: Column, mark: Column) -> Column:
-        change = F.when(mark.startswith("</"), -1).otherwise(1)
-        is_open = acc["depth"] > 0
-        return F.struct(
-            F.when(is_open, acc["depth"] + change).otherwise(acc["depth"]).alias("depth"),
-            F.when(is_open, acc["pieces"] + 1).otherwise(acc["pieces"]).alias("pieces"),
-        )
+    rest = F.get(F.split(html, opening, 2), F.lit(1))
+
+    def inside(content: Column) -> Column:
+        marks = F.regexp_extract_all(content, F.lit(r"(?i)</?div\b"), 0)
+        start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("pieces"))
+
+        def step(acc: Column, mark: Column) -> Column:
+            change = F.when(mark.startswith("</"), -1).otherwise(1)
+            is_open = acc["depth"] > 0
+            return F.struct(
+                F.when(is_open, acc["depth"] + change).otherwise(acc["depth"]).alias("depth"),
+                F.when(is_open, acc["pieces"] + 1).otherwise(acc["pieces"]).alias("pieces"),
+            )
 
-    end = F.aggregate(marks, start, step)
-    inside = F.when(end["depth"] > 0, F.size(pieces)).otherwise(end["pieces"])
-    return F.when(html.rlike(opening), F.array_join(F.slice(pieces, 1, inside), "<div"))
+        def cut(end: Column) -> Column:
+            pieces = F.split(content, r"(?i)</?div\b")
+            return F.array_join(F.slice(pieces, 1, end["pieces"] + F.when(end["depth"] > 0, 1).otherwise(0)), "<div")
+
+        return let(F.aggregate(marks, start, step), cut)
+
+    return F.coalesce(let(rest, inside), F.lit(""))
 
 
 def result_rows(
@@ -111,23 +128,30 @@ def result_rows(
     ``links`` are the anchors of the fifth cell. Rows with fewer than ``min_cells`` ``<td>`` are
     skipped; a page without the container or the table gives an empty array.
     """
-    content = _div_content(without_noise(html), container_id)
     css = rf"""\sclass\s*=\s*(?:["'](?:[^"'>]*\s)?{table_class}(?:\s[^"'>]*)?["']|{table_class}[\s>])"""
-    table = F.regexp_extract(content, rf"(?is)<table\b(?=[^>]*{css})[^>]*>(.*?)</table\s*>", 1)
+    table_pattern = rf"(?is)<table\b(?=[^>]*{css})[^>]*>(.*?)</table\s*>"
     body_pattern = r"(?is)<tbody\b[^>]*>(.*?)</tbody\s*>"
-    body = F.when(table.rlike(body_pattern), F.regexp_extract(table, body_pattern, 1)).otherwise(table)
-    rows = F.regexp_extract_all(body, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), 1)
-
-    def read(row: Column, row_no: Column) -> Column:
-        cells = F.regexp_extract_all(row, F.lit(r"(?is)<td\b[^>]*>(.*?)</td\s*>"), 1)
-        return F.struct(
-            row_no.alias("row_no"),
-            F.transform(cells, inner_text).alias("cells"),
-            anchors(F.coalesce(F.get(cells, F.lit(4)), F.lit("")), base).alias("links"),
-        )
 
-    kept = F.filter(F.transform(rows, read), lambda r: F.size(r["cells"]) >= min_cells)
-    return F.coalesce(kept, F.array().cast(_ROWS_TYPE))
+    def rows(table: Column, parts: Column) -> Column:
+        body = F.when(table.rlike(body_pattern), F.regexp_extract(table, body_pattern, 1)).otherwise(table)
+
+        def read(row: Column, row_no: Column) -> Column:
+            cells = F.regexp_extract_all(row, F.lit(r"(?is)<td\b[^>]*>(.*?)</td\s*>"), 1)
+            return let(
+                cells,
+                lambda cs: F.struct(
+                    row_no.alias("row_no"),
+                    F.transform(cs, inner_text).alias("cells"),
+                    _anchors(F.coalesce(F.get(cs, F.lit(4)), F.lit("")), parts).alias("links"),
+                ),
+            )
+
+        found = F.regexp_extract_all(body, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), 1)
+        return F.filter(F.transform(found, read), lambda r: F.size(r["cells"]) >= min_cells)
+
+    table = F.regexp_extract(_div_content(without_noise(html), container_id), table_pattern, 1)
+    bound = F.struct(table.alias("table"), base_parts(base).alias("parts"))
+    return F.coalesce(let(bound, lambda v: rows(v["table"], v["parts"])), F.array().cast(_ROWS_TYPE))
 
 
 _ROWS_TYPE = (

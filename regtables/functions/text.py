@@ -33,5 +33,7 @@ def label_value(text: Column, label: str) -> Column:
 def section_text(text: Column, heading: str) -> Column:
     """Text after the heading line, up to the next line that starts with a number and a dot,
     or to the end; null if the heading is not there."""
-    pattern = rf"(?sdU){_literal(heading)}\s*\n(.*?)(?=\n\s*\d+\.|\z)"
-    return F.when(text.rlike(rf"(?sdU){_literal(heading)}\s*\n"), strip(F.regexp_extract(text, pattern, 1)))
+    # What follows the heading line is cut at the first numbered line.
+    heading_line = rf"(?sdU){_literal(heading)}\s*\n"
+    rest = F.split(text, heading_line, 2)[1]
+    return F.when(text.rlike(heading_line), strip(F.split(rest, r"(?dU)\n\s*\d+\.", 2)[0]))

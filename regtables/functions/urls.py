@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from regtables.functions.binding import let
+
 
 def url_file_name(url: Column) -> Column:
     """What follows the last slash."""
@@ -27,29 +29,36 @@ def _without_dot_segments(path: Column) -> Column:
     )
     closing = F.when(F.element_at(segments, -1).isin(".", ".."), F.lit("/")).otherwise(F.lit(""))
     joined = F.concat(F.array_join(kept, "/"), closing)
-    return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), joined).otherwise(path)
+    return F.when(path.contains("/."), joined).otherwise(path)
 
 
-def url_join(base: Column, href: Column) -> Column:
-    """Absolute url of ``href`` found on page ``base``."""
+def base_parts(base: Column) -> Column:
+    """What :func:`join_parts` needs of a page url, read once per page."""
     scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1)
     site = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
     page = F.regexp_replace(base, r"[?#].*$", "")
     folder = F.regexp_replace(F.substr(page, F.length(site) + 1), r"[^/]*$", "")
-    href_path = F.regexp_extract(href, r"^([^?#]*)", 1)
-    href_tail = F.substr(href, F.length(href_path) + 1)
+    return F.struct(
+        base.alias("base"), scheme.alias("scheme"), site.alias("site"), page.alias("page"),
+        F.when(folder == "", "/").otherwise(folder).alias("folder"),
+    )
+
+
+def join_parts(parts: Column, href: Column) -> Column:
+    """Absolute url of ``href`` on the page that ``parts`` were read from."""
+    path = F.regexp_extract(href, r"^([^?#]*)", 1)
+    tail = F.substr(href, F.length(path) + 1)
+    full_path = F.when(href.startswith("/"), path).otherwise(F.concat(parts["folder"], path))
     return (
-        F.when(href == "", base)
+        F.when(href == "", parts["base"])
+        .when(href.startswith("//"), F.concat(parts["scheme"], href))
+        .when(href.startswith("?"), F.concat(parts["page"], href))
+        .when(href.startswith("#"), F.concat(F.regexp_replace(parts["base"], r"#.*$", ""), href))
         .when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
-        .when(href.startswith("//"), F.concat(scheme, href))
-        .when(href.startswith("?"), F.concat(page, href))
-        .when(href.startswith("#"), F.concat(F.regexp_replace(base, r"#.*$", ""), href))
-        .when(href.startswith("/"), F.concat(site, _without_dot_segments(href_path), href_tail))
-        .otherwise(
-            F.concat(
-                site,
-                _without_dot_segments(F.concat(F.when(folder == "", "/").otherwise(folder), href_path)),
-                href_tail,
-            )
-        )
+        .otherwise(F.concat(parts["site"], _without_dot_segments(full_path), tail))
     )
+
+
+def url_join(base: Column, href: Column) -> Column:
+    """Absolute url of ``href`` found on page ``base``."""
+    return let(F.struct(base_parts(base).alias("parts"), href.alias("href")), lambda v: join_parts(v["parts"], v["href"]))

@@ -8,7 +8,7 @@ cells and ``is_wide`` set, and their records stay as rows in ``wide_records``. N
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -68,11 +68,6 @@ def mark_wide(
     return marked.withColumn("_wide", F.coalesce("_wide", F.lit(False))), True
 
 
-def first_non_null(column: str, order: Column) -> Column:
-    """First value in source order that is not null."""
-    return F.min_by(column, F.when(F.col(column).isNotNull(), order))
-
-
 def ordered_distinct_join(rows: Column, column: str, separator: str = "\n") -> Column:
     """Distinct values of an ordered array of records, first-seen order; ``''`` if all are null."""
     return F.array_join(F.array_distinct(F.transform(rows, lambda r: r[column].cast("string"))), separator)
@@ -82,7 +77,7 @@ def collapse_by_key(
     df: DataFrame,
     key: str | Sequence[str],
     order: Sequence[str],
-    first: Sequence[str] = (),
+    first: Sequence[str] | Mapping[str, Column] = (),
     joined: Sequence[str] = (),
     record: Sequence[str] = (),
     record_column: str = "raw_data_full",
@@ -91,59 +86,75 @@ def collapse_by_key(
 ) -> Collapsed:
     """One row per key; a null key is a group of its own.
 
-    ``first`` columns take their first non-null value in ``order``; ``joined`` columns become the
-    distinct values joined by ``separator``; ``record`` columns become a JSON array of all rows in
+    ``first`` columns take their first non-null value in ``order``; as a mapping, names to expressions,
+    which are computed after the shuffle. ``joined`` columns become the distinct values joined by
+    ``separator``; ``record`` columns become a JSON array of all rows in
     ``record_column``, with its hash in ``_meta_source_content_hash``. Columns ``df`` does not have
     are left out. ``order`` must be a total order within a key.
     """
     keys = [key] if isinstance(key, str) else list(key)
     have = set(df.columns)
-    first = [c for c in first if c in have]
+    if isinstance(first, Mapping):
+        firsts = dict(first)
+    else:
+        firsts = {c: F.col(c) for c in first if c in have}
     joined = [c for c in joined if c in have]
     record = [c for c in record if c in have]
-    payload = list(dict.fromkeys([*record, *joined]))
+    gathered = list(dict.fromkeys([*record, *joined]))
+    rank = F.struct(*order)
 
-    if payload:
-        marked, any_wide = mark_wide(df, keys, payload, max_group_bytes)
-    else:
-        marked, any_wide = df.withColumn("_wide", F.lit(False)), False
+    def first_of(value: Column, condition: Column = F.lit(True)) -> Column:
+        return F.min_by(value, F.when(condition & value.isNotNull(), rank))
 
-    rank = F.struct(*order)
-    aggregates = [first_non_null(c, rank).alias(c) for c in first]
-    aggregates.append(F.count(F.lit(1)).alias("n_rows"))
+    if not gathered:
+        aggregates = [first_of(v).alias(c) for c, v in firsts.items()]
+        return Collapsed(
+            df.groupBy(*keys).agg(*aggregates, F.count(F.lit(1)).alias("n_rows")).withColumn("is_wide", F.lit(False)), None
+        )
+
+    marked, any_wide = mark_wide(df, keys, gathered, max_group_bytes)
+    # The order comes first in the struct, so sorting the structs sorts by it.
+    item = F.struct(rank.alias("_order"), *gathered, *[v.alias(f"_first_{c}") for c, v in firsts.items()])
     if any_wide:
-        aggregates.append(F.bool_or("_wide").alias("is_wide"))
-    if payload:
-        # The order comes first in the struct, so sorting the structs sorts by it.
-        item = F.struct(rank.alias("_order"), *payload)
-        if any_wide:
-            item = F.when(~F.col("_wide"), item)
-        aggregates.append(F.array_sort(F.collect_list(item)).alias("_rows"))
-    if record and any_wide:
-        mark = F.xxhash64(*order, *record)
-        wide_mark = F.when(F.col("_wide"), mark)
-        aggregates += [F.bit_xor(wide_mark).alias("_xor"), F.sum(wide_mark.cast("decimal(38,0)")).alias("_sum")]
-
-    grouped = marked.groupBy(*keys).agg(*aggregates)
-    is_wide = F.col("is_wide") if any_wide else F.lit(False)
-    narrow = (lambda c: F.when(~is_wide, c)) if any_wide else (lambda c: c)
-
-    out = [F.col(k) for k in keys] + [F.col(c) for c in first]
+        # Partial aggregation leaves one row per task of a wide group.
+        mark = F.when(F.col("_wide"), F.xxhash64(*order, *record))
+        grouped = marked.groupBy(*keys).agg(
+            F.array_sort(F.collect_list(F.when(~F.col("_wide"), item))).alias("_rows"),
+            F.count(F.lit(1)).alias("n_rows"),
+            F.bool_or("_wide").alias("is_wide"),
+            # Order is part of each row's mark, so marks can be added up in any order.
+            F.bit_xor(mark).alias("_xor"),
+            F.sum(mark.cast("decimal(38,0)")).alias("_sum"),
+            *[first_of(v, F.col("_wide")).alias(f"_wide_{c}") for c, v in firsts.items()],
+        )
+    else:
+        # No group is wide, so rows are sent to their group as they are: gathering them before
+        # the shuffle would save nothing.
+        grouped = marked.repartition(*keys).groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("_rows"))
+        grouped = grouped.withColumns({"n_rows": F.size("_rows").cast("bigint"), "is_wide": F.lit(False)})
+
+    def from_rows(c: str) -> Column:
+        value = F.get(F.filter("_rows", lambda r: r[f"_first_{c}"].isNotNull()), F.lit(0))[f"_first_{c}"]
+        return F.coalesce(value, F.col(f"_wide_{c}")) if any_wide else value
+
+    def narrow(c: Column) -> Column:
+        return F.when(~F.col("is_wide"), c) if any_wide else c
+
+    out = [F.col(k) for k in keys] + [from_rows(c).alias(c) for c in firsts]
     out += [narrow(ordered_distinct_join(F.col("_rows"), c, separator)).alias(c) for c in joined]
-    out += [F.col("n_rows"), is_wide.alias("is_wide")]
+    out += [F.col("n_rows"), F.col("is_wide")]
     if record:
         records = F.transform("_rows", lambda r: F.struct(*[r[c].alias(c) for c in record]))
         grouped = grouped.withColumn(record_column, narrow(json_array(records)))
         hashed = content_hash(F.col(record_column))
         if any_wide:
-            # Order is part of each row's mark, so marks can be added up in any order.
             marks = F.concat_ws(":", "n_rows", F.col("_xor").cast("string"), F.col("_sum").cast("string"))
-            hashed = F.when(is_wide, content_hash(marks)).otherwise(hashed)
+            hashed = F.when(F.col("is_wide"), content_hash(marks)).otherwise(hashed)
         out += [F.col(record_column), hashed.alias("_meta_source_content_hash")]
 
     wide_records = None
     if any_wide:
-        wide_records = marked.where("_wide").select(*dict.fromkeys([*keys, *order, *payload]))
+        wide_records = marked.where("_wide").select(*dict.fromkeys([*keys, *order, *gathered]))
     return Collapsed(grouped.select(*out), wide_records)
 
 

@@ -86,14 +86,14 @@ def fill_down(
     )
     above = Window.partitionBy(file).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.select(
-        F.col(file).alias("_file"),
-        F.col("_slice").alias("_above_slice"),
+        file,
+        "_slice",
         *[F.last(_quoted(c), ignorenulls=True).over(above).alias(f"_above_{c}") for c in columns],
     )
     within = Window.partitionBy(file, "_slice").orderBy(row_no).rowsBetween(Window.unboundedPreceding, 0)
     filled = sliced.withColumns({c: F.last(_quoted(c), ignorenulls=True).over(within) for c in columns})
-    same_slice = F.col(file).eqNullSafe(F.col("_file")) & (F.col("_slice") == F.col("_above_slice"))
-    joined = filled.join(carried, same_slice, "left")
+    # The window has already placed the rows by file and slice, so the join moves only the small table.
+    joined = filled.join(carried, [file, "_slice"], "left")
 
     def value(c: str) -> Column:
         return F.coalesce(_quoted(c), _quoted(f"_above_{c}")).alias(c) if c in columns else _quoted(c)

@@ -31,10 +31,10 @@ def pin(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, pinned: bool = False) -> DataFrame:
     """``df`` for the small side of a join. It is counted first: up to ``max_rows`` rows it is
     broadcast; beyond that it is left to a shuffled join, where AQE splits skewed partitions."""
-    kept = pin(df)
+    kept = df if pinned else pin(df)
     if kept.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(kept)
     return kept

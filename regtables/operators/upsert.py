@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from regtables.operators.sizing import small_side
+from regtables.operators.sizing import MAX_BROADCAST_ROWS, pin, small_side
 
 
 def check_merge_keys(columns: Sequence[str], keys: Sequence[str]) -> None:
@@ -31,29 +31,45 @@ def latest_per_key(source: DataFrame, keys: Sequence[str], order: Sequence[str])
     return latest.select("r.*").unionByName(source.where(any_null))
 
 
+def one_row_per_key(source: DataFrame, keys: Sequence[str], on_duplicate: str, order: Sequence[str]) -> DataFrame:
+    """The source with its repeated keys resolved: an error, or the last row in ``order``.
+    Only the keys are counted and moved; rows of keys that occur once stay where they are."""
+    if on_duplicate not in ("error", "last"):
+        raise ValueError(f"unknown on_duplicate: {on_duplicate}")
+    repeated = pin(duplicate_keys(source, keys).select(*keys))
+    if repeated.isEmpty():
+        return source
+    if on_duplicate == "error":
+        raise ValueError(f"the source has several rows for one key {list(keys)}")
+    repeated = small_side(repeated, pinned=True)
+    several = source.join(repeated, list(keys), "left_semi")
+    last = latest_per_key(several, keys, order or [c for c in source.columns if c not in keys])
+    return source.join(repeated, list(keys), "left_anti").unionByName(last)
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
     keys: Sequence[str],
     on_duplicate: str = "error",
     order: Sequence[str] = (),
+    source_rows: int | None = None,
 ) -> DataFrame:
     """Target rows without a counterpart in the source, and all source rows.
 
     A source key that occurs twice is an error, or its last row in ``order`` wins
     (``on_duplicate="last"``). A null in a key matches nothing, so such a row is inserted.
     Columns are matched by name; a target column the source does not have stays as it is on a match.
+    ``source_rows``, if known, saves counting the source keys.
     """
     check_merge_keys(source.columns, keys)
-    if on_duplicate == "last":
-        source = latest_per_key(source, keys, order or [c for c in source.columns if c not in keys])
-    elif on_duplicate == "error":
-        if not duplicate_keys(source, keys).isEmpty():
-            raise ValueError(f"the source has several rows for one key {list(keys)}")
-    else:
-        raise ValueError(f"unknown on_duplicate: {on_duplicate}")
+    source_keys = source.select(*keys).na.drop()
+    if source_rows is None:
+        source_keys = small_side(source_keys)
+    elif source_rows <= MAX_BROADCAST_ROWS:
+        source_keys = F.broadcast(source_keys)
+    source = one_row_per_key(source, keys, on_duplicate, order)
 
-    source_keys = small_side(source.select(*keys).na.drop())
     kept = target.join(source_keys, list(keys), "left_anti")
     untouched = [c for c in target.columns if c not in source.columns]
     if untouched:

@@ -114,19 +114,19 @@ def approvals(
     the source rows as JSON. Groups too wide for a cell keep their rows in ``wide_records``."""
     require_columns(records, [v for v in APPROVAL_COLUMNS.values()], _OPTIONAL)
     record = [c for c in records.columns if c not in order]
-    dated = records.withColumn("_approval_date", to_iso_date(F.col("approval_date")))
+    first = {"application_type": F.col("application_type"), "approval_date": to_iso_date(F.col("approval_date"))}
+    if "review_report_url" in records.columns:
+        first["review_report_url"] = F.col("review_report_url")
     collapsed = collapse_by_key(
-        dated,
+        records,
         "approval_id",
         list(order),
-        first=["application_type", "_approval_date", "review_report_url"],
+        first=first,
         joined=["brand_name_jp", "generic_name_jp", "applicant_name_jp", "indication"],
         record=record,
         max_group_bytes=max_group_bytes,
     )
-    table = collapsed.groups.withColumn("approval_date", F.col("_approval_date")).withColumn(
-        "approval_id", lenient_int(F.col("approval_id"))
-    )
+    table = collapsed.groups.withColumn("approval_id", lenient_int(F.col("approval_id")))
     table = add_lineage(table, source_url, as_of, pipeline_version)
     return Collapsed(conform(table, APPROVALS.tables["approvals"].schema), collapsed.wide_records)
 
@@ -179,10 +179,10 @@ def review_reports(
     with_text = documents.where(F.col("full_text") != "")
     rows = _document_rows(with_text, as_of, extraction_ts, pipeline_version)
     text = F.col("full_text")
-    fields = {}
-    for column, label in REVIEW_LABELS.items():
-        value = label_value(text, label)
-        fields[column] = to_iso_date(value) if column.endswith("_date") else value
+    fields = {column: label_value(text, label) for column, label in REVIEW_LABELS.items()}
     fields["review_summary_text"] = section_text(text, REVIEW_SUMMARY_HEADING)
-    return conform(rows.withColumns(fields), REVIEW_REPORTS.tables["review_reports"].schema)
+    # Two steps, so that the text is searched once per label and the dates are read from the short values.
+    found = rows.withColumns(fields)
+    dated = found.withColumns({c: to_iso_date(F.col(c)) for c in REVIEW_LABELS if c.endswith("_date")})
+    return conform(dated, REVIEW_REPORTS.tables["review_reports"].schema)
 

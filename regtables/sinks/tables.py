@@ -43,7 +43,6 @@ def ensure_tables(spark: SparkSession, schema_name: str, specs: Sequence[TableSp
         if not spec.columns or spark.catalog.tableExists(table_name(schema_name, spec)):
             continue
         location = _new_location(root, schema_name, spec)
-        spark.createDataFrame([], spec.schema).write.parquet(location)
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.schema)
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {table_name(schema_name, spec)} ({columns}) USING parquet "
@@ -101,7 +100,7 @@ def execute_merge(
         return 0
     spark = staged.rows.sparkSession
     table = table_name(schema_name, spec)
-    merged = upsert(spark.table(table), staged.rows, keys, on_duplicate, order)
+    merged = upsert(spark.table(table), staged.rows, keys, on_duplicate, order, staged.n_rows)
     location = _new_location(root, schema_name, spec)
     merged.write.parquet(location)
     publish(spark, table, location)

@@ -19,6 +19,7 @@ CHARSETS = ("utf-8", "cp932")
 FALLBACK_CHARSET = "cp932"
 CHUNK_ROWS = 20_000
 _BLOCK = 1 << 20
+_HELD_BYTES = 32 << 20
 
 
 def _decodes(stream, charset: str) -> bool:
@@ -50,12 +51,19 @@ def decode_files(
     become U+FFFD, and ``decode_errors`` counts them."""
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        done, held = [], 0
+        names = ["path", "charset", "decode_errors", "text"]
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 charset, strict = resolve_charset(lambda: io.BytesIO(content), candidates, fallback)
                 text = content.decode(charset, "strict" if strict else "replace")
-                errors = 0 if strict else text.count("�")
-                yield pd.DataFrame({"path": [path], "charset": [charset], "decode_errors": [errors], "text": [text]})
+                done.append((path, charset, 0 if strict else text.count("\ufffd"), text))
+                held += len(content)
+                if held > _HELD_BYTES:
+                    yield pd.DataFrame(done, columns=names)
+                    done, held = [], 0
+        if done:
+            yield pd.DataFrame(done, columns=names)
 
     return files.select("path", "content").mapInPandas(
         decode, "path string, charset string, decode_errors bigint, text string"

@@ -40,7 +40,9 @@ def assemble_documents(
     """
     marked, any_wide = mark_wide(pages, [doc], [text, tables], max_group_bytes)
     item = F.struct(F.col(page_no).alias("page_no"), F.col(text).alias("text"), F.col(tables).alias("tables"))
-    gathered = marked.groupBy(doc).agg(
+    # As long as no document is wide, pages go to their document as they are.
+    placed = marked if any_wide else marked.repartition(doc)
+    gathered = placed.groupBy(doc).agg(
         F.array_sort(F.collect_list(F.when(~F.col("_wide"), item))).alias("_pages"),
         F.bool_or("_wide").alias("is_wide"),
     )
