@@ -21,7 +21,7 @@ NAMED_ENTITIES = {
     "&gt;": ">",
     "&quot;": '"',
     "&apos;": "'",
-    "&nbsp;": " ",
+    "&nbsp;": "\u00a0",
     "&amp;": "&",
 }
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import codecs
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -20,6 +21,8 @@ FALLBACK_CHARSET = "cp932"
 CHUNK_ROWS = 20_000
 _BLOCK = 1 << 20
 _HELD_BYTES = 32 << 20
+# What a broken archive or member raises; pandas parse errors are ValueErrors.
+_UNREADABLE = (zipfile.BadZipFile, zlib.error, OSError, EOFError, ValueError, RuntimeError, NotImplementedError)
 
 
 def _decodes(stream, charset: str) -> bool:
@@ -80,31 +83,51 @@ def _find_member(archive: zipfile.ZipFile, stem: str) -> str | None:
     return next((name for name in archive.namelist() if name.lower() == wanted), None)
 
 
-def _frames(archive: zipfile.ZipFile, member: str, charset: str, strict: bool, **options) -> Iterator[pd.DataFrame]:
-    with archive.open(member) as stream:
-        yield from pd.read_csv(
-            stream, encoding=charset, encoding_errors="strict" if strict else "replace",
-            dtype=str, chunksize=CHUNK_ROWS, **options,
-        )
-
-
-def _survey(content: bytes, stem: str, candidates: Sequence[str], fallback: str) -> dict:
-    """Reads a member through once, so that a member broken in the middle gives no rows at all."""
-    found = {"member": None, "status": "missing", "charset": None, "strict": True, "n_rows": 0}
-    try:
-        with zipfile.ZipFile(io.BytesIO(content)) as archive:
-            found["member"] = member = _find_member(archive, stem)
-            if member is None:
-                return found
-            if archive.getinfo(member).file_size == 0:
-                return {**found, "status": "empty"}
-            charset, strict = resolve_charset(lambda: archive.open(member), candidates, fallback)
-            found.update(charset=charset, strict=strict)
-            found["n_rows"] = sum(len(f) for f in _frames(archive, member, charset, strict, usecols=[0]))
-            found["status"] = "ok"
-    except (zipfile.BadZipFile, OSError, ValueError, RuntimeError, NotImplementedError) as problem:
-        found.update(status="unreadable", n_rows=0, problem=f"{type(problem).__name__}: {problem}")
-    return found
+class _Member:
+    """One CSV member of an archive: what is known of it before its rows are read."""
+
+    def __init__(self, content: bytes, stem: str, candidates: Sequence[str], fallback: str):
+        self.status, self.name, self.charset, self.problem = "missing", None, None, None
+        try:
+            self.archive = zipfile.ZipFile(io.BytesIO(content))
+            self.name = _find_member(self.archive, stem)
+            if self.name is None:
+                return
+            self.size = self.archive.getinfo(self.name).file_size
+            if self.size == 0:
+                self.status = "empty"
+                return
+            self.charset, self.strict = resolve_charset(lambda: self.archive.open(self.name), candidates, fallback)
+            self.status = "ok"
+        except _UNREADABLE as problem:
+            self._fail(problem)
+
+    def _fail(self, problem: Exception) -> None:
+        self.status, self.problem = "unreadable", f"{type(problem).__name__}: {problem}"
+
+    def _parse(self) -> Iterator[pd.DataFrame]:
+        with self.archive.open(self.name) as stream:
+            yield from pd.read_csv(
+                stream, encoding=self.charset, encoding_errors="strict" if self.strict else "replace",
+                dtype=str, chunksize=CHUNK_ROWS,
+            )
+
+    def frames(self) -> Iterator[pd.DataFrame]:
+        """The rows in chunks. A member broken in the middle gives none: a small one is parsed to its end
+        before the first row leaves, a large one is read through first."""
+        if self.status != "ok":
+            return
+        try:
+            if self.size <= _HELD_BYTES:
+                parsed = list(self._parse())
+            else:
+                for _ in self._parse():
+                    pass
+                parsed = self._parse()
+        except _UNREADABLE as problem:
+            self._fail(problem)
+            return
+        yield from parsed
 
 
 def archive_members(
@@ -117,11 +140,15 @@ def archive_members(
     ``ok``, ``missing``, ``empty`` or ``unreadable``."""
 
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["archive", "stem", "member", "status", "charset", "n_rows", "problem"]
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                rows = [{"archive": path, "stem": s, **_survey(content, s, candidates, fallback)} for s in stems]
-                columns = ["archive", "stem", "member", "status", "charset", "n_rows", "problem"]
-                yield _plain(pd.DataFrame(rows).reindex(columns=columns))
+                found = []
+                for stem in stems:
+                    m = _Member(content, stem, candidates, fallback)
+                    n_rows = sum(len(frame) for frame in m.frames())
+                    found.append((path, stem, m.name, m.status, m.charset, n_rows, m.problem))
+                yield _plain(pd.DataFrame(found, columns=names))
 
     return files.select("path", "content").mapInPandas(
         look,
@@ -145,15 +172,11 @@ def archive_csv(
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                found = _survey(content, stem, candidates, fallback)
-                if found["status"] != "ok":
-                    continue
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    for frame in _frames(archive, found["member"], found["charset"], found["strict"]):
-                        out = _plain(frame.reindex(columns=list(columns)))
-                        out.insert(0, "archive", path)
-                        out.insert(1, "record_no", frame.index)
-                        yield out
+                for frame in _Member(content, stem, candidates, fallback).frames():
+                    out = _plain(frame.reindex(columns=list(columns)))
+                    out.insert(0, "archive", path)
+                    out.insert(1, "record_no", frame.index)
+                    yield out
 
     fields = ", ".join(f"`{c}` string" for c in columns)
     return files.select("path", "content").mapInPandas(read, f"archive string, record_no bigint, {fields}")

@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 from regtables.operators.quality import failures
 from regtables.plans.pipeline import ValidationError
 from regtables.plans.specs import TableSpec
-from regtables.sinks.tables import execute_merge, stage
+from regtables.sinks.tables import execute_merge, stage, table_name
 
 
 def read_new_files(
@@ -57,3 +57,5 @@ def stream_upsert(
         .start()
         .awaitTermination()
     )
+    # Batches run in a session of their own; this one may still remember the table's old location.
+    rows.sparkSession.catalog.refreshTable(table_name(schema_name, spec))
