@@ -10,7 +10,7 @@ from regtables.operators.conform import add_lineage, conform, rename_columns, re
 from regtables.operators.grid import drop_empty_rows, normalize_headers
 
 
-@check("""
+@check("raw_json", """
 SELECT o_orderkey, CAST(json_object('o_orderkey', o_orderkey, 'o_custkey', o_custkey, 'status', o_orderstatus,
        'priority', nullif(o_orderpriority, '1-URGENT')) AS VARCHAR) AS raw_data_full
 FROM orders
@@ -21,7 +21,7 @@ def raw_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", record.alias("raw_data_full"))
 
 
-@check("""
+@check("row_hash_id", """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
        sha256(CAST(json_object('flag', nullif(l_returnflag, 'N'), 'l_linenumber', CAST(l_linenumber AS VARCHAR),
               'l_orderkey', CAST(l_orderkey AS VARCHAR), 'l_partkey', CAST(l_partkey AS VARCHAR),
@@ -34,17 +34,17 @@ def row_hash_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*keys, row_hash_id([*keys, "flag"]).alias("row_id"))
 
 
-@check("SELECT doc_id, sha256(text) AS content_hash FROM documents")
+@check("content_hash", "SELECT doc_id, sha256(text) AS content_hash FROM documents")
 def content_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", content_hash(F.col("text")).alias("content_hash"))
 
 
-@check("SELECT page_id, sha256(url) AS document_id FROM pages")
+@check("document_id", "SELECT page_id, sha256(url) AS document_id FROM pages")
 def document_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", document_id(F.col("url")).alias("document_id"))
 
 
-@check("""
+@check("document_payload", """
 SELECT doc_id, CAST(json_object('source_file_type', 'pdf', 'full_text', text,
        'extracted_tables', [[{'lang': lang, 'source': source}]]) AS VARCHAR) AS raw_data_full
 FROM documents
@@ -55,7 +55,7 @@ def document_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", payload.alias("raw_data_full"))
 
 
-@check(f"""
+@check("add_lineage", f"""
 SELECT s_suppkey, s_name, CAST(json_object('s_suppkey', s_suppkey, 's_name', s_name) AS VARCHAR) AS raw_data_full,
        '{AS_OF_TEXT}' AS load_ts, 'https://example.org/list' AS _meta_source_url, '1.0' AS _meta_pipeline_version,
        sha256(CAST(json_object('s_suppkey', s_suppkey, 's_name', s_name) AS VARCHAR)) AS _meta_source_content_hash
@@ -72,7 +72,7 @@ def lineage_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@check("""
+@check("lenient_numeric", """
 SELECT p_partkey,
        CASE p_type WHEN 'ECONOMY' THEN NULL WHEN 'PROMO' THEN p_size + 0.5 ELSE p_size END::DOUBLE AS amount,
        CASE WHEN p_type IN ('ECONOMY', 'PROMO') THEN NULL ELSE p_size END::BIGINT AS whole
@@ -89,18 +89,18 @@ def lenient_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@check("SELECT n_nationkey AS nationkey, n_name AS nation_name, n_regionkey AS region FROM nation")
+@check("normalize_headers", "SELECT n_nationkey AS nationkey, n_name AS nation_name, n_regionkey AS region FROM nation")
 def normalized_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_headers(table(spark, sf_dir, "nation").toDF(" nation\nkey ", "nation_ name", "re gi\ton"))
 
 
-@check("SELECT c_custkey AS id, c_name AS brand, c_mktsegment AS remarks FROM customer")
+@check("rename_columns", "SELECT c_custkey AS id, c_name AS brand, c_mktsegment AS remarks FROM customer")
 def renamed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     mapping = {"c_custkey": "id", "c_name": "brand", "c_mktsegment": "remarks"}
     return rename_columns(table(spark, sf_dir, "customer"), mapping, keep_unmapped=False)
 
 
-@check("""
+@check("conform_schema", """
 SELECT o_orderkey AS approval_id, CAST(NULL AS VARCHAR) AS indication, o_orderstatus AS application_type,
        TRY_CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS priority
 FROM orders
@@ -117,7 +117,7 @@ def conformed_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(require_columns(rows, ["approval_id", "priority", "remarks"], ["remarks"]), target)
 
 
-@check("""
+@check("drop_empty_rows", """
 SELECT event_id, event_type, props FROM
   (SELECT event_id, nullif(event_type, 'click') AS event_type,
           CASE WHEN event_type NOT IN ('click', 'view') THEN props END AS props FROM events)
@@ -132,7 +132,7 @@ def non_empty_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_empty_rows(rows, ["event_type", "props"])
 
 
-@check("""
+@check("union_files", """
 SELECT c_custkey AS id, c_name AS name, c_nationkey AS nation, c_mktsegment AS segment FROM customer
 UNION ALL SELECT s_suppkey, s_name, s_nationkey, NULL FROM supplier
 UNION ALL SELECT p_partkey, p_name, NULL, NULL FROM part

@@ -50,7 +50,7 @@ def approval_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@check(f"""
+@check("approvals_dataset", f"""
 WITH r AS (SELECT l_orderkey AS k, CASE l_returnflag WHEN 'R' THEN '医薬品' WHEN 'A' THEN '医療機器' ELSE '再生医療等製品' END AS t,
              'Brand ' || (l_partkey % 7) AS b, CASE WHEN l_linestatus = 'O' THEN 'Generic ' || (l_suppkey % 3) END AS g, 'Supplier ' || l_suppkey AS a,
              CAST(l_shipdate AS DATE) AS d, CASE WHEN year(l_shipdate) < 2001 THEN '平成' || (year(l_shipdate) - 1988) || '年' || month(l_shipdate) || '月' || day(l_shipdate) || '日'
@@ -76,7 +76,7 @@ def approvals_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text_dates(_rows(spark, spec, "approvals")).drop("_meta_load_ts_utc", "_meta_pipeline_version")
 
 
-@check("""
+@check("approvals_from_sheets", """
 SELECT CAST(s_suppkey AS INTEGER) AS approval_id, '医薬品' AS application_type,
        s_name AS brand_name_jp, 'g' || s_nationkey AS generic_name_jp, n_name AS applicant_name_jp, '2019-05-01' AS approval_date
 FROM supplier JOIN nation ON s_nationkey = n_nationkey
@@ -124,7 +124,7 @@ def _star(spark: SparkSession, sf_dir: str, again: bool = False) -> DatasetSpec:
     return spec
 
 
-@check("""
+@check("adverse_events_reactions", """
 WITH r AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS identification_number, o_orderpriority AS adverse_event_name,
              strftime(o_orderdate, '%Y-%m-%d') AS onset_date, strftime(o_orderdate, '%Y%m%d') AS raw_date FROM orders)
 SELECT sha256(CAST(json_object('adverse_event_name', adverse_event_name, 'identification_number', identification_number, 'onset_date', onset_date) AS VARCHAR)) AS reac_id,
@@ -137,7 +137,7 @@ def adverse_events_reactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text_dates(_rows(spark, spec, "REAC")).select("reac_id", "identification_number", "adverse_event_name", "onset_date", "raw_data_full")
 
 
-@check("""
+@check("load_star", """
 SELECT 'adverse_demo' AS table_name, count(*) AS n_rows, count(DISTINCT c_custkey) AS n_keys FROM customer
 UNION ALL SELECT 'adverse_hist', count(*), count(DISTINCT c_custkey) FROM customer
 UNION ALL SELECT 'adverse_drug', count(*), count(DISTINCT k) FROM (SELECT DISTINCT o_custkey AS k, o_orderstatus, o_orderpriority FROM orders)
@@ -174,7 +174,7 @@ WITH d AS (SELECT 'https://example.org/' || conv_id || '.pdf' AS url, string_agg
 """
 
 
-@check(_DOCS + """
+@check("package_inserts_dataset", _DOCS + """
 SELECT sha256(url) AS document_id, raw_data_full, url AS _meta_source_url, sha256(raw_data_full) AS _meta_source_content_hash FROM p
 """)
 def package_inserts_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,7 +182,7 @@ def package_inserts_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows(spark, spec, "package_inserts").select("document_id", "raw_data_full", "_meta_source_url", "_meta_source_content_hash")
 
 
-@check("""
+@check("review_reports_dataset", """
 SELECT sha256('https://example.org/' || doc_id) AS document_id, 'B ' || source AS brand_name_jp, CAST(NULL AS VARCHAR) AS generic_name_jp,
        'A' || lang AS applicant_name_jp, '2025-01-15' AS application_date, CASE WHEN lang <> 'en' THEN '2025-09-10' END AS approval_date,
        regexp_replace(text, '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g') AS review_summary_text
@@ -201,7 +201,7 @@ def review_reports_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@check("SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, p_type AS category, p_brand AS status FROM part")
+@check("xml_report_dataset", "SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, p_type AS category, p_brand AS status FROM part")
 def xml_report_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build(root: str) -> dict[str, DataFrame]:
         table(spark, sf_dir, "part").selectExpr(

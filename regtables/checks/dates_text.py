@@ -14,7 +14,7 @@ _SHIFT_YEARS = "CASE o_orderpriority WHEN '1-URGENT' THEN -22 WHEN '2-HIGH' THEN
 _STYLE = "o_custkey % 10"
 
 
-@check(f"""
+@check("parse_mixed_dates", f"""
 SELECT o_orderkey, CASE WHEN {_STYLE} = 9 THEN NULL
        ELSE strftime(CAST(o_orderdate AS DATE) - to_months(CAST(12 * ({_SHIFT_YEARS}) AS INTEGER)), '%Y-%m-%d') END AS iso_date
 FROM orders
@@ -49,7 +49,7 @@ _CARD_SQL = """
 """
 
 
-@check("""
+@check("label_values", """
 SELECT c_custkey, c_name AS name, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment ELSE 'second' END AS segment,
        CAST(c_nationkey AS VARCHAR) AS nation, CAST(NULL AS VARCHAR) AS absent
 FROM customer
@@ -65,7 +65,7 @@ def label_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@check(r"""
+@check("section_text", r"""
 WITH r AS (SELECT doc_id, lang, regexp_extract(t, '(?s)審査の概要\s*\n(.*)', 1) AS rest
            FROM (SELECT doc_id, lang, CASE WHEN lang = 'es' THEN text ELSE '1. 表題' || chr(10) || '審査の概要 ' || chr(10) || text ||
                  CASE WHEN lang = 'fr' THEN '' ELSE chr(10) || ' 2. 次の節' || chr(10) || text END END AS t FROM documents)),
@@ -82,7 +82,7 @@ def section_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", section_text(text, "審査の概要").alias("summary"))
 
 
-@check(r"""
+@check("url_file_name", r"""
 SELECT page_id, regexp_extract(url, '([^/]*)$', 1) AS file_name,
        regexp_extract(regexp_replace(regexp_extract(url, '([^/]*)$', 1), '[?#].*$', ''), '(\.[^.]+)$', 1) AS suffix
 FROM pages

@@ -26,7 +26,7 @@ def _sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return titles.unionByName(rows)
 
 
-@check("""
+@check("detect_header", """
 SELECT n_name AS file, CAST(n_nationkey % 12 AS BIGINT) AS header_row,
        CASE WHEN n_nationkey % 2 = 0 THEN 'No.|販売名|申請者名' ELSE '申請者名|No.|販売名' END AS names
 FROM nation WHERE n_nationkey % 12 < 10
@@ -36,13 +36,13 @@ def header_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("file", "header_row", F.array_join("names", "|").alias("names"))
 
 
-@check("SELECT n_name AS file FROM nation WHERE n_nationkey % 12 >= 10")
+@check("sheets_without_header", "SELECT n_name AS file FROM nation WHERE n_nationkey % 12 >= 10")
 def sheets_without_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     sheets = _sheets(spark, sf_dir)
     return files_without_header(sheets, detect_header(sheets, "販売名"))
 
 
-@check("""
+@check("grid_records", """
 SELECT n_name AS file, s_suppkey + 100 AS row_no, CAST(s_suppkey AS VARCHAR) AS id, s_name AS brand,
        n_name AS applicant, CAST(NULL AS VARCHAR) AS remarks
 FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_nationkey % 12 < 10
@@ -53,7 +53,7 @@ def sheet_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.toDF("file", "row_no", "id", "brand", "applicant", "remarks")
 
 
-@check("""
+@check("fill_down", """
 SELECT event_type AS file, event_id AS row_no,
        last_value(CASE WHEN value > 60 THEN user_id END IGNORE NULLS) OVER w AS a,
        last_value(CASE WHEN value < 2 THEN props END IGNORE NULLS) OVER w AS b,

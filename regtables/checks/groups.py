@@ -27,7 +27,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@check(f"""
+@check("collapse_by_key", f"""
 WITH r AS ({_LINES}), n AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY {_ORDER}) AS i FROM r),
      v AS (SELECT k, flag, min(i) AS i FROM n WHERE flag IS NOT NULL GROUP BY k, flag),
      j AS (SELECT k, string_agg(flag, chr(10) ORDER BY i) AS flag FROM v GROUP BY k)
@@ -43,7 +43,7 @@ def collapsed_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.groups.drop("is_wide")
 
 
-@check(f"""
+@check("collapse_wide_groups", f"""
 WITH r AS ({_LINES}), n AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY {_ORDER}) AS i FROM r),
      s AS (SELECT k, sum(coalesce(strlen(flag), 0) + strlen(status) + 32) > 600 AS is_wide FROM r GROUP BY k),
      v AS (SELECT k, flag, min(i) AS i FROM n WHERE flag IS NOT NULL GROUP BY k, flag),
@@ -66,7 +66,7 @@ def collapsed_wide_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("k", "status_first", "flag", "n_rows", "is_wide", "wide_flag")
 
 
-@check("""
+@check("ordered_distinct_join", """
 WITH r AS (SELECT user_id, event_id, nullif(event_type, 'error') AS t FROM events),
      v AS (SELECT user_id, t, min(event_id) AS i FROM r WHERE t IS NOT NULL GROUP BY user_id, t)
 SELECT u.user_id, coalesce(j.types, '') AS types FROM (SELECT DISTINCT user_id FROM r) u
@@ -77,7 +77,7 @@ def ordered_distinct_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collapse_by_key(rows, "user_id", ["event_id"], joined=["types"]).groups.select("user_id", "types")
 
 
-@check("""
+@check("group_rows_json", """
 WITH r AS (SELECT o_custkey, o_orderkey, CAST(json_object('o_orderkey', o_orderkey, 'o_orderstatus', o_orderstatus,
              'priority', nullif(o_orderpriority, '5-LOW')) AS VARCHAR) AS j FROM orders),
      g AS (SELECT o_custkey, count(*) AS n_rows, '[' || string_agg(j, ',' ORDER BY o_orderkey) || ']' AS raw_data_full FROM r GROUP BY 1)
@@ -91,7 +91,7 @@ def group_rows_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.groups.drop("is_wide")
 
 
-@check("""
+@check("assemble_documents", """
 WITH p AS (SELECT conv_id, turn, CASE WHEN role <> 'system' THEN text ELSE '' END AS t, role FROM conversations)
 SELECT conv_id, coalesce(string_agg(t, chr(10) ORDER BY turn) FILTER (WHERE t <> ''), '') AS full_text,
        '[' || coalesce(string_agg('[' || CAST(json_object('role', role, 'turn', CAST(turn AS VARCHAR)) AS VARCHAR) || ']', ',' ORDER BY turn)

@@ -30,13 +30,13 @@ UNION ALL SELECT -o_orderkey - 1, o_orderstatus, o_orderpriority FROM orders WHE
 """
 
 
-@check(_MERGED)
+@check("upsert", _MERGED)
 def upsert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _orders(spark, sf_dir)
     return upsert(orders, _changes(orders), ["o_orderkey"])
 
 
-@check("""
+@check("latest_per_key", """
 SELECT o_custkey, max(o_orderkey) AS o_orderkey, arg_max(o_orderstatus, o_orderkey) AS o_orderstatus FROM orders GROUP BY o_custkey
 """)
 def latest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +44,7 @@ def latest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(rows, ["o_custkey"], ["o_orderkey"])
 
 
-@check("SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
+@check("duplicate_keys", "SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
 def duplicated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_keys(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
@@ -56,7 +56,7 @@ def _loaded_table(spark: SparkSession, sf_dir: str):
     return schema, root
 
 
-@check("SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders UNION ALL SELECT o_orderkey, 'again', o_orderpriority FROM orders WHERE o_orderstatus = 'F'")
+@check("load_append", "SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders UNION ALL SELECT o_orderkey, 'again', o_orderpriority FROM orders WHERE o_orderstatus = 'F'")
 def load_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema, root = _loaded_table(spark, sf_dir)
     again = _orders(spark, sf_dir).where("o_orderstatus = 'F'").select("o_orderpriority", F.lit("again").alias("o_orderstatus"), "o_orderkey")
@@ -64,7 +64,7 @@ def load_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table_name(schema, _ORDERS))
 
 
-@check("SELECT o_orderkey, o_orderstatus, CAST(NULL AS VARCHAR) AS o_orderpriority FROM orders WHERE o_orderstatus = 'F'")
+@check("load_overwrite", "SELECT o_orderkey, o_orderstatus, CAST(NULL AS VARCHAR) AS o_orderpriority FROM orders WHERE o_orderstatus = 'F'")
 def load_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema, root = _loaded_table(spark, sf_dir)
     some = _orders(spark, sf_dir).where("o_orderstatus = 'F'").drop("o_orderpriority")
@@ -74,7 +74,7 @@ def load_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table_name(schema, _ORDERS))
 
 
-@check(_MERGED)
+@check("load_merge", _MERGED)
 def load_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema, root = _loaded_table(spark, sf_dir)
     staged = stage(_changes(_orders(spark, sf_dir)), _ORDERS, schema, root)
@@ -84,7 +84,7 @@ def load_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table_name(schema, _ORDERS))
 
 
-@check("SELECT count(*) AS staged, count(*) + count(*) FILTER (WHERE o_orderstatus = 'P') AS loaded FROM orders")
+@check("load_counts", "SELECT count(*) AS staged, count(*) + count(*) FILTER (WHERE o_orderstatus = 'P') AS loaded FROM orders")
 def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema, root = new_schema(), new_folder(spark)
     ensure_tables(spark, schema, [_ORDERS], root)
@@ -100,7 +100,7 @@ _EVENTS = TableSpec("events", {"event_id": "BIGINT", "user_id": "BIGINT", "event
                     ({"column": "event_id", "check": "is_unique"},))
 
 
-@check("SELECT event_id, user_id, event_type FROM events UNION ALL SELECT -event_id - 1, user_id, 'old' FROM events WHERE event_type = 'view'")
+@check("stream_upsert", "SELECT event_id, user_id, event_type FROM events UNION ALL SELECT -event_id - 1, user_id, 'old' FROM events WHERE event_type = 'view'")
 def stream_upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema, root = new_schema(), new_folder(spark)
     events = table(spark, sf_dir, "events")

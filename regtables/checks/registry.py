@@ -24,9 +24,13 @@ class Check:
 CHECKS: dict[str, Check] = {}
 
 
-def check(sql: str | None = None):
+def check(name: str, sql: str | None = None):
+    """Registers a query and the SQL that DuckDB runs for it on the same tables."""
+
     def register(run):
-        CHECKS[run.__name__] = Check(run, sql)
+        if name in CHECKS:
+            raise ValueError(f"query {name} is registered twice")
+        CHECKS[name] = Check(run, sql)
         return run
 
     return register

@@ -14,14 +14,14 @@ def _short(report: DataFrame) -> DataFrame:
     return report.drop("message")
 
 
-@register(_REPORT.format(no=0, column="priority", check="not_null",
+@register("dq_not_null", _REPORT.format(no=0, column="priority", check="not_null",
     count="SELECT count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS v FROM orders"))
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").withColumn("priority", F.expr("nullif(o_orderpriority, '1-URGENT')"))
     return _short(check(rows, [{"column": "priority", "check": "not_null"}]))
 
 
-@register("""
+@register("dq_unique", """
 SELECT 0 AS rule_no, 'o_custkey' AS "column", 'is_unique' AS "check", count(*) = 0 AS passed, count(*) AS violations,
        'Column ''o_custkey'' is not unique. Found ' || count(o_custkey) || ' duplicate values.' AS message
 FROM (SELECT CASE WHEN o_orderstatus <> 'O' THEN o_custkey END AS o_custkey FROM orders GROUP BY 1 HAVING count(*) > 1)
@@ -31,14 +31,14 @@ def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check(rows, [{"column": "o_custkey", "check": "is_unique"}])
 
 
-@register(_REPORT.format(no=0, column="size", check="has_type",
+@register("dq_type_numeric", _REPORT.format(no=0, column="size", check="has_type",
     count="SELECT count(*) FILTER (WHERE p_type IN ('ECONOMY', 'SMALL')) AS v FROM part"))
 def dq_type_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.expr("CASE p_type WHEN 'ECONOMY' THEN 'about 3' WHEN 'SMALL' THEN NULL WHEN 'PROMO' THEN '3.5' ELSE cast(p_size AS string) END")
     return _short(check(table(spark, sf_dir, "part").withColumn("size", size), [{"column": "size", "check": "has_type", "type": "integer"}]))
 
 
-@register(_REPORT.format(no=0, column="written", check="has_type",
+@register("dq_type_datetime", _REPORT.format(no=0, column="written", check="has_type",
     count="SELECT count(*) FILTER (WHERE o_orderstatus = 'F' OR o_orderpriority = '2-HIGH') AS v FROM orders"))
 def dq_type_datetime(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = F.expr("""
@@ -49,7 +49,7 @@ def dq_type_datetime(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _short(check(rows, [{"column": "written", "check": "has_type", "type": "datetime"}]))
 
 
-@register("""
+@register("dq_in_range", """
 SELECT 0 AS rule_no, 'qty' AS "column", 'is_in_range' AS "check", v = 0 AS passed, v AS violations,
        'Column ''qty'' has ' || v || ' values outside the range [5, 40].' AS message
 FROM (SELECT count(*) FILTER (WHERE l_returnflag = 'R' OR l_quantity NOT BETWEEN 5 AND 40) AS v FROM lineitem)
@@ -59,7 +59,7 @@ def dq_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check(rows, [{"column": "qty", "check": "is_in_range", "min_value": 5, "max_value": 40}])
 
 
-@register("""
+@register("dq_in_set", """
 WITH b AS (SELECT nullif(c_mktsegment, 'FURNITURE') AS s FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'HOUSEHOLD'))
 SELECT 0 AS rule_no, 'segment' AS "column", 'is_in_set' AS "check", count(*) = 0 AS passed, count(*) AS violations,
        'Column ''segment'' contains values not in the allowed set: [' ||
@@ -70,7 +70,7 @@ def dq_in_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check(rows, [{"column": "segment", "check": "is_in_set", "allowed_values": ["BUILDING", "HOUSEHOLD"]}])
 
 
-@register("""
+@register("dq_invalid_values", """
 SELECT CAST(l_suppkey AS VARCHAR) AS value, count(*) AS n_rows FROM lineitem
 WHERE l_suppkey NOT IN (1, 2, 3, 5, 8) GROUP BY 1
 """)
@@ -79,7 +79,7 @@ def dq_invalid_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("value", F.col("value").cast("string"))
 
 
-@register("SELECT event_id, value BETWEEN 2 AND 30 AS in_range, event_type IN ('click', 'view') AS in_set FROM events")
+@register("row_predicates", "SELECT event_id, value BETWEEN 2 AND 30 AS in_range, event_type IN ('click', 'view') AS in_set FROM events")
 def row_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events")
     return rows.select(
@@ -100,7 +100,7 @@ _RULES = [
 ]
 
 
-@register("""
+@register("dq_report", """
 WITH c AS (SELECT count(*) FILTER (WHERE quality <> 1) AS q, count(*) FILTER (WHERE toxic <> 0) AS t,
                   count(*) - count(DISTINCT doc_id) AS d FROM labels)
 SELECT 0 AS rule_no, 'doc_id' AS "column", 'not_null' AS "check", true AS passed, CAST(0 AS BIGINT) AS violations, CAST(NULL AS VARCHAR) AS message

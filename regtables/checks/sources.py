@@ -13,7 +13,7 @@ from regtables.sources.archives import archive_csv, archive_members, decode_file
 from regtables.sources.files import binary_files, csv_records, parquet_table, with_source_file, xml_rows
 
 
-@check("SELECT count(*) AS n_rows, count(DISTINCT o_custkey) AS customers, min(o_orderkey) AS low, max(o_orderkey) AS high FROM orders")
+@check("scan_parquet", "SELECT count(*) AS n_rows, count(DISTINCT o_custkey) AS customers, min(o_orderkey) AS low, max(o_orderkey) AS high FROM orders")
 def parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = parquet_table(spark, f"{sf_dir}/orders.parquet")
     return rows.agg(
@@ -22,13 +22,13 @@ def parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@check("SELECT 'orders.parquet' AS source_file, count(*) AS n_rows FROM orders")
+@check("source_file", "SELECT 'orders.parquet' AS source_file, count(*) AS n_rows FROM orders")
 def source_file_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = with_source_file(parquet_table(spark, f"{sf_dir}/orders.parquet"))
     return rows.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-@check("""
+@check("scan_csv", """
 SELECT lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS id, o_orderstatus AS status,
        'a "' || o_orderpriority || '", b' AS note, nullif(o_orderpriority, '5-LOW') AS priority
 FROM orders
@@ -42,7 +42,7 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv_records(spark, folder)
 
 
-@check("SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, nullif(c_mktsegment, 'BUILDING') AS category FROM customer")
+@check("scan_xml", "SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, nullif(c_mktsegment, 'BUILDING') AS category FROM customer")
 def xml_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark)
     table(spark, sf_dir, "customer").selectExpr(
@@ -52,7 +52,7 @@ def xml_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return xml_rows(spark, folder, "./products/product", ["id", "name", "category"])
 
 
-@check("""
+@check("decode_files", """
 SELECT doc_id, CASE WHEN lang = 'de' THEN 'cp932' WHEN lang = 'es' THEN 'utf-8-sig' ELSE 'utf-8' END AS charset, CAST(0 AS BIGINT) AS decode_errors,
        CASE WHEN lang = 'de' THEN '識別番号,医薬品名 ' || doc_id ELSE text END AS text
 FROM documents
@@ -68,7 +68,7 @@ def decoded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_files(files).withColumn("doc_id", F.col("path").cast("bigint")).drop("path")
 
 
-@check("SELECT CAST(p_partkey AS VARCHAR) AS part, sha256(p_name || p_brand) AS hash FROM part")
+@check("scan_binary", "SELECT CAST(p_partkey AS VARCHAR) AS part, sha256(p_name || p_brand) AS hash FROM part")
 def binary_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One text file per task; each line is a record."""
     folder = new_folder(spark)
@@ -110,7 +110,7 @@ def event_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers.unionByName(orders).groupBy("archive").applyInPandas(pack, "path string, content binary")
 
 
-@check("""
+@check("scan_zip_csv", """
 SELECT 'case-' || (c_custkey // 500) || '.zip' AS archive, CAST(c_custkey AS VARCHAR) AS "id", substr(c_mktsegment, 1, 1) AS gender,
        CAST(NULL AS VARCHAR) AS weight, 'case ' || c_name AS source, '医師, "他"' || chr(10) || '行' AS job, CAST(NULL AS VARCHAR) AS absent
 FROM customer
@@ -122,7 +122,7 @@ def zip_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.withColumn("source", F.concat(F.lit("case "), F.col("source")))
 
 
-@check("""
+@check("archive_members", """
 WITH n AS (SELECT a AS archive, (SELECT count(*) FROM customer WHERE c_custkey // 500 = a) AS customers,
                   (SELECT count(*) FROM orders WHERE o_orderkey // 5000 = a) AS orders
            FROM (SELECT c_custkey // 500 AS a FROM customer UNION SELECT o_orderkey // 5000 FROM orders)),

@@ -44,7 +44,7 @@ def _states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert_state(_runs(spark, sf_dir, "value < 20").select(*_COLUMNS), _runs(spark, sf_dir, "value >= 40"))
 
 
-@check(_STATES + "SELECT * FROM u")
+@check("state_upsert", _STATES + "SELECT * FROM u")
 def state_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     states = _states(spark, sf_dir)
     return states.select(
@@ -54,19 +54,19 @@ def state_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@check(_STATES + "SELECT dataset_id, status, last_watermark FROM u WHERE dataset_id = 'user-7'")
+@check("state_latest", _STATES + "SELECT dataset_id, status, last_watermark FROM u WHERE dataset_id = 'user-7'")
 def state_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_state(_states(spark, sf_dir), "user-7").select("dataset_id", "status", "last_watermark")
 
 
-@check(_STATES + """
+@check("state_status", _STATES + """
 SELECT dataset_id, status, last_run, coalesce(last_successful_run, '') AS last_successful_run, pipeline_version FROM u ORDER BY dataset_id
 """)
 def state_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return list_states(_states(spark, sf_dir))
 
 
-@check("""
+@check("display_timestamp", """
 SELECT event_id, CASE event_type WHEN 'click' THEN 'soon' WHEN 'error' THEN '' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS shown FROM events
 """)
 def displayed_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,17 +6,20 @@ import re
 
 from pyspark.sql import Column, functions as F
 
-# What counts as blank at the ends of a text: Unicode separators and the ASCII controls.
-_BLANK = r"[\s\p{Z}\x1c-\x1f\x85]"
+# The characters that count as blank.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(text: Column) -> Column:
     """Text without blanks at both ends, U+3000 included."""
-    return F.regexp_replace(text, rf"^{_BLANK}+|{_BLANK}+$", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def remove_whitespace(text: Column) -> Column:
-    return F.regexp_replace(text, rf"{_BLANK}+", "")
+    return F.translate(text, BLANKS, "")
 
 
 def _literal(text: str) -> str:
@@ -27,7 +30,9 @@ def label_value(text: Column, label: str) -> Column:
     """What follows ``label: `` on the first line that starts with it; null if no line does."""
     # (?d): only \n ends a line.
     pattern = rf"(?md)^{_literal(label)}: (.*)$"
-    return F.when(text.rlike(pattern), strip(F.regexp_extract(text, pattern, 1)))
+    # Most texts without the label are told by a plain search.
+    found = text.contains(f"{label}: ") & text.rlike(pattern)
+    return F.when(found, strip(F.regexp_extract(text, pattern, 1)))
 
 
 def section_text(text: Column, heading: str) -> Column:
@@ -36,4 +41,5 @@ def section_text(text: Column, heading: str) -> Column:
     # What follows the heading line is cut at the first numbered line.
     heading_line = rf"(?sdU){_literal(heading)}\s*\n"
     rest = F.split(text, heading_line, 2)[1]
-    return F.when(text.rlike(heading_line), strip(F.split(rest, r"(?dU)\n\s*\d+\.", 2)[0]))
+    found = text.contains(heading) & text.rlike(heading_line)
+    return F.when(found, strip(F.split(rest, r"(?dU)\n\s*\d+\.", 2)[0]))

@@ -47,10 +47,11 @@ def files_without_header(grid: DataFrame, headers: DataFrame) -> DataFrame:
     return grid.where(F.col("row_no") == 0).select("file").join(headers, "file", "left_anti")
 
 
-def grid_records(grid: DataFrame, headers: DataFrame, columns: Sequence[str]) -> DataFrame:
+def grid_records(grid: DataFrame, headers: DataFrame, columns: Sequence[str], pinned: bool = False) -> DataFrame:
     """Rows below the header as ``(file, row_no, *columns)``, looked up by header name.
-    A column a file does not have is null. ``columns`` are names without whitespace."""
-    joined = grid.join(small_side(headers), "file").where(F.col("row_no") > F.col("header_row"))
+    A column a file does not have is null. ``columns`` are names without whitespace.
+    ``pinned`` says that ``headers`` is computed already."""
+    joined = grid.join(small_side(headers, pinned=pinned), "file").where(F.col("row_no") > F.col("header_row"))
     # array_position gives 0 for a missing name, and get() gives null for the index before the first.
     cell = lambda name: F.get("cells", (F.array_position("names", F.lit(name)) - 1).cast("int"))
     return joined.select("file", "row_no", *[cell(name).alias(name) for name in columns])
@@ -79,8 +80,7 @@ def fill_down(
     takes from above comes from a small table with one row per slice. So the largest task holds
     one slice, and the window over slices sees ``rows / slice_rows`` rows per file.
     """
-    slice_no = F.floor(F.col(row_no) / slice_rows)
-    sliced = df.withColumn("_slice", slice_no)
+    sliced = df.withColumn("_slice", F.expr(f"`{row_no}` div {slice_rows}"))
     ends = sliced.groupBy(file, "_slice").agg(
         *[F.max_by(_quoted(c), F.when(_quoted(c).isNotNull(), F.col(row_no))).alias(c) for c in columns]
     )

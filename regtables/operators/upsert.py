@@ -47,32 +47,30 @@ def one_row_per_key(source: DataFrame, keys: Sequence[str], on_duplicate: str, o
     return source.join(repeated, list(keys), "left_anti").unionByName(last)
 
 
+def without_keys(target: DataFrame, source: DataFrame, keys: Sequence[str], source_rows: int | None = None) -> DataFrame:
+    """Target rows whose key is not in the source. ``source_rows``, if known, saves counting the source keys."""
+    source_keys = source.select(*keys).na.drop()
+    if source_rows is None:
+        source_keys = small_side(source_keys)
+    elif source_rows <= MAX_BROADCAST_ROWS:
+        source_keys = F.broadcast(source_keys)
+    return target.join(source_keys, list(keys), "left_anti")
+
+
 def upsert(
-    target: DataFrame,
-    source: DataFrame,
-    keys: Sequence[str],
-    on_duplicate: str = "error",
-    order: Sequence[str] = (),
-    source_rows: int | None = None,
+    target: DataFrame, source: DataFrame, keys: Sequence[str], on_duplicate: str = "error", order: Sequence[str] = ()
 ) -> DataFrame:
     """Target rows without a counterpart in the source, and all source rows.
 
     A source key that occurs twice is an error, or its last row in ``order`` wins
     (``on_duplicate="last"``). A null in a key matches nothing, so such a row is inserted.
     Columns are matched by name; a target column the source does not have stays as it is on a match.
-    ``source_rows``, if known, saves counting the source keys.
     """
     check_merge_keys(source.columns, keys)
-    source_keys = source.select(*keys).na.drop()
-    if source_rows is None:
-        source_keys = small_side(source_keys)
-    elif source_rows <= MAX_BROADCAST_ROWS:
-        source_keys = F.broadcast(source_keys)
     source = one_row_per_key(source, keys, on_duplicate, order)
-
-    kept = target.join(source_keys, list(keys), "left_anti")
+    kept = without_keys(target, source, keys)
     untouched = [c for c in target.columns if c not in source.columns]
     if untouched:
-        old = target.select(*keys, *untouched).join(source_keys, list(keys), "left_semi")
+        old = target.select(*keys, *untouched).na.drop(subset=list(keys))
         source = source.join(old, list(keys), "left")
     return kept.unionByName(source.select(*target.columns))

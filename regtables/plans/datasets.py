@@ -97,7 +97,7 @@ def approval_records(grid: DataFrame, mapping: Mapping[str, str] = APPROVAL_COLU
     if problems:
         raise ValueError("sheets that cannot be read: " + "; ".join(f"{r.file}: {r.problem}" for r in problems))
     names = list(mapping)
-    rows = drop_empty_rows(grid_records(grid, headers, names), names)
+    rows = drop_empty_rows(grid_records(grid, headers, names, pinned=True), names)
     filled = fill_down(rows, names[:FILL_DOWN_COLUMNS])
     return rename_columns(filled, {**mapping, "file": "file", "row_no": "row_no"}, keep_unmapped=False)
 

@@ -15,10 +15,15 @@ LOAD_MODES = ("append", "overwrite", "merge")
 
 @dataclass(frozen=True)
 class TableSpec:
+    """``buckets``: into how many parts a large table is laid out by its primary key. A merge with a
+    source too large to broadcast then shuffles the source only. Take at least
+    ``spark.sql.shuffle.partitions``; 0 leaves the files as they are written."""
+
     name: str
     columns: Mapping[str, str]
     primary_key: tuple[str, ...] = ()
     rules: tuple[Mapping[str, Any], ...] = ()
+    buckets: int = 0
 
     @property
     def schema(self) -> T.StructType:
@@ -49,7 +54,7 @@ class DatasetSpec:
 
 def with_config(spec: DatasetSpec, config: Mapping[str, Any]) -> DatasetSpec:
     """The spec with the settings of one run: ``schema_name``, ``load_mode``, and per table (or at the
-    top for a dataset of one table) ``table_name``, ``primary_key``, ``validation``."""
+    top for a dataset of one table) ``table_name``, ``primary_key``, ``validation``, ``buckets``."""
 
     def adjusted(key: str, table: TableSpec) -> TableSpec:
         own = config.get("tables", {}).get(key, config)
@@ -58,6 +63,7 @@ def with_config(spec: DatasetSpec, config: Mapping[str, Any]) -> DatasetSpec:
             name=own.get("table_name", table.name),
             primary_key=tuple(own.get("primary_key", table.primary_key)),
             rules=tuple(own.get("validation", table.rules)),
+            buckets=own.get("buckets", table.buckets),
         )
 
     return replace(

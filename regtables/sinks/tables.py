@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from regtables.operators.conform import conform
-from regtables.operators.upsert import check_merge_keys, upsert
+from regtables.operators.upsert import check_merge_keys, one_row_per_key, without_keys
 from regtables.plans.specs import TableSpec
 
 
@@ -36,6 +36,26 @@ def _new_location(root: str, schema_name: str, spec: TableSpec) -> str:
     return f"{root.rstrip('/')}/{schema_name}/{spec.name}/{uuid.uuid4().hex}"
 
 
+def _names(columns: Sequence[str]) -> str:
+    return ", ".join(f"`{c}`" for c in columns)
+
+
+def _write(df: DataFrame, spec: TableSpec, schema_name: str, location: str) -> None:
+    """Files of one version. Those of a bucketed table are written as an external table of their own,
+    which is dropped again: its files stay."""
+    if not spec.buckets:
+        df.write.parquet(location)
+        return
+    version = f"`{schema_name}`.`{spec.name}_{uuid.uuid4().hex}`"
+    df.write.bucketBy(spec.buckets, *spec.primary_key).option("path", location).saveAsTable(version)
+    df.sparkSession.sql(f"DROP TABLE {version}")
+
+
+def _by_bucket(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Rows placed so that each bucket is written by one task."""
+    return df.repartition(spec.buckets, *spec.primary_key) if spec.buckets else df
+
+
 def ensure_tables(spark: SparkSession, schema_name: str, specs: Sequence[TableSpec], root: str) -> None:
     """Schema and tables, if absent. A spec without columns is skipped."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema_name}`")
@@ -43,10 +63,11 @@ def ensure_tables(spark: SparkSession, schema_name: str, specs: Sequence[TableSp
         if not spec.columns or spark.catalog.tableExists(table_name(schema_name, spec)):
             continue
         location = _new_location(root, schema_name, spec)
+        buckets = f"CLUSTERED BY ({_names(spec.primary_key)}) INTO {spec.buckets} BUCKETS " if spec.buckets else ""
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.schema)
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {table_name(schema_name, spec)} ({columns}) USING parquet "
-            f"LOCATION '{location}' TBLPROPERTIES ('primary_key' = '{','.join(spec.primary_key)}')"
+            f"{buckets}LOCATION '{location}' TBLPROPERTIES ('primary_key' = '{','.join(spec.primary_key)}')"
         )
 
 
@@ -54,7 +75,8 @@ def stage(df: DataFrame, spec: TableSpec, schema_name: str, root: str) -> Staged
     """Writes the rows in the columns of the spec, matched by name, and counts them on the way."""
     location = _new_location(root, schema_name, spec)
     counted = Observation()
-    conform(df, spec.schema).observe(counted, F.count(F.lit(1)).alias("n")).write.parquet(location)
+    rows = conform(df, spec.schema).observe(counted, F.count(F.lit(1)).alias("n"))
+    _write(_by_bucket(rows, spec), spec, schema_name, location)
     return Staged(df.sparkSession.read.schema(spec.schema).parquet(location), location, counted.get["n"])
 
 
@@ -100,9 +122,11 @@ def execute_merge(
         return 0
     spark = staged.rows.sparkSession
     table = table_name(schema_name, spec)
-    merged = upsert(spark.table(table), staged.rows, keys, on_duplicate, order, staged.n_rows)
+    # The rows kept of the table are in their buckets already.
+    source = one_row_per_key(staged.rows, keys, on_duplicate, order)
+    kept = without_keys(spark.table(table), staged.rows, keys, staged.n_rows)
     location = _new_location(root, schema_name, spec)
-    merged.write.parquet(location)
+    _write(kept.unionByName(_by_bucket(source, spec)), spec, schema_name, location)
     publish(spark, table, location)
     return staged.n_rows
 

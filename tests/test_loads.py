@@ -7,6 +7,7 @@ from datetime import date, datetime, timezone
 import pytest
 from pyspark.sql import functions as F, types as T
 
+from regtables.operators.upsert import without_keys
 from regtables.plans.datasets import (
     ADVERSE_EVENT_COLUMNS, APPROVAL_COLUMNS, OLD_APPROVAL_COLUMNS, adverse_events, approval_records, approvals, package_inserts, review_reports,
 )
@@ -95,6 +96,34 @@ def test_load_modes(spark, place):
     assert bulk_load(first, T1, schema, "append") == 2 and spark.table(table).count() == 5
 
 
+def test_bucketed_merge_shuffles_the_source_only(spark, place):
+    schema, root = place
+    spec = TableSpec("t1", dict(T1.columns), ("id",), buckets=4)
+    ensure_tables(spark, schema, [spec], root)
+    table = table_name(schema, spec)
+    data = spark.range(100).selectExpr("id", "concat('n', id) AS name", "'e' AS email")
+    assert bulk_load(stage(data, spec, schema, root), spec, schema, "overwrite") == 100
+    source = data.where("id % 2 = 0").withColumn("name", F.lit("new")).unionByName(data.withColumn("id", F.col("id") + 1000))
+    staged = stage(source, spec, schema, root)
+    # More source rows than may be broadcast: the table is joined bucket by bucket.
+    with_hint = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = without_keys(spark.table(table), staged.rows, ["id"], source_rows=10**9)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", with_hint)
+    target_side, source_side = plan.split("LeftAnti")[1].split("Location", 1)
+    assert "Bucketed: true" in target_side and "Exchange" not in target_side and "Exchange" in source_side
+    for _ in range(2):
+        assert execute_merge(staged, spec, schema, root) == 150
+        got = spark.table(table)
+        assert got.count() == 200 and got.where("name = 'new'").count() == 50
+    bulk_load(stage(data.limit(1), spec, schema, root), spec, schema, "append")
+    assert spark.table(table).count() == 201
+    assert spark.sql(f"SHOW TABLES IN `{schema}`").count() == 1
+
+
 def test_merge_statement(spark):
     text = merge_statement("a.t", "a.s", ["id", "v"], ["id"])
     assert spark._jsparkSession.sessionState().sqlParser().parsePlan(text) is not None
