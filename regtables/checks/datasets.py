@@ -8,7 +8,7 @@ from regtables.checks.registry import AS_OF, check, new_folder, new_schema, tabl
 from regtables.checks.sources import event_archives
 from regtables.operators.collapse import Collapsed
 from regtables.operators.sizing import pin
-from regtables.plans.datasets import ADVERSE_EVENT_COLUMNS, adverse_events, approval_records, approvals, package_inserts, review_reports
+from regtables.plans.datasets import ADVERSE_EVENT_COLUMNS, adverse_events, approval_records, approval_rows, approvals, package_inserts, review_reports
 from regtables.plans.pipeline import run_dataset
 from regtables.plans.specs import ADVERSE_EVENTS, APPROVALS, PACKAGE_INSERTS, REVIEW_REPORTS, XML_REPORT, DatasetSpec, with_config
 from regtables.sinks.tables import table_name
@@ -105,6 +105,21 @@ def approvals_from_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@check("approval_rows", """
+SELECT CAST(o_orderkey AS VARCHAR) AS approval_id, CASE WHEN o_orderstatus = 'F' THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') END AS approval_date,
+       CAST(json_object('source_file_name', o_orderpriority || '.xlsx', 'original_values', {'approval_id': CAST(o_orderkey AS VARCHAR),
+         'application_type': nullif(o_orderstatus, 'P'), 'approval_date': CASE WHEN o_orderstatus = 'F' THEN '未定' ELSE strftime(o_orderdate, '%Y.%m.%d') END}) AS VARCHAR) AS raw_data_full
+FROM orders
+""")
+def single_approval_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = table(spark, sf_dir, "orders").selectExpr(
+        "concat(o_orderpriority, '.xlsx') AS file", "o_orderkey AS row_no", "cast(o_orderkey AS string) AS approval_id",
+        "nullif(o_orderstatus, 'P') AS application_type",
+        "CASE WHEN o_orderstatus = 'F' THEN '未定' ELSE date_format(o_orderdate, 'yyyy.MM.dd') END AS approval_date",
+    )
+    return _text_dates(approval_rows(records, _URL, AS_OF)).select("approval_id", "approval_date", "raw_data_full")
+
+
 # --- adverse events: archives of four members, merged into four tables ------------------------------
 
 

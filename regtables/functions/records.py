@@ -14,6 +14,11 @@ def raw_json(columns: Iterable[str | Column]) -> Column:
     return F.to_json(F.struct(*columns), _KEEP_NULLS)
 
 
+def raw_json_of_file(columns: Iterable[str | Column], file_name: Column) -> Column:
+    """The record as JSON together with the name of the file it came from."""
+    return raw_json([F.coalesce(file_name, F.lit("")).alias("source_file_name"), F.struct(*columns).alias("original_values")])
+
+
 def json_array(structs: Column) -> Column:
     """An array of structs as a JSON array; nulls are kept."""
     return F.to_json(structs, _KEEP_NULLS)

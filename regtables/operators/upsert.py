@@ -47,14 +47,16 @@ def one_row_per_key(source: DataFrame, keys: Sequence[str], on_duplicate: str, o
     return source.join(repeated, list(keys), "left_anti").unionByName(last)
 
 
+def _source_keys(source: DataFrame, keys: Sequence[str], source_rows: int | None) -> DataFrame:
+    found = source.select(*keys).na.drop()
+    if source_rows is None:
+        return small_side(found)
+    return F.broadcast(found) if source_rows <= MAX_BROADCAST_ROWS else found
+
+
 def without_keys(target: DataFrame, source: DataFrame, keys: Sequence[str], source_rows: int | None = None) -> DataFrame:
     """Target rows whose key is not in the source. ``source_rows``, if known, saves counting the source keys."""
-    source_keys = source.select(*keys).na.drop()
-    if source_rows is None:
-        source_keys = small_side(source_keys)
-    elif source_rows <= MAX_BROADCAST_ROWS:
-        source_keys = F.broadcast(source_keys)
-    return target.join(source_keys, list(keys), "left_anti")
+    return target.join(_source_keys(source, keys, source_rows), list(keys), "left_anti")
 
 
 def upsert(
@@ -68,9 +70,11 @@ def upsert(
     """
     check_merge_keys(source.columns, keys)
     source = one_row_per_key(source, keys, on_duplicate, order)
-    kept = without_keys(target, source, keys)
+    source_keys = _source_keys(source, keys, None)
+    kept = target.join(source_keys, list(keys), "left_anti")
     untouched = [c for c in target.columns if c not in source.columns]
     if untouched:
-        old = target.select(*keys, *untouched).na.drop(subset=list(keys))
+        # Only the rows to be updated take part in the second join.
+        old = target.select(*keys, *untouched).join(source_keys, list(keys), "left_semi")
         source = source.join(old, list(keys), "left")
     return kept.unionByName(source.select(*target.columns))

@@ -9,13 +9,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from regtables import __version__
 from regtables.functions.dates import to_iso_date
-from regtables.functions.records import document_id, document_payload, lenient_int, raw_json, row_hash_id
+from regtables.functions.records import (
+    document_id, document_payload, lenient_int, raw_json, raw_json_of_file, row_hash_id,
+)
 from regtables.functions.text import label_value, section_text
 from regtables.operators.collapse import MAX_GROUP_BYTES, Collapsed, collapse_by_key
 from regtables.operators.conform import add_lineage, conform, rename_columns, require_columns
 from regtables.operators.grid import detect_header, drop_empty_rows, fill_down, files_without_header, grid_records
 from regtables.operators.sizing import pin
-from regtables.plans.specs import ADVERSE_EVENTS, APPROVALS, PACKAGE_INSERTS, REVIEW_REPORTS
+from regtables.plans.specs import ADVERSE_EVENTS, APPROVAL_ROWS, APPROVALS, PACKAGE_INSERTS, REVIEW_REPORTS
 
 # Header names of the sources and the target columns they feed.
 APPROVAL_COLUMNS = {
@@ -131,6 +133,17 @@ def approvals(
     return Collapsed(conform(table, APPROVALS.tables["approvals"].schema), collapsed.wide_records)
 
 
+def approval_rows(
+    records: DataFrame, source_url: str | Column, as_of: datetime, pipeline_version: str = __version__
+) -> DataFrame:
+    """Records of the list as they are, one row each: the older layout, in which the id is text and the
+    raw record names its file. ``records`` has ``file`` besides the renamed columns."""
+    record = [c for c in records.columns if c not in ("file", "row_no")]
+    rows = records.withColumn("raw_data_full", raw_json_of_file(record, F.col("file")))
+    rows = rows.withColumn("approval_date", to_iso_date(F.col("approval_date")))
+    return conform(add_lineage(rows, source_url, as_of, pipeline_version), APPROVAL_ROWS.schema)
+
+
 def adverse_events(
     frames: Mapping[str, DataFrame],
     source_url: str | Column,

@@ -2,22 +2,33 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from regtables import __version__
 from regtables.operators.quality import failures
 from regtables.plans.specs import INGESTION_STATE, LOAD_MODES, DatasetSpec
 from regtables.sinks.state import get_watermark, run_row, save_run
-from regtables.sinks.tables import Staged, bulk_load, ensure_tables, execute_merge, stage
+from regtables.sinks.tables import Staged, bulk_load, ensure_tables, publish, stage, table_name, write_merged
 
 
 class ValidationError(ValueError):
     """Data broke its rules; nothing was published."""
 
 
+def _side_by_side(spark: SparkSession, work: Callable, keys: Sequence[str]) -> dict:
+    """``work`` of every table at once: their jobs do not depend on each other, and a small table
+    need not wait for a large one."""
+    if not keys:
+        return {}
+    with ThreadPoolExecutor(max_workers=len(keys)) as pool:
+        return dict(zip(keys, pool.map(inheritable_thread_target(spark)(work), keys)))
+
+
 def load_tables(
     spark: SparkSession,
     spec: DatasetSpec,
@@ -26,34 +37,35 @@ def load_tables(
     mode: str | None = None,
     on_duplicate: str = "error",
 ) -> dict[str, int]:
-    """Stages every table, checks the rules of all, then publishes all. Empty tables are skipped.
-    Returns rows loaded per table."""
+    """Stages every table, checks the rules of all, writes what each is to become, then publishes all.
+    Empty tables are skipped. Returns rows loaded per table."""
     mode = mode or spec.load_mode
     if mode not in LOAD_MODES:
         raise ValueError(f"load mode must be one of {LOAD_MODES}, not {mode!r}")
-    staged: dict[str, Staged] = {}
-    for key, df in frames.items():
-        written = stage(df, spec.tables[key], spec.schema_name, root)
-        if written.n_rows:
-            staged[key] = written
-
-    problems = []
-    for key, written in staged.items():
-        # The checks read the staged files: the plan that made them is not run again.
-        found = failures(written.rows, spec.tables[key].all_rules)
-        if found:
-            problems.append(f"Data validation failed for table '{spec.tables[key].name}':\n" + "\n".join(found))
+    schema = spec.schema_name
+    written = _side_by_side(spark, lambda k: stage(frames[k], spec.tables[k], schema, root), list(frames))
+    staged: dict[str, Staged] = {k: s for k, s in written.items() if s.n_rows}
+
+    # The checks read the staged files: the plan that made them is not run again.
+    found = _side_by_side(spark, lambda k: failures(staged[k].rows, spec.tables[k].all_rules), list(staged))
+    problems = [
+        f"Data validation failed for table '{spec.tables[k].name}':\n" + "\n".join(messages)
+        for k, messages in found.items()
+        if messages
+    ]
     if problems:
         raise ValidationError("\n".join(problems))
 
-    loaded = {}
-    for key, written in staged.items():
-        table = spec.tables[key]
-        if mode == "merge":
-            loaded[table.name] = execute_merge(written, table, spec.schema_name, root, on_duplicate=on_duplicate)
-        else:
-            loaded[table.name] = bulk_load(written, table, spec.schema_name, mode)
-    return loaded
+    if mode == "merge":
+        merged = _side_by_side(
+            spark, lambda k: write_merged(staged[k], spec.tables[k], schema, root, on_duplicate=on_duplicate), list(staged)
+        )
+        for k, location in merged.items():
+            publish(spark, table_name(schema, spec.tables[k]), location)
+    else:
+        for k, rows in staged.items():
+            bulk_load(rows, spec.tables[k], schema, mode)
+    return {spec.tables[k].name: rows.n_rows for k, rows in staged.items()}
 
 
 def run_dataset(

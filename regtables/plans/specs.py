@@ -17,7 +17,8 @@ LOAD_MODES = ("append", "overwrite", "merge")
 class TableSpec:
     """``buckets``: into how many parts a large table is laid out by its primary key. A merge with a
     source too large to broadcast then shuffles the source only. Take at least
-    ``spark.sql.shuffle.partitions``; 0 leaves the files as they are written."""
+    ``spark.sql.shuffle.partitions``; 0 leaves the files as they are written. Key columns must not be
+    null there: nulls share one bucket."""
 
     name: str
     columns: Mapping[str, str]
@@ -135,6 +136,13 @@ APPROVALS = DatasetSpec(
     },
 )
 
+# The older layout: the licence number is the id, and rows are not collapsed.
+APPROVAL_ROWS = TableSpec(
+    "approvals",
+    {**APPROVALS.tables["approvals"].columns, "approval_id": "VARCHAR(100)"},
+    ("approval_id",),
+)
+
 ADVERSE_EVENTS = DatasetSpec(
     "adverse_events",
     "merge",

@@ -101,6 +101,26 @@ def bulk_load(staged: Staged, spec: TableSpec, schema_name: str, mode: str = "ap
     return staged.n_rows
 
 
+def write_merged(
+    staged: Staged,
+    spec: TableSpec,
+    schema_name: str,
+    root: str,
+    keys: Sequence[str] | None = None,
+    on_duplicate: str = "error",
+    order: Sequence[str] = (),
+) -> str:
+    """Writes the table with the staged rows merged in beside the table, and returns where."""
+    keys = list(keys if keys is not None else spec.primary_key)
+    check_merge_keys(list(spec.columns), keys)
+    # The rows kept of the table are in their buckets already.
+    source = one_row_per_key(staged.rows, keys, on_duplicate, order)
+    kept = without_keys(staged.rows.sparkSession.table(table_name(schema_name, spec)), staged.rows, keys, staged.n_rows)
+    location = _new_location(root, schema_name, spec)
+    _write(kept.unionByName(_by_bucket(source, spec)), spec, schema_name, location)
+    return location
+
+
 def execute_merge(
     staged: Staged,
     spec: TableSpec,
@@ -116,18 +136,11 @@ def execute_merge(
     The whole table is rewritten. In a catalog whose table format has row-level changes, run
     :func:`merge_statement` instead.
     """
-    keys = list(keys if keys is not None else spec.primary_key)
-    check_merge_keys(list(spec.columns), keys)
+    check_merge_keys(list(spec.columns), list(keys if keys is not None else spec.primary_key))
     if staged.n_rows == 0:
         return 0
-    spark = staged.rows.sparkSession
-    table = table_name(schema_name, spec)
-    # The rows kept of the table are in their buckets already.
-    source = one_row_per_key(staged.rows, keys, on_duplicate, order)
-    kept = without_keys(spark.table(table), staged.rows, keys, staged.n_rows)
-    location = _new_location(root, schema_name, spec)
-    _write(kept.unionByName(_by_bucket(source, spec)), spec, schema_name, location)
-    publish(spark, table, location)
+    location = write_merged(staged, spec, schema_name, root, keys, on_duplicate, order)
+    publish(staged.rows.sparkSession, table_name(schema_name, spec), location)
     return staged.n_rows
 
 

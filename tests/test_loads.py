@@ -9,7 +9,7 @@ from pyspark.sql import functions as F, types as T
 
 from regtables.operators.upsert import without_keys
 from regtables.plans.datasets import (
-    ADVERSE_EVENT_COLUMNS, APPROVAL_COLUMNS, OLD_APPROVAL_COLUMNS, adverse_events, approval_records, approvals, package_inserts, review_reports,
+    ADVERSE_EVENT_COLUMNS, APPROVAL_COLUMNS, OLD_APPROVAL_COLUMNS, adverse_events, approval_records, approval_rows, approvals, package_inserts, review_reports,
 )
 from regtables.plans.pipeline import ValidationError, load_tables, run_dataset
 from regtables.plans.specs import (
@@ -220,6 +220,10 @@ def test_old_approval_layout(spark):
     grid = spark.createDataFrame([("f", i, c) for i, c in enumerate(lines)], "file string, row_no long, cells array<string>")
     row = approvals(approval_records(grid, OLD_APPROVAL_COLUMNS), "u", AS_OF).groups.first()
     assert (row.approval_id, row.indication, row.review_report_url) == (9, "効能", "https://h.org/r.pdf")
+    single = approval_rows(approval_records(grid, OLD_APPROVAL_COLUMNS), "u", AS_OF).first()
+    assert (single.approval_id, single.approval_date, single.review_report_url) == ("9", date(2025, 9, 8), "https://h.org/r.pdf")
+    raw = json.loads(single.raw_data_full)
+    assert raw["source_file_name"] == "f" and raw["original_values"]["approval_date"] == "令和7年9月8日"
 
 
 def _case_frames(spark, ids):
