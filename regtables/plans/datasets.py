@@ -133,6 +133,32 @@ def approvals(
     return Collapsed(conform(table, APPROVALS.tables["approvals"].schema), collapsed.wide_records)
 
 
+def approval_tables(collapsed: Collapsed, as_of: datetime, order: tuple[str, ...] = ("file", "row_no")) -> dict[str, DataFrame]:
+    """What :func:`approvals` gave, as the tables of its dataset: the approvals and, if some are too
+    large for one cell, their source rows."""
+    tables = {"approvals": collapsed.groups}
+    if collapsed.wide_records is not None:
+        rows = collapsed.wide_records
+        record = [c for c in rows.columns if c not in order]
+        tables["wide_records"] = rows.select(
+            "approval_id", raw_json(order).alias("source_order"), raw_json(record).alias("raw_data_full"),
+            F.lit(as_of).alias("_meta_load_ts_utc"),
+        )
+    return tables
+
+
+def document_tables(name: str, table: DataFrame, assembled: Collapsed, doc: str = "url", page_no: str = "page_no",
+                    text: str = "text", tables: str = "tables") -> dict[str, DataFrame]:
+    """A document table and, if some documents are too large for one cell, their pages."""
+    found = {name: table}
+    if assembled.wide_records is not None:
+        found["wide_pages"] = assembled.wide_records.select(
+            document_id(F.col(doc)).alias("document_id"), F.col(page_no).cast("bigint").alias("page_no"),
+            F.col(text).alias("page_text"), F.to_json(tables).alias("page_tables"),
+        )
+    return found
+
+
 def approval_rows(
     records: DataFrame, source_url: str | Column, as_of: datetime, pipeline_version: str = __version__
 ) -> DataFrame:
@@ -175,13 +201,18 @@ def _document_rows(documents: DataFrame, as_of: datetime, extraction_ts: datetim
     return add_lineage(rows, F.col("url"), as_of, version, extraction_ts or as_of)
 
 
+def _is_wide(documents: DataFrame) -> Column:
+    """A document too large for one cell has its text elsewhere, and its row is kept."""
+    return F.col("is_wide") if "is_wide" in documents.columns else F.lit(False)
+
+
 def package_inserts(
     documents: DataFrame, as_of: datetime, extraction_ts: datetime | None = None, pipeline_version: str = __version__
 ) -> DataFrame:
     """``(url, full_text, tables)`` to one payload row per document; documents without text and tables are skipped."""
     has_text = F.coalesce(F.col("full_text") != "", F.lit(False))
     has_tables = F.coalesce(F.size("tables") > 0, F.lit(False))
-    rows = _document_rows(documents.where(has_text | has_tables), as_of, extraction_ts, pipeline_version)
+    rows = _document_rows(documents.where(has_text | has_tables | _is_wide(documents)), as_of, extraction_ts, pipeline_version)
     return conform(rows, PACKAGE_INSERTS.tables["package_inserts"].schema)
 
 
@@ -189,7 +220,7 @@ def review_reports(
     documents: DataFrame, as_of: datetime, extraction_ts: datetime | None = None, pipeline_version: str = __version__
 ) -> DataFrame:
     """``(url, full_text, tables)`` to one row of fields and payload per document; documents without text are skipped."""
-    with_text = documents.where(F.col("full_text") != "")
+    with_text = documents.where((F.col("full_text") != "") | _is_wide(documents))
     rows = _document_rows(with_text, as_of, extraction_ts, pipeline_version)
     text = F.col("full_text")
     fields = {column: label_value(text, label) for column, label in REVIEW_LABELS.items()}

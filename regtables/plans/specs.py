@@ -58,7 +58,9 @@ def with_config(spec: DatasetSpec, config: Mapping[str, Any]) -> DatasetSpec:
     top for a dataset of one table) ``table_name``, ``primary_key``, ``validation``, ``buckets``."""
 
     def adjusted(key: str, table: TableSpec) -> TableSpec:
-        own = config.get("tables", {}).get(key, config)
+        # Settings at the top are for the main table.
+        at_top = config if key == next(iter(spec.tables)) else {}
+        own = config.get("tables", {}).get(key, at_top)
         return replace(
             table,
             name=own.get("table_name", table.name),
@@ -132,7 +134,18 @@ APPROVALS = DatasetSpec(
                     "allowed_values": ["医薬品", "医療機器", "再生医療等製品", "体外診断用医薬品"],
                 },
             ),
-        )
+        ),
+        # Source rows of approvals too large for one cell; rows of one load share their load time.
+        "wide_records": TableSpec(
+            "approval_wide_records",
+            {
+                "approval_id": "TEXT",
+                "source_order": "JSONB",
+                "raw_data_full": "JSONB",
+                "_meta_load_ts_utc": "TIMESTAMPTZ",
+            },
+            ("approval_id", "source_order"),
+        ),
     },
 )
 
@@ -199,10 +212,20 @@ ADVERSE_EVENTS = DatasetSpec(
     },
 )
 
+
+def _pages_table(name: str) -> TableSpec:
+    """Pages of documents too large for one cell."""
+    columns = {"document_id": "VARCHAR(64) NOT NULL", "page_no": "BIGINT NOT NULL", "page_text": "TEXT", "page_tables": "JSONB"}
+    return TableSpec(name, columns, ("document_id", "page_no"))
+
+
 PACKAGE_INSERTS = DatasetSpec(
     "package_inserts",
     "merge",
-    {"package_inserts": TableSpec("package_inserts", {"document_id": "VARCHAR(64) NOT NULL", **_LINEAGE}, ("document_id",))},
+    {
+        "package_inserts": TableSpec("package_inserts", {"document_id": "VARCHAR(64) NOT NULL", **_LINEAGE}, ("document_id",)),
+        "wide_pages": _pages_table("package_insert_wide_pages"),
+    },
 )
 
 REVIEW_REPORTS = DatasetSpec(
@@ -222,7 +245,8 @@ REVIEW_REPORTS = DatasetSpec(
                 **_LINEAGE,
             },
             ("document_id",),
-        )
+        ),
+        "wide_pages": _pages_table("review_report_wide_pages"),
     },
 )
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F, types as T
 
 from regtables.operators.upsert import without_keys
 from regtables.plans.datasets import (
-    ADVERSE_EVENT_COLUMNS, APPROVAL_COLUMNS, OLD_APPROVAL_COLUMNS, adverse_events, approval_records, approval_rows, approvals, package_inserts, review_reports,
+    ADVERSE_EVENT_COLUMNS, APPROVAL_COLUMNS, OLD_APPROVAL_COLUMNS, adverse_events, approval_records, approval_rows, approvals, document_tables, package_inserts, review_reports,
 )
 from regtables.plans.pipeline import ValidationError, load_tables, run_dataset
 from regtables.plans.specs import (
@@ -18,6 +18,7 @@ from regtables.plans.specs import (
 from regtables.plans.types import is_required, schema_of, spark_type, store_type
 from regtables.sinks.state import get_watermark, latest_state, list_states, read_states, run_row, upsert_state
 from regtables.sinks.tables import bulk_load, ensure_tables, execute_merge, merge_statement, stage, table_name, write_jdbc
+from regtables.sources.documents import assemble_documents
 from regtables.streaming.intake import read_new_files, stream_upsert
 
 AS_OF = datetime(2025, 9, 10, 12, 0, tzinfo=timezone.utc)
@@ -293,6 +294,24 @@ def test_documents(spark, place):
     assert rows(inserts.select("_meta_source_url")) == [("u1",), ("u2",)]
 
 
+def test_wide_documents_are_loaded_as_pages(spark, place):
+    pages = spark.createDataFrame(
+        [("u1", 1, "x" * 300, None), ("u1", 2, "y", [[["h"], ["v"]]]), ("u2", 1, "z", None)],
+        "url string, page_no int, text string, tables array<array<array<string>>>",
+    )
+    assembled = assemble_documents(pages, doc="url", max_group_bytes=200)
+    spec = with_config(PACKAGE_INSERTS, {"schema_name": place[0]})
+    tables = document_tables("package_inserts", package_inserts(assembled.groups, AS_OF), assembled)
+    assert load_after_ensure(spark, spec, tables, place[1]) == {"package_inserts": 2, "package_insert_wide_pages": 2}
+    found = spark.table(table_name(place[0], spec.tables["wide_pages"])).orderBy("page_no").collect()
+    assert [(r.page_no, r.page_text, r.page_tables) for r in found] == [(1, "x" * 300, None), (2, "y", '[[["h"],["v"]]]')]
+
+
+def load_after_ensure(spark, spec, tables, root):
+    ensure_tables(spark, spec.schema_name, list(spec.tables.values()), root)
+    return load_tables(spark, spec, tables, root)
+
+
 # --- streaming ---------------------------------------------------------------------------------
 
 
