@@ -67,7 +67,7 @@ def lineage_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = add_lineage(rows, "https://example.org/list", AS_OF, "1.0")
     return done.select(
         "s_suppkey", "s_name", "raw_data_full",
-        F.date_format("_meta_load_ts_utc", "yyyy-MM-dd HH:mm:ss").alias("load_ts"),
+        F.date_format(F.to_utc_timestamp("_meta_load_ts_utc", F.current_timezone()), "yyyy-MM-dd HH:mm:ss").alias("load_ts"),
         "_meta_source_url", "_meta_pipeline_version", "_meta_source_content_hash",
     )
 

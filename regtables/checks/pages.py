@@ -13,7 +13,7 @@ from regtables.sources.documents import page_links, page_table_rows
 # Some links of each page become files: those to words in a get a class, all of a to m a suffix.
 _FILES = r"""
   regexp_replace(regexp_replace(html, '<a href="/([aA][^"]*)"', '<a class="x excel" href="files/{0}.xlsx"'{g}),
-                 '<a href="/([b-mB-M][^"]*)"', '<a href="../Case-JADER/{0}.zip"'{g})
+                 '<a href="/([b-mB-M][^"]*)"', '<a href="../All-CASES/{0}.zip"'{g})
 """
 _SPARK_FILES = _FILES.format("$1", g="")
 _DUCK_FILES = _FILES.format(r"\1", g=", 'g'")
@@ -66,10 +66,10 @@ def link_preferred_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 @check(
     "link_by_href",
     _LINKS.replace("HTML", _DUCK_FILES)
-    + _PICK.format("link", "arg_min(link_url, pos)", "WHERE contains(lower(href), 'jader') AND ends_with(href, '.zip')")
+    + _PICK.format("link", "arg_min(link_url, pos)", "WHERE contains(lower(href), 'cases') AND ends_with(href, '.zip')")
 )
 def link_by_href_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _page_anchors(spark, sf_dir).select("page_id", link_by_href(F.col("links"), "Jader", ".zip").alias("link"))
+    return _page_anchors(spark, sf_dir).select("page_id", link_by_href(F.col("links"), "Cases", ".zip").alias("link"))
 
 
 @check(

@@ -45,8 +45,9 @@ def to_iso_date(text: Column) -> Column:
 
 
 def display_timestamp(value: Column) -> Column:
-    """``yyyy-MM-dd HH:mm:ss`` of a timestamp or of ISO text (``Z`` accepted).
+    """``yyyy-MM-dd HH:mm:ss`` of a timestamp or of ISO text, in the offset it is written in.
     Text that is no timestamp is passed through; null and empty give ``''``."""
     text = value.cast("string")
-    shown = F.date_format(text.try_cast("timestamp"), "yyyy-MM-dd HH:mm:ss")
+    wall_time = F.regexp_replace(text, r"^(.*\d:\d{2}.*?)(?:Z|[+-]\d{2}(?::?\d{2})?)$", "$1")
+    shown = F.substr(wall_time.try_cast("timestamp_ntz").cast("string"), F.lit(1), F.lit(19))
     return F.coalesce(shown, text, F.lit(""))

@@ -90,6 +90,7 @@ def _violation(df: DataFrame, rule: Mapping[str, Any]) -> Column:
     return number.isNull()
 
 
+# The wording of the messages.
 def _message(rule: Mapping[str, Any], n: Column) -> Column:
     name, check = rule["column"], rule["check"]
     shown = n.cast("string")

@@ -7,20 +7,30 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
-def csv_records(spark: SparkSession, path: str, encoding: str = "UTF-8", multi_line: bool = False) -> DataFrame:
+def csv_records(
+    spark: SparkSession, path: str, encoding: str = "UTF-8", multi_line: bool = False, bad_line: str | None = None
+) -> DataFrame:
     """Rows of CSV files with a header. All columns are text: a key such as ``007`` stays what it is.
 
     Files in one call must have the same header; a file that differs fails instead of being misread.
-    ``multi_line`` reads quoted line breaks, at the price that a file is not split.
+    ``multi_line`` reads quoted line breaks, at the price that a file is not split. ``bad_line`` names a
+    column that keeps a line with more or fewer cells than the header; without it, a line with more
+    cells is an error and missing cells are null.
     """
-    return (
-        spark.read.option("header", True)
-        .option("enforceSchema", False)
-        .option("encoding", encoding)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .csv(path)
-    )
+    reader = spark.read.options(header=True, encoding=encoding, escape='"', multiLine=multi_line)
+    names = reader.csv(path).columns
+    kept = bad_line or "_bad_line"
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, kept]])
+    rows = reader.schema(schema).options(enforceSchema=False, columnNameOfCorruptRecord=kept).csv(path)
+    if bad_line:
+        return rows
+    # A line short of cells is flagged as well; only one with more cells than the header loses any.
+    cells = ", ".join(f"c{i} string" for i in range(len(names) + 1))
+    surplus = F.from_csv(F.col(kept), cells, {"escape": '"'})[f"c{len(names)}"]
+    complaint = F.raise_error(F.concat(F.lit("more cells than the header: "), F.col(kept))).cast("string")
+    first = F.col(f"`{names[0]}`")
+    checked = F.when(surplus.isNotNull(), complaint).otherwise(first).alias(names[0])
+    return rows.select(checked, *[F.col(f"`{c}`") for c in names[1:]])
 
 
 def xml_rows(spark: SparkSession, path: str, xpath: str, columns: Sequence[str], require_rows: bool = True) -> DataFrame:

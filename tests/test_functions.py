@@ -52,7 +52,8 @@ def test_dates(spark):
 
 @pytest.mark.parametrize("text, shown", [
     ("2025-09-08T10:00:00Z", "2025-09-08 10:00:00"),
-    ("2025-09-08 10:00:00+09:00", "2025-09-08 01:00:00"),
+    ("2025-09-08 10:00:00+09:00", "2025-09-08 10:00:00"),
+    ("2025-09-08 10:00:01.25", "2025-09-08 10:00:01"), ("2025-09-08", "2025-09-08 00:00:00"), ("12:30", "12:30"),
     ("soon", "soon"), ("", ""), (None, ""),
 ])
 def test_display_timestamp(spark, text, shown):
@@ -118,7 +119,7 @@ PAGE = """
 <!-- <a href="/hidden.xlsx">2025年度</a> -->
 <a name="top">2025年度</a> <a href="/2024.html"> 2024年度 </a>
 <A class='big excel' HREF='files/b.xlsx?a=1&amp;b=2'><span>2025年度</span> 一覧</A>
-<a href=/files/a.xlsx>plain</a> <a class="excels" href="/zip/Case-JADER-1.zip">zip</a><a href="/zip/jader.ZIP">z</a>
+<a href=/files/a.xlsx>plain</a> <a class="excels" href="/zip/All-CASES-1.zip">zip</a><a href="/zip/cases.ZIP">z</a>
 </body></html>
 """
 
@@ -133,7 +134,7 @@ def test_links(spark):
         link_by_text(F.col("l"), "2023年度").alias("none"),
         link_preferred(F.col("l"), ".xlsx", "excel").alias("preferred"),
         link_preferred(F.col("l"), ".xlsx", "pdf").alias("fallback"),
-        link_by_href(F.col("l"), "jader", ".zip").alias("by_href"),
+        link_by_href(F.col("l"), "cases", ".zip").alias("by_href"),
         all_links_by_href(F.col("l"), suffix=".xlsx").alias("all"),
         F.col("l")[1]["text"].alias("text"),
     ).first()
@@ -142,7 +143,7 @@ def test_links(spark):
     assert row.exact == "https://h.org/2024.html"
     assert row.none is None
     assert row.fallback == "https://h.org/x/files/b.xlsx?a=1&b=2"
-    assert row.by_href == "https://h.org/zip/Case-JADER-1.zip"
+    assert row.by_href == "https://h.org/zip/All-CASES-1.zip"
     assert row["all"] == ["https://h.org/files/a.xlsx"]
     assert row.text == "2025年度一覧"
 

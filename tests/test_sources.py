@@ -27,6 +27,17 @@ def test_csv(spark, tmp_path):
     ]
 
 
+def test_csv_lines_of_other_lengths(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('x,No.\n1,2\n3\n4,5,\n"a,b",c\n', encoding="utf-8")
+    rows = [("1", "2"), ("3", None), ("4", "5"), ("a,b", "c")]
+    assert [tuple(r) for r in csv_records(spark, str(tmp_path)).collect()] == rows
+    (tmp_path / "b.csv").write_text('x,No.\n6,"7 "" 8",9\n', encoding="utf-8")
+    with pytest.raises(Exception, match="more cells than the header: 6"):
+        csv_records(spark, str(tmp_path)).collect()
+    kept = csv_records(spark, str(tmp_path), bad_line="bad").where("bad is not null")
+    assert sorted(r.bad for r in kept.collect()) == ["3", "4,5,", '6,"7 "" 8",9']
+
+
 def test_csv_with_another_header_fails(spark, tmp_path):
     (tmp_path / "a.csv").write_text("x,y\n1,2\n", encoding="utf-8")
     (tmp_path / "b.csv").write_text("y,x\n2,1\n", encoding="utf-8")
