@@ -112,9 +112,9 @@ def approvals_from_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"""explode(array(struct(0L AS row_no, array('list', {blank[:-len(', cast(NULL AS string)')]}) AS cells),
                           struct(1L AS row_no, array({cells}) AS cells), struct(2L AS row_no, array({blank}) AS cells))) AS r""",
     ).select("file", "r.row_no", "r.cells")
-    suppliers = table(spark, sf_dir, "supplier").join(F.broadcast(nations), F.expr("s_nationkey = n_nationkey"))
+    suppliers = table(spark, sf_dir, "supplier").join(nations, F.expr("s_nationkey = n_nationkey"))
     first = suppliers.groupBy("s_nationkey").agg(F.min("s_suppkey").alias("lowest"))
-    rows = suppliers.join(F.broadcast(first), "s_nationkey").selectExpr(
+    rows = suppliers.join(first, "s_nationkey").selectExpr(
         "n_name AS file", "s_suppkey + 3 AS row_no",
         """array(cast(s_suppkey AS string), if(s_suppkey = lowest, '医薬品', NULL), s_name, concat('g', s_nationkey), n_name, '令和元年5月1日', NULL) AS cells""",
     )

@@ -18,7 +18,7 @@ def _sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
                 WHEN n_nationkey % 2 = 0 THEN array('No.', '販 売\n名', '申請者名')
                 ELSE array('申請者名', 'No.', ' 販売名 ') END AS cells""",
     )
-    rows = table(spark, sf_dir, "supplier").join(F.broadcast(nations), F.expr("s_nationkey = n_nationkey")).selectExpr(
+    rows = table(spark, sf_dir, "supplier").join(nations, F.expr("s_nationkey = n_nationkey")).selectExpr(
         "n_name AS file", "s_suppkey + 100 AS row_no",
         """CASE WHEN n_nationkey % 2 = 0 THEN array(cast(s_suppkey AS string), s_name, n_name)
                 ELSE array(n_name, cast(s_suppkey AS string), s_name) END AS cells""",

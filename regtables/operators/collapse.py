@@ -11,10 +11,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from regtables.functions.records import content_hash, json_array
-from regtables.operators.sizing import MAX_BROADCAST_ROWS, pin
+from regtables.operators.sizing import is_small, pin, size_of, text_bytes
 
 MAX_GROUP_BYTES = 64 * 1024 * 1024
 
@@ -28,19 +28,6 @@ class Collapsed:
     wide_records: DataFrame | None
 
 
-def text_bytes(df: DataFrame, columns: Sequence[str]) -> Column:
-    """Bytes a row adds to a gathered group. Only text columns are read for it; others count 16."""
-    is_text = lambda c: isinstance(df.schema[c].dataType, T.StringType)
-    is_nested = lambda c: isinstance(df.schema[c].dataType, (T.ArrayType, T.StructType, T.MapType))
-    size = F.lit(16 * len(columns)).cast("bigint")
-    for c in columns:
-        if is_text(c):
-            size = size + F.coalesce(F.octet_length(F.col(c)), F.lit(0))
-        elif is_nested(c):
-            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
-    return size
-
-
 def wide_keys(df: DataFrame, keys: Sequence[str], columns: Sequence[str], max_group_bytes: int) -> DataFrame:
     """Keys whose rows hold more than ``max_group_bytes``. Sums are combined before the shuffle.
     There are at most ``total bytes / max_group_bytes`` such keys."""
@@ -57,11 +44,11 @@ def mark_wide(
 ) -> tuple[DataFrame, bool]:
     """``df`` with a boolean ``_wide``, and whether any row has it set. Runs the sizing job."""
     found = pin(wide_keys(df, keys, columns, max_group_bytes))
-    n = found.limit(MAX_BROADCAST_ROWS + 1).count()
-    if n == 0:
+    n_rows, n_bytes = size_of(found)
+    if n_rows == 0:
         return df.withColumn("_wide", F.lit(False)), False
     other = found.select(*[F.col(k).alias(f"_wide_{k}") for k in keys], F.lit(True).alias("_wide"))
-    if n <= MAX_BROADCAST_ROWS:
+    if is_small(n_rows, n_bytes):
         other = F.broadcast(other)
     same = [F.col(k).eqNullSafe(F.col(f"_wide_{k}")) for k in keys]
     marked = df.join(other, same, "left").drop(*[f"_wide_{k}" for k in keys])

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-# Rows of keys, names or urls that may be sent to every executor; a row is a few hundred bytes.
+# What may be sent to every executor: keys, names or urls, by rows and by bytes.
 MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,10 +33,31 @@ def pin(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, pinned: bool = False) -> DataFrame:
-    """``df`` for the small side of a join. It is counted first: up to ``max_rows`` rows it is
-    broadcast; beyond that it is left to a shuffled join, where AQE splits skewed partitions."""
+def text_bytes(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Bytes a row takes. Only text columns are read for it; others count 16."""
+    is_text = lambda c: isinstance(df.schema[c].dataType, T.StringType)
+    is_nested = lambda c: isinstance(df.schema[c].dataType, (T.ArrayType, T.StructType, T.MapType))
+    size = F.lit(16 * len(columns)).cast("bigint")
+    for c in columns:
+        if is_text(c):
+            size = size + F.coalesce(F.octet_length(F.col(c)), F.lit(0))
+        elif is_nested(c):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+    return size
+
+
+def size_of(df: DataFrame) -> tuple[int, int]:
+    """Rows and bytes, summed up in the tasks."""
+    found = df.agg(F.count(F.lit(1)).alias("n"), F.sum(text_bytes(df, df.columns)).alias("b")).first()
+    return found.n, found.b or 0
+
+
+def is_small(n_rows: int, n_bytes: int) -> bool:
+    return n_rows <= MAX_BROADCAST_ROWS and n_bytes <= MAX_BROADCAST_BYTES
+
+
+def small_side(df: DataFrame, pinned: bool = False) -> DataFrame:
+    """``df`` for the small side of a join. Its size is taken first: a small one is broadcast; any other
+    is left to a shuffled join, where AQE splits skewed partitions. ``pinned``: it is computed already."""
     kept = df if pinned else pin(df)
-    if kept.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(kept)
-    return kept
+    return F.broadcast(kept) if is_small(*size_of(kept)) else kept

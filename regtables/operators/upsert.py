@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from regtables.operators.sizing import MAX_BROADCAST_ROWS, pin, small_side
+from regtables.operators.sizing import pin, small_side
 
 
 def check_merge_keys(columns: Sequence[str], keys: Sequence[str]) -> None:
@@ -47,16 +47,17 @@ def one_row_per_key(source: DataFrame, keys: Sequence[str], on_duplicate: str, o
     return source.join(repeated, list(keys), "left_anti").unionByName(last)
 
 
-def _source_keys(source: DataFrame, keys: Sequence[str], source_rows: int | None) -> DataFrame:
+def _source_keys(source: DataFrame, keys: Sequence[str], few: bool | None) -> DataFrame:
     found = source.select(*keys).na.drop()
-    if source_rows is None:
+    if few is None:
         return small_side(found)
-    return F.broadcast(found) if source_rows <= MAX_BROADCAST_ROWS else found
+    return F.broadcast(found) if few else found
 
 
-def without_keys(target: DataFrame, source: DataFrame, keys: Sequence[str], source_rows: int | None = None) -> DataFrame:
-    """Target rows whose key is not in the source. ``source_rows``, if known, saves counting the source keys."""
-    return target.join(_source_keys(source, keys, source_rows), list(keys), "left_anti")
+def without_keys(target: DataFrame, source: DataFrame, keys: Sequence[str], few: bool | None = None) -> DataFrame:
+    """Target rows whose key is not in the source. ``few``: whether the source keys are few enough
+    to be broadcast; None takes their size."""
+    return target.join(_source_keys(source, keys, few), list(keys), "left_anti")
 
 
 def upsert(

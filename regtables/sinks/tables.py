@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from regtables.operators.conform import conform
+from regtables.operators.sizing import is_small, text_bytes
 from regtables.operators.upsert import check_merge_keys, one_row_per_key, without_keys
 from regtables.plans.specs import TableSpec
 
@@ -26,6 +27,7 @@ class Staged:
     rows: DataFrame
     location: str
     n_rows: int
+    key_bytes: int = 0
 
 
 def table_name(schema_name: str, spec: TableSpec) -> str:
@@ -75,9 +77,11 @@ def stage(df: DataFrame, spec: TableSpec, schema_name: str, root: str) -> Staged
     """Writes the rows in the columns of the spec, matched by name, and counts them on the way."""
     location = _new_location(root, schema_name, spec)
     counted = Observation()
-    rows = conform(df, spec.schema).observe(counted, F.count(F.lit(1)).alias("n"))
+    rows = conform(df, spec.schema)
+    key_bytes = F.coalesce(F.sum(text_bytes(rows, spec.primary_key)), F.lit(0))
+    rows = rows.observe(counted, F.count(F.lit(1)).alias("n"), key_bytes.alias("key_bytes"))
     _write(_by_bucket(rows, spec), spec, schema_name, location)
-    return Staged(df.sparkSession.read.schema(spec.schema).parquet(location), location, counted.get["n"])
+    return Staged(df.sparkSession.read.schema(spec.schema).parquet(location), location, counted.get["n"], counted.get["key_bytes"])
 
 
 def publish(spark: SparkSession, table: str, location: str) -> None:
@@ -115,7 +119,8 @@ def write_merged(
     check_merge_keys(list(spec.columns), keys)
     # The rows kept of the table are in their buckets already.
     source = one_row_per_key(staged.rows, keys, on_duplicate, order)
-    kept = without_keys(staged.rows.sparkSession.table(table_name(schema_name, spec)), staged.rows, keys, staged.n_rows)
+    few = is_small(staged.n_rows, staged.key_bytes) if tuple(keys) == tuple(spec.primary_key) else None
+    kept = without_keys(staged.rows.sparkSession.table(table_name(schema_name, spec)), staged.rows, keys, few)
     location = _new_location(root, schema_name, spec)
     _write(kept.unionByName(_by_bucket(source, spec)), spec, schema_name, location)
     return location

@@ -110,7 +110,7 @@ def test_bucketed_merge_shuffles_the_source_only(spark, place):
     with_hint = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        kept = without_keys(spark.table(table), staged.rows, ["id"], source_rows=10**9)
+        kept = without_keys(spark.table(table), staged.rows, ["id"], few=False)
         plan = kept._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", with_hint)

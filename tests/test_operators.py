@@ -9,7 +9,8 @@ from regtables.operators.conform import conform, rename_columns, require_columns
 from regtables.operators.grid import detect_header, drop_empty_rows, files_without_header, fill_down, grid_records
 from regtables.operators.match import first_name_per_text, match_contains_all, match_exact_first, orphan_keys, orphan_rows
 from regtables.operators.quality import check, failures, invalid_values
-from regtables.operators.sizing import small_side
+from regtables.operators import sizing
+from regtables.operators.sizing import size_of, small_side
 from regtables.operators.upsert import upsert
 
 
@@ -192,11 +193,19 @@ def test_changed_sources(spark):
     assert [r[0] for r in rows(changed_sources(sources, known))] == ["new date", "new etag", "no token", "unseen"]
 
 
-def test_small_side(spark):
-    df = spark.range(10)
-    hinted = small_side(df, 10)._jdf.queryExecution().toString()
-    plain = small_side(df, 9)._jdf.queryExecution().toString()
-    assert "broadcast" in hinted.lower() and "broadcast" not in plain.lower()
+def test_small_side(spark, monkeypatch):
+    df = spark.range(10).withColumn("name", F.lit("x" * 84))
+
+    def is_broadcast():
+        return "broadcast" in small_side(df)._jdf.queryExecution().toString().lower()
+
+    assert size_of(df) == (10, 10 * (2 * 16 + 84)) and size_of(df.where("false")) == (0, 0)
+    assert is_broadcast()
+    monkeypatch.setattr(sizing, "MAX_BROADCAST_ROWS", 9)
+    assert not is_broadcast()
+    monkeypatch.setattr(sizing, "MAX_BROADCAST_ROWS", 10)
+    monkeypatch.setattr(sizing, "MAX_BROADCAST_BYTES", 1000)
+    assert not is_broadcast()
 
 
 # --- rules -------------------------------------------------------------------------------------
