@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regtables.checks.registry import check, new_folder, table
 from regtables.sources.archives import archive_csv, archive_members, decode_files
-from regtables.sources.files import binary_files, csv_records, parquet_table, with_source_file, xml_rows
+from regtables.sources.files import binary_files, csv_records, parquet_table, with_source_file, xml_nodes, xml_rows
 
 
 @check("scan_parquet", "SELECT count(*) AS n_rows, count(DISTINCT o_custkey) AS customers, min(o_orderkey) AS low, max(o_orderkey) AS high FROM orders")
@@ -52,6 +52,18 @@ def xml_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return xml_rows(spark, folder, "./products/product", ["id", "name", "category"])
 
 
+@check("scan_xml_path", """
+SELECT o_custkey, CAST(o_orderkey AS VARCHAR) AS id, 'n' || o_orderstatus AS name, nullif(o_orderpriority, '5-LOW') AS status FROM orders
+""")
+def xml_path_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document per order; the same tag under another parent is no row."""
+    documents = table(spark, sf_dir, "orders").selectExpr("o_custkey", """
+        concat('<report><other><product id="x"/></other><products><product id="', o_orderkey, '"><name>n', o_orderstatus, '</name>',
+               if(o_orderpriority = '5-LOW', '', concat('<status approved="true">', o_orderpriority, '</status>')), '</product></products></report>') AS text
+    """)
+    return xml_nodes(documents, "text", "./products/product", ["id", "name", "status"])
+
+
 @check("decode_files", """
 SELECT doc_id, CASE WHEN lang = 'de' THEN 'cp932' WHEN lang = 'es' THEN 'utf-8-sig' ELSE 'utf-8' END AS charset, CAST(0 AS BIGINT) AS decode_errors,
        CASE WHEN lang = 'de' THEN '識別番号,医薬品名 ' || doc_id ELSE text END AS text

@@ -50,6 +50,24 @@ def xml_rows(spark: SparkSession, path: str, xpath: str, columns: Sequence[str],
     return rows
 
 
+def xml_nodes(documents: DataFrame, text: str, xpath: str, columns: Sequence[str]) -> DataFrame:
+    """As :func:`xml_rows`, for XML held in a text column, one document a row: every step of the path counts.
+    ``./a/b`` starts at the root element, ``/root/a/b`` above it. The other columns are kept."""
+    steps = [s for s in xpath.split("/") if s not in ("", ".")]
+    if xpath.startswith("/"):
+        steps = steps[1:]
+    if not steps or "//" in xpath:
+        raise ValueError(f"a path of steps below the root element is required, not {xpath!r}")
+    kind = T.StructType([T.StructField(p + c, T.StringType()) for c in columns for p in ("", "_")])
+    for step in reversed(steps):
+        kind = T.StructType([T.StructField(step, T.ArrayType(kind))])
+    others = [c for c in documents.columns if c != text]
+    found = documents.select(*others, F.from_xml(F.col(text), kind, {"attributePrefix": "_"}).alias("_node"))
+    for step in steps:
+        found = found.select(*others, F.explode(F.col(f"_node.`{step}`")).alias("_node"))
+    return found.select(*others, *[F.coalesce(f"_node.`{c}`", f"_node.`_{c}`").alias(c) for c in columns])
+
+
 def parquet_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from regtables.plans.datasets import ADVERSE_EVENT_COLUMNS
 from regtables.sources.archives import archive_csv, archive_members, decode_files
 from regtables.sources.documents import assemble_documents, page_links, page_table_rows
-from regtables.sources.files import binary_files, csv_records, with_source_file, xml_rows
+from regtables.sources.files import binary_files, csv_records, with_source_file, xml_nodes, xml_rows
 
 
 def archive(members, charset="cp932"):
@@ -64,6 +64,23 @@ def test_xml(spark, tmp_path):
     assert xml_rows(spark, str(tmp_path), "./device", columns, require_rows=False).count() == 0
 
 
+@pytest.mark.parametrize("path", ["./products/product", "/report/products/product", "products/product"])
+def test_xml_nodes(spark, path):
+    more = XML.replace("</report>", '<products><product id="C3"/></products><x><product id="no"/></x></report>')
+    docs = spark.createDataFrame([(1, more), (2, "<report/>")], "n int, text string")
+    found = xml_nodes(docs, "text", path, ["id", "name", "status"])
+    assert [tuple(r) for r in found.orderBy("id").collect()] == [
+        (1, "A1", "薬A", "Approved"), (1, "B2", "器B", "Pending"), (1, "C3", None, None),
+    ]
+
+
+def test_xml_nodes_need_a_path(spark):
+    docs = spark.createDataFrame([("<a/>",)], "text string")
+    for path in ("", "//product", "/report"):
+        with pytest.raises(ValueError, match="path of steps"):
+            xml_nodes(docs, "text", path, ["id"])
+
+
 def test_decode(spark):
     files = spark.createDataFrame([
         ("u", bytearray("医薬品".encode("utf-8"))), ("b", bytearray("医薬品".encode("utf-8-sig"))),
