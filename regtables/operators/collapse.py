@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from regtables.functions.records import content_hash, json_array
 from regtables.operators.sizing import is_small, pin, size_of, text_bytes
@@ -64,7 +64,7 @@ def collapse_by_key(
     df: DataFrame,
     key: str | Sequence[str],
     order: Sequence[str],
-    first: Sequence[str] | Mapping[str, Column] = (),
+    first: Sequence[str] | Mapping[str, str | Column] = (),
     joined: Sequence[str] = (),
     record: Sequence[str] = (),
     record_column: str = "raw_data_full",
@@ -73,21 +73,20 @@ def collapse_by_key(
 ) -> Collapsed:
     """One row per key; a null key is a group of its own.
 
-    ``first`` columns take their first non-null value in ``order``; as a mapping, names to expressions,
-    which are computed after the shuffle. ``joined`` columns become the distinct values joined by
+    ``first`` columns take their first non-null value in ``order``; as a mapping, names to columns or
+    expressions, which are computed after the shuffle. ``joined`` columns become the distinct values joined by
     ``separator``; ``record`` columns become a JSON array of all rows in
     ``record_column``, with its hash in ``_meta_source_content_hash``. Columns ``df`` does not have
     are left out. ``order`` must be a total order within a key.
     """
     keys = [key] if isinstance(key, str) else list(key)
     have = set(df.columns)
-    if isinstance(first, Mapping):
-        firsts = dict(first)
-    else:
-        firsts = {c: F.col(c) for c in first if c in have}
+    wanted = dict(first) if isinstance(first, Mapping) else {c: c for c in first}
+    wanted = {name: v for name, v in wanted.items() if not isinstance(v, str) or v in have}
     joined = [c for c in joined if c in have]
     record = [c for c in record if c in have]
     gathered = list(dict.fromkeys([*record, *joined]))
+    firsts = {name: F.col(v) if isinstance(v, str) else v for name, v in wanted.items()}
     rank = F.struct(*order)
 
     def first_of(value: Column, condition: Column = F.lit(True)) -> Column:
@@ -100,8 +99,14 @@ def collapse_by_key(
         )
 
     marked, any_wide = mark_wide(df, keys, gathered, max_group_bytes)
+    # First values are found in the gathered rows if they are there anyway or short; a text that was
+    # not sized with the rows is kept out of them.
+    kinds = {f.name: f.dataType for f in df.select(*[v.alias(c) for c, v in firsts.items()]).schema} if firsts else {}
+    short = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    in_rows = {c: v for c, v in firsts.items() if (isinstance(wanted[c], str) and wanted[c] in gathered) or isinstance(kinds[c], short)}
+    apart = [first_of(v).alias(f"_apart_{c}") for c, v in firsts.items() if c not in in_rows]
     # The order comes first in the struct, so sorting the structs sorts by it.
-    item = F.struct(rank.alias("_order"), *gathered, *[v.alias(f"_first_{c}") for c, v in firsts.items()])
+    item = F.struct(rank.alias("_order"), *gathered, *[v.alias(f"_first_{c}") for c, v in in_rows.items()])
     if any_wide:
         # Partial aggregation leaves one row per task of a wide group.
         mark = F.when(F.col("_wide"), F.xxhash64(*order, *record))
@@ -112,22 +117,25 @@ def collapse_by_key(
             # Order is part of each row's mark, so marks can be added up in any order.
             F.bit_xor(mark).alias("_xor"),
             F.sum(mark.cast("decimal(38,0)")).alias("_sum"),
-            *[first_of(v, F.col("_wide")).alias(f"_wide_{c}") for c, v in firsts.items()],
+            *[first_of(v, F.col("_wide")).alias(f"_wide_{c}") for c, v in in_rows.items()],
+            *apart,
         )
     else:
         # No group is wide, so rows are sent to their group as they are: gathering them before
         # the shuffle would save nothing.
-        grouped = marked.repartition(*keys).groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("_rows"))
+        grouped = marked.repartition(*keys).groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("_rows"), *apart)
         grouped = grouped.withColumns({"n_rows": F.size("_rows").cast("bigint"), "is_wide": F.lit(False)})
 
-    def from_rows(c: str) -> Column:
+    def first_value(c: str) -> Column:
+        if c not in in_rows:
+            return F.col(f"_apart_{c}")
         value = F.get(F.filter("_rows", lambda r: r[f"_first_{c}"].isNotNull()), F.lit(0))[f"_first_{c}"]
         return F.coalesce(value, F.col(f"_wide_{c}")) if any_wide else value
 
     def narrow(c: Column) -> Column:
         return F.when(~F.col("is_wide"), c) if any_wide else c
 
-    out = [F.col(k) for k in keys] + [from_rows(c).alias(c) for c in firsts]
+    out = [F.col(k) for k in keys] + [first_value(c).alias(c) for c in firsts]
     out += [narrow(ordered_distinct_join(F.col("_rows"), c, separator)).alias(c) for c in joined]
     out += [F.col("n_rows"), F.col("is_wide")]
     if record:

@@ -116,9 +116,11 @@ def approvals(
     the source rows as JSON. Groups too wide for a cell keep their rows in ``wide_records``."""
     require_columns(records, [v for v in APPROVAL_COLUMNS.values()], _OPTIONAL)
     record = [c for c in records.columns if c not in order]
-    first = {"application_type": F.col("application_type"), "approval_date": to_iso_date(F.col("approval_date"))}
-    if "review_report_url" in records.columns:
-        first["review_report_url"] = F.col("review_report_url")
+    first = {
+        "application_type": "application_type",
+        "approval_date": to_iso_date(F.col("approval_date")),
+        "review_report_url": "review_report_url",
+    }
     collapsed = collapse_by_key(
         records,
         "approval_id",
