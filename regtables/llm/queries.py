@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regtables.llm import token_files
+from regtables.llm import decontaminate, exact_dedup, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -29,3 +29,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query("op2_token_files")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digests(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op3_exact_dedup",
+    """
+    WITH t AS (
+      SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body
+      FROM documents
+    )
+    SELECT doc_id,
+           max(doc_id) OVER (PARTITION BY body) AS keep_id,
+           count(*) OVER (PARTITION BY body) AS group_size,
+           doc_id = max(doc_id) OVER (PARTITION BY body) AS kept,
+           sha256(body) AS text_sha256
+    FROM t
+    """,
+)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_copies(table(spark, sf_dir, "documents"))
+
+
+@query("op8_decontaminate")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
