@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regtables.llm import decontaminate, exact_dedup, lsh_forest, token_files
+from regtables.llm import decontaminate, exact_dedup, lsh_forest, packing, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -58,3 +58,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_lsh_forest")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.near_copies(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+@query("op9_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"))
