@@ -52,3 +52,9 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = S
 
 def texts_of(batch: pa.RecordBatch, text: str = "text") -> list[str]:
     return [t or "" for t in batch.column(text).to_pylist()]
+
+
+def parts_of(data: bytes, overlap: int = 0, size: int = 1 << 20) -> Iterator[bytes]:
+    """``data`` in parts of at most ``size`` bytes, each with the ``overlap`` bytes before it."""
+    for start in range(0, max(1, len(data)), size):
+        yield data[max(0, start - overlap) : start + size]
