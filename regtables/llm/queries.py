@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from regtables.llm import decontaminate, exact_dedup, lsh_forest, packing, quality, token_files, toxicity
+from regtables.llm import chat_format, decontaminate, exact_dedup, lsh_forest, packing, quality, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -80,3 +80,33 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@query(
+    "op4_chat_format",
+    """
+    WITH rows AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+      UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+    ), t AS (
+      SELECT *, coalesce(role <> lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text), true) AS opens,
+             length(regexp_replace(text, '<(\\\\*)\\|', '<\\\\\\1|', 'g')) AS n,
+             length(regexp_replace(role, '<(\\\\*)\\|', '<\\\\\\1|', 'g')) AS role_n
+      FROM rows
+    )
+    SELECT conv_id,
+           count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(n + CASE WHEN opens THEN role_n + 23 ELSE 8 END) AS BIGINT) AS formatted_chars
+    FROM t GROUP BY conv_id
+    """,
+)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = F.lit("</s>[INST] ok [/INST]")
+    more = F.explode(F.array(*(F.struct(F.lit(turn).cast("bigint").alias("turn"), F.lit(role).alias("role")) for turn, role in ((0, "user"), (1, "assistant")))))
+    own = spark.range(1).select(more.alias("t")).select(F.lit(-1).cast("bigint").alias("conv_id"), "t.turn", "t.role", said.alias("text"))
+    return chat_format.digests(chat_format.formatted(rows.unionAll(own)))

@@ -2,19 +2,33 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from array import array
 from functools import lru_cache
 
-import numpy as np
-
 BYTE_BPE = "byte_bpe_50k.json"
-KEPT_UNITS = 400_000
+KEPT_UNITS = 700_000
 
 # A byte-level pre-tokenizer never lets a space stand inside or at the end of a piece that has other
 # characters, so a text may be cut before each space that follows another character.
 _CUT = re.compile(r"(?<=\S)(?= )")
-_SPACE_AFTER_SPACE = re.compile(r"\s ")
+# Every white space character followed by a space, for plain searches: those are faster than a pattern.
+_SPACE_AFTER_SPACE = [chr(c) + " " for c in range(0x3001) if chr(c).isspace()]
+
+# The tokenizer's pattern for characters up to U+00FF, whose letters and numbers are known; characters on
+# which regular expression engines differ are left to the tokenizer itself.
+_LETTERS, _NUMBERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc\xbd\xbe"
+_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[{_NUMBERS}]+| ?[^\s{_LETTERS}{_NUMBERS}]+|\s+(?!\S)|\s+")
+_OTHER = re.compile("[^\x00-\x1b\x20-\x84\x86-\x9f\xa1-\xff]")
+
+
+def _byte_characters() -> dict[int, str]:
+    """How byte-level vocabularies write each byte: printable ones as themselves, the rest from U+0100 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
 def tokenizer_file(name: str = BYTE_BPE) -> str:
@@ -24,9 +38,31 @@ def tokenizer_file(name: str = BYTE_BPE) -> str:
     return public_tokenizers.path(name)
 
 
+def _plain(unit: str) -> str:
+    return unit[1:] if unit[:1] == "\0" else " " + unit
+
+
+class Recent:
+    """What was looked up lately: two generations of at most ``size`` entries."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def hold(self, wanted: set) -> set:
+        """Makes room for ``wanted`` in the young generation; gives those that must be learnt."""
+        if len(self.young) + len(wanted) > self.size:
+            self.old, self.young = self.young, {}
+        new = wanted.difference(self.young)
+        for x in new.intersection(self.old):
+            self.young[x] = self.old[x]
+        return new.difference(self.old)
+
+
 class Encoder:
-    """Encodes texts unit by unit. The pieces are those of the tokenizer on the whole text; units that
-    came before are looked up. At most ``kept`` units are remembered, then it starts anew."""
+    """Encodes texts unit by unit, and a unit that is new piece by piece. Pieces are those the tokenizer cuts
+    the whole text into, so the ids are the tokenizer's. Units and pieces that came lately are looked up.
+
+    Both are named without the space they begin with; a leading NUL says that there is none."""
 
     def __init__(self, name: str = BYTE_BPE, kept: int = KEPT_UNITS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -34,8 +70,12 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file(name))
         self.tokenizer.encode_special_tokens = True
-        self.kept = kept
-        self.known: dict[str, bytes] = {}
+        settings = json.loads(self.tokenizer.to_str())
+        # The same model without the cutting; its input is written in byte characters.
+        self.byte_level = settings["pre_tokenizer"]["type"] == "ByteLevel" and not settings["normalizer"] and not settings["pre_tokenizer"]["add_prefix_space"]
+        self.core = Tokenizer.from_str(json.dumps(settings | {"added_tokens": [], "pre_tokenizer": None}))
+        self.characters = _byte_characters()
+        self.recent = Recent(kept)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
@@ -43,35 +83,49 @@ class Encoder:
         wanted = set()
         for units in cut:
             wanted.update(units)
-        new = wanted.difference(self.known)
-        if len(self.known) + len(new) > self.kept:
-            self.known.clear()
-            new = wanted
-        self._learn(list(new))
-        known = self.known
+        new = self.recent.hold(wanted)
+        if self.byte_level:
+            new = self._learn_by_piece(new)
+        self.recent.young.update(zip(new, self._ids(self.tokenizer, [_plain(u) for u in new]), strict=True))
+        known = self.recent.young
         return [b"".join([known[u] for u in units]) for units in cut]
 
     @staticmethod
     def _units(text: str) -> list[str]:
-        """Units begin with their space, which is left out where ``text`` is cut at every space;
-        a first unit is marked by a leading NUL instead, as it has none."""
         if not text:
             return []
-        if "\0" in text or _SPACE_AFTER_SPACE.search(text):
+        if "\0" in text or any(s in text for s in _SPACE_AFTER_SPACE):
             return ["\0" + u for u in _CUT.split(text)]
         units = text.split(" ")
         units[0] = "\0" + units[0]
         return units
 
-    def _learn(self, new: list[str]) -> None:
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            plain = [u[1:] if u[:1] == "\0" else " " + u for u in part]
-            for unit, found in zip(part, self.tokenizer.encode_batch_fast(plain, add_special_tokens=False), strict=True):
-                self.known[unit] = np.array(found.ids, "<u4").tobytes()
+    def _learn_by_piece(self, new: set[str]) -> list[str]:
+        """Learns units whose characters are all known to the pattern here; gives the others."""
+        left = [u for u in new if _OTHER.search(u)] if _OTHER.search("".join(new)) else []
+        new = new.difference(left)
+        letters = {u for u in new if u.isalpha()}  # a piece already
+        pieces = {u: [p[1:] if p[0] == " " and p[1:].isalpha() else "\0" + p for p in _PIECES.findall(_plain(u))] for u in new.difference(letters)}
+        known = self.recent.young
+        parts = letters.union(*pieces.values()).difference(known)
+        old = self.recent.old
+        missing = [p for p in parts if p not in old]
+        for p in parts.difference(missing):
+            known[p] = old[p]
+        known.update(zip(missing, self._ids(self.core, [_plain(p).encode().decode("latin-1").translate(self.characters) for p in missing]), strict=True))
+        for u, own in pieces.items():
+            known[u] = b"".join([known[p] for p in own])
+        return left
+
+    @staticmethod
+    def _ids(tokenizer, texts: list[str]) -> list[bytes]:
+        found = []
+        for i in range(0, len(texts), 10_000):
+            found += [array("I", x.ids).tobytes() for x in tokenizer.encode_batch_fast(texts[i : i + 10_000], add_special_tokens=False)]
+        return found
 
 
 @lru_cache(maxsize=2)
-def encoder(name: str = BYTE_BPE, kept: int = KEPT_UNITS) -> Encoder:
+def encoder(name: str = BYTE_BPE) -> Encoder:
     """One per Python worker, shared by its tasks."""
-    return Encoder(name, kept)
+    return Encoder(name)
