@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from regtables.llm import chat_format, decontaminate, exact_dedup, lsh_forest, packing, quality, token_files, toxicity
+from regtables.llm import chat_format, decontaminate, exact_dedup, lsh_forest, packing, quality, token_counts, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -110,3 +110,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     more = F.explode(F.array(*(F.struct(F.lit(turn).cast("bigint").alias("turn"), F.lit(role).alias("role")) for turn, role in ((0, "user"), (1, "assistant")))))
     own = spark.range(1).select(more.alias("t")).select(F.lit(-1).cast("bigint").alias("conv_id"), "t.turn", "t.role", said.alias("text"))
     return chat_format.digests(chat_format.formatted(rows.unionAll(own)))
+
+
+@query("op7_token_counts")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.revised_counts(table(spark, sf_dir, "documents"))
