@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from regtables.llm import chat_format, decontaminate, exact_dedup, lsh_forest, packing, quality, token_counts, token_files, toxicity
+from regtables.llm import chat_format, decontaminate, exact_dedup, lsh_forest, packing, quality, secret_scan, token_counts, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -115,3 +115,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_token_counts")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.revised_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op5_secret_scan")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secrets(table(spark, sf_dir, "documents"))
