@@ -6,14 +6,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regtables.checks.registry import AS_OF, check, new_folder, new_schema, table
 from regtables.checks.sources import event_archives
-from regtables.operators.collapse import Collapsed
 from regtables.operators.sizing import pin
-from regtables.plans.datasets import ADVERSE_EVENT_COLUMNS, adverse_events, approval_records, approval_rows, approval_tables, approvals, document_tables, package_inserts, review_reports
+from regtables.plans.datasets import ADVERSE_EVENT_COLUMNS, adverse_events, approval_records, approval_rows, approval_tables, approvals, package_inserts, review_reports
 from regtables.plans.pipeline import run_dataset
 from regtables.plans.specs import ADVERSE_EVENTS, APPROVALS, PACKAGE_INSERTS, REVIEW_REPORTS, XML_REPORT, DatasetSpec, with_config
 from regtables.sinks.tables import table_name
 from regtables.sources.archives import archive_csv
-from regtables.sources.documents import assemble_documents
 from regtables.sources.files import xml_rows
 
 _URL = "https://example.org/approvals.xlsx"
@@ -55,22 +53,24 @@ def approval_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH r AS (SELECT l_orderkey AS k, CASE l_returnflag WHEN 'R' THEN '医薬品' WHEN 'A' THEN '医療機器' ELSE '再生医療等製品' END AS t,
              'Brand ' || (l_partkey % 7) AS b, CASE WHEN l_linestatus = 'O' THEN 'Generic ' || (l_suppkey % 3) END AS g, 'Supplier ' || l_suppkey AS a,
              CAST(l_shipdate AS DATE) AS d, CASE WHEN year(l_shipdate) < 2001 THEN '平成' || (year(l_shipdate) - 1988) || '年' || month(l_shipdate) || '月' || day(l_shipdate) || '日'
-               ELSE strftime(l_shipdate, '%Y/%m/%d') END AS dt, nullif(l_returnflag, 'N') AS rem,
+               ELSE strftime(l_shipdate, '%Y/%m/%d') END AS dt, nullif(l_returnflag, 'N') AS rem, l_linenumber, l_partkey, l_suppkey,
              row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS i FROM lineitem),
-     f AS (SELECT *, i = min(i) OVER (PARTITION BY k, b) AS fb, i = min(i) OVER (PARTITION BY k, g) AS fg, i = min(i) OVER (PARTITION BY k, a) AS fa FROM r),
+     f AS (SELECT *, sha256(CAST(json_object('place', {{'l_linenumber': l_linenumber, 'l_partkey': l_partkey, 'l_suppkey': l_suppkey}},
+             'row', {{'approval_id': CAST(k AS VARCHAR), 'application_type': t, 'brand_name_jp': b, 'generic_name_jp': g,
+               'applicant_name_jp': a, 'approval_date': dt, 'remarks': rem}}) AS VARCHAR)) AS h,
+             i = min(i) OVER (PARTITION BY k, b) AS fb, i = min(i) OVER (PARTITION BY k, g) AS fg, i = min(i) OVER (PARTITION BY k, a) AS fa FROM r),
      c AS (SELECT CAST(k AS INTEGER) AS approval_id, arg_min(t, i) AS application_type,
              string_agg(b, chr(10) ORDER BY i) FILTER (WHERE fb) AS brand_name_jp,
              coalesce(string_agg(g, chr(10) ORDER BY i) FILTER (WHERE fg AND g IS NOT NULL), '') AS generic_name_jp,
              string_agg(a, chr(10) ORDER BY i) FILTER (WHERE fa) AS applicant_name_jp,
              strftime(arg_min(d, i), '%Y-%m-%d') AS approval_date, CAST(NULL AS VARCHAR) AS indication, CAST(NULL AS VARCHAR) AS review_report_url,
-             '[' || string_agg(CAST(json_object('approval_id', CAST(k AS VARCHAR), 'application_type', t, 'brand_name_jp', b, 'generic_name_jp', g,
-                'applicant_name_jp', a, 'approval_date', dt, 'remarks', rem) AS VARCHAR), ',' ORDER BY i) || ']' AS raw_data_full
+             count(*) AS n, sum(CAST('0x' || substr(h, 1, 15) AS BIGINT)) AS h_a, sum(CAST('0x' || substr(h, 16, 15) AS BIGINT)) AS h_b
            FROM f GROUP BY k)
-SELECT *, sha256(raw_data_full) AS _meta_source_content_hash, '{_URL}' AS _meta_source_url FROM c
+SELECT * EXCLUDE (n, h_a, h_b), sha256(n || ':' || h_a || ':' || h_b) AS _meta_source_content_hash, '{_URL}' AS _meta_source_url FROM c
 """)
 def approvals_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build(root: str) -> dict[str, DataFrame]:
-        return approval_tables(approvals(approval_lines(spark, sf_dir), _URL, AS_OF, _LINE_ORDER), AS_OF, _LINE_ORDER)
+        return approval_tables(approval_lines(spark, sf_dir), _URL, AS_OF, _LINE_ORDER)
 
     spec, _ = _run(spark, APPROVALS, build)
     return _text_dates(_rows(spark, spec, "approvals")).drop("_meta_load_ts_utc", "_meta_pipeline_version")
@@ -80,20 +80,17 @@ def approvals_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH r AS (SELECT l_orderkey AS k, CASE l_returnflag WHEN 'R' THEN '医薬品' WHEN 'A' THEN '医療機器' ELSE '再生医療等製品' END AS t,
              'Brand ' || (l_partkey % 7) AS b, CASE WHEN l_linestatus = 'O' THEN 'Generic ' || (l_suppkey % 3) END AS g, 'Supplier ' || l_suppkey AS a,
              CASE WHEN year(l_shipdate) < 2001 THEN '平成' || (year(l_shipdate) - 1988) || '年' || month(l_shipdate) || '月' || day(l_shipdate) || '日'
-               ELSE strftime(l_shipdate, '%Y/%m/%d') END AS dt, nullif(l_returnflag, 'N') AS rem, l_linenumber, l_partkey, l_suppkey FROM lineitem),
-     w AS (SELECT k FROM r GROUP BY k HAVING sum(112 + strlen(CAST(k AS VARCHAR)) + strlen(t) + strlen(b) + coalesce(strlen(g), 0) + strlen(a)
-             + strlen(dt) + coalesce(strlen(rem), 0)) > 1200)
+               ELSE strftime(l_shipdate, '%Y/%m/%d') END AS dt, nullif(l_returnflag, 'N') AS rem, l_linenumber, l_partkey, l_suppkey FROM lineitem)
 SELECT CAST(k AS VARCHAR) AS approval_id,
        CAST(json_object('l_linenumber', l_linenumber, 'l_partkey', l_partkey, 'l_suppkey', l_suppkey) AS VARCHAR) AS source_order,
        CAST(json_object('approval_id', CAST(k AS VARCHAR), 'application_type', t, 'brand_name_jp', b, 'generic_name_jp', g,
             'applicant_name_jp', a, 'approval_date', dt, 'remarks', rem) AS VARCHAR) AS raw_data_full
-FROM r WHERE k IN (SELECT k FROM w)
+FROM r
 """)
 def approvals_wide_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A low size limit sends the larger approvals the way of those that fit no cell."""
-    collapsed = approvals(approval_lines(spark, sf_dir), _URL, AS_OF, _LINE_ORDER, max_group_bytes=1200)
-    spec, _ = _run(spark, APPROVALS, lambda root: approval_tables(collapsed, AS_OF, _LINE_ORDER))
-    return _rows(spark, spec, "wide_records").drop("_meta_load_ts_utc")
+    """The source rows of all approvals, as loaded beside them."""
+    spec, _ = _run(spark, APPROVALS, lambda root: approval_tables(approval_lines(spark, sf_dir), _URL, AS_OF, _LINE_ORDER))
+    return _rows(spark, spec, "records").drop("_meta_load_ts_utc")
 
 
 @check("approvals_from_sheets", """
@@ -119,8 +116,7 @@ def approvals_from_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
         """array(cast(s_suppkey AS string), if(s_suppkey = lowest, '医薬品', NULL), s_name, concat('g', s_nationkey), n_name, '令和元年5月1日', NULL) AS cells""",
     )
     records = approval_records(top.unionByName(rows))
-    done: Collapsed = approvals(records, _URL, AS_OF)
-    return _text_dates(done.groups).select(
+    return _text_dates(approvals(records, _URL, AS_OF)).select(
         "approval_id", "application_type", "brand_name_jp", "generic_name_jp", "applicant_name_jp", "approval_date"
     )
 
@@ -193,50 +189,65 @@ def adverse_events_star(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- documents: conversations as PDFs, a turn a page --------------------------------------------------
 
 
-def _documents(spark: SparkSession, sf_dir: str) -> Collapsed:
-    pages = table(spark, sf_dir, "conversations").selectExpr(
-        "concat('https://example.org/', conv_id, '.pdf') AS url", "turn", "text",
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "conversations").selectExpr(
+        "concat('https://example.org/', conv_id, '.pdf') AS url", "turn AS page_no", "text",
         "if(turn = 1, array(array(array('role'), array(role))), array()) AS tables",
     )
-    return assemble_documents(pages, doc="url", page_no="turn")
 
 
-_DOCS = """
-WITH d AS (SELECT 'https://example.org/' || conv_id || '.pdf' AS url, string_agg(text, chr(10) ORDER BY turn) FILTER (WHERE text <> '') AS full_text,
-             max(CASE WHEN turn = 1 THEN role END) AS role FROM conversations GROUP BY conv_id),
-     p AS (SELECT *, CAST(json_object('source_file_type', 'pdf', 'full_text', full_text,
-             'extracted_tables', CASE WHEN role IS NULL THEN [] ELSE [[{'role': role}]] END) AS VARCHAR) AS raw_data_full FROM d)
-"""
+def _package_inserts(spark: SparkSession, sf_dir: str) -> DatasetSpec:
+    return _run(spark, PACKAGE_INSERTS, lambda root: package_inserts(_pages(spark, sf_dir), AS_OF))[0]
 
 
-@check("package_inserts_dataset", _DOCS + """
-SELECT sha256(url) AS document_id, raw_data_full, url AS _meta_source_url, sha256(raw_data_full) AS _meta_source_content_hash FROM p
+@check("package_inserts_dataset", """
+WITH p AS (SELECT 'https://example.org/' || conv_id || '.pdf' AS url,
+             sha256(CAST(json_object('page_no', turn, 'text', text, 'tables', CASE WHEN turn = 1 THEN [[['role'], [role]]] ELSE [] END) AS VARCHAR)) AS h FROM conversations)
+SELECT sha256(url) AS document_id, count(*) AS n_pages, url AS _meta_source_url,
+       sha256(count(*) || ':' || sum(CAST('0x' || substr(h, 1, 15) AS BIGINT)) || ':' || sum(CAST('0x' || substr(h, 16, 15) AS BIGINT))) AS _meta_source_content_hash
+FROM p GROUP BY url
 """)
 def package_inserts_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def build(root: str) -> dict[str, DataFrame]:
-        documents = _documents(spark, sf_dir)
-        return document_tables("package_inserts", package_inserts(documents.groups, AS_OF), documents, page_no="turn")
+    rows = _rows(spark, _package_inserts(spark, sf_dir), "package_inserts")
+    return rows.select("document_id", "n_pages", "_meta_source_url", "_meta_source_content_hash")
 
-    spec, _ = _run(spark, PACKAGE_INSERTS, build)
-    return _rows(spark, spec, "package_inserts").select("document_id", "raw_data_full", "_meta_source_url", "_meta_source_content_hash")
+
+@check("package_insert_pages", """
+SELECT sha256('https://example.org/' || conv_id || '.pdf') AS document_id, turn AS page_no, text AS page_text,
+       CASE WHEN turn = 1 THEN '[[["role"],["' || role || '"]]]' ELSE '[]' END AS page_tables
+FROM conversations
+""")
+def package_insert_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rows(spark, _package_inserts(spark, sf_dir), "pages")
 
 
 @check("review_reports_dataset", """
-SELECT sha256('https://example.org/' || doc_id) AS document_id, 'B ' || source AS brand_name_jp, CAST(NULL AS VARCHAR) AS generic_name_jp,
+WITH p AS (
+  SELECT doc_id, 1 AS page_no, '販売名: B ' || source || chr(10) || '申請者名: A' || lang || chr(10) || '申請年月日: 令和7年1月15日' AS text FROM documents
+  UNION ALL SELECT doc_id, 2, CASE WHEN lang <> 'en' THEN '承認年月日: 2025年9月10日' ELSE '承認年月日: 未定' END || chr(10) || '1. 審査の概要' FROM documents
+  UNION ALL SELECT doc_id, 3, text FROM documents
+  UNION ALL SELECT doc_id, 4, '2. 審査の結果' || chr(10) || text FROM documents),
+  h AS (SELECT doc_id, sha256(CAST(json_object('page_no', page_no, 'text', text, 'tables', [[['lang']]]) AS VARCHAR)) AS h FROM p),
+  s AS (SELECT doc_id, sha256(count(*) || ':' || sum(CAST('0x' || substr(h, 1, 15) AS BIGINT)) || ':' || sum(CAST('0x' || substr(h, 16, 15) AS BIGINT))) AS hash FROM h GROUP BY doc_id)
+SELECT sha256('https://example.org/' || doc_id) AS document_id, 4 AS n_pages, 'B ' || source AS brand_name_jp, CAST(NULL AS VARCHAR) AS generic_name_jp,
        'A' || lang AS applicant_name_jp, '2025-01-15' AS application_date, CASE WHEN lang <> 'en' THEN '2025-09-10' END AS approval_date,
-       regexp_replace(text, '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g') AS review_summary_text
-FROM documents WHERE text <> ''
+       nullif(regexp_replace(text, '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g'), '') AS review_summary_text, hash AS _meta_source_content_hash
+FROM documents JOIN s USING (doc_id)
 """)
 def review_reports_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").selectExpr(
+    """Documents of four pages: labels on two, the heading of the summary at the end of one, its text on the next."""
+    pages = table(spark, sf_dir, "documents").selectExpr(
         "concat('https://example.org/', doc_id) AS url",
-        r"""CASE WHEN text = '' THEN '' ELSE concat('販売名: B ', source, '\n申請者名: A', lang, '\n申請年月日: 令和7年1月15日\n',
-            if(lang <> 'en', '承認年月日: 2025年9月10日\n', '承認年月日: 未定\n'), '1. 審査の概要\n', text, '\n2. 審査の結果\n', text) END AS full_text""",
-        "array(array(map('lang', lang))) AS tables",
-    )
-    spec, _ = _run(spark, REVIEW_REPORTS, lambda root: {"review_reports": review_reports(documents, AS_OF)})
+        r"""posexplode(array(
+              concat('販売名: B ', source, '\n申請者名: A', lang, '\n申請年月日: 令和7年1月15日'),
+              concat(if(lang <> 'en', '承認年月日: 2025年9月10日', '承認年月日: 未定'), '\n1. 審査の概要'),
+              text, concat('2. 審査の結果\n', text))) AS (at, text)""",
+        "array(array(array('lang'))) AS tables",
+    ).selectExpr("url", "at + 1 AS page_no", "text", "tables")
+    spec, _ = _run(spark, REVIEW_REPORTS, lambda root: review_reports(pages, AS_OF))
     return _text_dates(_rows(spark, spec, "review_reports")).select(
-        "document_id", "brand_name_jp", "generic_name_jp", "applicant_name_jp", "application_date", "approval_date", "review_summary_text"
+        "document_id", "n_pages", "brand_name_jp", "generic_name_jp", "applicant_name_jp", "application_date", "approval_date",
+        "review_summary_text", "_meta_source_content_hash",
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regtables.checks.registry import check, table
-from regtables.operators.collapse import collapse_by_key, wide_values
+from regtables.operators.collapse import collapse_by_key, rows_as_json
 from regtables.sources.documents import assemble_documents
 
 # Returned lines of all orders share the null key: a sixth of the rows in one group.
@@ -40,30 +40,26 @@ def collapsed_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = collapse_by_key(
         _lines(spark, sf_dir), "k", ["l_linenumber", "l_partkey", "l_suppkey"], first=["shipped", "status"], joined=["flag"]
     )
-    return done.groups.drop("is_wide")
+    return done
 
 
 @check("collapse_wide_groups", f"""
 WITH r AS ({_LINES}), n AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY {_ORDER}) AS i FROM r),
-     s AS (SELECT k, sum(coalesce(strlen(flag), 0) + strlen(status) + 32) > 600 AS is_wide FROM r GROUP BY k),
      v AS (SELECT k, flag, min(i) AS i FROM n WHERE flag IS NOT NULL GROUP BY k, flag),
-     j AS (SELECT k, string_agg(flag, '/' ORDER BY i) AS flag FROM v GROUP BY k)
-SELECT g.k, g.status_first, CASE WHEN NOT s.is_wide THEN coalesce(j.flag, '') END AS flag, g.n_rows, s.is_wide,
-       CASE WHEN s.is_wide THEN j.flag END AS wide_flag
+     j AS (SELECT k, string_agg(flag, '/' ORDER BY i) AS flag FROM v GROUP BY k),
+     m AS (SELECT k, sha256(CAST(json_object('place', {{'l_linenumber': l_linenumber, 'l_partkey': l_partkey, 'l_suppkey': l_suppkey}},
+             'row', {{'flag': flag, 'status': status}}) AS VARCHAR)) AS h FROM r),
+     s AS (SELECT k, sum(CAST('0x' || substr(h, 1, 15) AS BIGINT)) AS a, sum(CAST('0x' || substr(h, 16, 15) AS BIGINT)) AS b FROM m GROUP BY k)
+SELECT g.k, g.status_first, coalesce(j.flag, '') AS flag, g.n_rows, sha256(g.n_rows || ':' || s.a || ':' || s.b) AS _meta_source_content_hash
 FROM (SELECT k, arg_min(status, i) AS status_first, count(*) AS n_rows FROM n GROUP BY k) g
 JOIN s ON g.k IS NOT DISTINCT FROM s.k LEFT JOIN j ON g.k IS NOT DISTINCT FROM j.k
 """)
 def collapsed_wide_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A low size limit sends many groups the way of the wide ones; their values are put together from rows."""
+    """A group with a sixth of all rows has the same layout as the others, and a hash over all its rows."""
     order = ["l_linenumber", "l_partkey", "l_suppkey"]
     rows = _lines(spark, sf_dir).withColumn("status_first", F.col("status"))
-    done = collapse_by_key(rows, "k", order, first=["status_first"], joined=["flag", "status"], separator="/", max_group_bytes=600)
-    # At most two distinct flags per key, so here the values of a key do fit a cell.
-    flags = wide_values(done, "k", order, "flag").groupBy("k").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("first_seen", "flag"))), lambda v: v["flag"]), "/").alias("wide_flag")
-    )
-    joined = done.groups.join(flags.withColumnRenamed("k", "_k"), F.col("k").eqNullSafe(F.col("_k")), "left")
-    return joined.select("k", "status_first", "flag", "n_rows", "is_wide", "wide_flag")
+    done = collapse_by_key(rows, "k", order, first=["status_first"], joined=["flag"], record=["flag", "status"], separator="/")
+    return done.select("k", "status_first", "flag", "n_rows", "_meta_source_content_hash")
 
 
 @check("ordered_distinct_join", """
@@ -74,7 +70,7 @@ LEFT JOIN (SELECT user_id, string_agg(t, chr(10) ORDER BY i) AS types FROM v GRO
 """)
 def ordered_distinct_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").selectExpr("user_id", "event_id", "nullif(event_type, 'error') AS types")
-    return collapse_by_key(rows, "user_id", ["event_id"], joined=["types"]).groups.select("user_id", "types")
+    return collapse_by_key(rows, "user_id", ["event_id"], joined=["types"]).select("user_id", "types")
 
 
 @check("group_rows_json", """
@@ -87,23 +83,24 @@ def group_rows_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").selectExpr(
         "o_custkey", "o_orderkey", "o_orderstatus", "nullif(o_orderpriority, '5-LOW') AS priority"
     )
-    done = collapse_by_key(rows, "o_custkey", ["o_orderkey"], record=["o_orderkey", "o_orderstatus", "priority"])
-    return done.groups.drop("is_wide")
+    return rows_as_json(rows, "o_custkey", ["o_orderkey"], ["o_orderkey", "o_orderstatus", "priority"])
 
 
 @check("assemble_documents", """
-WITH p AS (SELECT conv_id, turn, CASE WHEN role <> 'system' THEN text ELSE '' END AS t, role FROM conversations)
+WITH p AS (SELECT conv_id, turn, text AS t, role FROM conversations)
 SELECT conv_id, coalesce(string_agg(t, chr(10) ORDER BY turn) FILTER (WHERE t <> ''), '') AS full_text,
        '[' || coalesce(string_agg('[' || CAST(json_object('role', role, 'turn', CAST(turn AS VARCHAR)) AS VARCHAR) || ']', ',' ORDER BY turn)
               FILTER (WHERE role <> 'user'), '') || ']' AS tables
 FROM p GROUP BY conv_id
 """)
 def assembled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns as pages; each page has one table, and those of users have an empty first row."""
-    pages = table(spark, sf_dir, "conversations").selectExpr(
-        "conv_id", "turn", "CASE WHEN role <> 'system' THEN text ELSE '' END AS text",
+    """Turns as pages; each page has one table, and those of users have an empty first row. An empty page
+    without tables stands before each turn."""
+    turns = table(spark, sf_dir, "conversations").selectExpr(
+        "conv_id", "2 * turn + 1 AS turn", "text",
         """array(array(if(role = 'user', array(cast(NULL AS string), ''), array('role', 'turn')),
                        array(role, cast(turn AS string)))) AS tables""",
     )
-    done = assemble_documents(pages, doc="conv_id", page_no="turn").groups
+    empty = turns.selectExpr("conv_id", "turn - 1 AS turn", "'' AS text", "cast(NULL AS array<array<array<string>>>) AS tables")
+    done = assemble_documents(turns.unionByName(empty), doc="conv_id", page_no="turn")
     return done.select("conv_id", "full_text", F.to_json("tables").alias("tables"))

@@ -28,6 +28,18 @@ def content_hash(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
+def hash_parts(json: Column) -> list[Column]:
+    """Aggregates behind :func:`combined_hash`: sums over two parts of each row's hash. They are combined before
+    a shuffle, and any order of the rows gives the same."""
+    part = lambda at: F.conv(F.substring(F.sha2(json, 256), at, 15), 16, 10).cast("decimal(38,0)")
+    return [F.sum(part(1)).alias("_hash_a"), F.sum(part(16)).alias("_hash_b")]
+
+
+def combined_hash(n_rows: Column) -> Column:
+    """Hash of a set of rows, from their number and the sums of :func:`hash_parts`."""
+    return F.sha2(F.concat_ws(":", n_rows.cast("string"), F.col("_hash_a").cast("string"), F.col("_hash_b").cast("string")), 256)
+
+
 def document_id(url: Column) -> Column:
     """Id of a document: the hash of where it came from."""
     return F.sha2(url, 256)

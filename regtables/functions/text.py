@@ -35,11 +35,31 @@ def label_value(text: Column, label: str) -> Column:
     return F.when(found, strip(F.regexp_extract(text, pattern, 1)))
 
 
+def _heading_line(heading: str) -> str:
+    return rf"(?sdU){_literal(heading)}\s*\n"
+
+
+_NUMBERED_LINE = r"(?dU)\n\s*\d+\."
+
+
+def has_heading(text: Column, heading: str) -> Column:
+    return text.contains(heading) & text.rlike(_heading_line(heading))
+
+
+def after_heading(text: Column, heading: str) -> Column:
+    """What follows the first heading line; null if there is none."""
+    return F.when(has_heading(text, heading), F.split(text, _heading_line(heading), 2)[1])
+
+
+def has_numbered_line(text: Column) -> Column:
+    return text.rlike(_NUMBERED_LINE)
+
+
+def up_to_numbered_line(text: Column) -> Column:
+    return F.split(text, _NUMBERED_LINE, 2)[0]
+
+
 def section_text(text: Column, heading: str) -> Column:
     """Text after the heading line, up to the next line that starts with a number and a dot,
     or to the end; null if the heading is not there."""
-    # What follows the heading line is cut at the first numbered line.
-    heading_line = rf"(?sdU){_literal(heading)}\s*\n"
-    rest = F.split(text, heading_line, 2)[1]
-    found = text.contains(heading) & text.rlike(heading_line)
-    return F.when(found, strip(F.split(rest, r"(?dU)\n\s*\d+\.", 2)[0]))
+    return strip(up_to_numbered_line(after_heading(text, heading)))

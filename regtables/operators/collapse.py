@@ -1,63 +1,34 @@
 """Rows of one key collapsed into one row, with the source order kept.
 
-A key may own any share of the rows (the null key often does), and one cell cannot hold an
-unbounded list. So the text of each group is sized first. Groups up to ``max_group_bytes`` are
-gathered into cells. Wider groups are never gathered: they keep their row in ``groups`` with null
-cells and ``is_wide`` set, and their records stay as rows in ``wide_records``. Nothing is dropped.
+There is one layout, however large a group is. First values, counts and the content hash are combined
+before the shuffle. Of the joined texts only distinct values are brought together: a hot key is split over
+its values, which are combined before the shuffle too. Source rows stay rows, see :func:`source_rows`; only
+:func:`rows_as_json` gathers them, for callers that want them in a cell.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
-from regtables.functions.records import content_hash, json_array
-from regtables.operators.sizing import is_small, pin, size_of, text_bytes
+from regtables.functions.records import combined_hash, content_hash, hash_parts, json_array, raw_json
 
-MAX_GROUP_BYTES = 64 * 1024 * 1024
 
+def _keys(key: str | Sequence[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
 
-@dataclass(frozen=True)
-class Collapsed:
-    """``groups``: one row per key. ``wide_records``: the source rows of the wide groups,
-    or None if no group is wide."""
 
-    groups: DataFrame
-    wide_records: DataFrame | None
-
-
-def wide_keys(df: DataFrame, keys: Sequence[str], columns: Sequence[str], max_group_bytes: int) -> DataFrame:
-    """Keys whose rows hold more than ``max_group_bytes``. Sums are combined before the shuffle.
-    There are at most ``total bytes / max_group_bytes`` such keys."""
-    return (
-        df.groupBy(*keys)
-        .agg(F.sum(text_bytes(df, columns)).alias("_bytes"))
-        .where(F.col("_bytes") > max_group_bytes)
-        .select(*keys)
-    )
-
-
-def mark_wide(
-    df: DataFrame, keys: Sequence[str], columns: Sequence[str], max_group_bytes: int
-) -> tuple[DataFrame, bool]:
-    """``df`` with a boolean ``_wide``, and whether any row has it set. Runs the sizing job."""
-    found = pin(wide_keys(df, keys, columns, max_group_bytes))
-    n_rows, n_bytes = size_of(found)
-    if n_rows == 0:
-        return df.withColumn("_wide", F.lit(False)), False
-    other = found.select(*[F.col(k).alias(f"_wide_{k}") for k in keys], F.lit(True).alias("_wide"))
-    if is_small(n_rows, n_bytes):
-        other = F.broadcast(other)
-    same = [F.col(k).eqNullSafe(F.col(f"_wide_{k}")) for k in keys]
-    marked = df.join(other, same, "left").drop(*[f"_wide_{k}" for k in keys])
-    return marked.withColumn("_wide", F.coalesce("_wide", F.lit(False))), True
-
-
-def ordered_distinct_join(rows: Column, column: str, separator: str = "\n") -> Column:
-    """Distinct values of an ordered array of records, first-seen order; ``''`` if all are null."""
-    return F.array_join(F.array_distinct(F.transform(rows, lambda r: r[column].cast("string"))), separator)
+def _joined_cells(df: DataFrame, keys: Sequence[str], order: Sequence[str], joined: Sequence[str], separator: str) -> DataFrame:
+    """Per key the distinct values of each ``joined`` column in the order they are first seen."""
+    named = F.array(*[F.struct(F.lit(i).alias("at"), F.col(c).cast("string").alias("value")) for i, c in enumerate(joined)])
+    own = [F.col(k).alias(f"_key_{k}") for k in keys]
+    values = df.select(*own, F.struct(*order).alias("_order"), F.explode(named).alias("_v")).where("_v.value IS NOT NULL")
+    names = [f"_key_{k}" for k in keys]
+    seen = values.groupBy(*names, "_v.at", "_v.value").agg(F.min("_order").alias("_order"))
+    lists = seen.groupBy(*names).agg(F.sort_array(F.collect_list(F.struct("_order", "at", "value"))).alias("_seen"))
+    cell = lambda i: F.array_join(F.transform(F.filter("_seen", lambda v: v["at"] == i), lambda v: v["value"]), separator)
+    return lists.select(*names, *[cell(i).alias(c) for i, c in enumerate(joined)])
 
 
 def collapse_by_key(
@@ -67,100 +38,53 @@ def collapse_by_key(
     first: Sequence[str] | Mapping[str, str | Column] = (),
     joined: Sequence[str] = (),
     record: Sequence[str] = (),
-    record_column: str = "raw_data_full",
     separator: str = "\n",
-    max_group_bytes: int = MAX_GROUP_BYTES,
-) -> Collapsed:
-    """One row per key; a null key is a group of its own.
+) -> DataFrame:
+    """One row per key, with ``n_rows``; a null key is a group of its own.
 
     ``first`` columns take their first non-null value in ``order``; as a mapping, names to columns or
-    expressions, which are computed after the shuffle. ``joined`` columns become the distinct values joined by
-    ``separator``; ``record`` columns become a JSON array of all rows in
-    ``record_column``, with its hash in ``_meta_source_content_hash``. Columns ``df`` does not have
-    are left out. ``order`` must be a total order within a key.
+    expressions. ``joined`` columns become the distinct values joined by ``separator``, ``''`` if there is
+    none. With ``record`` columns, ``_meta_source_content_hash`` tells whether any of them changed in any row:
+    it adds up hashes of each row's JSON with its place, nulls included. Columns ``df`` does not have are left
+    out. ``order`` must be a total order within a key.
     """
-    keys = [key] if isinstance(key, str) else list(key)
+    keys = _keys(key)
     have = set(df.columns)
     wanted = dict(first) if isinstance(first, Mapping) else {c: c for c in first}
     wanted = {name: v for name, v in wanted.items() if not isinstance(v, str) or v in have}
     joined = [c for c in joined if c in have]
     record = [c for c in record if c in have]
-    gathered = list(dict.fromkeys([*record, *joined]))
-    firsts = {name: F.col(v) if isinstance(v, str) else v for name, v in wanted.items()}
     rank = F.struct(*order)
-
-    def first_of(value: Column, condition: Column = F.lit(True)) -> Column:
-        return F.min_by(value, F.when(condition & value.isNotNull(), rank))
-
-    if not gathered:
-        aggregates = [first_of(v).alias(c) for c, v in firsts.items()]
-        return Collapsed(
-            df.groupBy(*keys).agg(*aggregates, F.count(F.lit(1)).alias("n_rows")).withColumn("is_wide", F.lit(False)), None
-        )
-
-    marked, any_wide = mark_wide(df, keys, gathered, max_group_bytes)
-    # First values are found in the gathered rows if they are there anyway or short; a text that was
-    # not sized with the rows is kept out of them.
-    kinds = {f.name: f.dataType for f in df.select(*[v.alias(c) for c, v in firsts.items()]).schema} if firsts else {}
-    short = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
-    in_rows = {c: v for c, v in firsts.items() if (isinstance(wanted[c], str) and wanted[c] in gathered) or isinstance(kinds[c], short)}
-    apart = [first_of(v).alias(f"_apart_{c}") for c, v in firsts.items() if c not in in_rows]
-    # The order comes first in the struct, so sorting the structs sorts by it.
-    item = F.struct(rank.alias("_order"), *gathered, *[v.alias(f"_first_{c}") for c, v in in_rows.items()])
-    if any_wide:
-        # Partial aggregation leaves one row per task of a wide group.
-        mark = F.when(F.col("_wide"), F.xxhash64(*order, *record))
-        grouped = marked.groupBy(*keys).agg(
-            F.array_sort(F.collect_list(F.when(~F.col("_wide"), item))).alias("_rows"),
-            F.count(F.lit(1)).alias("n_rows"),
-            F.bool_or("_wide").alias("is_wide"),
-            # Order is part of each row's mark, so marks can be added up in any order.
-            F.bit_xor(mark).alias("_xor"),
-            F.sum(mark.cast("decimal(38,0)")).alias("_sum"),
-            *[first_of(v, F.col("_wide")).alias(f"_wide_{c}") for c, v in in_rows.items()],
-            *apart,
-        )
-    else:
-        # No group is wide, so rows are sent to their group as they are: gathering them before
-        # the shuffle would save nothing.
-        grouped = marked.repartition(*keys).groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("_rows"), *apart)
-        grouped = grouped.withColumns({"n_rows": F.size("_rows").cast("bigint"), "is_wide": F.lit(False)})
-
-    def first_value(c: str) -> Column:
-        if c not in in_rows:
-            return F.col(f"_apart_{c}")
-        value = F.get(F.filter("_rows", lambda r: r[f"_first_{c}"].isNotNull()), F.lit(0))[f"_first_{c}"]
-        return F.coalesce(value, F.col(f"_wide_{c}")) if any_wide else value
-
-    def narrow(c: Column) -> Column:
-        return F.when(~F.col("is_wide"), c) if any_wide else c
-
-    out = [F.col(k) for k in keys] + [first_value(c).alias(c) for c in firsts]
-    out += [narrow(ordered_distinct_join(F.col("_rows"), c, separator)).alias(c) for c in joined]
-    out += [F.col("n_rows"), F.col("is_wide")]
+    firsts = {name: F.col(v) if isinstance(v, str) else v for name, v in wanted.items()}
+    aggregates = [F.min_by(v, F.when(v.isNotNull(), rank)).alias(c) for c, v in firsts.items()]
     if record:
-        records = F.transform("_rows", lambda r: F.struct(*[r[c].alias(c) for c in record]))
-        grouped = grouped.withColumn(record_column, narrow(json_array(records)))
-        hashed = content_hash(F.col(record_column))
-        if any_wide:
-            marks = F.concat_ws(":", "n_rows", F.col("_xor").cast("string"), F.col("_sum").cast("string"))
-            hashed = F.when(F.col("is_wide"), content_hash(marks)).otherwise(hashed)
-        out += [F.col(record_column), hashed.alias("_meta_source_content_hash")]
-
-    wide_records = None
-    if any_wide:
-        wide_records = marked.where("_wide").select(*dict.fromkeys([*keys, *order, *gathered]))
-    return Collapsed(grouped.select(*out), wide_records)
-
-
-def wide_values(collapsed: Collapsed, key: str | Sequence[str], order: Sequence[str], column: str) -> DataFrame:
-    """Distinct values of a ``joined`` column in the wide groups, one row each with the place where it
-    is first seen: ``(key…, column, first_seen)``. Joined in that order they are the cell."""
-    if collapsed.wide_records is None:
-        raise ValueError("no group is wide")
-    keys = [key] if isinstance(key, str) else list(key)
-    return (
-        collapsed.wide_records.where(F.col(column).isNotNull())
-        .groupBy(*keys, column)
-        .agg(F.min(F.struct(*order)).alias("first_seen"))
-    )
+        aggregates += hash_parts(raw_json([rank.alias("place"), F.struct(*record).alias("row")]))
+    groups = df.groupBy(*keys).agg(*aggregates, F.count(F.lit(1)).alias("n_rows"))
+    out = [*keys, *firsts]
+    if joined:
+        cells = _joined_cells(df, keys, order, joined, separator)
+        same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+        renamed = cells.select(*[f"_key_{k}" for k in keys], *[F.col(c).alias(f"_cell_{c}") for c in joined])
+        groups = groups.join(renamed, same, "left")
+        out += [F.coalesce(f"_cell_{c}", F.lit("")).alias(c) for c in joined]
+    out.append("n_rows")
+    if record:
+        out.append(combined_hash(F.col("n_rows")).alias("_meta_source_content_hash"))
+    return groups.select(*out)
+
+
+def source_rows(df: DataFrame, key: str | Sequence[str], order: Sequence[str], record: Sequence[str]) -> DataFrame:
+    """The rows behind the groups: ``(key…, source_order, raw_data_full)``, both as JSON. Nothing is shuffled."""
+    return df.select(*_keys(key), raw_json(order).alias("source_order"), raw_json(record).alias("raw_data_full"))
+
+
+def rows_as_json(
+    df: DataFrame, key: str | Sequence[str], order: Sequence[str], record: Sequence[str], record_column: str = "raw_data_full"
+) -> DataFrame:
+    """Per key its rows as one JSON array, with their number and the hash of the array. This gathers the rows
+    of a key in one cell (2 GB at most), so it is for keys that own a few rows each."""
+    item = F.struct(F.struct(*order).alias("_order"), *record)
+    rows = df.groupBy(*_keys(key)).agg(F.sort_array(F.collect_list(item)).alias("_rows"))
+    records = F.transform("_rows", lambda r: F.struct(*[r[c].alias(c) for c in record]))
+    found = rows.select(*_keys(key), F.size("_rows").cast("bigint").alias("n_rows"), json_array(records).alias(record_column))
+    return found.withColumn("_meta_source_content_hash", content_hash(F.col(record_column)))

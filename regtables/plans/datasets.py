@@ -10,14 +10,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 from regtables import __version__
 from regtables.functions.dates import to_iso_date
 from regtables.functions.records import (
-    document_id, document_payload, lenient_int, raw_json, raw_json_of_file, row_hash_id,
+    document_id, lenient_int, raw_json, raw_json_of_file, row_hash_id,
 )
-from regtables.functions.text import label_value, section_text
-from regtables.operators.collapse import MAX_GROUP_BYTES, Collapsed, collapse_by_key
+from regtables.functions.text import label_value
+from regtables.operators.collapse import collapse_by_key, source_rows
 from regtables.operators.conform import add_lineage, conform, rename_columns, require_columns
 from regtables.operators.grid import detect_header, drop_empty_rows, fill_down, files_without_header, grid_records
 from regtables.operators.sizing import pin
-from regtables.plans.specs import ADVERSE_EVENTS, APPROVAL_ROWS, APPROVALS, PACKAGE_INSERTS, REVIEW_REPORTS
+from regtables.plans.specs import ADVERSE_EVENTS, APPROVAL_ROWS, APPROVALS, PACKAGE_INSERTS, REVIEW_REPORTS, DatasetSpec
+from regtables.sources.documents import document_marks, page_section
 
 # Header names of the sources and the target columns they feed.
 APPROVAL_COLUMNS = {
@@ -110,12 +111,10 @@ def approvals(
     as_of: datetime,
     order: tuple[str, ...] = ("file", "row_no"),
     pipeline_version: str = __version__,
-    max_group_bytes: int = MAX_GROUP_BYTES,
-) -> Collapsed:
-    """Records of the list, one row per approval id: texts joined, first date and type kept,
-    the source rows as JSON. Groups too wide for a cell keep their rows in ``wide_records``."""
+) -> DataFrame:
+    """Records of the list, one row per approval id: texts joined, first date and type kept, a hash over
+    all source rows."""
     require_columns(records, [v for v in APPROVAL_COLUMNS.values()], _OPTIONAL)
-    record = [c for c in records.columns if c not in order]
     first = {
         "application_type": "application_type",
         "approval_date": to_iso_date(F.col("approval_date")),
@@ -127,38 +126,24 @@ def approvals(
         list(order),
         first=first,
         joined=["brand_name_jp", "generic_name_jp", "applicant_name_jp", "indication"],
-        record=record,
-        max_group_bytes=max_group_bytes,
+        record=[c for c in records.columns if c not in order],
     )
-    table = collapsed.groups.withColumn("approval_id", lenient_int(F.col("approval_id")))
+    table = collapsed.withColumn("approval_id", lenient_int(F.col("approval_id")))
     table = add_lineage(table, source_url, as_of, pipeline_version)
-    return Collapsed(conform(table, APPROVALS.tables["approvals"].schema), collapsed.wide_records)
-
-
-def approval_tables(collapsed: Collapsed, as_of: datetime, order: tuple[str, ...] = ("file", "row_no")) -> dict[str, DataFrame]:
-    """What :func:`approvals` gave, as the tables of its dataset: the approvals and, if some are too
-    large for one cell, their source rows."""
-    tables = {"approvals": collapsed.groups}
-    if collapsed.wide_records is not None:
-        rows = collapsed.wide_records
-        record = [c for c in rows.columns if c not in order]
-        tables["wide_records"] = rows.select(
-            "approval_id", raw_json(order).alias("source_order"), raw_json(record).alias("raw_data_full"),
-            F.lit(as_of).alias("_meta_load_ts_utc"),
-        )
-    return tables
+    return conform(table, APPROVALS.tables["approvals"].schema)
 
 
-def document_tables(name: str, table: DataFrame, assembled: Collapsed, doc: str = "url", page_no: str = "page_no",
-                    text: str = "text", tables: str = "tables") -> dict[str, DataFrame]:
-    """A document table and, if some documents are too large for one cell, their pages."""
-    found = {name: table}
-    if assembled.wide_records is not None:
-        found["wide_pages"] = assembled.wide_records.select(
-            document_id(F.col(doc)).alias("document_id"), F.col(page_no).cast("bigint").alias("page_no"),
-            F.col(text).alias("page_text"), F.to_json(tables).alias("page_tables"),
-        )
-    return found
+def approval_tables(
+    records: DataFrame,
+    source_url: str | Column,
+    as_of: datetime,
+    order: tuple[str, ...] = ("file", "row_no"),
+    pipeline_version: str = __version__,
+) -> dict[str, DataFrame]:
+    """The tables of the dataset: the approvals, and the source rows they were made of."""
+    record = [c for c in records.columns if c not in order]
+    rows = source_rows(records, "approval_id", order, record).withColumn("_meta_load_ts_utc", F.lit(as_of))
+    return {"approvals": approvals(records, source_url, as_of, order, pipeline_version), "records": rows}
 
 
 def approval_rows(
@@ -197,38 +182,36 @@ def adverse_events(
     return tables
 
 
-def _document_rows(documents: DataFrame, as_of: datetime, extraction_ts: datetime | None, version: str) -> DataFrame:
-    payload = document_payload(F.col("full_text"), F.col("tables"))
-    rows = documents.withColumn("document_id", document_id(F.col("url"))).withColumn("raw_data_full", payload)
-    return add_lineage(rows, F.col("url"), as_of, version, extraction_ts or as_of)
-
-
-def _is_wide(documents: DataFrame) -> Column:
-    """A document too large for one cell has its text elsewhere, and its row is kept."""
-    return F.col("is_wide") if "is_wide" in documents.columns else F.lit(False)
+def _document_tables(
+    pages: DataFrame, name: str, spec: DatasetSpec, documents: DataFrame, as_of: datetime, extraction_ts: datetime | None, version: str
+) -> dict[str, DataFrame]:
+    """The documents and the pages of exactly those documents."""
+    rows = documents.withColumn("document_id", document_id(F.col("url")))
+    table = conform(add_lineage(rows, F.col("url"), as_of, version, extraction_ts or as_of), spec.tables[name].schema)
+    own = pages.join(documents.select("url"), "url", "left_semi").select(
+        document_id(F.col("url")).alias("document_id"), F.col("page_no").cast("bigint").alias("page_no"),
+        F.col("text").alias("page_text"), F.to_json("tables").alias("page_tables"),
+    )
+    return {name: table, "pages": own}
 
 
 def package_inserts(
-    documents: DataFrame, as_of: datetime, extraction_ts: datetime | None = None, pipeline_version: str = __version__
-) -> DataFrame:
-    """``(url, full_text, tables)`` to one payload row per document; documents without text and tables are skipped."""
-    has_text = F.coalesce(F.col("full_text") != "", F.lit(False))
-    has_tables = F.coalesce(F.size("tables") > 0, F.lit(False))
-    rows = _document_rows(documents.where(has_text | has_tables | _is_wide(documents)), as_of, extraction_ts, pipeline_version)
-    return conform(rows, PACKAGE_INSERTS.tables["package_inserts"].schema)
+    pages: DataFrame, as_of: datetime, extraction_ts: datetime | None = None, pipeline_version: str = __version__
+) -> dict[str, DataFrame]:
+    """``(url, page_no, text, tables)`` to one row per document and its pages; documents without text and
+    tables are skipped."""
+    documents = document_marks(pages, {}, doc="url").where("has_text OR has_tables")
+    return _document_tables(pages, "package_inserts", PACKAGE_INSERTS, documents, as_of, extraction_ts, pipeline_version)
 
 
 def review_reports(
-    documents: DataFrame, as_of: datetime, extraction_ts: datetime | None = None, pipeline_version: str = __version__
-) -> DataFrame:
-    """``(url, full_text, tables)`` to one row of fields and payload per document; documents without text are skipped."""
-    with_text = documents.where((F.col("full_text") != "") | _is_wide(documents))
-    rows = _document_rows(with_text, as_of, extraction_ts, pipeline_version)
-    text = F.col("full_text")
-    fields = {column: label_value(text, label) for column, label in REVIEW_LABELS.items()}
-    fields["review_summary_text"] = section_text(text, REVIEW_SUMMARY_HEADING)
-    # Two steps, so that the text is searched once per label and the dates are read from the short values.
-    found = rows.withColumns(fields)
-    dated = found.withColumns({c: to_iso_date(F.col(c)) for c in REVIEW_LABELS if c.endswith("_date")})
-    return conform(dated, REVIEW_REPORTS.tables["review_reports"].schema)
-
+    pages: DataFrame, as_of: datetime, extraction_ts: datetime | None = None, pipeline_version: str = __version__
+) -> dict[str, DataFrame]:
+    """``(url, page_no, text, tables)`` to one row of fields per document and its pages; documents without text
+    are skipped. A label and its value share a line and so a page; the summary may run over pages."""
+    fields = {column: label_value(F.col("text"), label) for column, label in REVIEW_LABELS.items()}
+    documents = document_marks(pages, fields, doc="url").where("has_text")
+    dated = documents.withColumns({c: to_iso_date(F.col(c)) for c in REVIEW_LABELS if c.endswith("_date")})
+    summaries = page_section(pages, REVIEW_SUMMARY_HEADING, "review_summary_text", doc="url")
+    found = dated.join(summaries, "url", "left")
+    return _document_tables(pages, "review_reports", REVIEW_REPORTS, found, as_of, extraction_ts, pipeline_version)

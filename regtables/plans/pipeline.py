@@ -7,15 +7,19 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regtables import __version__
 from regtables.operators.quality import failures
-from regtables.plans.specs import INGESTION_STATE, LOAD_MODES, DatasetSpec
+from regtables.plans.specs import INGESTION_STATE, LOAD_MODES, RUN_INPUTS, DatasetSpec
 from regtables.sinks.state import get_watermark, run_row, save_run
 from regtables.sinks.tables import Staged, bulk_load, ensure_tables, publish, stage, table_name, write_merged
 
 
+class LostInputError(ValueError):
+    """An input could not be read; nothing was published."""
+
+
 class ValidationError(ValueError):
     """Data broke its rules; nothing was published."""
 
@@ -68,6 +72,17 @@ def load_tables(
     return {spec.tables[k].name: rows.n_rows for k, rows in staged.items()}
 
 
+def _stored_account(spark: SparkSession, spec: DatasetSpec, inputs: DataFrame, root: str, as_of: datetime) -> int:
+    """Adds the account of a run to ``run_inputs``; gives the number of unreadable inputs."""
+    ensure_tables(spark, spec.schema_name, [RUN_INPUTS], root)
+    rows = inputs.select(
+        F.lit(spec.name).alias("dataset_id"), F.lit(as_of).alias("run_ts_utc"), "status", F.to_json(F.struct(*inputs.columns)).alias("input")
+    )
+    staged = stage(rows, RUN_INPUTS, spec.schema_name, root)
+    bulk_load(staged, RUN_INPUTS, spec.schema_name)
+    return staged.rows.where("status = 'unreadable'").count()
+
+
 def run_dataset(
     spark: SparkSession,
     spec: DatasetSpec,
@@ -78,9 +93,15 @@ def run_dataset(
     mode: str | None = None,
     on_duplicate: str = "error",
     pipeline_version: str = __version__,
+    account: Callable[[], DataFrame] | None = None,
+    allow_lost: bool = False,
 ) -> dict[str, int]:
     """Builds the tables of a dataset, loads them and records the run.
 
+    ``account`` gives a row per input with its ``status``, as :func:`archive_members` does; it is stored in
+    the table ``run_inputs``. An input that is ``unreadable`` fails the run before anything is published. With
+    ``allow_lost`` the others are loaded, but the old watermark stays, so the next run reads the source again.
+
     If ``watermark`` is what the last run stored, the source has not changed and nothing is built.
     A failed run is recorded as FAILED, keeps the last success and watermark, and raises.
     """
@@ -95,9 +116,12 @@ def run_dataset(
         record("SUCCESS", watermark)
         return {}
     try:
+        lost = _stored_account(spark, spec, account(), root, as_of) if account else 0
+        if lost and not allow_lost:
+            raise LostInputError(f"{lost} inputs of {spec.name} are unreadable, see {spec.schema_name}.run_inputs")
         loaded = load_tables(spark, spec, build(), root, mode, on_duplicate)
     except Exception:
         record("FAILED", known)
         raise
-    record("SUCCESS", watermark)
+    record("SUCCESS", known if lost else watermark)
     return loaded

@@ -18,13 +18,15 @@ class TableSpec:
     """``buckets``: into how many parts a large table is laid out by its primary key. A merge with a
     source too large to broadcast then shuffles the source only. Take at least
     ``spark.sql.shuffle.partitions``; 0 leaves the files as they are written. Key columns must not be
-    null there: nulls share one bucket."""
+    null there: nulls share one bucket. ``replaced_by``: columns of a parent; a merge replaces all rows of
+    each parent it brings rows for, so none is left over from an earlier, longer version."""
 
     name: str
     columns: Mapping[str, str]
     primary_key: tuple[str, ...] = ()
     rules: tuple[Mapping[str, Any], ...] = ()
     buckets: int = 0
+    replaced_by: tuple[str, ...] = ()
 
     @property
     def schema(self) -> T.StructType:
@@ -101,6 +103,11 @@ INGESTION_STATE = TableSpec(
     ("dataset_id",),
 )
 
+RUN_INPUTS = TableSpec(
+    "run_inputs",
+    {"dataset_id": "VARCHAR(100) NOT NULL", "run_ts_utc": "TIMESTAMPTZ", "status": "VARCHAR(50)", "input": "JSONB"},
+)
+
 APPROVALS = DatasetSpec(
     "approvals",
     "overwrite",
@@ -116,7 +123,6 @@ APPROVALS = DatasetSpec(
                 "approval_date": "DATE",
                 "indication": "TEXT",
                 "review_report_url": "TEXT",
-                "raw_data_full": "JSONB",
                 "_meta_load_ts_utc": "TIMESTAMPTZ",
                 "_meta_source_content_hash": "VARCHAR(64)",
                 "_meta_source_url": "TEXT",
@@ -135,9 +141,9 @@ APPROVALS = DatasetSpec(
                 },
             ),
         ),
-        # Source rows of approvals too large for one cell; rows of one load share their load time.
-        "wide_records": TableSpec(
-            "approval_wide_records",
+        # The source rows of the approvals; rows of one load share their load time.
+        "records": TableSpec(
+            "approval_records",
             {
                 "approval_id": "TEXT",
                 "source_order": "JSONB",
@@ -152,7 +158,7 @@ APPROVALS = DatasetSpec(
 # The older layout: the licence number is the id, and rows are not collapsed.
 APPROVAL_ROWS = TableSpec(
     "approvals",
-    {**APPROVALS.tables["approvals"].columns, "approval_id": "VARCHAR(100)"},
+    {**APPROVALS.tables["approvals"].columns, "approval_id": "VARCHAR(100)", "raw_data_full": "JSONB"},
     ("approval_id",),
 )
 
@@ -213,18 +219,22 @@ ADVERSE_EVENTS = DatasetSpec(
 )
 
 
+# What a document holds is in its pages.
+_DOCUMENT_LINEAGE = {"n_pages": "BIGINT", **{c: t for c, t in _LINEAGE.items() if c != "raw_data_full"}}
+
+
 def _pages_table(name: str) -> TableSpec:
-    """Pages of documents too large for one cell."""
+    """Pages of documents. A document loaded again brings all its pages."""
     columns = {"document_id": "VARCHAR(64) NOT NULL", "page_no": "BIGINT NOT NULL", "page_text": "TEXT", "page_tables": "JSONB"}
-    return TableSpec(name, columns, ("document_id", "page_no"))
+    return TableSpec(name, columns, ("document_id", "page_no"), replaced_by=("document_id",))
 
 
 PACKAGE_INSERTS = DatasetSpec(
     "package_inserts",
     "merge",
     {
-        "package_inserts": TableSpec("package_inserts", {"document_id": "VARCHAR(64) NOT NULL", **_LINEAGE}, ("document_id",)),
-        "wide_pages": _pages_table("package_insert_wide_pages"),
+        "package_inserts": TableSpec("package_inserts", {"document_id": "VARCHAR(64) NOT NULL", **_DOCUMENT_LINEAGE}, ("document_id",)),
+        "pages": _pages_table("package_insert_pages"),
     },
 )
 
@@ -242,11 +252,11 @@ REVIEW_REPORTS = DatasetSpec(
                 "application_date": "DATE",
                 "approval_date": "DATE",
                 "review_summary_text": "TEXT",
-                **_LINEAGE,
+                **_DOCUMENT_LINEAGE,
             },
             ("document_id",),
         ),
-        "wide_pages": _pages_table("review_report_wide_pages"),
+        "pages": _pages_table("review_report_pages"),
     },
 )
 

@@ -120,6 +120,8 @@ def write_merged(
     # The rows kept of the table are in their buckets already.
     source = one_row_per_key(staged.rows, keys, on_duplicate, order)
     few = is_small(staged.n_rows, staged.key_bytes) if tuple(keys) == tuple(spec.primary_key) else None
+    if spec.replaced_by:
+        keys = list(spec.replaced_by)
     kept = without_keys(staged.rows.sparkSession.table(table_name(schema_name, spec)), staged.rows, keys, few)
     location = _new_location(root, schema_name, spec)
     _write(kept.unionByName(_by_bucket(source, spec)), spec, schema_name, location)

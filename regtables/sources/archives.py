@@ -106,11 +106,29 @@ class _Member:
         self.status, self.problem = "unreadable", f"{type(problem).__name__}: {problem}"
 
     def _parse(self) -> Iterator[pd.DataFrame]:
+        """All cells are text as written; only an empty cell is null. A line with more cells than the header
+        is an error, one with fewer ends in nulls."""
+        options = dict(
+            encoding=self.charset, encoding_errors="strict" if self.strict else "replace",
+            dtype=str, index_col=False, header=None, keep_default_na=False, na_values=[""],
+        )
         with self.archive.open(self.name) as stream:
-            yield from pd.read_csv(
-                stream, encoding=self.charset, encoding_errors="strict" if self.strict else "replace",
-                dtype=str, chunksize=CHUNK_ROWS,
-            )
+            header = [None if pd.isna(c) else c for c in pd.read_csv(stream, nrows=1, **options).iloc[0]]
+        while header and header[-1] is None:
+            header.pop()
+        # One column more than the header has shows a line with more cells.
+        with self.archive.open(self.name) as stream:
+            done = -1  # the header is the first row
+            for frame in pd.read_csv(stream, names=range(len(header) + 1), chunksize=CHUNK_ROWS, **options):
+                frame.index = range(done, done + len(frame))
+                done += len(frame)
+                frame = frame.loc[0:]
+                surplus = frame[len(header)].notna()
+                if surplus.any():
+                    raise ValueError(f"record {surplus.idxmax()} has more cells than the header")
+                own = frame.iloc[:, : len(header)]
+                own.columns = header
+                yield own.loc[:, ~own.columns.duplicated(keep="last")]
 
     def frames(self) -> Iterator[pd.DataFrame]:
         """The rows in chunks. A member broken in the middle gives none: a small one is parsed to its end

@@ -9,16 +9,15 @@ from pyspark.sql import functions as F, types as T
 
 from regtables.operators.upsert import without_keys
 from regtables.plans.datasets import (
-    ADVERSE_EVENT_COLUMNS, APPROVAL_COLUMNS, OLD_APPROVAL_COLUMNS, adverse_events, approval_records, approval_rows, approvals, document_tables, package_inserts, review_reports,
+    ADVERSE_EVENT_COLUMNS, APPROVAL_COLUMNS, OLD_APPROVAL_COLUMNS, adverse_events, approval_records, approval_rows, approval_tables, approvals, package_inserts, review_reports,
 )
-from regtables.plans.pipeline import ValidationError, load_tables, run_dataset
+from regtables.plans.pipeline import LostInputError, ValidationError, load_tables, run_dataset
 from regtables.plans.specs import (
     ADVERSE_EVENTS, APPROVALS, DATASETS, PACKAGE_INSERTS, REVIEW_REPORTS, DatasetSpec, TableSpec, with_config,
 )
 from regtables.plans.types import is_required, schema_of, spark_type, store_type
 from regtables.sinks.state import get_watermark, latest_state, list_states, read_states, run_row, upsert_state
 from regtables.sinks.tables import bulk_load, ensure_tables, execute_merge, merge_statement, stage, table_name, write_jdbc
-from regtables.sources.documents import assemble_documents
 from regtables.streaming.intake import read_new_files, stream_upsert
 
 AS_OF = datetime(2025, 9, 10, 12, 0, tzinfo=timezone.utc)
@@ -169,19 +168,20 @@ APPROVAL_ROWS = [
 def _approvals(spark, data=APPROVAL_ROWS):
     columns = ["row_no", "approval_id", "application_type", "brand_name_jp", "applicant_name_jp", "generic_name_jp", "approval_date"]
     df = spark.createDataFrame(data, "row_no int, " + ", ".join(f"{c} string" for c in columns[1:]))
-    return approvals(df, "https://h.org/a.xlsx", AS_OF, order=("row_no",)).groups
+    return approval_tables(df, "https://h.org/a.xlsx", AS_OF, order=("row_no",))
 
 
 def test_approvals_run(spark, place):
     spec = with_config(APPROVALS, {"schema_name": place[0]})
-    loaded = run_dataset(spark, spec, lambda: {"approvals": _approvals(spark)}, place[1], AS_OF, {"etag": "1"})
-    assert loaded == {"approvals": 2}
+    loaded = run_dataset(spark, spec, lambda: _approvals(spark), place[1], AS_OF, {"etag": "1"})
+    assert loaded == {"approvals": 2, "approval_records": 3}
     table = spark.table(table_name(place[0], spec.tables["approvals"]))
     assert table.columns == list(APPROVALS.tables["approvals"].columns)
     one, two = table.orderBy("approval_id").collect()
     assert (one.approval_id, one.brand_name_jp, one.approval_date, one.indication) == (1, "Drug A", date(2025, 1, 1), None)
     assert two.generic_name_jp == "Generic B1\nGeneric B2" and two.brand_name_jp == "Drug B"
-    assert [r["generic_name_jp"] for r in json.loads(two.raw_data_full)] == ["Generic B1", "Generic B2"]
+    records = spark.table(table_name(place[0], spec.tables["records"])).where("approval_id = '2'").orderBy("source_order").collect()
+    assert [json.loads(r.raw_data_full)["generic_name_jp"] for r in records] == ["Generic B1", "Generic B2"]
     assert two._meta_source_url == "https://h.org/a.xlsx" and len(two._meta_source_content_hash) == 64
 
     # The same source again is not built.
@@ -191,7 +191,7 @@ def test_approvals_run(spark, place):
     # A null id breaks the rules: nothing is published, the failure is recorded, the last success stays.
     bad = [*APPROVAL_ROWS, (3, None, "その他", "X", "C", "G", "令和7年1月1日")]
     with pytest.raises(ValidationError, match="Data validation failed for table 'approvals'") as problem:
-        run_dataset(spark, spec, lambda: {"approvals": _approvals(spark, bad)}, place[1], AS_OF.replace(hour=14), {"etag": "2"})
+        run_dataset(spark, spec, lambda: _approvals(spark, bad), place[1], AS_OF.replace(hour=14), {"etag": "2"})
     assert "has 1 null values" in str(problem.value) and "[その他]" in str(problem.value)
     assert table.sparkSession.table(table_name(place[0], spec.tables["approvals"])).count() == 2
     assert rows(list_states(read_states(spark, place[0]))) == [
@@ -206,7 +206,7 @@ def test_approval_sheets(spark):
     grid = spark.createDataFrame([("f", i, c) for i, c in enumerate(lines)], "file string, row_no long, cells array<string>")
     records = approval_records(grid)
     assert records.columns == ["file", "row_no", *APPROVAL_COLUMNS.values()]
-    row = approvals(records, "u", AS_OF).groups.collect()
+    row = approvals(records, "u", AS_OF).collect()
     assert [(r.approval_id, r.brand_name_jp, r.generic_name_jp, r.approval_date) for r in row] == [(1, "A", "g1\ng2", date(2025, 1, 2))]
     with pytest.raises(ValueError, match="f: no header"):
         approval_records(grid.where("row_no <> 1"))
@@ -219,7 +219,7 @@ def test_old_approval_layout(spark):
     head = list(OLD_APPROVAL_COLUMNS)
     lines = [head, ["9", "医薬品", "A", "g", "c", "令和7年9月8日", "効能", "https://h.org/r.pdf"]]
     grid = spark.createDataFrame([("f", i, c) for i, c in enumerate(lines)], "file string, row_no long, cells array<string>")
-    row = approvals(approval_records(grid, OLD_APPROVAL_COLUMNS), "u", AS_OF).groups.first()
+    row = approvals(approval_records(grid, OLD_APPROVAL_COLUMNS), "u", AS_OF).first()
     assert (row.approval_id, row.indication, row.review_report_url) == (9, "効能", "https://h.org/r.pdf")
     single = approval_rows(approval_records(grid, OLD_APPROVAL_COLUMNS), "u", AS_OF).first()
     assert (single.approval_id, single.approval_date, single.review_report_url) == ("9", date(2025, 9, 8), "https://h.org/r.pdf")
@@ -275,36 +275,60 @@ def test_no_table_is_published_if_one_fails(spark, place):
         load_tables(spark, spec, {}, place[1], mode="full")
 
 
+def test_unreadable_inputs_are_no_success(spark, place):
+    spec = with_config(ADVERSE_EVENTS, {"schema_name": place[0]})
+    inputs = spark.createDataFrame([("a.zip", "DEMO", "ok"), ("b.zip", "DEMO", "unreadable")], "archive string, stem string, status string")
+    build = lambda: adverse_events(_case_frames(spark, ["1"]), "u", AS_OF)
+    with pytest.raises(LostInputError, match="1 inputs"):
+        run_dataset(spark, spec, build, place[1], AS_OF, {"etag": "1"}, account=lambda: inputs)
+    assert spark.table(table_name(place[0], spec.tables["DEMO"])).count() == 0
+    assert [r.status for r in latest_state(read_states(spark, place[0]), "adverse_events").collect()] == ["FAILED"]
+    # Allowed, the rest is loaded and the watermark stays where it was, so the next run reads the source again.
+    assert run_dataset(spark, spec, build, place[1], AS_OF, {"etag": "1"}, account=lambda: inputs, allow_lost=True)["adverse_demo"] == 1
+    assert not get_watermark(spark, place[0], "adverse_events")
+    assert spark.table(f"{place[0]}.run_inputs").where("status = 'unreadable'").count() == 2
+
+
 REVIEW = "販売名: テスト錠\n申請者名: テスト製薬\n申請年月日: 令和7年1月15日\n承認年月日: 2025年9月10日\n審査の概要\n本文\n2. 次"
 
 
+PAGES = "url string, page_no int, text string, tables array<array<array<string>>>"
+
+
 def test_documents(spark, place):
-    docs = spark.createDataFrame(
-        [("u1", REVIEW, [[{"a": "1"}]]), ("u2", "", [[{"a": "2"}]]), ("u3", "", []), ("u4", None, None)],
-        "url string, full_text string, tables array<array<map<string,string>>>",
-    )
+    pages = spark.createDataFrame([("u1", 1, REVIEW, [[["a"], ["1"]]]), ("u2", 1, "", [[["a"], ["2"]]]), ("u3", 1, "", []), ("u4", 1, None, None)], PAGES)
     spec = with_config(REVIEW_REPORTS, {"schema_name": place[0]})
-    assert run_dataset(spark, spec, lambda: {"review_reports": review_reports(docs, AS_OF)}, place[1], AS_OF) == {"review_reports": 1}
+    assert run_dataset(spark, spec, lambda: review_reports(pages, AS_OF), place[1], AS_OF) == {"review_reports": 1, "review_report_pages": 1}
     row = spark.table(table_name(place[0], spec.tables["review_reports"])).first()
-    assert (row.brand_name_jp, row.generic_name_jp, row.applicant_name_jp) == ("テスト錠", None, "テスト製薬")
+    assert (row.brand_name_jp, row.generic_name_jp, row.applicant_name_jp, row.n_pages) == ("テスト錠", None, "テスト製薬", 1)
     assert (row.application_date, row.approval_date, row.review_summary_text) == (date(2025, 1, 15), date(2025, 9, 10), "本文")
-    assert json.loads(row.raw_data_full) == {"source_file_type": "pdf", "full_text": REVIEW, "extracted_tables": [[{"a": "1"}]]}
-    inserts = package_inserts(docs, AS_OF)
+    page = spark.table(table_name(place[0], spec.tables["pages"])).first()
+    assert (page.page_text, page.page_tables) == (REVIEW, '[[["a"],["1"]]]')
+    inserts = package_inserts(pages, AS_OF)["package_inserts"]
     assert inserts.columns == list(PACKAGE_INSERTS.tables["package_inserts"].columns)
     assert rows(inserts.select("_meta_source_url")) == [("u1",), ("u2",)]
 
 
-def test_wide_documents_are_loaded_as_pages(spark, place):
-    pages = spark.createDataFrame(
-        [("u1", 1, "x" * 300, None), ("u1", 2, "y", [[["h"], ["v"]]]), ("u2", 1, "z", None)],
-        "url string, page_no int, text string, tables array<array<array<string>>>",
-    )
-    assembled = assemble_documents(pages, doc="url", max_group_bytes=200)
+def test_fields_are_read_from_whichever_page_has_them(spark):
+    lines = REVIEW.split("\n")
+    pages = spark.createDataFrame([("u", i, line, None) for i, line in enumerate(lines)], PAGES).repartition(5)
+    one = review_reports(spark.createDataFrame([("u", 0, REVIEW, None)], PAGES), AS_OF)["review_reports"].first()
+    many = review_reports(pages, AS_OF)["review_reports"].first()
+    fields = ["brand_name_jp", "generic_name_jp", "applicant_name_jp", "application_date", "approval_date", "review_summary_text"]
+    assert [one[f] for f in fields] == [many[f] for f in fields]
+    assert many.n_pages == len(lines) and many._meta_source_content_hash != one._meta_source_content_hash
+
+
+def test_a_document_that_got_shorter_leaves_no_old_page(spark, place):
     spec = with_config(PACKAGE_INSERTS, {"schema_name": place[0]})
-    tables = document_tables("package_inserts", package_inserts(assembled.groups, AS_OF), assembled)
-    assert load_after_ensure(spark, spec, tables, place[1]) == {"package_inserts": 2, "package_insert_wide_pages": 2}
-    found = spark.table(table_name(place[0], spec.tables["wide_pages"])).orderBy("page_no").collect()
-    assert [(r.page_no, r.page_text, r.page_tables) for r in found] == [(1, "x" * 300, None), (2, "y", '[[["h"],["v"]]]')]
+    first = [("u1", i, f"page {i}", None) for i in range(5)] + [("u2", 1, "z", None)]
+    tables = package_inserts(spark.createDataFrame(first, PAGES), AS_OF)
+    assert load_after_ensure(spark, spec, tables, place[1]) == {"package_inserts": 2, "package_insert_pages": 6}
+    again = package_inserts(spark.createDataFrame([("u1", 0, "only", [[["h"], ["v"]]])], PAGES), AS_OF)
+    load_tables(spark, spec, again, place[1])
+    found = spark.table(table_name(place[0], spec.tables["pages"])).collect()
+    assert sorted((r.page_text, r.page_tables) for r in found if r.page_tables) == [("only", '[[["h"],["v"]]]')]
+    assert sorted(r.page_text for r in found) == ["only", "z"]
 
 
 def load_after_ensure(spark, spec, tables, root):

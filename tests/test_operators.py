@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from regtables.operators.changes import changed_sources
-from regtables.operators.collapse import collapse_by_key, wide_values
+from regtables.operators.collapse import collapse_by_key, rows_as_json, source_rows
 from regtables.operators.conform import conform, rename_columns, require_columns, union_files
 from regtables.operators.grid import detect_header, drop_empty_rows, files_without_header, fill_down, grid_records
 from regtables.operators.match import first_name_per_text, match_contains_all, match_exact_first, orphan_keys, orphan_rows
@@ -100,43 +100,42 @@ def _lines(spark):
 def test_collapse(spark, partitions):
     df = _lines(spark).orderBy(F.rand(5)).repartition(partitions)
     done = collapse_by_key(df, "k", ["row_no"], first=["t"], joined=["g", "b", "a", "absent"], record=["k", "t", "g"])
-    assert done.wide_records is None
-    got = {r.k: r for r in done.groups.collect()}
+    got = {r.k: r for r in done.collect()}
     assert set(got) == {1.0, 2.0, None}
     assert (got[2.0].t, got[2.0].g, got[2.0].b, got[2.0].a, got[2.0].n_rows) == ("t2", "g2\ng1", "B2", "A\nC", 3)
     assert (got[None].t, got[None].g, got[None].a) == ("t4", "", "x")
-    assert json.loads(got[2.0].raw_data_full)[0] == {"k": 2.0, "t": None, "g": "g2"}
-    assert [x["t"] for x in json.loads(got[2.0].raw_data_full)] == [None, "t2", "t3"]
-
-
-def test_collapse_wide_is_whole(spark):
-    df = _lines(spark).repartition(3)
-    options = dict(first=["t"], joined=["g", "b"], record=["k", "t", "g"])
-    small = {r.k: r for r in collapse_by_key(df, "k", ["row_no"], **options).groups.collect()}
-    limit = 16 * 4 * 3 - 1  # three rows of four columns are over it
-    done = collapse_by_key(df, "k", ["row_no"], max_group_bytes=limit, **options)
-    got = {r.k: r for r in done.groups.collect()}
-    assert {k for k, r in got.items() if r.is_wide} == {2.0}
-    assert got[1.0].asDict() == small[1.0].asDict() and got[None].asDict() == small[None].asDict()
-    wide = got[2.0]
-    assert (wide.t, wide.n_rows, wide.g, wide.raw_data_full) == ("t2", 3, None, None)
-    # What the cells would have held is in the rows.
-    kept = done.wide_records.orderBy("row_no").collect()
-    assert [{"k": r.k, "t": r.t, "g": r.g} for r in kept] == json.loads(small[2.0].raw_data_full)
-    values = wide_values(done, "k", ["row_no"], "g").orderBy("first_seen").collect()
-    assert "\n".join(r.g for r in values) == small[2.0].g
-    # The mark of a wide group sees every change and no reordering.
-    again = collapse_by_key(df.repartition(5), "k", ["row_no"], max_group_bytes=limit, **options)
-    changed = collapse_by_key(
-        df.withColumn("g", F.when(F.col("row_no") == 4, "zz").otherwise(F.col("g"))), "k", ["row_no"], max_group_bytes=limit, **options
-    )
-    mark = lambda c: c.groups.where("is_wide").first()._meta_source_content_hash
-    assert mark(again) == wide._meta_source_content_hash != mark(changed)
+    gathered = {r.k: json.loads(r.raw_data_full) for r in rows_as_json(df, "k", ["row_no"], ["k", "t", "g"]).collect()}
+    assert gathered[2.0][0] == {"k": 2.0, "t": None, "g": "g2"}
+    assert [x["t"] for x in gathered[2.0]] == [None, "t2", "t3"]
+    apart = source_rows(df, "k", ["row_no"], ["k", "t", "g"]).where("k = 2").collect()
+    assert sorted((json.loads(r.source_order)["row_no"], json.loads(r.raw_data_full)) for r in apart) == list(zip([2, 3, 4], gathered[2.0]))
+
+
+def test_collapse_of_a_key_with_half_of_all_rows(spark):
+    df = spark.range(4000).selectExpr("if(id % 2 = 0, 7, id) AS k", "id", "concat('v', id % 5) AS v", "nullif(id % 3, 1) AS w")
+    done = collapse_by_key(df.repartition(9), "k", ["id"], first=["w"], joined=["v"], record=["v", "w"])
+    hot = done.where("k = 7").first()
+    assert (hot.n_rows, hot.w, hot.v) == (2001, 0, "v0\nv2\nv4\nv1\nv3")
+    assert done.where("_meta_source_content_hash IS NULL OR v IS NULL").isEmpty()
+
+
+def test_hash_of_a_group_sees_every_change_and_no_reordering(spark):
+    def mark(df):
+        return {r.k: r._meta_source_content_hash for r in collapse_by_key(df, "k", ["row_no"], record=["t", "g"]).collect()}
+
+    df = _lines(spark)
+    assert mark(df) == mark(df.repartition(5))
+    changed = mark(df.withColumn("g", F.when(F.col("row_no") == 4, "zz").otherwise(F.col("g"))))
+    assert {k for k, h in mark(df).items() if changed[k] != h} == {2.0}
+    # A value that moves to another column is a change.
+    left = spark.createDataFrame([(1, 1, "a", None)], "k int, row_no int, t string, g string")
+    right = spark.createDataFrame([(1, 1, None, "a")], "k int, row_no int, t string, g string")
+    assert mark(left) != mark(right)
 
 
 def test_collapse_first_only(spark):
     done = collapse_by_key(_lines(spark), "k", ["row_no"], first={"u": F.upper("t")})
-    assert {r.k: r.u for r in done.groups.collect()} == {1.0: "T1", 2.0: "T2", None: "T4"}
+    assert {r.k: r.u for r in done.collect()} == {1.0: "T1", 2.0: "T2", None: "T4"}
 
 
 # --- matching ----------------------------------------------------------------------------------

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from regtables.plans.datasets import ADVERSE_EVENT_COLUMNS
 from regtables.sources.archives import archive_csv, archive_members, decode_files
-from regtables.sources.documents import assemble_documents, page_links, page_table_rows
+from regtables.sources.documents import assemble_documents, document_marks, page_links, page_section, page_table_rows
 from regtables.sources.files import binary_files, csv_records, with_source_file, xml_nodes, xml_rows
 
 
@@ -112,6 +112,17 @@ def test_archives(spark, tmp_path):
     }
 
 
+def test_archive_cells_are_kept_as_written(spark, tmp_path):
+    members = {"DEMO.csv": "id,drug\n100,x,\n007,NA,\nabc,None,\n,null\n200\n", "DRUG.csv": "id,drug,\n1,x,\n", "REAC.csv": "id,drug\n1,x,y\n"}
+    (tmp_path / "1.zip").write_bytes(archive(members, "utf-8"))
+    files = binary_files(spark, str(tmp_path), "*.zip")
+    read = lambda stem: [tuple(r)[1:] for r in archive_csv(files, stem, ["id", "drug"]).orderBy("record_no").collect()]
+    assert read("DEMO") == [(0, "100", "x"), (1, "007", "NA"), (2, "abc", "None"), (3, None, "null"), (4, "200", None)]
+    assert read("DRUG") == [(0, "1", "x")] and read("REAC") == []
+    problem = archive_members(files, ["REAC"]).first()
+    assert (problem.status, problem.n_rows) == ("unreadable", 0) and "record 0 has more cells" in problem.problem
+
+
 PAGES = [
     ("a", 2, "second", [[["n", None, "n"], ["1", "2", "3"], ["4"]]]),
     ("a", 1, "first", [[[None, ""], ["dropped", "x"]], []]),
@@ -126,16 +137,24 @@ def _pages(spark):
 
 def test_documents(spark):
     done = assemble_documents(_pages(spark).repartition(3))
-    got = {r.doc: (r.full_text, r.tables) for r in done.groups.select("doc", "full_text", F.to_json("tables").alias("tables")).collect()}
+    got = {r.doc: (r.full_text, r.tables) for r in done.select("doc", "full_text", F.to_json("tables").alias("tables")).collect()}
     assert got == {"a": ("first\nsecond", '[[{"null":"2","n":"3"},{"null":null,"n":null}]]'), "b": ("", "[]")}
-    assert done.wide_records is None
 
 
-def test_wide_documents_keep_their_pages(spark):
-    done = assemble_documents(_pages(spark), max_group_bytes=100)
-    got = {r.doc: (r.is_wide, r.full_text) for r in done.groups.collect()}
-    assert got == {"a": (True, None), "b": (False, "")}
-    assert [r.text for r in done.wide_records.orderBy("page_no").collect()] == ["first", "second", ""]
+def test_section_over_page_breaks(spark):
+    pages = [
+        ("a", 1, "x\n審査の概要"), ("a", 2, ""), ("a", 3, "one\ntwo"), ("a", 4, "three\n2. next\n審査の概要\nno"), ("a", 5, "3. more"),
+        ("b", 1, "審査の概要\nall"), ("b", 2, "of it"), ("c", 1, "none"), ("d", 1, None), ("e", 1, "審査の概要\nshort"), ("e", 2, "2. end"),
+    ]
+    df = spark.createDataFrame(pages, "doc string, page_no int, text string").repartition(4)
+    got = {r.doc: r.s for r in page_section(df, "審査の概要", "s").collect()}
+    assert got == {"a": "one\ntwo\nthree", "b": "all\nof it", "e": "short"}
+
+
+def test_marks_of_documents(spark):
+    found = document_marks(_pages(spark), {"at": F.when(F.col("text").contains("s"), F.col("text"))}).collect()
+    got = {r.doc: (r.n_pages, r.has_text, r.has_tables, r.at) for r in found}
+    assert got == {"a": (3, True, True, "first"), "b": (1, False, False, None)}
 
 
 def test_page_rows(spark):
