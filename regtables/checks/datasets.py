@@ -257,7 +257,7 @@ def xml_report_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "part").selectExpr(
             "cast(p_partkey AS string) AS _id", "p_name AS name", "p_type AS category", "struct(p_brand AS _VALUE, 'true' AS _approved) AS status"
         ).write.format("xml").option("rootTag", "products").option("rowTag", "product").save(f"{root}/source")
-        return {"xml_reports": xml_rows(spark, f"{root}/source", "./products/product", ["id", "name", "category", "status"])}
+        return {"xml_reports": xml_rows(spark, f"{root}/source", "./product", ["id", "name", "category", "status"])}
 
     spec, _ = _run(spark, XML_REPORT, build)
     return _rows(spark, spec, "xml_reports")

@@ -49,7 +49,7 @@ def xml_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(c_custkey AS string) AS _id", "struct(c_name AS _VALUE, 'true' AS _approved) AS name",
         "nullif(c_mktsegment, 'BUILDING') AS category",
     ).write.format("xml").option("rootTag", "products").option("rowTag", "product").save(folder)
-    return xml_rows(spark, folder, "./products/product", ["id", "name", "category"])
+    return xml_rows(spark, folder, "./product", ["id", "name", "category"])
 
 
 @check("scan_xml_path", """

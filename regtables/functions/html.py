@@ -6,6 +6,9 @@ Comments, scripts and styles are cut first: they may hold markup in strings.
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, functions as F
 
 from regtables.functions.binding import let
@@ -13,44 +16,48 @@ from regtables.functions.text import strip
 from regtables.functions.urls import base_parts, join_parts
 
 _NOISE = r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>)"
-_TAG = r"<[^>]*>"
-
-# Named character references read from these pages. &amp; must be replaced last.
-NAMED_ENTITIES = {
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&apos;": "'",
-    "&nbsp;": "\u00a0",
-    "&amp;": "&",
-}
+# A tag ends at the first > outside quotes; a tag whose quotes don't pair ends at the first >.
+_IN_TAG = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+_TAG = rf"<{_IN_TAG}>|<[^>]*>"
+_REFERENCE = r"&(?:#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);|[^&]+|&"
 
 
 def without_noise(html: Column) -> Column:
     return F.regexp_replace(html, _NOISE, "")
 
 
-def unescape(text: Column) -> Column:
-    """Character references replaced by their characters."""
+def _entities() -> Column:
+    """Named character references of HTML, as a map."""
+    named = {name.removesuffix(";"): text for name, text in html5.items() if name.endswith(";")}
+    return F.from_json(F.lit(json.dumps(named)), "map<string,string>")
 
-    def numbered(acc: Column, ref: Column) -> Column:
-        is_hex = F.lower(F.substr(ref, F.lit(1), F.lit(1))) == "x"
-        code = F.when(is_hex, F.conv(F.substr(ref, F.lit(2)), 16, 10)).otherwise(ref).cast("bigint")
-        # Numbers that are no character stay as they are written.
+
+def unescape(text: Column) -> Column:
+    """Character references replaced by their characters, each once: what a replacement gives is not read
+    again. A reference to no character stays as it is written."""
+
+    def numbered(ref: Column) -> Column:
+        is_hex = F.lower(F.substr(ref, F.lit(3), F.lit(1))) == "x"
+        digits = F.ltrim(F.rtrim(F.substr(ref, F.when(is_hex, 4).otherwise(3)), F.lit(";")), F.lit("0"))
+        # No character has more than seven digits.
+        short = F.when(F.length(digits).between(1, 7), digits)
+        code = F.when(is_hex, F.conv(short, 16, 10)).otherwise(short).cast("bigint")
         is_char = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        return F.when(is_char, F.replace(acc, F.concat(F.lit("&#"), ref, F.lit(";")), char)).otherwise(acc)
+        return F.when(is_char, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+
+    def decoded(piece: Column) -> Column:
+        is_reference = piece.startswith("&") & piece.endswith(";")
+        name = F.substr(piece, F.lit(2), F.length(piece) - 2)
+        meant = F.when(piece.startswith("&#"), numbered(piece)).otherwise(F.try_element_at(_entities(), name))
+        return F.when(is_reference, F.coalesce(meant, piece)).otherwise(piece)
 
-    refs = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&#(\d{1,6}|[xX][0-9A-Fa-f]{1,5});"), 1))
-    out = F.when(text.contains("&#"), F.aggregate(refs, text, numbered)).otherwise(text)
-    for name, char in NAMED_ENTITIES.items():
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return F.when(text.contains("&"), out).otherwise(text)
+    pieces = F.regexp_extract_all(text, F.lit(_REFERENCE), 0)
+    return F.when(text.contains("&"), F.array_join(F.transform(pieces, decoded), "")).otherwise(text)
 
 
 def attribute(tag: Column, name: str) -> Column:
     """Value of an attribute of an opening tag; null if the tag does not have it."""
-    written = F.regexp_extract(tag, rf"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)""", 1)
+    written = F.regexp_extract(tag, rf"""(?is)^<\w+(?:\s+(?!{name}\s*=)[^\s=>"']+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+))?)*+\s+{name}\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)""", 1)
 
     def value(w: Column) -> Column:
         quoted = w.startswith('"') | w.startswith("'")
@@ -65,14 +72,16 @@ def inner_text(markup: Column) -> Column:
 
 
 def _anchors(clean: Column, parts: Column) -> Column:
-    found = F.regexp_extract_all(clean, F.lit(r"(?is)<a\s[^>]*>.*?</a\s*>"), 0)
+    # The text of an anchor ends where it is closed, or where the next one begins.
+    opening_tag = rf"(?is)<a(?=[\s/>]){_IN_TAG}>"
+    found = F.regexp_extract_all(clean, F.lit(rf"{opening_tag}(?:(?!</a\s*>|<a[\s/>]).)*+"), 0)
 
     def read(tag: Column, pos: Column) -> Column:
-        opening = F.substring_index(tag, ">", 1)
+        opening = F.regexp_extract(tag, opening_tag, 0)
         named = F.struct(
             pos.alias("pos"),
             attribute(opening, "href").alias("href"),
-            inner_text(tag).alias("text"),
+            inner_text(F.substr(tag, F.length(opening) + 1)).alias("text"),
             attribute(opening, "class").alias("css_class"),
         )
         return let(
@@ -136,7 +145,7 @@ def result_rows(
         body = F.when(table.rlike(body_pattern), F.regexp_extract(table, body_pattern, 1)).otherwise(table)
 
         def read(row: Column, row_no: Column) -> Column:
-            cells = F.regexp_extract_all(row, F.lit(r"(?is)<td\b[^>]*>(.*?)</td\s*>"), 1)
+            cells = F.regexp_extract_all(row, F.lit(rf"(?is)<td\b{_IN_TAG}>((?:(?!</td\s*>|<td\b|</tr\s*>).)*+)"), 1)
             return let(
                 cells,
                 lambda cs: F.struct(
@@ -146,7 +155,7 @@ def result_rows(
                 ),
             )
 
-        found = F.regexp_extract_all(body, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), 1)
+        found = F.regexp_extract_all(body, F.lit(rf"(?is)<tr\b{_IN_TAG}>((?:(?!</tr\s*>|<tr\b|</tbody\s*>).)*+)"), 1)
         return F.filter(F.transform(found, read), lambda r: F.size(r["cells"]) >= min_cells)
 
     table = F.regexp_extract(_div_content(without_noise(html), container_id), table_pattern, 1)

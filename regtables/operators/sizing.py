@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -13,16 +12,10 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see, as the session names it. Only a local session without
-    the setting gets a temporary folder of its own."""
+    """The folder all executors see, as the session names it: ``spark.checkpoint.dir``, and where that is not
+    set, a folder in the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="regtables-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return folder.rstrip("/") if folder else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/regtables-shared"
 
 
 def pin(df: DataFrame) -> DataFrame:

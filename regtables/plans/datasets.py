@@ -83,22 +83,25 @@ FILL_DOWN_COLUMNS = 3
 _OPTIONAL = ("remarks",)
 
 
-def approval_records(grid: DataFrame, mapping: Mapping[str, str] = APPROVAL_COLUMNS) -> DataFrame:
-    """Raw sheets to ``(file, row_no, renamed columns)``: header found, empty rows dropped, the first
-    three columns filled down. A sheet without a header or without a needed column is an error."""
-    headers = pin(detect_header(grid, APPROVAL_HEADER_KEYWORD))
+def unreadable_sheets(grid: DataFrame, headers: DataFrame, mapping: Mapping[str, str] = APPROVAL_COLUMNS) -> DataFrame:
+    """``(file, problem)`` of every sheet without a header or without a needed column. ``headers`` is what
+    :func:`detect_header` gives."""
     needed = F.array(*[F.lit(k) for k, v in mapping.items() if v not in _OPTIONAL])
     lacking = headers.select("file", F.array_except(needed, "names").alias("lacking")).where(F.size("lacking") > 0)
-    problems = (
+    return (
         files_without_header(grid, headers)
         .select("file", F.lit(f"no header with {APPROVAL_HEADER_KEYWORD}").alias("problem"))
         .unionByName(lacking.select("file", F.concat(F.lit("missing columns: "), F.array_join("lacking", ", ")).alias("problem")))
-        .orderBy("file")
-        .limit(20)
-        .collect()
     )
-    if problems:
-        raise ValueError("sheets that cannot be read: " + "; ".join(f"{r.file}: {r.problem}" for r in problems))
+
+
+def approval_records(grid: DataFrame, mapping: Mapping[str, str] = APPROVAL_COLUMNS) -> DataFrame:
+    """Raw sheets to ``(file, row_no, renamed columns)``: header found, empty rows dropped, the first
+    three columns filled down. A sheet without a header or without a needed column is an error."""
+    headers = pin(detect_header(grid, APPROVAL_HEADER_KEYWORD))
+    told = unreadable_sheets(grid, headers, mapping).agg(F.count(F.lit(1)).alias("n"), F.min(F.concat("file", F.lit(": "), "problem")).alias("first")).first()
+    if told.n:
+        raise ValueError(f"{told.n} sheets cannot be read, the first is {told.first}; unreadable_sheets() lists all")
     names = list(mapping)
     rows = drop_empty_rows(grid_records(grid, headers, names, pinned=True), names)
     filled = fill_down(rows, names[:FILL_DOWN_COLUMNS])

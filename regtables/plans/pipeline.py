@@ -10,8 +10,8 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regtables import __version__
-from regtables.operators.quality import failures
-from regtables.plans.specs import INGESTION_STATE, LOAD_MODES, RUN_INPUTS, DatasetSpec
+from regtables.operators.quality import failures, invalid_values
+from regtables.plans.specs import INGESTION_STATE, LOAD_MODES, RULE_VALUES, RUN_INPUTS, DatasetSpec
 from regtables.sinks.state import get_watermark, run_row, save_run
 from regtables.sinks.tables import Staged, bulk_load, ensure_tables, publish, stage, table_name, write_merged
 
@@ -33,6 +33,19 @@ def _side_by_side(spark: SparkSession, work: Callable, keys: Sequence[str]) -> d
         return dict(zip(keys, pool.map(inheritable_thread_target(spark)(work), keys)))
 
 
+def _store_invalid_values(spark: SparkSession, spec: DatasetSpec, staged: Mapping[str, Staged], root: str) -> None:
+    """Adds every value outside an allowed set to ``rule_values``; messages show only some of them."""
+    ensure_tables(spark, spec.schema_name, [RULE_VALUES], root)
+    for key, rows in staged.items():
+        for rule in spec.tables[key].rules:
+            if rule.get("check") == "is_in_set" and "allowed_values" in rule and rule.get("column") in rows.rows.columns:
+                found = invalid_values(rows.rows, rule["column"], rule["allowed_values"]).select(
+                    F.lit(spec.tables[key].name).alias("table_name"), F.lit(rule["column"]).alias("column_name"),
+                    F.col("value").cast("string").alias("value"), "n_rows",
+                )
+                bulk_load(stage(found, RULE_VALUES, spec.schema_name, root), RULE_VALUES, spec.schema_name)
+
+
 def load_tables(
     spark: SparkSession,
     spec: DatasetSpec,
@@ -58,6 +71,7 @@ def load_tables(
         if messages
     ]
     if problems:
+        _store_invalid_values(spark, spec, staged, root)
         raise ValidationError("\n".join(problems))
 
     if mode == "merge":

@@ -108,6 +108,8 @@ RUN_INPUTS = TableSpec(
     {"dataset_id": "VARCHAR(100) NOT NULL", "run_ts_utc": "TIMESTAMPTZ", "status": "VARCHAR(50)", "input": "JSONB"},
 )
 
+RULE_VALUES = TableSpec("rule_values", {"table_name": "TEXT", "column_name": "TEXT", "value": "TEXT", "n_rows": "BIGINT"})
+
 APPROVALS = DatasetSpec(
     "approvals",
     "overwrite",

@@ -33,36 +33,42 @@ def csv_records(
     return rows.select(checked, *[F.col(f"`{c}`") for c in names[1:]])
 
 
+def _steps(xpath: str) -> list[str]:
+    """Steps below the root element. ``./a/b`` starts at the root element, ``/root/a/b`` above it."""
+    steps = [s for s in xpath.split("/") if s not in ("", ".")]
+    if xpath.startswith("/"):
+        steps = steps[1:]
+    if not steps or "//" in xpath:
+        raise ValueError(f"a path of steps below the root element is required, not {xpath!r}")
+    return steps
+
+
 def xml_rows(spark: SparkSession, path: str, xpath: str, columns: Sequence[str], require_rows: bool = True) -> DataFrame:
-    """One row per node at ``xpath``: its attributes and child texts as text columns.
+    """One row per node at ``xpath``: its attributes and child texts as text columns. Every step of the path
+    counts. Attributes of children are dropped.
 
-    Nodes are found by the last step of the path. Attributes of children are dropped.
-    An empty path is an error, and so is a path without a match unless ``require_rows`` is off.
+    A file is one row of at most 2 GB here, as a step's parent can only be told in the whole document; files
+    are read side by side. An empty path is an error, and so are malformed XML and, unless ``require_rows`` is
+    off, a path without a match.
     """
     if not xpath:
         raise ValueError("an xpath is required")
-    row_tag = xpath.rstrip("/").rsplit("/", 1)[-1]
-    schema = T.StructType([T.StructField(p + c, T.StringType()) for c in columns for p in ("", "_")])
-    raw = spark.read.format("xml").option("rowTag", row_tag).option("attributePrefix", "_").schema(schema).load(path)
-    rows = raw.select(*[F.coalesce(F.col(f"`{c}`"), F.col(f"`_{c}`")).alias(c) for c in columns])
+    texts = spark.read.text(path, wholetext=True).select(F.col("value").alias("_text"))
+    rows = xml_nodes(texts, "_text", xpath, columns)
     if require_rows and rows.isEmpty():
         raise ValueError(f"no node at {xpath} in {path}")
     return rows
 
 
 def xml_nodes(documents: DataFrame, text: str, xpath: str, columns: Sequence[str]) -> DataFrame:
-    """As :func:`xml_rows`, for XML held in a text column, one document a row: every step of the path counts.
-    ``./a/b`` starts at the root element, ``/root/a/b`` above it. The other columns are kept."""
-    steps = [s for s in xpath.split("/") if s not in ("", ".")]
-    if xpath.startswith("/"):
-        steps = steps[1:]
-    if not steps or "//" in xpath:
-        raise ValueError(f"a path of steps below the root element is required, not {xpath!r}")
+    """As :func:`xml_rows`, for XML held in a text column, one document a row. The other columns are kept.
+    Malformed XML is an error."""
+    steps = _steps(xpath)
     kind = T.StructType([T.StructField(p + c, T.StringType()) for c in columns for p in ("", "_")])
     for step in reversed(steps):
         kind = T.StructType([T.StructField(step, T.ArrayType(kind))])
     others = [c for c in documents.columns if c != text]
-    found = documents.select(*others, F.from_xml(F.col(text), kind, {"attributePrefix": "_"}).alias("_node"))
+    found = documents.select(*others, F.from_xml(F.col(text), kind, {"attributePrefix": "_", "mode": "FAILFAST"}).alias("_node"))
     for step in steps:
         found = found.select(*others, F.explode(F.col(f"_node.`{step}`")).alias("_node"))
     return found.select(*others, *[F.coalesce(f"_node.`{c}`", f"_node.`_{c}`").alias(c) for c in columns])

@@ -186,3 +186,27 @@ def test_records(spark):
 def test_numbers(spark, text, number, whole):
     assert one(spark, lenient_number(F.col("t")), t=text) == number
     assert one(spark, lenient_int(F.col("t")), t=text) == whole
+
+
+@pytest.mark.parametrize("text,wanted", [
+    ("&#38;lt;b", "&lt;b"), ("&#x10FFFF;|&#1114111;", "\U0010ffff|\U0010ffff"), ("&#0000065;&#x000041;", "AA"),
+    ("&copy;&yen;&hellip;&Eacute;", "©¥…É"), ("&#1114112;&#99999999999999999999;&nosuch;& &;", "&#1114112;&#99999999999999999999;&nosuch;& &;"),
+    ("a&amp;amp;b", "a&amp;b"), ("", ""), (None, None),
+])
+def test_references_are_decoded_once(spark, text, wanted):
+    assert one(spark, unescape(F.col("t")), t=text) == wanted
+
+
+def test_messy_anchors(spark):
+    page = """<a title="a>b" href="1.pdf">one</a><a href=2.pdf>two <a class='x' href='3.pdf'>three</a> no
+        <abbr href="4.pdf">x</abbr><a data-href="no.pdf" href="5.pdf"><b>fi</b>ve<a name="n">none</a><a href="6.pdf">six"""
+    found = one(spark, anchors(F.col("t"), F.lit("https://h.org/d/")), t=page)
+    assert [(a["href"], a["text"]) for a in found] == [("1.pdf", "one"), ("2.pdf", "two"), ("3.pdf", "three"), ("5.pdf", "five"), ("6.pdf", "six")]
+
+
+def test_rows_and_cells_without_closing_tags(spark):
+    page = """<div id="ContentMainArea"><table class="result_list_table"><tbody><tr><td>a<td title="x>y">b<td>c<td>d<td><a href="1.pdf">p</a>
+        <tr><td>e</td><td>f<td>g<td>h</td><td>i</tr></tbody></table></div>"""
+    found = one(spark, result_rows(F.col("t"), F.lit("https://h.org/")), t=page)
+    assert [r["cells"] for r in found] == [["a", "b", "c", "d", "p"], ["e", "f", "g", "h", "i"]]
+    assert [a["url"] for a in found[0]["links"]] == ["https://h.org/1.pdf"]

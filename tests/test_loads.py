@@ -194,6 +194,7 @@ def test_approvals_run(spark, place):
         run_dataset(spark, spec, lambda: _approvals(spark, bad), place[1], AS_OF.replace(hour=14), {"etag": "2"})
     assert "has 1 null values" in str(problem.value) and "[その他]" in str(problem.value)
     assert table.sparkSession.table(table_name(place[0], spec.tables["approvals"])).count() == 2
+    assert rows(spark.table(f"{place[0]}.rule_values")) == [("approvals", "application_type", "その他", 1)]
     assert rows(list_states(read_states(spark, place[0]))) == [
         ("approvals", "FAILED", "2025-09-10 14:00:00", "2025-09-10 13:00:00", "0.1.0")
     ]

@@ -64,6 +64,17 @@ def test_xml(spark, tmp_path):
     assert xml_rows(spark, str(tmp_path), "./device", columns, require_rows=False).count() == 0
 
 
+def test_xml_files_honour_every_step_and_fail_loudly(spark, tmp_path):
+    elsewhere = '<r><other><product id="no"/></other><products><product id="yes"/></products></r>'
+    (tmp_path / "a.xml").write_text(elsewhere, encoding="utf-8")
+    assert [r.id for r in xml_rows(spark, str(tmp_path), "./products/product", ["id"]).collect()] == ["yes"]
+    for name, text in {"broken.xml": '<r><products><product id="1"></products></r>', "cut.xml": '<r><products><product id="1"/>'}.items():
+        (tmp_path / name).write_text(text, encoding="utf-8")
+        with pytest.raises(Exception, match="(?i)malformed"):
+            xml_rows(spark, str(tmp_path), "./products/product", ["id"], require_rows=False).collect()
+        (tmp_path / name).write_text("<r/>", encoding="utf-8")
+
+
 @pytest.mark.parametrize("path", ["./products/product", "/report/products/product", "products/product"])
 def test_xml_nodes(spark, path):
     more = XML.replace("</report>", '<products><product id="C3"/></products><x><product id="no"/></x></report>')
