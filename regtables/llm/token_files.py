@@ -27,7 +27,7 @@ from regtables.llm.common import partitions, slices, texts_of, work_folder, writ
 from regtables.llm.tokens import BYTE_BPE, encoder
 
 BLOCK_TOKENS = 1 << 16
-BLOCKS_AT_ONCE = 16
+BLOCKS_AT_ONCE = 32
 MAX_VOCABULARY = 1 << 20  # bounds the shared table, which goes to every task
 
 _IDS = "doc_id bigint, shard int, start bigint, n_tokens bigint, ids binary"
