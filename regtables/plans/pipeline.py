@@ -13,7 +13,9 @@ from regtables import __version__
 from regtables.operators.quality import failures, invalid_values
 from regtables.plans.specs import INGESTION_STATE, LOAD_MODES, RULE_VALUES, RUN_INPUTS, DatasetSpec
 from regtables.sinks.state import get_watermark, run_row, save_run
-from regtables.sinks.tables import Staged, bulk_load, ensure_tables, publish, stage, table_name, write_merged
+from regtables.sinks.tables import (
+    Staged, bulk_load, ensure_tables, location_of, publish, replace_version, stage, table_name, write_merged,
+)
 
 
 class LostInputError(ValueError):
@@ -75,11 +77,15 @@ def load_tables(
         raise ValidationError("\n".join(problems))
 
     if mode == "merge":
-        merged = _side_by_side(
-            spark, lambda k: write_merged(staged[k], spec.tables[k], schema, root, on_duplicate=on_duplicate), list(staged)
-        )
+        names = {k: table_name(schema, spec.tables[k]) for k in staged}
+        seen = {k: location_of(spark, name) for k, name in names.items()}
+        merge = lambda k: write_merged(staged[k], spec.tables[k], schema, root, on_duplicate=on_duplicate)
+        merged = _side_by_side(spark, merge, list(staged))
         for k, location in merged.items():
-            publish(spark, table_name(schema, spec.tables[k]), location)
+            if location_of(spark, names[k]) == seen[k]:
+                publish(spark, names[k], location)
+            else:  # another load came between
+                replace_version(spark, names[k], lambda: merge(k))
     else:
         for k, rows in staged.items():
             bulk_load(rows, spec.tables[k], schema, mode)

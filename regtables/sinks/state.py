@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regtables.functions.dates import display_timestamp
 from regtables.plans.specs import INGESTION_STATE
-from regtables.sinks.tables import publish, stage, table_name
+from regtables.sinks.tables import replace_version, stage, table_name
 
 
 def run_row(
@@ -60,6 +60,6 @@ def get_watermark(spark: SparkSession, schema_name: str, dataset_id: str) -> dic
 
 
 def save_run(spark: SparkSession, schema_name: str, root: str, run: DataFrame) -> None:
-    states = upsert_state(read_states(spark, schema_name), run)
-    staged = stage(states, INGESTION_STATE, schema_name, root)
-    publish(spark, table_name(schema_name, INGESTION_STATE), staged.location)
+    """Stores a run. Runs that end at the same time each keep their row, see :func:`replace_version`."""
+    make = lambda: stage(upsert_state(read_states(spark, schema_name), run), INGESTION_STATE, schema_name, root).location
+    replace_version(spark, table_name(schema_name, INGESTION_STATE), make)

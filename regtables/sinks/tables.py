@@ -9,7 +9,7 @@ Old versions are left in place for whoever still reads them.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -84,6 +84,28 @@ def stage(df: DataFrame, spec: TableSpec, schema_name: str, root: str) -> Staged
     return Staged(df.sparkSession.read.schema(spec.schema).parquet(location), location, counted.get["n"], counted.get["key_bytes"])
 
 
+def location_of(spark: SparkSession, table: str) -> str:
+    """Where the table's files lie, as the catalog has it now."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+    return rows.first().data_type
+
+
+ATTEMPTS = 5
+
+
+def replace_version(spark: SparkSession, table: str, make: Callable[[], str]) -> str:
+    """Publishes what ``make`` writes from the table's present rows. If another load has published meanwhile,
+    it is made again from the new rows, so neither is lost."""
+    for _ in range(ATTEMPTS):
+        seen = location_of(spark, table)
+        spark.catalog.refreshTable(table)
+        location = make()
+        if location_of(spark, table) == seen:
+            publish(spark, table, location)
+            return location
+    raise RuntimeError(f"{table} was changed by others {ATTEMPTS} times while a load was under way")
+
+
 def publish(spark: SparkSession, table: str, location: str) -> None:
     """The table shows the files at the location from now on."""
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
@@ -146,8 +168,8 @@ def execute_merge(
     check_merge_keys(list(spec.columns), list(keys if keys is not None else spec.primary_key))
     if staged.n_rows == 0:
         return 0
-    location = write_merged(staged, spec, schema_name, root, keys, on_duplicate, order)
-    publish(staged.rows.sparkSession, table_name(schema_name, spec), location)
+    merge = lambda: write_merged(staged, spec, schema_name, root, keys, on_duplicate, order)
+    replace_version(staged.rows.sparkSession, table_name(schema_name, spec), merge)
     return staged.n_rows
 
 

@@ -276,6 +276,25 @@ def test_no_table_is_published_if_one_fails(spark, place):
         load_tables(spark, spec, {}, place[1], mode="full")
 
 
+def test_runs_that_end_together_both_keep_their_state(spark, place, monkeypatch):
+    from regtables.plans.specs import INGESTION_STATE
+    from regtables.sinks import state
+
+    ensure_tables(spark, place[0], [INGESTION_STATE], place[1])
+    row = lambda name: run_row(spark, name, AS_OF, "SUCCESS", {}, "1")
+    plain, others = state.stage, ["b"]
+
+    def interrupted(*args):
+        staged = plain(*args)
+        while others:
+            state.save_run(spark, place[0], place[1], row(others.pop()))
+        return staged
+
+    monkeypatch.setattr(state, "stage", interrupted)
+    state.save_run(spark, place[0], place[1], row("a"))
+    assert rows(read_states(spark, place[0]).select("dataset_id")) == [("a",), ("b",)]
+
+
 def test_unreadable_inputs_are_no_success(spark, place):
     spec = with_config(ADVERSE_EVENTS, {"schema_name": place[0]})
     inputs = spark.createDataFrame([("a.zip", "DEMO", "ok"), ("b.zip", "DEMO", "unreadable")], "archive string, stem string, status string")
