@@ -36,7 +36,7 @@ def first_name_per_text(texts: DataFrame, names: DataFrame, text: str) -> DataFr
     # One number per name length: no longer than the longest name.
     lengths = sorted(r.n for r in names.select(F.length("name").alias("n")).distinct().collect() if r.n)
     if not lengths:
-        return texts.select(text).join(names, F.lit(False))
+        return texts.select(text, *[F.lit(None).cast(names.schema[c].dataType).alias(c) for c in names.columns]).where(F.lit(False))
     distinct_texts = texts.select(text).where(F.col(text).isNotNull()).distinct()
 
     def pieces(n: Column) -> Column:
