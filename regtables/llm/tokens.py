@@ -7,6 +7,7 @@ import os
 import re
 from array import array
 from functools import lru_cache
+from string import punctuation
 
 BYTE_BPE = "byte_bpe_50k.json"
 KEPT_UNITS = 700_000
@@ -53,7 +54,7 @@ class Recent:
         if len(self.young) + len(wanted) > self.size:
             self.old, self.young = self.young, {}
         new = wanted.difference(self.young)
-        for x in new.intersection(self.old):
+        for x in [x for x in new if x in self.old]:  # a set meets a dict by going through all of the dict
             self.young[x] = self.old[x]
         return new.difference(self.old)
 
@@ -104,8 +105,15 @@ class Encoder:
         """Learns units whose characters are all known to the pattern here; gives the others."""
         left = [u for u in new if _OTHER.search(u)] if _OTHER.search("".join(new)) else []
         new = new.difference(left)
-        letters = {u for u in new if u.isalpha()}  # a piece already
-        pieces = {u: [p[1:] if p[0] == " " and p[1:].isalpha() else "\0" + p for p in _PIECES.findall(_plain(u))] for u in new.difference(letters)}
+        letters, pieces = set(), {}
+        for u in new:
+            word = u.rstrip(punctuation)
+            if not word.isalpha():
+                pieces[u] = [p[1:] if p[0] == " " and p[1:].isalpha() else "\0" + p for p in _PIECES.findall(_plain(u))]
+            elif word == u:
+                letters.add(u)  # a piece already
+            else:
+                pieces[u] = (word, "\0" + u[len(word) :])
         known = self.recent.young
         parts = letters.union(*pieces.values()).difference(known)
         old = self.recent.old
