@@ -63,14 +63,13 @@ def _tokenize(tokenizer: str, end_id: int):
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(0, np.int64)
-    for batch in batches:
-        for ids in batch.column("ids"):
-            own = np.bincount(np.frombuffer(ids.as_buffer(), "<u4"))
-            if len(own) > MAX_VOCABULARY:
-                raise ValueError(f"an id of {len(own) - 1} is beyond the vocabulary bound")
-            if len(own) > len(counts):
-                counts = np.pad(counts, (0, len(own) - len(counts)))
-            counts[: len(own)] += own
+    for batch in slices(batches, "ids"):
+        own = np.bincount(np.frombuffer(b"".join(i.as_buffer() for i in batch.column("ids")), "<u4"))
+        if len(own) > MAX_VOCABULARY:
+            raise ValueError(f"an id of {len(own) - 1} is beyond the vocabulary bound")
+        if len(own) > len(counts):
+            counts = np.pad(counts, (0, len(own) - len(counts)))
+        counts[: len(own)] += own
     used = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["id", "n"])
 
