@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from regtables.llm.common import slices, parts_of
 
-LABELLED_ROWS = 4000
-UNLABELLED_ROWS = 4000
+LABELLED_ROWS = 3000
+UNLABELLED_ROWS = 3000
 ROUNDS = 3
 MARKED_SHARE = 0.1  # of the unlabelled documents, marked by each view in a round
 SURE = 0.9
@@ -76,19 +76,22 @@ def _features(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-3, steps: int = 120) -> np.ndarray:
-    """Weights and intercept of a penalised logistic regression, by accelerated gradients."""
-    x = np.column_stack([x, np.ones(len(x))])
+    """Weights and intercept of a penalised logistic regression, by accelerated gradients. Products are taken
+    in the precision of ``x``, so that it is not copied for them."""
+    x = np.column_stack([x, np.ones(len(x), x.dtype)])
     share = weight / weight.sum()
+    forward = lambda u: x @ u.astype(x.dtype)
+    back = lambda r: (r.astype(x.dtype) @ x).astype(np.float64)
     v = np.ones(x.shape[1])
     for _ in range(15):
-        v = x.T @ (share * (x @ v))
+        v = back(share * forward(v))
         size = np.linalg.norm(v)
         v /= size
     rate = 1 / (0.25 * size * 1.1 + penalty)
     w = z = np.zeros(x.shape[1])
     t = 1.0
     for _ in range(steps):
-        slope = x.T @ (share * (_curve(x @ z) - y)) + penalty * np.append(z[:-1], 0)
+        slope = back(share * (_curve(forward(z)) - y)) + penalty * np.append(z[:-1], 0)
         following = z - rate * slope
         s = (1 + np.sqrt(1 + 4 * t * t)) / 2
         z = following + (t - 1) / s * (following - w)
@@ -171,7 +174,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     found = found.sort_values(["turn", "content", "metadata"], kind="stable")
     if not len(found):
         return None
-    views = [np.stack([np.frombuffer(v, "<f4") for v in found[c]]).astype(np.float64) for c in ("content", "metadata")]
+    views = [np.stack([np.frombuffer(v, "<f4") for v in found[c]]) for c in ("content", "metadata")]
+    found = found[["label"]]
     is_known = found["label"].notna().to_numpy()
     y = found["label"][is_known].to_numpy(np.float64)
     return co_train(tuple(v[is_known] for v in views), y, tuple(v[~is_known] for v in views))
