@@ -8,12 +8,17 @@ stands for all. Each tree sorts the classes by its own part of the signature. Ca
 - all pairs of a region: the documents that share a prefix, which is made longer, value by value, where more
   than ``region`` documents share it. A region that is still larger at full depth is tied to its first document.
 
+Documents of regions with more than ``region`` at ``least_depth`` are crowded. They are also joined exactly, so
+that a prefix of any depth proposes all its pairs: two sets that are similar enough share one of the first
+shingles of both, in an order that has rare shingles first. Of each such shingle's documents the one that has it
+earliest is a hub that the others are compared with; then all pairs across what are still two components are.
+
 Sorted orders are dealt out by range, so a prefix that a third of all documents share lies in several tasks;
 the rows at both ends of a task's range are compared with those of the next task.
 
-Links are confirmed in two rounds. The first takes for each document the partner it met in most trees; the
-second takes all other candidates whose ends are not connected by then. Links inside a component change
-nothing, so both rounds together give the components of all candidates.
+Links are confirmed in rounds. The first takes for each document the partner it met in most trees; the second
+takes the hubs and all other candidates whose ends are not connected by then, the third the exact join's pairs.
+Links inside a component change nothing, so the rounds together give the components of all candidates.
 
 Null and empty texts have an empty set and are linked with nothing. A null doc_id is linked with nothing, has
 no component and stays. Rows that repeat a doc_id are one document with several texts: they have one
@@ -36,6 +41,8 @@ TREES = 20
 DEPTH = 8
 LEAST_DEPTH = 4
 REGION = 8
+RANK_BUCKETS = 1 << 18  # shingles are ordered by how often one of their bucket occurs
+LIST_ROWS = 1000  # a shingle with more documents is compared in several parts
 WORD_CUTS = words.separators((0x20, 0x20), (0x09, 0x0D))
 
 _SEEDS = np.random.RandomState(20_011)
@@ -47,6 +54,9 @@ _SKETCH_DDL = "doc_id bigint, n_shingles bigint, key_a bigint, key_b bigint, sig
 _TREE = pa.schema([("tree", pa.int32()), ("prefix", pa.binary()), ("id", pa.int64())])
 _TREE_DDL = "tree int, prefix binary, id bigint"
 _CANDIDATE = pa.schema([("border", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("tree", pa.int32()), ("prefix", pa.binary())])
+_COUNT = pa.schema([("bucket", pa.int64()), ("n", pa.int64())])
+_FIRST = pa.schema([("shingle", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("place", pa.int64())])
+_FIRST_DDL = "shingle bigint, id bigint, n bigint, place bigint"
 _CANDIDATE_DDL = "border int, a bigint, b bigint, tree int, prefix binary"
 
 
@@ -153,14 +163,41 @@ def _gathered(batches: Iterator[pa.RecordBatch], depth: int, first: str) -> tupl
     return column(first).astype(np.int64), column("tree").astype(np.int64), values, column("id").astype(np.int64)
 
 
+def crowded_rows(order: np.ndarray, prefixes: np.ndarray, least_depth: int, region: int) -> np.ndarray:
+    """Places of a sorted order in runs of more than ``region`` rows that share ``least_depth`` values, and in the
+    first and last run, which may go on in other tasks."""
+    if not len(order):
+        return np.zeros(0, np.int64)
+    new = (order[1:] != order[:-1]) | (prefixes[1:, :least_depth] != prefixes[:-1, :least_depth]).any(axis=1)
+    heads = np.flatnonzero(np.concatenate([[True], new]))
+    sizes = np.diff(np.concatenate([heads, [len(order)]]))
+    taken = sizes > region
+    taken[[0, -1]] = True
+    return np.flatnonzero(np.repeat(taken, sizes))
+
+
 def _candidates(depth: int, least_depth: int, region: int):
-    """A task's range of the sorted orders: its pairs, and the rows at both ends for the next tasks."""
+    """A task's range of the sorted orders: its pairs, the rows at both ends for the next tasks, and, with this
+    task as b, rows that may be crowded."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         me = TaskContext.get().partitionId()
         _, tree, values, ids = _gathered(batches, depth, "tree")
         for part in _pair_rows(tree, values, ids, least_depth, region):
             yield part
+        crowd = crowded_rows(tree, values, least_depth, region)
+        for i in range(0, len(crowd), 100_000):
+            at = crowd[i : i + 100_000]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.nulls(len(at), pa.int32()),
+                    pa.array(ids[at]),
+                    pa.array(np.full(len(at), me, np.int64)),
+                    pa.array(tree[at], pa.int32()),
+                    pa.array([values[i, :least_depth].tobytes() for i in at], pa.binary()),
+                ],
+                schema=_CANDIDATE,
+            )
         n = len(ids)
         at = np.concatenate([np.arange(min(region, n)), np.arange(max(0, n - region), n)])
         border = np.concatenate([np.full(min(region, n), me - 1), np.full(min(region, n), me)])
@@ -198,19 +235,63 @@ def _pair_rows(order, values, ids, least_depth: int, region: int) -> Iterator[pa
         )
 
 
-def _sets(size: int, chosen):
-    """Shingle sets of the documents that ``chosen``, a Bloom filter, lets pass."""
+def _chosen_sets(batches: Iterator[pa.RecordBatch], size: int, bits: np.ndarray) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
+    """Ids and shingle sets of the documents that ``bits``, a Bloom filter, lets pass."""
+    for batch in slices(batches):
+        place = batch.column("place").to_numpy() & (len(bits) * 64 - 1)
+        passed = (bits[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1)
+        batch = batch.filter(pa.array(passed.astype(bool)))
+        if batch.num_rows:
+            yield batch.column("doc_id"), shingle_sets(words.encoded(batch.column("text")), size)
 
+
+def _sets(size: int, chosen):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("id", pa.int64()), ("shingles", pa.list_(pa.int64()))])
-        bits = chosen.value
-        for batch in slices(batches):
-            place = batch.column("place").to_numpy() & (len(bits) * 64 - 1)
-            passed = (bits[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1)
-            batch = batch.filter(pa.array(passed.astype(bool)))
-            if batch.num_rows:
-                sets = shingle_sets(words.encoded(batch.column("text")), size)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([s.view(np.int64) for s in sets], schema.field("shingles").type)], schema=schema)
+        for ids, sets in _chosen_sets(batches, size, chosen.value):
+            yield pa.RecordBatch.from_arrays([ids, pa.array([s.view(np.int64) for s in sets], schema.field("shingles").type)], schema=schema)
+
+    return run
+
+
+def _bucket(shingles: np.ndarray) -> np.ndarray:
+    return (shingles & np.uint64(RANK_BUCKETS - 1)).astype(np.int64)
+
+
+def _bucket_counts(size: int, chosen):
+    """How often shingles of each bucket occur in a task's chosen documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(RANK_BUCKETS, np.int64)
+        for _, sets in _chosen_sets(batches, size, chosen.value):
+            counts += np.bincount(_bucket(np.concatenate(sets)), minlength=RANK_BUCKETS)
+        there = np.flatnonzero(counts)
+        for i in range(0, len(there), 100_000):
+            part = there[i : i + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(counts[part])], schema=_COUNT)
+
+    return run
+
+
+def least_shared(n_a, n_b, percent: int):
+    """What two sets must share at least: 100 * shared >= percent * (n_a + n_b - shared), rounded up."""
+    return (percent * (n_a + n_b) + 99 + percent) // (100 + percent)
+
+
+def first_shingles(shingles: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """Those of a set, in the common order, of which it shares one with every set that is similar enough."""
+    n = len(shingles)
+    return shingles[np.lexsort((shingles, counts[_bucket(shingles)]))][: n - (percent * n + 99) // 100 + 1] if n else shingles
+
+
+def _first(size: int, percent: int, chosen, counts):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, sets in _chosen_sets(batches, size, chosen.value):
+            found = [first_shingles(s, counts.value, percent) for s in sets]
+            sizes = [len(f) for f in found]
+            if sum(sizes):
+                columns = np.concatenate(found).view(np.int64), np.repeat(ids.to_numpy(), sizes), np.repeat([len(s) for s in sets], sizes), np.concatenate([np.arange(k) for k in sizes])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=_FIRST)
 
     return run
 
@@ -250,16 +331,62 @@ class Forest:
         found = written(ranged.mapInArrow(_candidates(*settings), _CANDIDATE_DDL), f"{self.folder}/met")
         ends = found.where("border is not null").select("border", "tree", "prefix", F.col("a").alias("id"))
         ends = ends.repartition("border").sortWithinPartitions("border", "tree", "prefix", "id")
-        pairs = found.where("border is null").unionAll(ends.mapInArrow(_border_candidates(*settings), _CANDIDATE_DDL))
+        crowd = found.where("border is null and prefix is not null")
+        regions = crowd.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("n"), F.min("b").alias("first"), F.max("b").alias("last"))
+        # A region in more than two tasks is not whole at any border.
+        regions = regions.where((F.col("n") > self.region) | (F.col("last") - F.col("first") > 1))
+        self.crowded = written(crowd.join(regions, ["tree", "prefix"], "left_semi").select(F.col("a").alias("id")).distinct(), f"{self.folder}/crowded")
+        pairs = found.where("border is null and prefix is null").unionAll(ends.mapInArrow(_border_candidates(*settings), _CANDIDATE_DDL))
         return written(pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("times")), f"{self.folder}/candidates")
 
+    def _placed(self) -> DataFrame:
+        return self.docs.where("doc_id is not null").withColumn("place", F.xxhash64("doc_id"))
+
+    def first_of_crowded(self) -> DataFrame | None:
+        """shingle, id, n, place: the first shingles of each crowded document. None if there are no such documents."""
+        if self.crowded.isEmpty():
+            return None
+        context = self.spark.sparkContext
+        chosen = context.broadcast(_filter_of(self.crowded))
+        found = self._placed().mapInArrow(_bucket_counts(self.size, chosen), "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+        counts = np.zeros(RANK_BUCKETS, np.int64)
+        counts[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
+        rows = self._placed().mapInArrow(_first(self.size, self.percent, chosen, context.broadcast(counts)), _FIRST_DDL)
+        return written(rows.join(self.crowded, "id", "left_semi").select("shingle", "id", "n", "place").distinct(), f"{self.folder}/first")
+
+    @staticmethod
+    def _lists(first: DataFrame, labels: DataFrame) -> DataFrame:
+        """Rows of ``first`` with ``of``, their component, for shingles that lie in several; with ``rows`` of the
+        shingle, its ``hub``, and ``most``, the component that has most of them."""
+        rows = first.join(labels.select("id", F.col("component").alias("of")), "id", "left").withColumn("of", F.coalesce("of", "id"))
+        parts = rows.groupBy("shingle", "of").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("place", "id")).alias("h"))
+        lists = parts.groupBy("shingle").agg(F.sum("k").alias("rows"), F.min("h")["id"].alias("hub"), F.max_by("of", F.struct("k", "of")).alias("most"), F.count(F.lit(1)).alias("parts"))
+        return rows.join(lists.where("parts > 1").drop("parts"), "shingle")
+
+    def hub_pairs(self, first: DataFrame, labels: DataFrame) -> DataFrame:
+        """a, b: each crowded document with the hub of most of its first shingles."""
+        met = self._lists(first, labels).where("id <> hub").groupBy("id", "hub").agg(F.count(F.lit(1)).alias("times"))
+        best = met.groupBy("id").agg(F.max_by("hub", F.struct("times", -F.col("hub"))).alias("hub"))
+        return best.select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b"))
+
+    def joined_pairs(self, first: DataFrame, labels: DataFrame) -> DataFrame:
+        """a, b: all pairs of crowded documents in different components that may be similar enough."""
+        rows = written(self._lists(first, labels), f"{self.folder}/lists")
+        parts = F.ceil(F.col("rows") / LIST_ROWS).cast("int")
+        left = rows.where("of <> most").select("shingle", "most", *(F.col(c).alias(f"{c}_a") for c in ("id", "n", "place", "of")), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+        right = rows.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ("id", "n", "place", "of")), F.pmod(F.xxhash64("id"), parts).cast("int").alias("part"))
+        shared = F.expr(f"({self.percent} * (n_a + n_b) + 99 + {self.percent}) div {100 + self.percent}")  # least_shared
+        fits = (F.col("place_a") <= F.col("n_a") - shared) & (F.col("place_b") <= F.col("n_b") - shared)
+        once = (F.col("of_a") < F.col("of_b")) | ((F.col("of_b") == F.col("most")) & (F.col("of_a") != F.col("of_b")))
+        both = left.join(right, ["shingle", "part"]).where(fits & once)
+        return both.select(F.greatest("id_a", "id_b").alias("a"), F.least("id_a", "id_b").alias("b")).distinct()
+
     def confirmed(self, pairs: DataFrame, name: str) -> DataFrame:
         """Those of ``pairs`` (a, b) whose whole sets are similar enough."""
         pairs = written(pairs, f"{self.folder}/pairs-{name}")
         ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
         chosen = self.spark.sparkContext.broadcast(_filter_of(ids))
-        rows = self.docs.where("doc_id is not null").withColumn("place", F.xxhash64("doc_id"))
-        sets = rows.mapInArrow(_sets(self.size, chosen), "id bigint, shingles array<bigint>").join(ids, "id", "left_semi")
+        sets = self._placed().mapInArrow(_sets(self.size, chosen), "id bigint, shingles array<bigint>").join(ids, "id", "left_semi")
         sets = written(sets, f"{self.folder}/sets-{name}")
         side = lambda c: sets.select(F.col("id").alias(c), F.col("shingles").alias(f"set_{c}"))
         shared = F.size(F.array_intersect("set_a", "set_b"))
@@ -270,22 +397,32 @@ class Forest:
         both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", linked.alias("linked"))
         return written(both.where("linked").select("a", "b").distinct(), f"{self.folder}/links-{name}")
 
+    def _merged(self, labels: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
+        """``labels`` after those of ``pairs`` that are confirmed have joined their components."""
+        label = lambda c: labels.select(F.col("id").alias(c), F.col("component").alias(f"of_{c}"))
+        ends = self.confirmed(pairs, name).join(label("a"), "a", "left").join(label("b"), "b", "left")
+        joined = components(ends.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")), f"{self.folder}/components-{name}")
+        joined = written(joined, f"{self.folder}/labels-{name}")
+        upper = joined.select(F.col("id").alias("component"), F.col("component").alias("top"))
+        moved = labels.join(upper, "component", "left").select("id", F.coalesce("top", "component").alias("component"))
+        return moved.unionAll(joined.join(labels, "id", "left_anti"))
+
     def run(self) -> DataFrame:
         """id, component of the classes that have a link."""
         candidates = self.candidates()
         best = candidates.groupBy("a").agg(F.max_by("b", F.struct("times", -F.col("b"))).alias("b"))
-        first = written(components(self.confirmed(best, "1"), f"{self.folder}/components-1"), f"{self.folder}/labels-1")
-        label = lambda c: first.select(F.col("id").alias(c), F.col("component").alias(f"of_{c}"))
-        rest = candidates.join(label("a"), "a", "left").join(label("b"), "b", "left")
+        labels = written(components(self.confirmed(best, "1"), f"{self.folder}/components-1"), f"{self.folder}/labels-1")
+        label = lambda c: labels.select(F.col("id").alias(c), F.col("component").alias(f"of_{c}"))
+        first = self.first_of_crowded()
+        rest = candidates.select("a", "b") if first is None else candidates.select("a", "b").unionAll(self.hub_pairs(first, labels)).distinct()
+        rest = rest.join(label("a"), "a", "left").join(label("b"), "b", "left")
         rest = rest.withColumns({"of_a": F.coalesce("of_a", "a"), "of_b": F.coalesce("of_b", "b")}).where("of_a <> of_b")
         rest = rest.join(best, ["a", "b"], "left_anti")
-        second = self.confirmed(rest.select("a", "b"), "2")
-        ends = second.join(label("a"), "a", "left").join(label("b"), "b", "left")
-        joined = components(ends.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")), f"{self.folder}/components-2")
-        joined = written(joined, f"{self.folder}/labels-2")
-        upper = joined.select(F.col("id").alias("component"), F.col("component").alias("top"))
-        moved = first.join(upper, "component", "left").select("id", F.coalesce("top", "component").alias("component"))
-        return moved.unionAll(joined.join(first, "id", "left_anti"))
+        labels = self._merged(labels, rest.select("a", "b"), "2")
+        if first is None:
+            return labels
+        labels = written(labels, f"{self.folder}/merged-2")
+        return self._merged(labels, self.joined_pairs(first, labels), "3")
 
 
 def near_copies(docs: DataFrame, size: int = 5, percent: int = 80, trees: int = TREES, depth: int = DEPTH, least_depth: int = LEAST_DEPTH, region: int = REGION) -> DataFrame:

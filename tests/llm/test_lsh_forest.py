@@ -69,6 +69,39 @@ def test_against_brute_force(spark, size, percent):
     assert sorted((tuple(r) for r in got), key=repr) == brute(docs, size, percent)
 
 
+def test_many_copies_linked_through_one_document_in_mid_order(spark):
+    """Copies link to their base and not to each other; the base is not the smallest id."""
+    rng = random.Random(2)
+    base = [f"w{i}" for i in range(400)]
+    docs = [(500, " ".join(base))]
+    for k in range(150):
+        copy = list(base)
+        for at in rng.sample(range(8, 392, 8), 8):
+            copy[at] = f"own{k}-{at}"
+        docs.append((400 + k + (k >= 100), " ".join(copy)))
+    # Copies of another text that are as near to theirs, but whose base is not there.
+    docs += [(2000 + k, " ".join(f"own{k}-{i}" if i % 32 < 2 else f"v{i}" for i in range(200))) for k in range(40)]
+    wanted = brute(docs, 5, 80)
+    assert {r[2] for r in brute([d for d in docs if d[0] != 500], 5, 80) if r[0] < 2000} == {*range(400, 551)} - {500}
+    assert sum(r[2] == 400 for r in wanted) == 151 and sum(r[3] for r in wanted) == 41
+    got = lsh_forest.near_copies(spark.createDataFrame(docs, "doc_id long, text string").repartition(5)).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == wanted
+
+
+def test_sets_that_are_similar_enough_share_a_first_shingle():
+    rng = np.random.default_rng(5)
+    counts = rng.integers(0, 50, lsh_forest.RANK_BUCKETS)
+    for _ in range(300):
+        both, a, b = (rng.integers(0, 1 << 63, n, dtype=np.uint64) for n in (rng.integers(1, 60), rng.integers(0, 10), rng.integers(0, 10)))
+        sets = [np.unique(np.concatenate([both, x])) for x in (a, b)]
+        n_a, n_b = map(len, sets)
+        shared = len(np.intersect1d(*sets))
+        assert (shared >= lsh_forest.least_shared(n_a, n_b, 80)) == (100 * shared >= 80 * (n_a + n_b - shared))
+        if shared >= (least := lsh_forest.least_shared(n_a, n_b, 80)):
+            first = [lsh_forest.first_shingles(s, counts, 80)[: len(s) - least + 1] for s in sets]
+            assert len(np.intersect1d(*first))
+
+
 def test_repeated_rows_and_stage(spark):
     text = " ".join(f"w{i}" for i in range(50))
     d = spark.createDataFrame([(4, text, "a"), (4, text, "a"), (9, text + " more", "b"), (11, "other words here", "c")], "doc_id long, text string, kept string")
