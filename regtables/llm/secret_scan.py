@@ -1,7 +1,9 @@
 """Secrets in text, with a random forest that removes false findings. Expressions and Spark ML only.
 
-A candidate is the longest-leading run of ``[A-Za-z0-9+/_.~-]`` of a word (text between white space) that has
-``MIN_LENGTH`` characters and a digit, or ``MIN_LETTERS`` characters without one. Its features:
+Candidates are all longest runs of ``[A-Za-z0-9+/_.~-]`` in a word (text between white space) that have
+``MIN_LENGTH`` characters and a digit, or ``MIN_LETTERS`` characters without one. What stands before one is the
+text from the last ``NEAR`` runs of its word on, or, if it has fewer, its word so far and ``NEAR`` words more; after
+it comes the text to the next run, or the next word. Features:
 
 - length, shares of digits, capitals and distinct characters, changes between digits and letters and between
   cases per character,
@@ -34,7 +36,7 @@ DICTIONARY_ROWS = 5
 TRAINING_ROWS = 5000
 THRESHOLD = 0.5
 HELD_FOLD, FOLDS = 2, 4
-NEAR = 3  # words looked at before a candidate
+NEAR = 3  # words or runs looked at before a candidate
 
 RUN = r"[A-Za-z0-9+/_.~-]{16,}"
 CREDENTIAL = r"(?i)(token|secret|passw|passphrase|pwd|credential|bearer|auth|api|key)"
@@ -50,24 +52,36 @@ FEATURES = [
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, path, word_no, start (in characters), value, word, before (words), after (word)."""
+    """doc_id, path, word_no, start (in characters), value, before (words), lead and tail (around it in its word), after (word)."""
     words = docs.select("doc_id", F.coalesce("source", F.lit("")).alias("path"), F.split(F.coalesce("text", F.lit("")), r"\s").alias("words"))
-    long = F.filter(F.transform("words", lambda w, i: F.struct(i.alias("word_no"), w.alias("word"))), lambda c: F.length(c["word"]) >= MIN_LENGTH)
+    long = F.filter(F.transform("words", lambda w, i: F.struct(i.alias("word_no"), w.alias("word"))), lambda c: (F.length(c["word"]) >= MIN_LENGTH) & c["word"].rlike(RUN))
     found = F.transform(
         long,
         lambda c: F.struct(
             c["word_no"].alias("word_no"),
             c["word"].alias("word"),
-            F.regexp_extract(c["word"], RUN, 0).alias("value"),
             # Words are one white space character apart; empty ones between are counted too.
             F.aggregate(F.slice(F.col("words"), 1, c["word_no"]), F.lit(0).cast("bigint"), lambda acc, w: acc + F.length(w) + 1).alias("word_start"),
             F.array_join(F.slice(F.col("words"), F.greatest(c["word_no"] + 1 - NEAR, F.lit(1)), F.least(c["word_no"], F.lit(NEAR))), " ").alias("before"),
             F.coalesce(F.get(F.col("words"), c["word_no"] + 1), F.lit("")).alias("after"),
         ),
     )
-    is_one = lambda c: (F.length(c["value"]) >= MIN_LENGTH) & (c["value"].rlike("[0-9]") | (F.length(c["value"]) >= MIN_LETTERS))
-    rows = words.select("doc_id", "path", F.explode(F.filter(found, is_one)).alias("c")).select("doc_id", "path", "c.*")
-    return rows.withColumn("start", F.col("word_start") + F.instr("word", F.col("value")) - 1).drop("word_start")
+    rows = words.select("doc_id", "path", F.explode(found).alias("c")).select("doc_id", "path", "c.*")
+    # A gap stands before each run, and one after the last.
+    rows = rows.select("*", F.regexp_extract_all("word", F.lit(RUN), F.lit(0)).alias("runs"), F.split("word", RUN, -1).alias("gaps")).drop("word")
+    total = lambda parts: F.aggregate(parts, F.lit(0).cast("bigint"), lambda acc, x: acc + F.length(x))
+    rows = rows.select("*", F.posexplode("runs").alias("k", "value")).where(F.col("value").rlike("[0-9]") | (F.length("value") >= MIN_LETTERS))
+    k, first = F.col("k"), F.greatest(F.col("k") - NEAR, F.lit(0))
+    pieces = F.zip_with(F.slice("gaps", first + 1, k - first + 1), F.slice("runs", first + 1, k - first), lambda gap, run: F.concat(gap, F.coalesce(run, F.lit(""))))
+    return rows.select(
+        "doc_id", "path", "word_no",
+        (F.col("word_start") + total(F.slice("gaps", F.lit(1), k + 1)) + total(F.slice("runs", F.lit(1), k))).alias("start"),
+        "value",
+        F.when(k < NEAR, F.col("before")).otherwise("").alias("before"),
+        F.array_join(pieces, "").alias("lead"),
+        F.get("gaps", k + 1).alias("tail"),
+        F.when(k + 1 == F.size("runs"), F.col("after")).otherwise("").alias("after"),
+    )
 
 
 def dictionary(docs: DataFrame, parts: DataFrame, least: int = DICTIONARY_ROWS) -> DataFrame:
@@ -88,12 +102,13 @@ def with_features(found: DataFrame, docs: DataFrame, folder: str) -> DataFrame:
     parts = written(parts, f"{folder}/parts")
     known = written(dictionary(docs, parts.select("part").distinct()), f"{folder}/dictionary")
     covered = parts.join(known, "part", "left_semi").groupBy("value").agg(F.sum(F.length("part")).alias("covered"))
-    v, before, near = F.col("value"), F.col("before"), F.concat_ws(" ", "before", "word", "after")
-    named = F.concat_ws(" ", "before", F.expr("substring(word, 1, instr(word, value) - 1)"))
+    v = F.col("value")
+    near = F.concat_ws(" ", "before", F.concat("lead", "value", "tail"), "after")
+    named = F.concat_ws(" ", "before", "lead")
     flag = lambda c: c.cast("double")
     rows = found.join(covered, "value", "left")
     return rows.select(
-        "doc_id", "path", "word_no", "start", "value", "before", "word", "after",
+        "doc_id", "path", "word_no", "start", "value", "before", "lead", "tail", "after",
         F.length(v).cast("double").alias("length"),
         _share(v, "[0-9]").alias("digits"),
         _share(v, "[A-Z]").alias("capitals"),
@@ -107,7 +122,7 @@ def with_features(found: DataFrame, docs: DataFrame, folder: str) -> DataFrame:
         flag(named.rlike(DIGEST)).alias("digest_near"),
         flag(near.rlike(CONTACT)).alias("contact_near"),
         flag(named.rlike(r"[=:]\s*[\"']?$")).alias("assigned"),
-        flag(F.col("word").rlike("^[\"'`]")).alias("quoted"),
+        flag(F.col("lead").rlike("[\"'`]$")).alias("quoted"),
     )
 
 

@@ -46,6 +46,23 @@ def test_candidates_against_brute_force(spark):
     assert got == sorted(((i, *f) for i, t, _ in docs for f in brute(t)), key=repr)
 
 
+def test_all_runs_of_a_word(spark):
+    key, other = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzz", "0123456789abcdef"
+    texts = [
+        f"AWS_SECRET_ACCESS_KEY={key}", f"x spring.datasource.password={key} y", f"DefaultEndpointsProtocol=https;AccountName=été;AccountKey={key}==",
+        f'{{"id":"{other}","token":"{key}","again":"{key}"}}', f'[{",".join([other] * 50)}]', f"={key}", "a" * 16 + ";" + "b" * 24,
+    ]
+    wanted = []
+    for i, text in enumerate(texts):
+        for w in re.finditer(r"\S+", text):
+            runs = [m for m in re.finditer(r"[A-Za-z0-9+/_.~-]{16,}", w.group()) if re.search("[0-9]", m.group()) or len(m.group()) >= 24]
+            wanted += [(i, w.start() + m.start(), m.group()) for m in runs]
+    found = scan.candidates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("*", "'app' AS source")).collect()
+    assert sorted((r.doc_id, r.start, r.value) for r in found) == sorted(wanted)
+    assert {(r.before, r.lead, r.tail, r.after) for r in found if r.doc_id == 1 and r.value == key} == {("x", "spring.datasource.password=", "", "y")}
+    assert [r.lead for r in found if r.doc_id == 3 and r.value == key][0] == f'{{"id":"{other}","token":"'
+
+
 def test_forest_keeps_true_findings_and_drops_others(spark):
     docs, true = cases()
     d = spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(4)
