@@ -62,6 +62,7 @@ class Recent:
 class Encoder:
     """Encodes texts unit by unit, and a unit that is new piece by piece. Pieces are those the tokenizer cuts
     the whole text into, so the ids are the tokenizer's. Units and pieces that came lately are looked up.
+    Texts that hold an added token, such as ``<|endoftext|>``, are encoded whole, with that token's own id.
 
     Both are named without the space they begin with; a leading NUL says that there is none."""
 
@@ -70,8 +71,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file(name))
-        self.tokenizer.encode_special_tokens = True
         settings = json.loads(self.tokenizer.to_str())
+        self.added = [t["content"] for t in settings["added_tokens"]]
         # The same model without the cutting; its input is written in byte characters.
         self.byte_level = settings["pre_tokenizer"]["type"] == "ByteLevel" and not settings["normalizer"] and not settings["pre_tokenizer"]["add_prefix_space"]
         self.core = Tokenizer.from_str(json.dumps(settings | {"added_tokens": [], "pre_tokenizer": None}))
@@ -80,6 +81,11 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
+        whole = {t for t in texts if any(a in t for a in self.added)}
+        if whole:
+            own = dict(zip(whole, self._ids(self.tokenizer, list(whole)), strict=True))
+            others = iter(self.encode([t for t in texts if t not in whole]))
+            return [own[t] if t in whole else next(others) for t in texts]
         cut = [self._units(t) for t in texts]
         wanted = set()
         for units in cut:

@@ -62,6 +62,25 @@ def test_units_give_the_tokenizers_ids():
             assert np.frombuffer(e.encode([t])[0], "<u4").tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids
 
 
+def test_special_tokens_have_their_own_id(spark):
+    from tokenizers import Tokenizer
+
+    from regtables.llm import packing, token_counts
+    from regtables.llm.tokens import tokenizer_file
+
+    plain = Tokenizer.from_file(tokenizer_file())
+    texts = ["a <|endoftext|> b", "plain  text", "<|endoftext|>", "x  <|endoftext|><|endoftext|>  y\n<|endoftext", "", "many words " * 200 + "a  <|endoftext|>\n b"]
+    ids = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids[0] == [64, 220, 50256, 275]
+    assert [np.frombuffer(x, "<u4").tolist() for x in Encoder().encode(texts)] == ids
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    crc = lambda x: zlib.crc32(np.array(x, "<u4").tobytes())
+    ends = np.cumsum([len(x) + 1 for x in ids]).tolist()
+    assert sorted(tuple(r) for r in token_files.token_digests(d).collect()) == [(i, e - len(x) - 1, len(x) + 1, crc([*x, 2])) for i, (x, e) in enumerate(zip(ids, ends))]
+    assert sorted((r.doc_id, r.length, r.ids_crc32) for r in packing.packed(d).collect()) == [(i, len(x) + 1, crc([*x, 0])) for i, x in enumerate(ids)]
+    assert sorted((r.doc_id, r.tokens_before) for r in token_counts.revised_counts(d).collect()) == [(i, len(x)) for i, x in enumerate(ids)]
+
+
 def test_lanes_checkpoints_and_rare_ids():
     rng = np.random.default_rng(1)
     ids = np.minimum(rng.zipf(1.2, 200_000), 50_000).astype(np.uint32)
