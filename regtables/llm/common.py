@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -29,6 +29,22 @@ def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def ranked(df: DataFrame, order: Sequence[Column], folder: str, **options) -> tuple[DataFrame, int]:
+    """``df`` with each row's ``place`` (0, 1, ...) in ``order``, written to ``folder``, and how many rows there are.
+    Rows are dealt by ranges and sorted there; a row per partition comes to the driver for its count."""
+    dealt = df.repartitionByRange(partitions(df.sparkSession), *order).sortWithinPartitions(*order)
+    # Partition and row number within it, as this function defines its values.
+    rows = written(dealt.withColumn("place", F.monotonically_increasing_id()), folder, **options)
+    part, at = F.shiftrightunsigned("place", 33), F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = {r.part: r.n for r in rows.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    starts, n = [], 0
+    for k in range(max(sizes, default=-1) + 1):
+        starts.append(n)
+        n += sizes.get(k, 0)
+    start = F.element_at(F.lit(starts), part.cast("int") + 1) if starts else F.lit(0)
+    return rows.withColumn("place", (start + at).cast("bigint")), n
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z and nothing else."""
     return F.translate(text, ASCII_UPPER, ASCII_UPPER.lower())

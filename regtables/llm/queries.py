@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from regtables.llm import chat_format, decontaminate, exact_dedup, lsh_forest, packing, quality, secret_scan, token_counts, token_files, toxicity
+from regtables.llm import chat_format, decontaminate, exact_dedup, lsh_forest, packing, quality, resampling, secret_scan, token_counts, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -120,3 +120,41 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_secret_scan")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secrets(table(spark, sf_dir, "documents"))
+
+
+# crc32 of a text's UTF-8 bytes in SQL: the table by its rule, then a byte at a time.
+_CRC_TABLE = "SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc"
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(length(hex({0})) // 2),
+          lambda k: (instr('0123456789ABCDEF', substr(hex({0}), 2 * k + 1, 1)) - 1) * 16 + instr('0123456789ABCDEF', substr(hex({0}), 2 * k + 2, 1)) - 1)),
+        lambda c, b: xor(c >> 8, crc[1 + (xor(c, b) & 255)])))"""
+
+
+@query(
+    "op13_resampling",
+    f"""
+    WITH tab AS ({_CRC_TABLE}),
+    words AS (
+      SELECT which, doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                      '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS word
+      FROM (SELECT 's' AS which, doc_id, text FROM documents UNION ALL SELECT 't', NULL, text FROM benchmark)
+    ), bucket AS (
+      SELECT word, {_CRC.format('word')} % 10000 AS b FROM (SELECT DISTINCT word FROM words), tab
+    ), counts AS (
+      SELECT b, count(*) FILTER (which = 's') AS s, count(*) FILTER (which = 't') AS t FROM words JOIN bucket USING (word) GROUP BY b
+    ), gains AS (
+      SELECT b, CAST(floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE))) AS BIGINT) AS gain FROM counts
+    ), weights AS (
+      SELECT doc_id, count(*) AS n, sum(gain) AS w FROM words JOIN bucket USING (word) JOIN gains USING (b) WHERE which = 's' GROUP BY doc_id
+    ), scored AS (
+      SELECT doc_id, coalesce(n, 0) AS n_features, CAST(coalesce(w, 0) AS BIGINT) AS weight,
+             CAST(coalesce(w, 0) + floor(-1000 * ln(-ln((CAST('0x' || left(sha256('2024:' || doc_id), 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+      FROM documents LEFT JOIN weights USING (doc_id)
+    )
+    SELECT doc_id, n_features AS n_words, n_features, weight, score,
+           CASE WHEN n_features >= 20 AND row_number() OVER (ORDER BY n_features < 20, score DESC, doc_id) <= 10 * count(*) FILTER (n_features >= 20) OVER () // 100
+                THEN row_number() OVER (ORDER BY n_features < 20, score DESC, doc_id) END AS rank
+    FROM scored
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
