@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from regtables.llm import chat_format, decontaminate, exact_dedup, lsh_forest, packing, quality, resampling, secret_scan, token_counts, token_files, toxicity
+from regtables.llm import chat_format, decontaminate, exact_dedup, lsh_forest, merkle, packing, quality, resampling, secret_scan, token_counts, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -158,3 +158,53 @@ _CRC = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(ra
 )
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _levels(nodes: str, paths: str, n: int) -> str:
+    """SQL that goes up a tree of three: from ``nodes``0 (tree, pos, d) and ``paths``0 (doc_id, tree, pos, d, proof) to those of level ``n``."""
+    return ",".join(
+        f"""
+    {nodes}{k + 1} AS (
+      SELECT tree, pos // 3 AS pos, CASE WHEN any_value(n) = 1 THEN min(d) ELSE sha256(string_agg(d, '' ORDER BY pos)) END AS d
+      FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {nodes}{k}) GROUP BY tree, pos // 3
+    ), {paths}{k + 1} AS (
+      SELECT p.doc_id, p.tree, p.pos // 3 AS pos,
+             CASE WHEN any_value(n.n) = 1 THEN any_value(p.d) ELSE sha256(string_agg(CASE WHEN n.pos = p.pos THEN p.d ELSE n.d END, '' ORDER BY n.pos)) END AS d,
+             any_value(p.proof) || coalesce(string_agg(n.d, '' ORDER BY n.pos) FILTER (n.pos <> p.pos), '') AS proof
+      FROM {paths}{k} p JOIN (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {nodes}{k}) n
+        ON n.tree IS NOT DISTINCT FROM p.tree AND n.pos // 3 = p.pos // 3
+      GROUP BY p.doc_id, p.tree, p.pos // 3
+    )"""
+        for k in range(n)
+    )
+
+
+_HASHED = "sha256(concat({}))".format(", ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars", "{text}")))
+
+
+@query(
+    "op12_merkle",
+    f"""
+    WITH tab AS ({_CRC_TABLE}),
+    leaves AS (
+      SELECT doc_id, source, {_HASHED.format(text='text')} AS leaf,
+             {_HASHED.format(text='shown')} AS told
+      FROM (SELECT d.*, CASE WHEN {_CRC.format('doc_id::VARCHAR')} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS shown FROM documents d, tab)
+    ), placed AS (
+      SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id, leaf) - 1 AS pos FROM leaves
+    ), n0 AS (SELECT source AS tree, pos, leaf AS d FROM placed),
+    p0 AS (SELECT doc_id, source AS tree, pos, told AS d, '' AS proof FROM placed),
+    {_levels('n', 'p', 12)},
+    subroots AS (SELECT tree AS source, d, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS pos FROM n12),
+    m0 AS (SELECT 1 AS tree, pos, d FROM subroots),
+    q0 AS (SELECT doc_id, 1 AS tree, s.pos, p.d, proof FROM p12 p JOIN subroots s ON s.source IS NOT DISTINCT FROM p.tree),
+    {_levels('m', 'q', 8)}
+    SELECT doc_id, leaf, s.d AS subroot, m.d AS root, sha256(proof) AS proof_sha256, q.d AS folded_root, q.d = m.d AS verified
+    FROM placed JOIN q8 q USING (doc_id) JOIN subroots s ON s.source IS NOT DISTINCT FROM placed.source, m8 m
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    shown = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    found = merkle.proofs(table(spark, sf_dir, "documents"), {"text": shown})
+    return found.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
