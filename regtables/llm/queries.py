@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from regtables.llm import chat_format, decontaminate, exact_dedup, lsh_forest, merkle, packing, quality, resampling, secret_scan, token_counts, token_files, toxicity
+from regtables.llm import chat_format, decontaminate, exact_dedup, language, lsh_forest, merkle, packing, quality, resampling, secret_scan, token_counts, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -208,3 +208,8 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
     found = merkle.proofs(table(spark, sf_dir, "documents"), {"text": shown})
     return found.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+@query("op11_language")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(spark, sf_dir, "documents"))
