@@ -30,6 +30,7 @@ WINDOW = 96
 HIDDEN = 16
 PER_LANGUAGE = 700
 WINDOWS_EACH = 4
+SPARE = 4
 STEPS = 200
 BATCH = 192
 RATE = 0.02
@@ -247,9 +248,12 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, **settings) -> Netw
     """A network that has learnt from a bounded sample of ``docs`` (doc_id, text, lang). Ids are chosen first, from
     two small columns; then windows are cut from their texts, a bounded number of a language again."""
     known = _fold(docs.select("doc_id", "lang", "text")).where("lang is not null and not held_out")
-    turn = F.xxhash64("doc_id")
     first = lambda n, *order: F.row_number().over(Window.partitionBy("lang").orderBy(*order)) <= n
-    ids = known.select("lang", "doc_id", turn.alias("turn")).where("doc_id is not null")
+    ids = known.select("lang", "doc_id", F.xxhash64("doc_id").alias("turn")).where("doc_id is not null")
+    # A row per language. Ids with a small enough hash are some SPARE times as many as are wanted, at every size.
+    n_rows = F.broadcast(ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))
+    likely = (F.col("turn") / 2.0**64 + 0.5) * F.col("n") < SPARE * per_language
+    ids = ids.join(n_rows, "lang").where(likely).select("lang", "doc_id", "turn").distinct()
     ids = ids.withColumn("chosen", first(per_language, "turn", "doc_id")).where("chosen").select("doc_id", "turn").distinct()
     # At most per_language ids of a language.
     texts = known.select("doc_id", "lang", "text").join(F.broadcast(ids), "doc_id").select("lang", "turn", "text")
