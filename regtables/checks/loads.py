@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regtables.checks.registry import check, new_folder, new_schema, table
+from regtables.operators.sizing import pin
 from regtables.operators.upsert import duplicate_keys, latest_per_key, upsert
 from regtables.plans.specs import TableSpec
-from regtables.sinks.tables import bulk_load, ensure_tables, execute_merge, stage, table_name
+from regtables.sinks.tables import bulk_load, edit_of, ensure_tables, execute_merge, log_of, read_table, stage, table_name
 from regtables.streaming.intake import read_new_files, stream_upsert
 
 _ORDERS = TableSpec("orders", {"o_orderkey": "BIGINT", "o_orderstatus": "TEXT", "o_orderpriority": "TEXT"}, ("o_orderkey",))
@@ -84,6 +85,49 @@ def load_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table_name(schema, _ORDERS))
 
 
+@check("load_interleaved", """
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'X' WHEN o_orderstatus = 'F' THEN 'Y' ELSE o_orderstatus END AS o_orderstatus, o_orderpriority FROM orders
+UNION ALL SELECT -o_orderkey - 1, o_orderstatus, o_orderpriority FROM orders WHERE o_orderpriority = '1-URGENT'
+UNION ALL SELECT o_orderkey, 'again', o_orderpriority FROM orders WHERE o_orderpriority = '5-LOW'
+""")
+def load_interleaved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two merges and an append, all worked out from the same version of the table. What comes second is not lost
+    and loses nothing."""
+    schema, root = _loaded_table(spark, sf_dir)
+    orders, log = _orders(spark, sf_dir), log_of(spark, schema, root)
+    first = stage(_changes(orders), _ORDERS, schema, root)
+    second = stage(orders.where("o_orderstatus = 'F'").withColumn("o_orderstatus", F.lit("Y")), _ORDERS, schema, root)
+    third = stage(orders.where("o_orderpriority = '5-LOW'").withColumn("o_orderstatus", F.lit("again")), _ORDERS, schema, root)
+    others = [first]
+
+    def merge(snapshot):
+        edit = edit_of(second, _ORDERS, schema, "merge", snapshot.parts("orders"))
+        if others:  # another load commits while this one is under way
+            execute_merge(others.pop(), _ORDERS, schema, root)
+        return {"orders": edit}
+
+    log.commit(merge)
+    bulk_load(third, _ORDERS, schema, "append")
+    return read_table(spark, schema, _ORDERS, root)
+
+
+@check("table_versions", f"""
+SELECT 1 AS version, o_orderkey, o_orderstatus, o_orderpriority FROM orders UNION ALL SELECT 2, * FROM ({_MERGED})
+""")
+def table_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table before and after a merge; versions in between were expired, a leased one was not."""
+    schema, root = _loaded_table(spark, sf_dir)
+    log = log_of(spark, schema, root)
+    changes = stage(_changes(_orders(spark, sf_dir)), _ORDERS, schema, root)
+    with log.leased():
+        for _ in range(2):
+            execute_merge(changes, _ORDERS, schema, root)
+        log.expire(keep=1, grace_seconds=0)
+        first, last = log.versions()
+        before, after = (read_table(spark, schema, _ORDERS, root, version=v) for v in (first, last))
+        return pin(before.withColumn("version", F.lit(1)).unionByName(after.withColumn("version", F.lit(2))))
+
+
 @check("load_counts", "SELECT count(*) AS staged, count(*) + count(*) FILTER (WHERE o_orderstatus = 'P') AS loaded FROM orders")
 def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema, root = new_schema(), new_folder(spark)

@@ -60,6 +60,11 @@ def without_keys(target: DataFrame, source: DataFrame, keys: Sequence[str], few:
     return target.join(_source_keys(source, keys, few), list(keys), "left_anti")
 
 
+def with_keys(target: DataFrame, source: DataFrame, keys: Sequence[str], few: bool | None = None) -> DataFrame:
+    """Target rows whose key is in the source."""
+    return target.join(_source_keys(source, keys, few), list(keys), "left_semi")
+
+
 def upsert(
     target: DataFrame, source: DataFrame, keys: Sequence[str], on_duplicate: str = "error", order: Sequence[str] = ()
 ) -> DataFrame:

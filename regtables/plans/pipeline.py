@@ -12,10 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from regtables import __version__
 from regtables.operators.quality import failures, invalid_values
 from regtables.plans.specs import INGESTION_STATE, LOAD_MODES, RULE_VALUES, RUN_INPUTS, DatasetSpec
-from regtables.sinks.state import get_watermark, run_row, save_run
-from regtables.sinks.tables import (
-    Staged, bulk_load, ensure_tables, location_of, publish, replace_version, stage, table_name, write_merged,
-)
+from regtables.sinks.log import Edit, Snapshot
+from regtables.sinks.state import get_watermark, run_row, save_run, state_edit
+from regtables.sinks.tables import Staged, bulk_load, commit, edit_of, ensure_tables, stage
 
 
 class LostInputError(ValueError):
@@ -55,9 +54,10 @@ def load_tables(
     root: str,
     mode: str | None = None,
     on_duplicate: str = "error",
+    run: DataFrame | None = None,
 ) -> dict[str, int]:
-    """Stages every table, checks the rules of all, writes what each is to become, then publishes all.
-    Empty tables are skipped. Returns rows loaded per table."""
+    """Stages every table, checks the rules of all, works out what each is to become, then publishes all by one
+    commit, with the state of the ``run`` if there is one. Empty tables are skipped. Returns rows loaded per table."""
     mode = mode or spec.load_mode
     if mode not in LOAD_MODES:
         raise ValueError(f"load mode must be one of {LOAD_MODES}, not {mode!r}")
@@ -76,19 +76,13 @@ def load_tables(
         _store_invalid_values(spark, spec, staged, root)
         raise ValidationError("\n".join(problems))
 
-    if mode == "merge":
-        names = {k: table_name(schema, spec.tables[k]) for k in staged}
-        seen = {k: location_of(spark, name) for k, name in names.items()}
-        merge = lambda k: write_merged(staged[k], spec.tables[k], schema, root, on_duplicate=on_duplicate)
-        merged = _side_by_side(spark, merge, list(staged))
-        for k, location in merged.items():
-            if location_of(spark, names[k]) == seen[k]:
-                publish(spark, names[k], location)
-            else:  # another load came between
-                replace_version(spark, names[k], lambda: merge(k))
-    else:
-        for k, rows in staged.items():
-            bulk_load(rows, spec.tables[k], schema, mode)
+    def edits(snapshot: Snapshot) -> dict[str, Edit]:
+        edit = lambda k: edit_of(staged[k], spec.tables[k], schema, mode, snapshot.parts(spec.tables[k].name), on_duplicate=on_duplicate)
+        made = {spec.tables[k].name: e for k, e in _side_by_side(spark, edit, list(staged)).items()}
+        return made | (state_edit(spark, schema, root, run, snapshot) if run is not None else {})
+
+    changed = [spec.tables[k] for k in staged] + ([INGESTION_STATE] if run is not None else [])
+    commit(spark, schema, root, changed, edits)
     return {spec.tables[k].name: rows.n_rows for k, rows in staged.items()}
 
 
@@ -129,19 +123,17 @@ def run_dataset(
     known = get_watermark(spark, spec.schema_name, spec.name)
     watermark = dict(watermark or {})
 
-    def record(status: str, token: Mapping) -> None:
-        save_run(spark, spec.schema_name, root, run_row(spark, spec.name, as_of, status, token, pipeline_version))
+    def ended(status: str, token: Mapping) -> DataFrame:
+        return run_row(spark, spec.name, as_of, status, token, pipeline_version)
 
     if watermark and watermark == known:
-        record("SUCCESS", watermark)
+        save_run(spark, spec.schema_name, root, ended("SUCCESS", watermark))
         return {}
     try:
         lost = _stored_account(spark, spec, account(), root, as_of) if account else 0
         if lost and not allow_lost:
             raise LostInputError(f"{lost} inputs of {spec.name} are unreadable, see {spec.schema_name}.run_inputs")
-        loaded = load_tables(spark, spec, build(), root, mode, on_duplicate)
+        return load_tables(spark, spec, build(), root, mode, on_duplicate, ended("SUCCESS", known if lost else watermark))
     except Exception:
-        record("FAILED", known)
+        save_run(spark, spec.schema_name, root, ended("FAILED", known))
         raise
-    record("SUCCESS", known if lost else watermark)
-    return loaded

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regtables.functions.dates import display_timestamp
 from regtables.plans.specs import INGESTION_STATE
-from regtables.sinks.tables import replace_version, stage, table_name
+from regtables.sinks.log import Edit, Part, Snapshot
+from regtables.sinks.tables import commit, read_parts, schema_folder, stage, table_name
 
 
 def run_row(
@@ -59,7 +60,15 @@ def get_watermark(spark: SparkSession, schema_name: str, dataset_id: str) -> dic
     return json.loads(row.last_watermark) if row and row.last_watermark else {}
 
 
+def state_edit(spark: SparkSession, schema_name: str, root: str, run: DataFrame, snapshot: Snapshot) -> dict[str, Edit]:
+    """The state table after a run, to be committed with the tables that the run loaded."""
+    parts = snapshot.parts(INGESTION_STATE.name)
+    states = read_parts(spark, schema_folder(schema_name, root), INGESTION_STATE, parts)
+    staged = stage(upsert_state(states, run), INGESTION_STATE, schema_name, root)
+    return {INGESTION_STATE.name: Edit("rewrite", (Part(staged.folder, staged.n_rows),), parts)}
+
+
 def save_run(spark: SparkSession, schema_name: str, root: str, run: DataFrame) -> None:
-    """Stores a run. Runs that end at the same time each keep their row, see :func:`replace_version`."""
-    make = lambda: stage(upsert_state(read_states(spark, schema_name), run), INGESTION_STATE, schema_name, root).location
-    replace_version(spark, table_name(schema_name, INGESTION_STATE), make)
+    """Stores a run. Runs that end at the same time each keep their row: whoever commits second starts again
+    from the other's states."""
+    commit(spark, schema_name, root, [INGESTION_STATE], lambda snapshot: state_edit(spark, schema_name, root, run, snapshot))

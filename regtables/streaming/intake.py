@@ -40,7 +40,7 @@ def stream_upsert(
 
     A batch is staged, checked and merged like any load; one that breaks a rule stops the stream and
     is tried again on the next run. A batch that ran before a crash is merged again with the same
-    result. One batch costs one rewrite of the table, so let batches be large.
+    result. A batch writes anew only the files of the table that hold one of its keys.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
