@@ -30,7 +30,7 @@ BLOCK_TOKENS = 1 << 16
 BLOCKS_AT_ONCE = 32
 MAX_VOCABULARY = 1 << 20  # bounds the shared table, which goes to every task
 
-_IDS = "doc_id bigint, shard int, start bigint, n_tokens bigint, ids binary"
+_IDS = "doc_id bigint, shard int, start bigint, n_tokens bigint, ids binary, counts binary"
 _BLOCKS = (
     "shard int, start bigint, n_tokens bigint, doc_ids array<bigint>, doc_lengths array<bigint>, "
     "words binary, states binary, places binary, ids_crc32 bigint, data_crc32 bigint"
@@ -44,32 +44,46 @@ def _arrow(ddl: str) -> pa.Schema:
 
 
 def _tokenize(tokenizer: str, end_id: int):
-    end = np.array([end_id], "<u4").tobytes()
+    """A row per document, and at a partition's end one with the counts of its ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, start = TaskContext.get().partitionId(), 0
+        counts = np.zeros(0, np.int64)
         for batch in slices(batches):
-            ids = [x + end for x in encoder(tokenizer).encode(texts_of(batch))]
-            lengths = np.array([len(x) // 4 for x in ids], np.int64)
-            starts = start + np.cumsum(lengths) - lengths
-            start += int(lengths.sum())
+            ids, lengths = encoder(tokenizer).encode_all(texts_of(batch))
+            ids, lengths = np.insert(ids, np.cumsum(lengths), end_id).astype("<u4"), lengths + 1
+            ends = np.cumsum(lengths)
+            counts = _added(counts, np.bincount(ids))
+            offsets = pa.py_buffer(np.concatenate([[0], 4 * ends]).astype(np.int32))
+            data = pa.Array.from_buffers(pa.binary(), len(ends), [None, offsets, pa.py_buffer(ids)])
+            n = len(ends)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.full(len(ids), shard, np.int32)), pa.array(starts), pa.array(lengths), pa.array(ids, pa.binary())],
+                [batch.column("doc_id"), pa.array(np.full(n, shard, np.int32)), pa.array(start + ends - lengths), pa.array(lengths), data, pa.nulls(n, pa.binary())],
                 schema=_arrow(_IDS),
             )
+            start += int(ends[-1])
+        used = np.flatnonzero(counts)
+        found = np.stack([used, counts[used]]).astype("<i8").tobytes()
+        yield pa.RecordBatch.from_pylist([{"shard": shard, "counts": found}], schema=_arrow(_IDS))
 
     return run
 
 
+def _added(counts: np.ndarray, own: np.ndarray) -> np.ndarray:
+    if len(own) > MAX_VOCABULARY:
+        raise ValueError(f"an id of {len(own) - 1} is beyond the vocabulary bound")
+    if len(own) > len(counts):
+        counts = np.pad(counts, (0, len(own) - len(counts)))
+    counts[: len(own)] += own
+    return counts
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(0, np.int64)
-    for batch in slices(batches, "ids"):
-        own = np.bincount(np.frombuffer(b"".join(i.as_buffer() for i in batch.column("ids")), "<u4"))
-        if len(own) > MAX_VOCABULARY:
-            raise ValueError(f"an id of {len(own) - 1} is beyond the vocabulary bound")
-        if len(own) > len(counts):
-            counts = np.pad(counts, (0, len(own) - len(counts)))
-        counts[: len(own)] += own
+    for batch in batches:
+        for found in batch.column("counts"):
+            used, own = np.frombuffer(found.as_buffer(), "<i8").reshape(2, -1)
+            counts = _added(counts, np.bincount(used, own).astype(np.int64) if len(used) else used)
     used = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["id", "n"])
 
@@ -164,16 +178,18 @@ def _ids(table):
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str = BYTE_BPE, end_id: int = 2, block_tokens: int = BLOCK_TOKENS) -> None:
     """Encodes the texts of ``docs`` (doc_id, text) into ``folder``, in ascending doc_id.
 
-    Texts are dealt by ranges of doc_id, a range to a shard. Their ids are kept as a table, so that an
-    executor lost later costs its own part only; the counts behind the shared frequencies, the blocks and
-    the shards' places are made from it."""
+    Texts are dealt by ranges of doc_id (and of a hash of the text, which tells rows of one doc_id apart), a
+    range to a shard. Their ids are kept as a table, so that an executor lost later costs its own part only; it
+    holds the counts behind the shared frequencies too, and the blocks are made from it."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
-    dealt = rows.repartitionByRange(partitions(spark), "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
-    ids = written(dealt.mapInArrow(_tokenize(tokenizer, end_id), _IDS), f"{folder}/ids", compression="zstd")
+    order = [F.col("doc_id"), F.xxhash64("text")]
+    dealt = rows.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
+    found = written(dealt.mapInArrow(_tokenize(tokenizer, end_id), _IDS), f"{folder}/ids", compression="zstd")
 
-    counts = ids.select("ids").mapInArrow(_count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = found.where("counts is not null").select("counts").mapInArrow(_count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     counts = written(counts, f"{folder}/table")
+    ids = found.where("counts is null").drop("counts")
     # A row per shard: the partitions of the job above, however large the corpus.
     per_shard = {r.shard: r.n for r in ids.groupBy("shard").agg(F.sum("n_tokens").alias("n")).collect()}
     places, start = [], 0

@@ -5,24 +5,31 @@ from __future__ import annotations
 import json
 import os
 import re
-from array import array
 from functools import lru_cache
+from itertools import chain
 from string import punctuation
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 BYTE_BPE = "byte_bpe_50k.json"
-KEPT_UNITS = 700_000
+KEPT_UNITS = 600_000
+GROUP = 2000
 
 # A byte-level pre-tokenizer never lets a space stand inside or at the end of a piece that has other
 # characters, so a text may be cut before each space that follows another character.
 _CUT = re.compile(r"(?<=\S)(?= )")
-# Every white space character followed by a space, for plain searches: those are faster than a pattern.
-_SPACE_AFTER_SPACE = [chr(c) + " " for c in range(0x3001) if chr(c).isspace()]
+# What a plain cut at spaces is wrong for: a white space character followed by a space, and NUL, which marks units.
+_SPACES = "".join(f"\\x{{{c:x}}}" for c in range(0x3001) if chr(c).isspace())
+_ODD_SPACE = rf"\x00|[{_SPACES}] "
+_NO_UNITS: list[str] = []
 
 # The tokenizer's pattern for characters up to U+00FF, whose letters and numbers are known; characters on
 # which regular expression engines differ are left to the tokenizer itself.
 _LETTERS, _NUMBERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc\xbd\xbe"
 _PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[{_NUMBERS}]+| ?[^\s{_LETTERS}{_NUMBERS}]+|\s+(?!\S)|\s+")
-_OTHER = re.compile("[^\x00-\x1b\x20-\x84\x86-\x9f\xa1-\xff]")
+_OTHER = r"[^\x00-\x1b\x20-\x84\x86-\x9f\x{a1}-\x{ff}]"
 
 
 def _byte_characters() -> dict[int, str]:
@@ -43,25 +50,57 @@ def _plain(unit: str) -> str:
     return unit[1:] if unit[:1] == "\0" else " " + unit
 
 
-class Recent:
-    """What was looked up lately: two generations of at most ``size`` entries."""
+class _Numbers(dict):
+    """Units by number; one that is asked for first gets the next number, and is listed as new."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, unit: str) -> int:
+        self[unit] = n = len(self)
+        self.new.append(unit)
+        return n
+
+
+class _Known:
+    """The ids of units by the unit's number."""
+
+    def __init__(self):
+        self.number = _Numbers()
+        self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def put(self, numbers: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+        """``ids`` of all ``numbers``, one after another."""
+        if len(self.number) > len(self.start):
+            more = 2 * len(self.number) - len(self.start)
+            self.start, self.length = np.pad(self.start, (0, more)), np.pad(self.length, (0, more))
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.pad(self.ids, (0, self.used + len(ids)))
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.start[numbers] = self.used + np.cumsum(lengths) - lengths
+        self.length[numbers] = lengths
+        self.used += len(ids)
+
+    def get(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the units, one after another, and how many each has."""
+        lengths = self.length[numbers]
+        ends = np.cumsum(lengths)
+        places = np.repeat(self.start[numbers] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
+        return self.ids[places], lengths
 
-    def __init__(self, size: int):
-        self.size, self.young, self.old = size, {}, {}
 
-    def hold(self, wanted: set) -> set:
-        """Makes room for ``wanted`` in the young generation; gives those that must be learnt."""
-        if len(self.young) + len(wanted) > self.size:
-            self.old, self.young = self.young, {}
-        new = wanted.difference(self.young)
-        for x in [x for x in new if x in self.old]:  # a set meets a dict by going through all of the dict
-            self.young[x] = self.old[x]
-        return new.difference(self.old)
+def _group_sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums over groups of ``counts`` values that follow each other."""
+    sums, ends = np.concatenate([[0], np.cumsum(values)]), np.cumsum(counts)
+    return sums[ends] - sums[ends - counts]
 
 
 class Encoder:
     """Encodes texts unit by unit, and a unit that is new piece by piece. Pieces are those the tokenizer cuts
-    the whole text into, so the ids are the tokenizer's. Units and pieces that came lately are looked up.
+    the whole text into, so the ids are the tokenizer's. Units and pieces that came lately are looked up: a young
+    table that is filled up to ``kept`` entries and a batch's, and the one before it.
     Texts that hold an added token, such as ``<|endoftext|>``, are encoded whole, with that token's own id.
 
     Both are named without the space they begin with; a leading NUL says that there is none."""
@@ -77,66 +116,110 @@ class Encoder:
         self.byte_level = settings["pre_tokenizer"]["type"] == "ByteLevel" and not settings["normalizer"] and not settings["pre_tokenizer"]["add_prefix_space"]
         self.core = Tokenizer.from_str(json.dumps(settings | {"added_tokens": [], "pre_tokenizer": None}))
         self.characters = _byte_characters()
-        self.recent = Recent(kept)
+        vocabulary = self.core.get_vocab()
+        self.spelt = np.zeros(max(vocabulary.values()) + 1, np.int64)  # characters of each token
+        self.spelt[list(vocabulary.values())] = [len(t) for t in vocabulary]
+        self.kept, self.young, self.old = kept, _Known(), _Known()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
-        whole = {t for t in texts if any(a in t for a in self.added)}
-        if whole:
-            own = dict(zip(whole, self._ids(self.tokenizer, list(whole)), strict=True))
-            others = iter(self.encode([t for t in texts if t not in whole]))
-            return [own[t] if t in whole else next(others) for t in texts]
-        cut = [self._units(t) for t in texts]
-        wanted = set()
-        for units in cut:
-            wanted.update(units)
-        new = self.recent.hold(wanted)
-        if self.byte_level:
-            new = self._learn_by_piece(new)
-        self.recent.young.update(zip(new, self._ids(self.tokenizer, [_plain(u) for u in new]), strict=True))
-        known = self.recent.young
-        return [b"".join([known[u] for u in units]) for units in cut]
+        ids, lengths = self.encode_all(texts)
+        data, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(lengths)).tolist()
+        return [data[e - 4 * n : e] for e, n in zip(ends, lengths.tolist(), strict=True)]
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, and how many each has."""
+        if len(self.young.number) >= self.kept:
+            self.old, self.young = self.young, _Known()
+        odd = pc.match_substring_regex(pa.array(texts, pa.large_string()), _ODD_SPACE).to_pylist()
+        cut = [_NO_UNITS if any(a in t for a in self.added) else self._units(t, o) for t, o in zip(texts, odd, strict=True)]
+        counts = np.fromiter(map(len, cut), np.int64, len(cut))
+        numbers = np.fromiter(map(self.young.number.__getitem__, chain.from_iterable(cut)), np.int64, int(counts.sum()))
+        self._learn()
+        ids, lengths = self.young.get(numbers)
+        lengths = _group_sums(lengths, counts)
+        whole = [i for i, units in enumerate(cut) if units is _NO_UNITS]
+        if not whole:
+            return ids, lengths
+        parts = np.split(ids, np.cumsum(lengths)[:-1])
+        for i in whole:
+            parts[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, np.uint32)
+            lengths[i] = len(parts[i])
+        return np.concatenate(parts), lengths
 
     @staticmethod
-    def _units(text: str) -> list[str]:
+    def _units(text: str, odd: bool) -> list[str]:
         if not text:
             return []
-        if "\0" in text or any(s in text for s in _SPACE_AFTER_SPACE):
+        if odd:
             return ["\0" + u for u in _CUT.split(text)]
         units = text.split(" ")
         units[0] = "\0" + units[0]
         return units
 
-    def _learn_by_piece(self, new: set[str]) -> list[str]:
-        """Learns units whose characters are all known to the pattern here; gives the others."""
-        left = [u for u in new if _OTHER.search(u)] if _OTHER.search("".join(new)) else []
-        new = new.difference(left)
-        letters, pieces = set(), {}
-        for u in new:
-            word = u.rstrip(punctuation)
-            if not word.isalpha():
-                pieces[u] = [p[1:] if p[0] == " " and p[1:].isalpha() else "\0" + p for p in _PIECES.findall(_plain(u))]
-            elif word == u:
-                letters.add(u)  # a piece already
+    def _new(self) -> tuple[list[str], np.ndarray]:
+        """Units that have a number but no ids yet, and their numbers; those that the old table has get them."""
+        young, old = self.young, self.old
+        new, young.number.new = young.number.new, []
+        numbers = np.arange(len(young.number) - len(new), len(young.number))
+        if not old.number or not new:
+            return new, numbers
+        before = np.fromiter((old.number.get(u, -1) for u in new), np.int64, len(new))
+        there = before >= 0
+        young.put(numbers[there], *old.get(before[there]))
+        return [new[i] for i in np.flatnonzero(~there)], numbers[~there]
+
+    def _learn(self) -> None:
+        new, numbers = self._new()
+        if not new:
+            return
+        if not self.byte_level:
+            self.young.put(numbers, *self._ids(self.tokenizer, [_plain(u) for u in new]))
+            return
+        names = pa.array(new)
+        unknown = pc.match_substring_regex(names, _OTHER).to_numpy(zero_copy_only=False)
+        trimmed = pc.utf8_rtrim(names, characters=punctuation)
+        is_word = pc.utf8_is_alpha(trimmed).to_numpy(zero_copy_only=False) & ~unknown
+        is_piece = is_word & pc.equal(trimmed, names).to_numpy(zero_copy_only=False)
+
+        number, made, pieces, counts = self.young.number, [], [], []
+        for i, word in zip(np.flatnonzero(is_word & ~is_piece).tolist(), trimmed.filter(pa.array(is_word & ~is_piece)).to_numpy(zero_copy_only=False), strict=True):
+            made.append(i)
+            pieces += (number[word], number["\0" + new[i][len(word) :]])
+            counts.append(2)
+        for i in np.flatnonzero(~is_word & ~unknown).tolist():
+            own = [p[1:] if p[0] == " " and p[1:].isalpha() else "\0" + p for p in _PIECES.findall(_plain(new[i]))]
+            if own == [new[i]]:
+                is_piece[i] = True
             else:
-                pieces[u] = (word, "\0" + u[len(word) :])
-        known = self.recent.young
-        parts = letters.union(*pieces.values()).difference(known)
-        old = self.recent.old
-        missing = [p for p in parts if p not in old]
-        for p in parts.difference(missing):
-            known[p] = old[p]
-        known.update(zip(missing, self._ids(self.core, [_plain(p).encode().decode("latin-1").translate(self.characters) for p in missing]), strict=True))
-        for u, own in pieces.items():
-            known[u] = b"".join([known[p] for p in own])
-        return left
+                made.append(i)
+                pieces += map(number.__getitem__, own)
+                counts.append(len(own))
+
+        more, their_numbers = self._new()  # pieces that have not come as units
+        at = np.flatnonzero(is_piece)
+        self.young.put(np.concatenate([numbers[at], their_numbers]), *self._piece_ids([new[i] for i in at] + more))
+        left = np.flatnonzero(unknown)
+        if len(left):
+            self.young.put(numbers[left], *self._ids(self.tokenizer, [_plain(new[i]) for i in left]))
+        if made:
+            ids, lengths = self.young.get(np.array(pieces, np.int64))
+            self.young.put(numbers[made], ids, _group_sums(lengths, np.array(counts, np.int64)))
+
+    def _piece_ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of single pieces, many of them in one call as the words of a text."""
+        written = [_plain(p).encode().decode("latin-1").translate(self.characters) for p in pieces]
+        groups = [written[i : i + GROUP] for i in range(0, len(written), GROUP)]
+        found = self.core.encode_batch_fast(groups, is_pretokenized=True, add_special_tokens=False)
+        ids = np.fromiter(chain.from_iterable(x.ids for x in found), np.uint32)
+        # The tokens of a piece spell it, so it ends with the token that comes to the end of its characters.
+        ends = np.searchsorted(np.cumsum(self.spelt[ids]), np.cumsum(np.fromiter(map(len, written), np.int64, len(written)))) + 1
+        return ids, np.diff(ends, prepend=0)
 
     @staticmethod
-    def _ids(tokenizer, texts: list[str]) -> list[bytes]:
-        found = []
-        for i in range(0, len(texts), 10_000):
-            found += [array("I", x.ids).tobytes() for x in tokenizer.encode_batch_fast(texts[i : i + 10_000], add_special_tokens=False)]
-        return found
+    def _ids(tokenizer, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [x.ids for i in range(0, len(texts), 10_000) for x in tokenizer.encode_batch_fast(texts[i : i + 10_000], add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(found), np.uint32), np.fromiter(map(len, found), np.int64, len(found))
 
 
 @lru_cache(maxsize=2)
