@@ -48,13 +48,13 @@ def _tokenize(tokenizer: str, end_id: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, start = TaskContext.get().partitionId(), 0
-        counts = np.zeros(0, np.int64)
+        counts, width = np.zeros(0, np.int64), _width(encoder(tokenizer).size, end_id)
         for batch in slices(batches):
             ids, lengths = encoder(tokenizer).encode_all(texts_of(batch))
-            ids, lengths = np.insert(ids, np.cumsum(lengths), end_id).astype("<u4"), lengths + 1
+            ids, lengths = np.insert(ids.astype(f"<u{width}"), np.cumsum(lengths), end_id), lengths + 1
             ends = np.cumsum(lengths)
             counts = _added(counts, np.bincount(ids))
-            offsets = pa.py_buffer(np.concatenate([[0], 4 * ends]).astype(np.int32))
+            offsets = pa.py_buffer(np.concatenate([[0], width * ends]).astype(np.int32))
             data = pa.Array.from_buffers(pa.binary(), len(ends), [None, offsets, pa.py_buffer(ids)])
             n = len(ends)
             yield pa.RecordBatch.from_arrays(
@@ -69,6 +69,11 @@ def _tokenize(tokenizer: str, end_id: int):
     return run
 
 
+def _width(vocabulary: int, end_id: int) -> int:
+    """Bytes of an id as kept between the passes."""
+    return 2 if max(vocabulary, end_id + 1) <= 1 << 16 else 4
+
+
 def _added(counts: np.ndarray, own: np.ndarray) -> np.ndarray:
     if len(own) > MAX_VOCABULARY:
         raise ValueError(f"an id of {len(own) - 1} is beyond the vocabulary bound")
@@ -102,7 +107,8 @@ def _blocks_of(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[
                 held, docs, lengths = [], [], []
             if not held:
                 shard, first = own, start
-            held.append(np.frombuffer(ids.as_buffer(), "<u4").copy())
+            data = ids.as_buffer()
+            held.append(np.frombuffer(data, f"<u{data.size // n}").astype(np.uint32))
             docs.append(doc_id)
             lengths.append(n)
             following = start + n

@@ -5,8 +5,10 @@ from __future__ import annotations
 import json
 import os
 import re
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, compress, count, islice, repeat
 from string import punctuation
 
 import numpy as np
@@ -14,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BYTE_BPE = "byte_bpe_50k.json"
-KEPT_UNITS = 600_000
+KEPT_UNITS = 300_000
 GROUP = 2000
 
 # A byte-level pre-tokenizer never lets a space stand inside or at the end of a piece that has other
@@ -23,7 +25,6 @@ _CUT = re.compile(r"(?<=\S)(?= )")
 # What a plain cut at spaces is wrong for: a white space character followed by a space, and NUL, which marks units.
 _SPACES = "".join(f"\\x{{{c:x}}}" for c in range(0x3001) if chr(c).isspace())
 _ODD_SPACE = rf"\x00|[{_SPACES}] "
-_NO_UNITS: list[str] = []
 
 # The tokenizer's pattern for characters up to U+00FF, whose letters and numbers are known; characters on
 # which regular expression engines differ are left to the tokenizer itself.
@@ -50,27 +51,26 @@ def _plain(unit: str) -> str:
     return unit[1:] if unit[:1] == "\0" else " " + unit
 
 
-class _Numbers(dict):
-    """Units by number; one that is asked for first gets the next number, and is listed as new."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
-
-    def __missing__(self, unit: str) -> int:
-        self[unit] = n = len(self)
-        self.new.append(unit)
-        return n
-
-
 class _Known:
-    """The ids of units by the unit's number."""
+    """Units by number, in order of appearance, and the ids of each."""
 
     def __init__(self):
-        self.number = _Numbers()
+        self.number: defaultdict[str, int] = defaultdict(count().__next__)
+        self.n_seen = 0
         self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
 
+    def new(self) -> tuple[list[str], np.ndarray]:
+        """Units that got a number since the last call, and their numbers."""
+        numbers = np.arange(self.n_seen, len(self.number))
+        units = list(islice(reversed(self.number), len(numbers)))
+        units.reverse()
+        self.n_seen = len(self.number)
+        return units, numbers
+
+    def numbers(self, units: Iterable[str]) -> np.ndarray:
+        return np.fromiter(map(self.number.__getitem__, units), np.int64)
+
     def put(self, numbers: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
         """``ids`` of all ``numbers``, one after another."""
         if len(self.number) > len(self.start):
@@ -117,6 +117,7 @@ class Encoder:
         self.core = Tokenizer.from_str(json.dumps(settings | {"added_tokens": [], "pre_tokenizer": None}))
         self.characters = _byte_characters()
         vocabulary = self.core.get_vocab()
+        self.size = self.tokenizer.get_vocab_size()
         self.spelt = np.zeros(max(vocabulary.values()) + 1, np.int64)  # characters of each token
         self.spelt[list(vocabulary.values())] = [len(t) for t in vocabulary]
         self.kept, self.young, self.old = kept, _Known(), _Known()
@@ -132,13 +133,22 @@ class Encoder:
         if len(self.young.number) >= self.kept:
             self.old, self.young = self.young, _Known()
         odd = pc.match_substring_regex(pa.array(texts, pa.large_string()), _ODD_SPACE).to_pylist()
-        cut = [_NO_UNITS if any(a in t for a in self.added) else self._units(t, o) for t, o in zip(texts, odd, strict=True)]
-        counts = np.fromiter(map(len, cut), np.int64, len(cut))
-        numbers = np.fromiter(map(self.young.number.__getitem__, chain.from_iterable(cut)), np.int64, int(counts.sum()))
+        whole, counts = [], []
+
+        def cut() -> Iterator[list[str]]:  # one text's units at a time: they are looked up while near, then let go
+            for i, t in enumerate(texts):
+                if any(a in t for a in self.added):
+                    whole.append(i)
+                    units = []
+                else:
+                    units = self._units(t, odd[i])
+                counts.append(len(units))
+                yield units
+
+        numbers = self.young.numbers(chain.from_iterable(cut()))
         self._learn()
         ids, lengths = self.young.get(numbers)
-        lengths = _group_sums(lengths, counts)
-        whole = [i for i, units in enumerate(cut) if units is _NO_UNITS]
+        lengths = _group_sums(lengths, np.array(counts, np.int64))
         if not whole:
             return ids, lengths
         parts = np.split(ids, np.cumsum(lengths)[:-1])
@@ -159,15 +169,13 @@ class Encoder:
 
     def _new(self) -> tuple[list[str], np.ndarray]:
         """Units that have a number but no ids yet, and their numbers; those that the old table has get them."""
-        young, old = self.young, self.old
-        new, young.number.new = young.number.new, []
-        numbers = np.arange(len(young.number) - len(new), len(young.number))
+        (new, numbers), old = self.young.new(), self.old
         if not old.number or not new:
             return new, numbers
-        before = np.fromiter((old.number.get(u, -1) for u in new), np.int64, len(new))
+        before = np.fromiter(map(old.number.get, new, repeat(-1)), np.int64, len(new))
         there = before >= 0
-        young.put(numbers[there], *old.get(before[there]))
-        return [new[i] for i in np.flatnonzero(~there)], numbers[~there]
+        self.young.put(numbers[there], *old.get(before[there]))
+        return list(compress(new, (~there).tolist())), numbers[~there]
 
     def _learn(self) -> None:
         new, numbers = self._new()
@@ -182,33 +190,36 @@ class Encoder:
         is_word = pc.utf8_is_alpha(trimmed).to_numpy(zero_copy_only=False) & ~unknown
         is_piece = is_word & pc.equal(trimmed, names).to_numpy(zero_copy_only=False)
 
-        number, made, pieces, counts = self.young.number, [], [], []
-        for i, word in zip(np.flatnonzero(is_word & ~is_piece).tolist(), trimmed.filter(pa.array(is_word & ~is_piece)).to_numpy(zero_copy_only=False), strict=True):
-            made.append(i)
-            pieces += (number[word], number["\0" + new[i][len(word) :]])
-            counts.append(2)
+        # A word and what follows it, two pieces.
+        ends = is_word & ~is_piece
+        words = trimmed.filter(pa.array(ends)).to_numpy(zero_copy_only=False)
+        rest = ["\0" + u[len(w) :] for u, w in zip(compress(new, ends.tolist()), words, strict=True)]
+        pairs = np.stack([self.young.numbers(words), self.young.numbers(rest)], 1).ravel()
+        made, pieces, counts = np.flatnonzero(ends).tolist(), [], [2] * len(words)
         for i in np.flatnonzero(~is_word & ~unknown).tolist():
             own = [p[1:] if p[0] == " " and p[1:].isalpha() else "\0" + p for p in _PIECES.findall(_plain(new[i]))]
             if own == [new[i]]:
                 is_piece[i] = True
             else:
                 made.append(i)
-                pieces += map(number.__getitem__, own)
+                pieces += own
                 counts.append(len(own))
+        pieces = np.concatenate([pairs, self.young.numbers(pieces)])
 
         more, their_numbers = self._new()  # pieces that have not come as units
         at = np.flatnonzero(is_piece)
-        self.young.put(np.concatenate([numbers[at], their_numbers]), *self._piece_ids([new[i] for i in at] + more))
+        self.young.put(np.concatenate([numbers[at], their_numbers]), *self._piece_ids(list(compress(new, is_piece.tolist())) + more))
         left = np.flatnonzero(unknown)
         if len(left):
             self.young.put(numbers[left], *self._ids(self.tokenizer, [_plain(new[i]) for i in left]))
         if made:
-            ids, lengths = self.young.get(np.array(pieces, np.int64))
+            ids, lengths = self.young.get(pieces)
             self.young.put(numbers[made], ids, _group_sums(lengths, np.array(counts, np.int64)))
 
     def _piece_ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of single pieces, many of them in one call as the words of a text."""
-        written = [_plain(p).encode().decode("latin-1").translate(self.characters) for p in pieces]
+        space = self.characters[32]
+        written = [space + p if p.isascii() and p.isalpha() else _plain(p).encode().decode("latin-1").translate(self.characters) for p in pieces]
         groups = [written[i : i + GROUP] for i in range(0, len(written), GROUP)]
         found = self.core.encode_batch_fast(groups, is_pretokenized=True, add_special_tokens=False)
         ids = np.fromiter(chain.from_iterable(x.ids for x in found), np.uint32)
