@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 
 BYTE_BPE = "byte_bpe_50k.json"
 KEPT_UNITS = 300_000
-GROUP = 2000
+GROUP = 200
 
 # A byte-level pre-tokenizer never lets a space stand inside or at the end of a piece that has other
 # characters, so a text may be cut before each space that follows another character.
@@ -112,9 +112,9 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(tokenizer_file(name))
         settings = json.loads(self.tokenizer.to_str())
         self.added = [t["content"] for t in settings["added_tokens"]]
-        # The same model without the cutting; its input is written in byte characters.
+        # The same model, cutting at white space only; its input is written in byte characters, which have none.
         self.byte_level = settings["pre_tokenizer"]["type"] == "ByteLevel" and not settings["normalizer"] and not settings["pre_tokenizer"]["add_prefix_space"]
-        self.core = Tokenizer.from_str(json.dumps(settings | {"added_tokens": [], "pre_tokenizer": None}))
+        self.core = Tokenizer.from_str(json.dumps(settings | {"added_tokens": [], "pre_tokenizer": {"type": "WhitespaceSplit"}}))
         self.characters = _byte_characters()
         vocabulary = self.core.get_vocab()
         self.size = self.tokenizer.get_vocab_size()
@@ -217,11 +217,11 @@ class Encoder:
             self.young.put(numbers[made], ids, _group_sums(lengths, np.array(counts, np.int64)))
 
     def _piece_ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of single pieces, many of them in one call as the words of a text."""
+        """Ids of single pieces, many of them as the words of a text."""
         space = self.characters[32]
         written = [space + p if p.isascii() and p.isalpha() else _plain(p).encode().decode("latin-1").translate(self.characters) for p in pieces]
-        groups = [written[i : i + GROUP] for i in range(0, len(written), GROUP)]
-        found = self.core.encode_batch_fast(groups, is_pretokenized=True, add_special_tokens=False)
+        groups = [" ".join(written[i : i + GROUP]) for i in range(0, len(written), GROUP)]
+        found = self.core.encode_batch_fast(groups, add_special_tokens=False)
         ids = np.fromiter(chain.from_iterable(x.ids for x in found), np.uint32)
         # The tokens of a piece spell it, so it ends with the token that comes to the end of its characters.
         ends = np.searchsorted(np.cumsum(self.spelt[ids]), np.cumsum(np.fromiter(map(len, written), np.int64, len(written)))) + 1
