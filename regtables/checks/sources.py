@@ -65,19 +65,32 @@ def xml_path_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @check("decode_files", """
-SELECT doc_id, CASE WHEN lang = 'de' THEN 'cp932' WHEN lang = 'es' THEN 'utf-8-sig' ELSE 'utf-8' END AS charset, CAST(0 AS BIGINT) AS decode_errors,
-       CASE WHEN lang = 'de' THEN '識別番号,医薬品名 ' || doc_id ELSE text END AS text
+SELECT doc_id, CASE WHEN lang = 'de' AND strlen(text) > length(text) THEN 'cp1252' WHEN lang = 'es' THEN 'utf-8-sig' ELSE 'utf-8' END AS charset,
+       CAST(0 AS BIGINT) AS decode_errors, text
 FROM documents
 """)
 def decoded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     def encode(batches):
         for b in batches:
-            codec = b["lang"].map({"de": "cp932", "es": "utf-8-sig"}).fillna("utf-8")
-            text = b["text"].where(b["lang"] != "de", "識別番号,医薬品名 " + b["doc_id"].astype(str))
-            yield pd.DataFrame({"path": b["doc_id"].astype(str), "content": [t.encode(c) for t, c in zip(text, codec)]})
+            codec = b["lang"].map({"de": "cp1252", "es": "utf-8-sig"}).fillna("utf-8")
+            yield pd.DataFrame({"path": b["doc_id"].astype(str), "content": [t.encode(c) for t, c in zip(b["text"], codec)]})
 
     files = table(spark, sf_dir, "documents").select("doc_id", "lang", "text").mapInPandas(encode, "path string, content binary")
-    return decode_files(files).withColumn("doc_id", F.col("path").cast("bigint")).drop("path")
+    return decode_files(files, ("utf-8", "cp1252"), "cp1252").withColumn("doc_id", F.col("path").cast("bigint")).drop("path")
+
+
+@check("decode_cp932", """
+SELECT o_orderkey, 'cp932' AS charset, CAST(0 AS BIGINT) AS decode_errors, '識別番号,医薬品名' || chr(10) || o_orderkey || ',薬' || o_orderpriority AS text FROM orders
+""")
+def decoded_japanese(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.expr("concat('識別番号,医薬品名\n', o_orderkey, ',薬', o_orderpriority)")
+    files = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("path"), text.alias("text"))
+
+    def encode(batches):
+        for b in batches:
+            yield pd.DataFrame({"path": b["path"], "content": [t.encode("cp932") for t in b["text"]]})
+
+    return decode_files(files.mapInPandas(encode, "path string, content binary")).withColumn("o_orderkey", F.col("path").cast("bigint")).drop("path")
 
 
 @check("scan_binary", "SELECT CAST(p_partkey AS VARCHAR) AS part, sha256(p_name || p_brand) AS hash FROM part")

@@ -32,7 +32,7 @@ _RUNS = """
          '{"etag":"' || max(event_id) || '"}' AS last_watermark
   FROM events"""
 _STATES = f"""
-WITH b AS ({_RUNS} WHERE value < 20 GROUP BY user_id), a AS ({_RUNS} WHERE value >= 40 GROUP BY user_id),
+WITH b AS ({_RUNS} WHERE value < 40 OR value IS NULL GROUP BY user_id), a AS ({_RUNS} WHERE value >= 40 GROUP BY user_id),
      u AS (SELECT coalesce(a.dataset_id, b.dataset_id) AS dataset_id, coalesce(a.last_run, b.last_run) AS last_run,
              CASE WHEN a.status = 'SUCCESS' THEN a.last_run WHEN b.status = 'SUCCESS' THEN b.last_run END AS last_successful_run,
              coalesce(a.status, b.status) AS status, coalesce(a.last_watermark, b.last_watermark) AS last_watermark, '1.0' AS pipeline_version
@@ -41,7 +41,7 @@ WITH b AS ({_RUNS} WHERE value < 20 GROUP BY user_id), a AS ({_RUNS} WHERE value
 
 
 def _states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return upsert_state(_runs(spark, sf_dir, "value < 20").select(*_COLUMNS), _runs(spark, sf_dir, "value >= 40"))
+    return upsert_state(_runs(spark, sf_dir, "value < 40 OR value IS NULL").select(*_COLUMNS), _runs(spark, sf_dir, "value >= 40"))
 
 
 @check("state_upsert", _STATES + "SELECT * FROM u")

@@ -124,6 +124,31 @@ def _div_content(html: Column, div_id: str) -> Column:
     return F.coalesce(let(rest, inside), F.lit(""))
 
 
+_IN_TABLE = r"(?i)<(/?)(?=(?:table|thead|tbody|tfoot|tr|td|th)\b)"
+
+
+def _table_content(html: Column, opening: str) -> Column:
+    """Markup from the first tag that matches ``opening`` to the ``</table>`` that closes it, or to the end; ``''``
+    without such a tag. A fold over the tags of tables keeps their depth; in inner tables the tags that make rows and
+    cells are renamed, so what they hold stays part of the cell around them."""
+    rest = F.get(F.split(html, opening, 2), F.lit(1))
+
+    def inside(content: Column) -> Column:
+        # Each piece but the first begins with the tag of a table.
+        pieces = F.split(content, r"(?i)(?=</?table\b)")
+        start = F.struct(F.lit(1).alias("depth"), F.array().cast("array<string>").alias("kept"))
+
+        def step(acc: Column, piece: Column) -> Column:
+            change = F.when(piece.rlike(r"(?i)^</table\b"), -1).when(piece.rlike(r"(?i)^<table\b"), 1).otherwise(0)
+            depth = F.when(acc["depth"] > 0, acc["depth"] + change).otherwise(0)
+            own = F.when(depth > 1, F.regexp_replace(piece, _IN_TABLE, "<$1inner-")).otherwise(piece)
+            return F.struct(depth.alias("depth"), F.when(depth > 0, F.concat(acc["kept"], F.array(own))).otherwise(acc["kept"]).alias("kept"))
+
+        return F.aggregate(pieces, start, step, lambda acc: F.array_join(acc["kept"], ""))
+
+    return F.coalesce(let(rest, inside), F.lit(""))
+
+
 def result_rows(
     html: Column,
     base: Column,
@@ -135,10 +160,11 @@ def result_rows(
     ``array<struct<row_no, cells array<string>, links array<struct<…>>>>``.
 
     ``links`` are the anchors of the fifth cell. Rows with fewer than ``min_cells`` ``<td>`` are
-    skipped; a page without the container or the table gives an empty array.
+    skipped; a page without the container or the table gives an empty array. Rows and cells are the table's own:
+    a table inside a cell adds to that cell's text and links.
     """
     css = rf"""\sclass\s*=\s*(?:["'](?:[^"'>]*\s)?{table_class}(?:\s[^"'>]*)?["']|{table_class}[\s>])"""
-    table_pattern = rf"(?is)<table\b(?=[^>]*{css})[^>]*>(.*?)</table\s*>"
+    opening = rf"(?is)<table\b(?=[^>]*{css})[^>]*>"
     body_pattern = r"(?is)<tbody\b[^>]*>(.*?)</tbody\s*>"
 
     def rows(table: Column, parts: Column) -> Column:
@@ -158,7 +184,7 @@ def result_rows(
         found = F.regexp_extract_all(body, F.lit(rf"(?is)<tr\b{_IN_TAG}>((?:(?!</tr\s*>|<tr\b|</tbody\s*>).)*+)"), 1)
         return F.filter(F.transform(found, read), lambda r: F.size(r["cells"]) >= min_cells)
 
-    table = F.regexp_extract(_div_content(without_noise(html), container_id), table_pattern, 1)
+    table = let(_div_content(without_noise(html), container_id), lambda content: _table_content(content, opening))
     bound = F.struct(table.alias("table"), base_parts(base).alias("parts"))
     return F.coalesce(let(bound, lambda v: rows(v["table"], v["parts"])), F.array().cast(_ROWS_TYPE))
 

@@ -43,8 +43,8 @@ def detect_header(grid: DataFrame, keyword: str, search_rows: int = HEADER_SEARC
 
 def files_without_header(grid: DataFrame, headers: DataFrame) -> DataFrame:
     """Files whose first rows have no header: the error list of :func:`detect_header`."""
-    # Every file has a row 0, so the scan stops at the first rows.
-    return grid.where(F.col("row_no") == 0).select("file").join(headers, "file", "left_anti")
+    # A file may begin at any row. Only the names are read, and each once per task moved.
+    return grid.select("file").distinct().join(headers, "file", "left_anti")
 
 
 def grid_records(grid: DataFrame, headers: DataFrame, columns: Sequence[str], pinned: bool = False) -> DataFrame:

@@ -11,17 +11,19 @@ from regtables.operators.sizing import small_side
 
 
 def match_exact_first(
-    rows: DataFrame, names: DataFrame, href_part: str = ".pdf", order: Sequence[str] = ("row_no",)
+    rows: DataFrame, names: DataFrame, href_part: str = ".pdf", order: Sequence[str] | None = None
 ) -> DataFrame:
-    """``(name, url)``: for each name the link of the first row with exactly that brand and such a link.
+    """``(name, url)``: for each name the first such link of the first row with exactly that brand.
 
-    ``rows`` has ``brand``, ``href``, ``url`` and the order columns; ``names`` has ``name``.
+    ``rows`` has ``brand``, ``href``, ``url`` and the order columns, by default ``row_no`` and, if there is one,
+    ``link_no``; links in the same place go by their url. ``names`` has ``name``.
     Rows are reduced to one per brand before the join, so a frequent brand does not weigh on it.
     """
+    order = order or [c for c in ("row_no", "link_no") if c in rows.columns]
     best = (
         rows.where(F.col("href").contains(href_part))
         .groupBy(strip(F.col("brand")).alias("name"))
-        .agg(F.min_by("url", F.struct(*order)).alias("url"))
+        .agg(F.min_by("url", F.struct(*order, "url")).alias("url"))
     )
     return best.join(small_side(names.select("name").distinct()), "name")
 

@@ -17,7 +17,8 @@ def csv_records(
     column that keeps a line with more or fewer cells than the header; without it, a line with more
     cells is an error and missing cells are null.
     """
-    reader = spark.read.options(header=True, encoding=encoding, escape='"', multiLine=multi_line)
+    # Without all columns parsed, a line with more cells than the header would go unnoticed.
+    reader = spark.read.options(header=True, encoding=encoding, escape='"', multiLine=multi_line, columnPruning=False)
     names = reader.csv(path).columns
     kept = bad_line or "_bad_line"
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, kept]])
@@ -27,10 +28,11 @@ def csv_records(
     # A line short of cells is flagged as well; only one with more cells than the header loses any.
     cells = ", ".join(f"c{i} string" for i in range(len(names) + 1))
     surplus = F.from_csv(F.col(kept), cells, {"escape": '"'})[f"c{len(names)}"]
-    complaint = F.raise_error(F.concat(F.lit("more cells than the header: "), F.col(kept))).cast("string")
-    first = F.col(f"`{names[0]}`")
-    checked = F.when(surplus.isNotNull(), complaint).otherwise(first).alias(names[0])
-    return rows.select(checked, *[F.col(f"`{c}`") for c in names[1:]])
+    complaint = F.raise_error(F.concat(F.lit("more cells than the header: "), F.col(kept))).cast("boolean")
+    # A filter stays whatever is selected later. It names a column of the file, as one of complaints alone is refused,
+    # and a row number, as later filters would else be moved before it.
+    fine = F.coalesce(F.length(f"`{names[0]}`") >= 0, F.lit(True)) & (F.monotonically_increasing_id() >= 0)
+    return rows.where(F.when(surplus.isNotNull(), complaint).otherwise(fine)).drop(kept)
 
 
 def _steps(xpath: str) -> list[str]:

@@ -308,3 +308,17 @@ def test_upsert_errors(spark, keys, message):
     target = _table(spark, [(1, "old", "x")])
     with pytest.raises(ValueError, match=message):
         upsert(target, target, keys)
+
+
+def test_a_file_without_first_rows_or_header_is_named(spark):
+    grid = spark.createDataFrame([("a", 3, ["x"]), ("a", 4, ["y"]), ("b", 20, ["Name"]), ("c", 2, ["Name"]), ("c", 3, ["z"])], "file string, row_no long, cells array<string>")
+    headers = detect_header(grid, "Name")
+    assert rows(files_without_header(grid, headers)) == [("a",), ("b",)]
+
+
+def test_links_of_one_row_go_by_their_place(spark):
+    links = [("A", 1, 1, "x.pdf", "u2"), ("A", 1, 0, "y.pdf", "u9"), ("A", 0, 0, "z.html", "u0"), ("B", 5, 0, "b.pdf", "u5"), ("B", 5, 0, "b.pdf", "u4")]
+    df = spark.createDataFrame(links, "brand string, row_no int, link_no int, href string, url string").repartition(4)
+    names = spark.createDataFrame([("A",), ("B",)], "name string")
+    assert rows(match_exact_first(df, names)) == [("A", "u9"), ("B", "u4")]
+    assert rows(match_exact_first(df.drop("link_no"), names)) == [("A", "u2"), ("B", "u4")]

@@ -38,6 +38,15 @@ def test_csv_lines_of_other_lengths(spark, tmp_path):
     assert sorted(r.bad for r in kept.collect()) == ["3", "4,5,", '6,"7 "" 8",9']
 
 
+@pytest.mark.parametrize("use", [lambda d: d.select("n"), lambda d: d.select("z"), lambda d: d.where("x = '1'"), lambda d: d.groupBy("z").count(), lambda d: d.groupBy().count()])
+def test_surplus_cells_are_noticed_whatever_is_read(spark, tmp_path, use):
+    (tmp_path / "a.csv").write_text("x,n,z\n1,2,3\n4,5\n", encoding="utf-8")
+    assert csv_records(spark, str(tmp_path)).count() == 2 and len(use(csv_records(spark, str(tmp_path))).collect()) in (1, 2)
+    (tmp_path / "b.csv").write_text("x,n,z\n6,7,8,9\n", encoding="utf-8")
+    with pytest.raises(Exception, match="more cells than the header: 6"):
+        use(csv_records(spark, str(tmp_path))).collect()
+
+
 def test_csv_with_another_header_fails(spark, tmp_path):
     (tmp_path / "a.csv").write_text("x,y\n1,2\n", encoding="utf-8")
     (tmp_path / "b.csv").write_text("y,x\n2,1\n", encoding="utf-8")
@@ -176,3 +185,33 @@ def test_page_rows(spark):
         (7, 0, "https://h.org/top"), (7, 1, "https://h.org/d/a.pdf"), (7, 2, "https://h.org/d/a.pdf"),
     ]
     assert [(r.row_no, r.cells[0], r.links[0].href) for r in page_table_rows(pages).collect()] == [(0, "薬A", "a.pdf"), (1, "薬A", "a.pdf")]
+
+
+NESTED = """<div id="ContentMainArea"><table><tr><td>layout<table id=t class="x result_list_table"><tbody>
+<tr><td>薬A<td>g<td>c<td>d<td><table><tbody><tr><td>in<a href="a1.pdf">one</a></td></tr><tr><td><table><tr><td>deep <a href=a2.pdf>two</a></table></td></tr></tbody></table><a href="a3.pdf">three</a></td></tr>
+<tr><td>薬B</td><td>g</td><td><TABLE><TR><TD>x</TD><TD>y</TD></TR></TABLE></td><td>d</td><td><a href="b.pdf">four</a></td><td>more</td></tr>
+<tr><td>short</td><td><table><tr><td>1</td><td>2</td><td>3</td><td>4</td><td>5</td></tr></table></td></tr>
+<tr><td>薬C</td><td></td><td></td><td></td><td><a href="c.pdf">five</a>
+</table> after <table><tr><td>1</td><td>2</td><td>3</td><td>4</td><td>5</td></tr></table></td></tr></table>
+<table class="result_list_table"><tr><td>no</td><td></td><td></td><td></td><td></td></tr></table></div>"""
+
+
+def test_rows_of_tables_that_hold_tables(spark):
+    pages = spark.createDataFrame([(1, "https://h.org/d/", NESTED), (2, "https://h.org/", NESTED.split("</table> after")[0]), (3, "https://h.org/", "<div id=ContentMainArea></div>")], "page_id int, url string, html string")
+    found = page_table_rows(pages).orderBy("page_id", "row_no").collect()
+    for page in (1, 2):
+        own = [r for r in found if r.page_id == page]
+        assert [(r.row_no, r.cells) for r in own] == [
+            (0, ["薬A", "g", "c", "d", "inonedeeptwothree"]), (1, ["薬B", "g", "xy", "d", "four", "more"]), (3, ["薬C", "", "", "", "five"]),
+        ]
+        assert [[a.href for a in r.links] for r in own] == [["a1.pdf", "a2.pdf", "a3.pdf"], ["b.pdf"], ["c.pdf"]]
+    assert {r.page_id for r in found} == {1, 2}
+
+
+def test_a_page_of_many_tables(spark):
+    """Tables inside tables, level by level, and many beside each other: the same as a stack would give."""
+    deep = "<table><tr><td>i" * 60 + "</td></tr></table>" * 60
+    row = f"<tr><td>a</td><td>b</td><td>c</td><td>d</td><td>{deep}</td></tr>"
+    html = f'<div id="ContentMainArea"><table class="result_list_table">{row * 30}</table></div>'
+    found = page_table_rows(spark.createDataFrame([(1, "https://h.org/", html)], "page_id int, url string, html string")).collect()
+    assert [r.row_no for r in found] == list(range(30)) and {r.cells[4] for r in found} == {"i" * 60}
