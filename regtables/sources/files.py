@@ -6,6 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from regtables.sources.ranges import RANGE_BYTES, is_readable_by_range
+from regtables.sources.xml import xml_node_texts
+
 
 def csv_records(
     spark: SparkSession, path: str, encoding: str = "UTF-8", multi_line: bool = False, bad_line: str | None = None
@@ -45,18 +48,25 @@ def _steps(xpath: str) -> list[str]:
     return steps
 
 
-def xml_rows(spark: SparkSession, path: str, xpath: str, columns: Sequence[str], require_rows: bool = True) -> DataFrame:
+def xml_rows(
+    spark: SparkSession, path: str, xpath: str, columns: Sequence[str], require_rows: bool = True, range_bytes: int = RANGE_BYTES
+) -> DataFrame:
     """One row per node at ``xpath``: its attributes and child texts as text columns. Every step of the path
     counts. Attributes of children are dropped.
 
-    A file is one row of at most 2 GB here, as a step's parent can only be told in the whole document; files
-    are read side by side. An empty path is an error, and so are malformed XML and, unless ``require_rows`` is
-    off, a path without a match.
+    A large file is read by several tasks, each a range of bytes, see :mod:`regtables.sources.xml`; where tasks cannot
+    open files themselves, a file is one row of at most 2 GB. An empty path is an error, and so are malformed XML
+    and, unless ``require_rows`` is off, a path without a match.
     """
     if not xpath:
         raise ValueError("an xpath is required")
-    texts = spark.read.text(path, wholetext=True).select(F.col("value").alias("_text"))
-    rows = xml_nodes(texts, "_text", xpath, columns)
+    steps = _steps(xpath)
+    if is_readable_by_range(spark, path):
+        texts = xml_node_texts(spark, path, steps, range_bytes).select(F.concat(F.lit("<r>"), "node", F.lit("</r>")).alias("_text"))
+        rows = xml_nodes(texts, "_text", steps[-1], columns)
+    else:
+        texts = spark.read.text(path, wholetext=True).select(F.col("value").alias("_text"))
+        rows = xml_nodes(texts, "_text", xpath, columns)
     if require_rows and rows.isEmpty():
         raise ValueError(f"no node at {xpath} in {path}")
     return rows
