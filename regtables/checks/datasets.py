@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regtables.checks.registry import AS_OF, check, new_folder, new_schema, table
-from regtables.checks.sources import event_archives
-from regtables.operators.sizing import pin
+from regtables.checks.sources import written_archives
 from regtables.plans.datasets import ADVERSE_EVENT_COLUMNS, adverse_events, approval_records, approval_rows, approval_tables, approvals, package_inserts, review_reports
-from regtables.plans.pipeline import run_dataset
+from regtables.plans.pipeline import run_dataset, run_sources
 from regtables.plans.specs import ADVERSE_EVENTS, APPROVALS, PACKAGE_INSERTS, REVIEW_REPORTS, XML_REPORT, DatasetSpec, with_config
 from regtables.sinks.tables import table_name
-from regtables.sources.archives import archive_csv
+from regtables.sources.archives import archive_tables
 from regtables.sources.files import xml_rows
 
 _URL = "https://example.org/approvals.xlsx"
@@ -140,11 +139,10 @@ def single_approval_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _star(spark: SparkSession, sf_dir: str, again: bool = False) -> DatasetSpec:
-    archives = pin(event_archives(spark, sf_dir))  # as files they would be there already
+    folder = written_archives(spark, sf_dir)
 
     def build(root: str) -> dict[str, DataFrame]:
-        frames = {stem: archive_csv(archives, stem, list(names)) for stem, names in ADVERSE_EVENT_COLUMNS.items()}
-        return adverse_events(frames, "https://example.org/case.zip", AS_OF)
+        return adverse_events(archive_tables(spark, folder, ADVERSE_EVENT_COLUMNS), "https://example.org/case.zip", AS_OF)
 
     # Equal source rows share a row id, and one of them stays.
     spec, root = _run(spark, ADVERSE_EVENTS, build, on_duplicate="last", watermark={"etag": "1"})
@@ -221,6 +219,31 @@ def package_insert_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows(spark, _package_inserts(spark, sf_dir), "pages")
 
 
+@check("sources_incremental", """
+SELECT sha256('https://example.org/' || conv_id || '.pdf') AS document_id, 'https://example.org/' || conv_id || '.pdf' AS _meta_source_url,
+       CASE WHEN count(*) > 6 THEN 2 ELSE 1 END AS version,
+       CASE WHEN count(*) > 6 THEN count(*) + 1 ELSE count(*) END AS n_pages, CASE WHEN count(*) > 6 THEN count(*) + 1 ELSE count(*) END AS page_rows
+FROM conversations GROUP BY conv_id HAVING count(*) > 2
+""")
+def sources_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second run in which long conversations got a page more and short ones lost all: only those are built again."""
+    spec, root = with_config(PACKAGE_INSERTS, {"schema_name": new_schema()}), new_folder(spark)
+    old = _pages(spark, sf_dir)
+    sources = old.groupBy("url").agg(F.count(F.lit(1)).alias("n"))
+    more = sources.where("n > 6").select("url", F.lit(-1).cast(old.schema["page_no"].dataType).alias("page_no"), F.lit("new").alias("text"), F.lit(None).cast(old.schema["tables"].dataType).alias("tables"))
+    sized = old.join(sources, "url")
+    same = sized.where("n BETWEEN 3 AND 6").withColumn("text", F.lit("never built"))
+    new = same.unionByName(sized.where("n > 6")).drop("n").unionByName(more)
+    token = lambda version: F.concat(F.lit("v"), F.when(F.col("n").between(3, 6), 1).otherwise(version)).alias("etag")
+    for version, pages in ((1, old), (2, new)):
+        listed = sources.select("url", token(version), F.lit(None).cast("string").alias("last_modified"))
+        build = lambda changed, p=pages, v=version: package_inserts(p.join(changed.select("url"), "url", "left_semi"), AS_OF, pipeline_version=str(v))
+        run_sources(spark, spec, listed, build, root, AS_OF)
+    rows = _rows(spark, spec, "pages").groupBy("document_id").agg(F.count(F.lit(1)).alias("page_rows"))
+    found = _rows(spark, spec, "package_inserts").join(rows, "document_id", "left")
+    return found.select("document_id", "_meta_source_url", F.col("_meta_pipeline_version").cast("int").alias("version"), "n_pages", "page_rows")
+
+
 @check("review_reports_dataset", """
 WITH p AS (
   SELECT doc_id, 1 AS page_no, '販売名: B ' || source || chr(10) || '申請者名: A' || lang || chr(10) || '申請年月日: 令和7年1月15日' AS text FROM documents

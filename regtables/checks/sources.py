@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import io
 import zipfile
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regtables.checks.registry import check, new_folder, table
-from regtables.sources.archives import archive_csv, archive_members, decode_files
+from regtables.sources.archives import archive_csv, archive_members, archive_tables, decode_files
 from regtables.sources.files import binary_files, csv_records, parquet_table, with_source_file, xml_nodes, xml_rows
+from regtables.sources.ranges import file_system
 
 
 @check("scan_parquet", "SELECT count(*) AS n_rows, count(DISTINCT o_custkey) AS customers, min(o_orderkey) AS low, max(o_orderkey) AS high FROM orders")
@@ -135,6 +137,38 @@ def event_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers.unionByName(orders).groupBy("archive").applyInPandas(pack, "path string, content binary")
 
 
+def written_archives(spark: SparkSession, sf_dir: str) -> str:
+    """The archives as files in a folder of the shared one."""
+    folder = new_folder(spark)
+
+    def write(batches):
+        for b in batches:
+            system, place = file_system(folder)
+            system.create_dir(place)
+            for name, content in zip(b["path"], b["content"]):
+                with system.open_output_stream(f"{place}/{name}") as out:
+                    out.write(content)
+            yield b[["path"]]
+
+    event_archives(spark, sf_dir).mapInPandas(write, "path string").write.format("noop").mode("overwrite").save()
+    return folder
+
+
+@check("scan_zip_source", """
+SELECT 'DEMO' AS stem, 'case-' || (c_custkey // 500) || '.zip' AS archive, CAST(c_custkey AS VARCHAR) AS "id", 'case ' || c_name AS value FROM customer
+UNION ALL SELECT 'HIST', 'case-' || (c_custkey // 500) || '.zip', CAST(c_custkey AS VARCHAR), lower(c_mktsegment) FROM customer
+UNION ALL SELECT 'DRUG', 'case-' || (o_orderkey // 5000) || '.zip', CAST(o_custkey AS VARCHAR), o_orderpriority FROM orders
+UNION ALL SELECT 'REAC', 'case-' || (o_orderkey // 5000) || '.zip', CAST(o_custkey AS VARCHAR), strftime(o_orderdate, '%Y%m%d') FROM orders
+""")
+def zip_source_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All members of archive files in one pass, a task per member."""
+    columns = {"DEMO": ["識別番号", "報告区分"], "HIST": ["識別番号", "原疾患等"], "DRUG": ["識別番号", "医薬品名"], "REAC": ["識別番号", "発現日"]}
+    frames = archive_tables(spark, written_archives(spark, sf_dir), columns)
+    value = lambda stem: F.concat(F.lit("case "), F.col("value")) if stem == "DEMO" else F.col("value")
+    parts = [f.drop("record_no").toDF("archive", "id", "value").select(F.lit(s).alias("stem"), F.element_at(F.split("archive", "/"), -1).alias("archive"), "id", value(s).alias("value")) for s, f in frames.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @check("scan_zip_csv", """
 SELECT 'case-' || (c_custkey // 500) || '.zip' AS archive, CAST(c_custkey AS VARCHAR) AS "id", substr(c_mktsegment, 1, 1) AS gender,
        CAST(NULL AS VARCHAR) AS weight, 'case ' || c_name AS source, '医師, "他"' || chr(10) || '行' AS job, CAST(NULL AS VARCHAR) AS absent

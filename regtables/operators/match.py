@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from regtables.functions.text import strip
-from regtables.operators.sizing import small_side
+from regtables.operators.sizing import is_small, pin, size_of, small_side
 
 
 def match_exact_first(
@@ -28,32 +29,64 @@ def match_exact_first(
     return best.join(small_side(names.select("name").distinct()), "name")
 
 
+GRAM = 3
+
+
 def first_name_per_text(texts: DataFrame, names: DataFrame, text: str) -> DataFrame:
     """``(text, name_no, name)``: the first of the names that the text contains; texts with none are left out.
 
-    ``names`` is ``(name_no, name)``. Each distinct text is cut into the pieces that have the length
-    of some name, and the pieces are joined to the names by equality: only true matches are paired.
-    Meant for table cells, not for document bodies. Empty names match nothing.
+    ``names`` is ``(name_no, name)``; empty names match nothing, of equal ones the first counts. Their size is taken
+    first. Few names go to all tasks, where an Aho-Corasick automaton finds all of them in one pass over each
+    distinct text. Many names are looked up by their rarest gram, see :func:`by_rarest_gram`.
     """
-    # One number per name length: no longer than the longest name.
-    lengths = sorted(r.n for r in names.select(F.length("name").alias("n")).distinct().collect() if r.n)
-    if not lengths:
-        return texts.select(text, *[F.lit(None).cast(names.schema[c].dataType).alias(c) for c in names.columns]).where(F.lit(False))
+    known = pin(names.where("name <> ''").groupBy("name").agg(F.min("name_no").alias("name_no")).select("name_no", "name"))
     distinct_texts = texts.select(text).where(F.col(text).isNotNull()).distinct()
-
-    def pieces(n: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1)))
-        cut = F.transform(starts, lambda i: F.substr(F.col(text), i, n))
-        return F.filter(cut, lambda p: F.length(p) == n)
-
-    all_pieces = F.flatten(F.array(*[pieces(F.lit(n)) for n in lengths]))
-    cut = distinct_texts.select(text, F.explode(F.array_distinct(all_pieces)).alias("name"))
-    return (
-        cut.join(small_side(names.groupBy("name").agg(F.min("name_no").alias("name_no"))), "name")
-        .groupBy(text)
-        .agg(F.min(F.struct("name_no", "name")).alias("m"))
-        .select(text, "m.name_no", "m.name")
-    )
+    if is_small(*size_of(known)):
+        return by_automaton(distinct_texts, known, text)
+    return by_rarest_gram(distinct_texts, known, text)
+
+
+def by_automaton(texts: DataFrame, names: DataFrame, text: str) -> DataFrame:
+    """For names that may be sent to every task."""
+    ranked = names.orderBy("name_no", "name").collect()
+    ordered = texts.sparkSession.createDataFrame([(i, *r) for i, r in enumerate(ranked)], T.StructType([T.StructField("_rank", T.IntegerType()), *names.schema]))
+    sent = texts.sparkSession.sparkContext.broadcast([r["name"] for r in ranked])
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        automaton = ahocorasick.Automaton()
+        for rank, name in enumerate(sent.value):
+            automaton.add_word(name, rank)
+        if sent.value:
+            automaton.make_automaton()
+        for batch in batches:
+            values = batch.column(0).to_pylist()
+            first = [min((rank for _, rank in automaton.iter(v)), default=None) if sent.value else None for v in values]
+            kept = [i for i, rank in enumerate(first) if rank is not None]
+            yield pa.RecordBatch.from_arrays([pa.array([values[i] for i in kept], pa.string()), pa.array([first[i] for i in kept], pa.int32())], names=["text", "_rank"])
+
+    found = texts.select(text).mapInArrow(find, "text string, _rank int")
+    return found.join(F.broadcast(ordered), "_rank").select(F.col("text").alias(text), "name_no", "name")
+
+
+def _grams(text: Column, n: int) -> Column:
+    starts = F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1)))
+    return F.filter(F.transform(starts, lambda i: F.substr(text, i, F.lit(n))), lambda p: F.length(p) == n)
+
+
+def by_rarest_gram(texts: DataFrame, names: DataFrame, text: str) -> DataFrame:
+    """For any number of names. Each is looked up by that of its grams of GRAM characters (or by all of it, if it is
+    shorter) that the fewest texts have; texts that have it are compared. A name with a gram that no text has is
+    not looked up at all. Nothing but grams and true candidates is moved; AQE splits grams that many texts have."""
+    lengths = range(1, GRAM + 1)
+    cut = texts.select(text, F.explode(F.array_distinct(F.flatten(F.array(*(_grams(F.col(text), n) for n in lengths))))).alias("gram"))
+    frequency = cut.groupBy("gram").agg(F.count(F.lit(1)).alias("n_texts"))
+    own = F.coalesce(*(F.when(F.length("name") <= n, _grams(F.col("name"), n)) for n in lengths[:-1]), _grams(F.col("name"), GRAM))
+    of_names = names.select("name_no", "name", F.explode(F.array_distinct(own)).alias("gram")).join(frequency, "gram", "left")
+    rarest = of_names.groupBy("name_no", "name").agg(F.min(F.struct(F.coalesce("n_texts", F.lit(0)).alias("n_texts"), "gram")).alias("g")).where("g.n_texts > 0")
+    candidates = cut.join(rarest.select("name_no", "name", "g.gram"), "gram").where(F.col(text).contains(F.col("name")))
+    return candidates.groupBy(text).agg(F.min(F.struct("name_no", "name")).alias("m")).select(text, "m.name_no", "m.name")
 
 
 def match_contains_all(

@@ -2,7 +2,7 @@
 
 A rule is a dict such as ``{"column": "id", "check": "is_unique"}``. All rules run, and each gives
 one row ``(rule_no, column, check, passed, violations, message)``. Row-wise rules share one
-aggregation; each ``is_unique`` and ``is_in_set`` adds a grouping whose counts are combined before
+aggregation, all ``is_unique`` and ``is_in_set`` rules one grouping whose counts are combined before
 the shuffle. Only the report leaves the executors.
 """
 
@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from regtables.functions.dates import to_iso_date
 from regtables.functions.records import lenient_number
@@ -114,36 +114,58 @@ def _row(no: int, rule: Mapping[str, Any], violations: Column, message: Column)
     )
 
 
-def _unique_report(df: DataFrame, no: int, rule: Mapping[str, Any]) -> DataFrame:
-    """Two nulls are a repeat, yet null is left out of the number in the message."""
-    name = rule["column"]
-    repeated = df.groupBy(F.col(f"`{name}`").alias("_v")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    counts = repeated.agg(F.count(F.lit(1)).alias("all"), F.count("_v").alias("values"))
-    text = F.concat(
-        F.lit(f"Column '{name}' is not unique. Found "), F.col("values").cast("string"), F.lit(" duplicate values.")
-    )
-    return counts.select(_row(no, rule, F.col("all"), text).alias("r"))
-
-
 def invalid_values(df: DataFrame, column: str, allowed_values: Sequence[Any]) -> DataFrame:
     """``(value, n_rows)`` of every value outside the allowed set."""
     bad = df.where(~in_set(df, column, allowed_values))
     return bad.groupBy(F.col(f"`{column}`").alias("value")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def _in_set_report(df: DataFrame, no: int, rule: Mapping[str, Any]) -> DataFrame:
-    bad = invalid_values(df, rule["column"], rule["allowed_values"])
-    counted = bad.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("distinct"))
-    top = bad.orderBy("value").limit(SHOWN_VALUES)
-    shown = top.agg(F.array_join(F.array_sort(F.collect_list(F.coalesce(F.col("value").cast("string"), F.lit("None")))), ", ").alias("shown"))
-    # Both sides are one row.
-    both = counted.withColumn("_one", F.lit(1)).join(shown.withColumn("_one", F.lit(1)), "_one")
-    more = F.when(F.col("distinct") > SHOWN_VALUES, F.concat(F.lit(" of "), F.col("distinct").cast("string"), F.lit(" values")))
-    text = F.concat(
-        F.lit(f"Column '{rule['column']}' contains values not in the allowed set: ["),
-        F.col("shown"), F.lit("]"), F.coalesce(more, F.lit("")),
-    )
-    return both.select(_row(no, rule, F.col("rows"), text).alias("r"))
+def _as_text(df: DataFrame, name: str) -> Column:
+    """The value as text, the same for equal values and for them only."""
+    c, kind = F.col(f"`{name}`"), df.schema[name].dataType
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return (c + 0.0).cast("string")  # one zero
+    if isinstance(kind, T.BinaryType):
+        return F.hex(c)
+    return F.to_json(F.struct(c)) if isinstance(kind, (T.ArrayType, T.StructType, T.MapType)) else c.cast("string")
+
+
+# The wording of the messages.
+def _grouped_message(rule: Mapping[str, Any], found: Column) -> Column:
+    name = rule["column"]
+    if rule["check"] == "is_unique":
+        # Two nulls are a repeat, yet null is left out of the number in the message.
+        return F.concat(F.lit(f"Column '{name}' is not unique. Found "), found["repeated_values"].cast("string"), F.lit(" duplicate values."))
+    more = F.when(found["distinct"] > SHOWN_VALUES, F.concat(F.lit(" of "), found["distinct"].cast("string"), F.lit(" values")))
+    return F.concat(F.lit(f"Column '{name}' contains values not in the allowed set: ["), found["shown"], F.lit("]"), F.coalesce(more, F.lit("")))
+
+
+def _grouped_report(df: DataFrame, rules: Mapping[int, Mapping[str, Any]]) -> DataFrame:
+    """The rules that need groups of equal values, by one grouping over (rule, value): the table is read once, and
+    counts are combined before they are moved."""
+
+    def entry(no: int, rule: Mapping[str, Any]) -> Column:
+        listed = rule["check"] == "is_in_set"
+        e = F.struct(F.lit(no).alias("rule_no"), _as_text(df, rule["column"]).alias("value"), F.lit(listed).alias("listed"))
+        return F.when(~in_set(df, rule["column"], rule["allowed_values"]), e) if listed else e
+
+    entries = F.filter(F.array(*(entry(no, r) for no, r in rules.items())), lambda e: e.isNotNull())
+    counts = df.select(F.explode(entries).alias("e")).select("e.*").groupBy("rule_no", "value").agg(F.count(F.lit(1)).alias("n"), F.max("listed").alias("listed"))
+    # Both take all of the counts as they are, so these are made once.
+    sums = counts.groupBy("rule_no").agg(
+        F.sum(F.when(F.col("listed"), F.col("n"))).alias("rows"), F.count(F.lit(1)).alias("distinct"),
+        F.count_if(F.col("n") > 1).alias("repeated"), F.count_if((F.col("n") > 1) & F.col("value").isNotNull()).alias("repeated_values"),
+    )
+    first = Window.partitionBy("rule_no").orderBy(F.col("value").try_cast("double"), "value")
+    top = counts.where(F.col("listed") & (F.col("n") > 0)).withColumn("at", F.row_number().over(first)).where(F.col("at") <= SHOWN_VALUES)
+    shown = top.groupBy("rule_no").agg(F.array_join(F.array_sort(F.collect_list(F.coalesce("value", F.lit("None")))), ", ").alias("shown"))
+    found = sums.join(shown, "rule_no", "left").select("rule_no", F.struct("rows", "distinct", "repeated", "repeated_values", "shown").alias("f"))
+    given = df.sparkSession.createDataFrame([(no,) for no in rules], "rule_no int").join(found, "rule_no", "left")  # a row per rule
+    row = F.lit(None)
+    for no, rule in rules.items():
+        n = F.col("f")["repeated" if rule["check"] == "is_unique" else "rows"]
+        row = F.when(F.col("rule_no") == no, _row(no, rule, n, _grouped_message(rule, F.col("f")))).otherwise(row)
+    return given.select(row.alias("r"))
 
 
 # Options each check needs besides the column.
@@ -178,22 +200,20 @@ def check(df: DataFrame, rules: Sequence[Mapping[str, Any]] | None) -> DataFrame
     spark = df.sparkSession
     fixed: list[Column] = []
     by_row: list[Column] = []
-    others: list[DataFrame] = []
+    grouped: dict[int, Mapping[str, Any]] = {}
     for no, rule in enumerate(rules or []):
         problem = _static_problem(df, rule)
         if problem is not None:
             fixed.append(_row(no, rule, F.lit(1), F.lit(problem)))
         elif rule["check"] == "has_type" and rule["type"] not in ("integer", "float", "datetime"):
             fixed.append(_row(no, rule, F.lit(0), F.lit("")))
-        elif rule["check"] == "is_unique":
-            others.append(_unique_report(df, no, rule))
-        elif rule["check"] == "is_in_set":
-            others.append(_in_set_report(df, no, rule))
+        elif rule["check"] in ("is_unique", "is_in_set"):
+            grouped[no] = rule
         else:
             n = F.count_if(_violation(df, rule))
             by_row.append(_row(no, rule, n, _message(rule, n)))
 
-    parts = list(others)
+    parts = [_grouped_report(df, grouped)] if grouped else []
     if by_row:
         parts.append(df.agg(F.array(*by_row).alias("rs")).select(F.explode("rs").alias("r")))
     if fixed:

@@ -18,6 +18,7 @@ from regtables.operators.conform import add_lineage, conform, rename_columns, re
 from regtables.operators.grid import detect_header, drop_empty_rows, fill_down, files_without_header, grid_records
 from regtables.operators.sizing import pin
 from regtables.plans.specs import ADVERSE_EVENTS, APPROVAL_ROWS, APPROVALS, PACKAGE_INSERTS, REVIEW_REPORTS, DatasetSpec
+from regtables.sources.archives import Frames
 from regtables.sources.documents import document_marks, page_section
 
 # Header names of the sources and the target columns they feed.
@@ -182,7 +183,8 @@ def adverse_events(
             table = table.withColumn(ROW_ID_COLUMNS[stem], row_hash_id(mapping.values()))
         table = add_lineage(table, source_url, as_of, pipeline_version, extraction_ts or as_of)
         tables[stem] = conform(table, ADVERSE_EVENTS.tables[stem].schema)
-    return tables
+    # What became of the archives goes with the tables.
+    return Frames(tables, getattr(frames, "account", None))
 
 
 def _document_tables(

@@ -103,6 +103,19 @@ INGESTION_STATE = TableSpec(
     ("dataset_id",),
 )
 
+# One row per source of a dataset that is loaded source by source.
+SOURCE_STATE = TableSpec(
+    "source_state",
+    {
+        "dataset_id": "VARCHAR(100) NOT NULL",
+        "url": "TEXT NOT NULL",
+        "etag": "TEXT",
+        "last_modified": "TEXT",
+        "last_loaded_ts_utc": "TIMESTAMPTZ",
+    },
+    ("url", "dataset_id"),
+)
+
 RUN_INPUTS = TableSpec(
     "run_inputs",
     {"dataset_id": "VARCHAR(100) NOT NULL", "run_ts_utc": "TIMESTAMPTZ", "status": "VARCHAR(50)", "input": "JSONB"},

@@ -288,10 +288,10 @@ def _key_ranges(rows: DataFrame, rank: Column) -> list[tuple[int, int]]:
     return [(r.low, r.high) for r in found.collect()]
 
 
-def _may_match(spark: SparkSession, folder: str, spec: TableSpec, parts: Sequence[Part], staged: DataFrame, by: str) -> dict[str, dict[str, int]]:
-    """Rows of the files, by part, whose range of keys meets one of the staged keys."""
+def _may_match(spark: SparkSession, folder: str, spec: TableSpec, parts: Sequence[Part], keys: DataFrame, by: str) -> dict[str, dict[str, int]]:
+    """Rows of the files, by part, whose range of keys meets one of ``keys``."""
     rank = _key_rank(F.col(f"`{by}`"), spec.schema[by].dataType) if by == spec.primary_key[0] else None
-    ranges = None if rank is None or not parts else _key_ranges(staged, rank)
+    ranges = None if rank is None or not parts else _key_ranges(keys, rank)
 
     def meets(low: int | None, high: int | None) -> bool:
         return ranges is None or (low is not None and any(low <= b and a <= high for a, b in ranges))
@@ -303,12 +303,35 @@ def _may_match(spark: SparkSession, folder: str, spec: TableSpec, parts: Sequenc
     return found
 
 
+def _without(
+    spark: SparkSession, spec: TableSpec, schema_name: str, folder: str, parts: tuple[Part, ...], gone: DataFrame, by: Sequence[str], few: bool | None
+) -> tuple[Part, ...]:
+    """The parts without the rows whose ``by`` is in ``gone``. Files that hold none of these stay, by reference: of
+    those whose range of keys meets them ``by`` is read, and only files with a match are read whole. The rows that
+    stay of those are written anew."""
+    candidates = _may_match(spark, folder, spec, parts, gone, by[0])
+    paths = [f"{folder}/{p}/{name}" for p, files in candidates.items() for name in files]
+    if not paths:
+        return parts
+    touched: dict[str, dict[str, int]] = {}
+    rows = spark.read.schema(spec.schema).parquet(*paths)
+    hits = with_keys(rows.select(*by, F.col("_metadata.file_path").alias("_file")), gone, by, few)
+    for r in hits.groupBy("_file").agg(F.count(F.lit(1)).alias("n")).collect():  # a row per file
+        *_, part, name = r["_file"].split("/")
+        touched.setdefault(f"{spec.name}/{part}", {})[name] = r.n
+    rest = [f"{folder}/{p}/{name}" for p, files in touched.items() for name, n in files.items() if n < candidates[p][name]]
+    left = {p.folder: p.n_rows - sum(candidates[p.folder][n] for n in touched[p.folder]) for p in parts if p.folder in touched}
+    found = without_files(parts, {p: set(files) for p, files in touched.items()}, left)
+    if not rest:
+        return found
+    kept = without_keys(spark.read.schema(spec.schema).parquet(*rest), gone, by, few)
+    return (*found, *_rewritten(kept, spec, schema_name, folder, ()).parts)
+
+
 def _merged(
     staged: Staged, spec: TableSpec, schema_name: str, parts: tuple[Part, ...], keys: Sequence[str] | None, on_duplicate: str, order: Sequence[str]
 ) -> Edit:
-    """The table with the staged rows merged in. Files that hold no key of theirs stay, by reference: of those whose
-    range of keys meets the staged one the keys are read, and only files with a match are read whole. Rows
-    that stay of them are written anew; the staged files themselves become part of the table."""
+    """The table with the staged rows merged in; the staged files themselves become part of it."""
     spark, folder = staged.rows.sparkSession, staged.schema_folder
     keys = list(keys if keys is not None else spec.primary_key)
     check_merge_keys(list(spec.columns), keys)
@@ -319,27 +342,22 @@ def _merged(
         # The rows kept of the table are in their buckets already.
         kept = without_keys(_bucketed(spark, spec, schema_name, folder, parts), staged.rows, by, few)
         return _rewritten(kept.unionByName(_by_bucket(source, spec)), spec, schema_name, folder, parts)
-
     if source is staged.rows:
         added = _part_of(staged, spec, schema_name, parts)
     else:  # repeated keys were resolved
         added = _rewritten(source, spec, schema_name, folder, ()).parts[0]
-    candidates = _may_match(spark, folder, spec, parts, staged.rows, by[0])
-    paths = [f"{folder}/{p}/{name}" for p, files in candidates.items() for name in files]
-    touched: dict[str, dict[str, int]] = {}
-    if paths:
-        rows = spark.read.schema(spec.schema).parquet(*paths)
-        hits = with_keys(rows.select(*by, F.col("_metadata.file_path").alias("_file")), staged.rows, by, few)
-        for r in hits.groupBy("_file").agg(F.count(F.lit(1)).alias("n")).collect():  # a row per file
-            *_, part, name = r["_file"].split("/")
-            touched.setdefault(f"{spec.name}/{part}", {})[name] = r.n
-    rest = [f"{folder}/{p}/{name}" for p, files in touched.items() for name, n in files.items() if n < candidates[p][name]]
-    new = (added,)
-    if rest:
-        kept = without_keys(spark.read.schema(spec.schema).parquet(*rest), staged.rows, by, few)
-        new = (*_rewritten(kept, spec, schema_name, folder, ()).parts, added)
-    left = {p.folder: p.n_rows - sum(candidates[p.folder][n] for n in touched[p.folder]) for p in parts if p.folder in touched}
-    return Edit("rewrite", (*without_files(parts, {p: set(files) for p, files in touched.items()}, left), *new), parts)
+    return Edit("rewrite", (*_without(spark, spec, schema_name, folder, parts, staged.rows, by, few), added), parts)
+
+
+def replaced_sources(staged: Staged, spec: TableSpec, schema_name: str, parts: tuple[Part, ...], sources: DataFrame) -> Edit:
+    """The table with all rows of some sources replaced by the staged ones. ``sources`` has the column that tells a
+    row's source; one that has no rows any more leaves none."""
+    spark, folder, by = staged.rows.sparkSession, staged.schema_folder, sources.columns
+    if spec.buckets:
+        kept = without_keys(_bucketed(spark, spec, schema_name, folder, parts), sources, by)
+        return _rewritten(kept.unionByName(_by_bucket(staged.rows, spec)), spec, schema_name, folder, parts)
+    added = (_part_of(staged, spec, schema_name, parts),) if staged.n_rows else ()
+    return Edit("rewrite", (*_without(spark, spec, schema_name, folder, parts, sources, by, None), *added), parts)
 
 
 def execute_merge(

@@ -1,20 +1,35 @@
 """Archives of CSV members, and the charset of files.
 
-One file is one row of ``(path, content)``, so at most 2 GB; tasks decode and parse it as a stream,
-a bounded number of rows at a time. A deflated member cannot be split: the parallelism is the
-number of archives, and the rows are spread again by the next shuffle.
+:func:`archive_tables` reads archives of any size where they lie: a data source looks at their central directories and
+plans a partition for each member, which a task finds by its place in the archive. All members are read in one
+pass, and an account of what could not be read comes with the tables. A deflated member cannot be split.
+
+The functions on ``(path, content)`` are for archives that are rows already, at most 2 GB each. Tasks decode and parse
+a member as a stream, a bounded number of rows at a time.
 """
 
 from __future__ import annotations
 
 import codecs
+import fnmatch
 import io
+import json
+import uuid
 import zipfile
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from typing import BinaryIO
 
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyarrow import fs as pafs
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+from regtables.operators.sizing import shared_folder
+from regtables.sources.ranges import file_system
 
 CHARSETS = ("utf-8", "cp932")
 FALLBACK_CHARSET = "cp932"
@@ -86,10 +101,10 @@ def _find_member(archive: zipfile.ZipFile, stem: str) -> str | None:
 class _Member:
     """One CSV member of an archive: what is known of it before its rows are read."""
 
-    def __init__(self, content: bytes, stem: str, candidates: Sequence[str], fallback: str):
+    def __init__(self, content: bytes | Callable[[], BinaryIO], stem: str, candidates: Sequence[str], fallback: str):
         self.status, self.name, self.charset, self.problem = "missing", None, None, None
         try:
-            self.archive = zipfile.ZipFile(io.BytesIO(content))
+            self.archive = zipfile.ZipFile(content() if callable(content) else io.BytesIO(content))
             self.name = _find_member(self.archive, stem)
             if self.name is None:
                 return
@@ -198,3 +213,142 @@ def archive_csv(
 
     fields = ", ".join(f"`{c}` string" for c in columns)
     return files.select("path", "content").mapInPandas(read, f"archive string, record_no bigint, {fields}")
+
+
+# --- all members in one pass ----------------------------------------------------------------------
+
+_FOUND = pa.schema([
+    ("archive", pa.string()), ("stem", pa.string()), ("member", pa.string()), ("status", pa.string()), ("charset", pa.string()),
+    ("problem", pa.string()), ("n_rows", pa.int64()), ("record_no", pa.int64()), ("cells", pa.list_(pa.string())),
+])
+_FOUND_DDL = "archive string, stem string, member string, status string, charset string, problem string, n_rows bigint, record_no bigint, cells array<string>"
+_ACCOUNT = ["archive", "stem", "member", "status", "charset", "n_rows", "problem"]
+
+
+class Frames(dict):
+    """Tables by name, with the ``account`` of the inputs they were read from: a row per input with its ``status``."""
+
+    def __init__(self, frames: Mapping[str, DataFrame], account: DataFrame | None):
+        super().__init__(frames)
+        self.account = account
+
+
+def _member_rows(
+    archive: str, content: bytes | Callable[[], BinaryIO], stem: str, columns: Sequence[str], candidates: Sequence[str], fallback: str
+) -> Iterator[pa.RecordBatch]:
+    """The rows of a member, and one of its account, which has no record_no."""
+    member, n_rows = _Member(content, stem, candidates, fallback), 0
+    for frame in member.frames():
+        n_rows += len(frame)
+        cells = _plain(frame.reindex(columns=list(columns))).to_numpy().tolist()
+        rows = {"archive": [archive] * len(frame), "stem": [stem] * len(frame), "record_no": [int(i) for i in frame.index], "cells": cells}
+        yield pa.RecordBatch.from_arrays([pa.array(rows.get(f.name, [None] * len(frame)), f.type) for f in _FOUND], schema=_FOUND)
+    account = {"archive": archive, "stem": stem, "member": member.name, "status": member.status, "charset": member.charset, "problem": member.problem, "n_rows": n_rows}
+    yield pa.RecordBatch.from_pylist([account], schema=_FOUND)
+
+
+@dataclass
+class _Members(InputPartition):
+    """Members of one archive that one task reads."""
+
+    path: str
+    stems: tuple[str, ...]
+
+
+class _ArchiveReader(DataSourceReader):
+    def __init__(self, options: Mapping[str, str]):
+        self.path, self.glob = options["path"], options.get("glob", "*.zip")
+        self.tables: dict[str, list[str]] = json.loads(options["tables"])
+        self.candidates = json.loads(options.get("candidates", json.dumps(CHARSETS)))
+        self.fallback = options.get("fallback", FALLBACK_CHARSET)
+
+    def _files(self) -> list[str]:
+        system, name = file_system(self.path)
+        if system.get_file_info(name).type == pafs.FileType.File:
+            return [self.path]
+        found = system.get_file_info(pafs.FileSelector(name))
+        names = sorted(f.base_name for f in found if f.type == pafs.FileType.File and fnmatch.fnmatch(f.base_name, self.glob))
+        return [f"{self.path.rstrip('/')}/{n}" for n in names]
+
+    @staticmethod
+    def _open(path: str) -> BinaryIO:
+        system, name = file_system(path)
+        return system.open_input_file(name)
+
+    def _plan(self, path: str) -> list[_Members]:
+        """A partition per member that holds data; one for all that is missing, empty or unreadable."""
+        try:
+            with zipfile.ZipFile(self._open(path)) as archive:
+                names = {stem: _find_member(archive, stem) for stem in self.tables}
+                full = [s for s, n in names.items() if n is not None and archive.getinfo(n).file_size]
+        except _UNREADABLE:
+            full = []
+        rest = tuple(s for s in self.tables if s not in full)
+        return [_Members(path, (s,)) for s in full] + ([_Members(path, rest)] if rest else [])
+
+    def partitions(self) -> Sequence[InputPartition]:
+        # Only central directories are read here, many at a time.
+        with ThreadPoolExecutor(max_workers=32) as pool:
+            planned = [p for own in pool.map(self._plan, self._files()) for p in own]
+        return planned or [_Members("", ())]
+
+    def read(self, partition: _Members) -> Iterator[pa.RecordBatch]:
+        for stem in partition.stems:
+            yield from _member_rows(partition.path, lambda: self._open(partition.path), stem, self.tables[stem], self.candidates, self.fallback)
+
+
+class ArchiveSource(DataSource):
+    """``spark.read.format("archive_csv")``: CSV members of zip archives. Options: ``path``, ``glob``, ``tables`` (JSON: columns
+    by member name without ``.csv``), ``candidates`` (JSON: charsets), ``fallback``. A row per record, and one per member
+    without a ``record_no``, which tells what became of it."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "archive_csv"
+
+    def schema(self) -> str:
+        return _FOUND_DDL
+
+    def reader(self, schema) -> DataSourceReader:
+        return _ArchiveReader(self.options)
+
+
+def _kept(found: DataFrame, tables: Mapping[str, Sequence[str]]) -> Frames:
+    """What a pass found, kept in the shared folder by member, so that the pass is made once."""
+    spark = found.sparkSession
+    folder = f"{shared_folder(spark)}/regtables/archives-{uuid.uuid4().hex}"
+    found.write.partitionBy("stem").parquet(folder)
+    kept = spark.read.schema(found.schema).parquet(folder)
+
+    def table(stem: str) -> DataFrame:
+        rows = kept.where((F.col("stem") == stem) & F.col("record_no").isNotNull())
+        return rows.select("archive", "record_no", *[F.get("cells", F.lit(i)).alias(c) for i, c in enumerate(tables[stem])])
+
+    return Frames({stem: table(stem) for stem in tables}, kept.where("record_no IS NULL").select(*_ACCOUNT))
+
+
+def archive_tables(
+    spark: SparkSession, path: str, tables: Mapping[str, Sequence[str]], glob: str = "*.zip",
+    candidates: Sequence[str] = CHARSETS, fallback: str = FALLBACK_CHARSET,
+) -> Frames:
+    """For each member name the rows of ``<name>.csv`` (any case) of all archives under the path, as
+    :func:`archive_csv` gives them, and their account."""
+    spark.dataSource.register(ArchiveSource)
+    options = {"glob": glob, "tables": json.dumps({s: list(c) for s, c in tables.items()}), "candidates": json.dumps(list(candidates)), "fallback": fallback}
+    return _kept(spark.read.format("archive_csv").options(**options).load(path), tables)
+
+
+def archive_frames(
+    files: DataFrame, tables: Mapping[str, Sequence[str]], candidates: Sequence[str] = CHARSETS, fallback: str = FALLBACK_CHARSET
+) -> Frames:
+    """As :func:`archive_tables`, for archives that are rows ``(path, content)``."""
+    columns = {s: list(c) for s, c in tables.items()}
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+                data = content.as_py()
+                for stem, names in columns.items():
+                    yield from _member_rows(path, data, stem, names, candidates, fallback)
+
+    return _kept(files.select("path", "content").mapInArrow(read, _FOUND_DDL), tables)

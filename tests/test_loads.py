@@ -11,12 +11,13 @@ from regtables.operators.upsert import without_keys
 from regtables.plans.datasets import (
     ADVERSE_EVENT_COLUMNS, APPROVAL_COLUMNS, OLD_APPROVAL_COLUMNS, adverse_events, approval_records, approval_rows, approval_tables, approvals, package_inserts, review_reports,
 )
-from regtables.plans.pipeline import LostInputError, ValidationError, load_tables, run_dataset
+from regtables.plans.pipeline import LostInputError, ValidationError, load_tables, run_dataset, run_sources
 from regtables.plans.specs import (
     ADVERSE_EVENTS, APPROVALS, DATASETS, PACKAGE_INSERTS, REVIEW_REPORTS, DatasetSpec, TableSpec, with_config,
 )
 from regtables.plans.types import is_required, schema_of, spark_type, store_type
 from regtables.sinks.state import get_watermark, latest_state, list_states, read_states, run_row, upsert_state
+from regtables.sources.archives import archive_tables
 from regtables.sinks.tables import bulk_load, ensure_tables, execute_merge, merge_statement, stage, table_name, write_jdbc
 from regtables.streaming.intake import read_new_files, stream_upsert
 
@@ -382,3 +383,68 @@ def test_stream(spark, place, tmp_path):
     with pytest.raises(Exception, match="null values"):
         run()
     assert run(lambda df: df.fillna("fixed")) == [(1, "a"), (2, "c"), (3, "d"), (4, "fixed")]
+
+
+# --- source by source --------------------------------------------------------------------------
+
+
+def test_only_changed_sources_are_built(spark, place):
+    spec = with_config(PACKAGE_INSERTS, {"schema_name": place[0]})
+    seen = []
+
+    def run(tokens, pages, as_of=AS_OF, **settings):
+        sources = spark.createDataFrame([(u, t, None) for u, t in tokens.items()], "url string, etag string, last_modified string")
+        df = spark.createDataFrame([(u, i, x, None) for u, own in pages.items() for i, x in enumerate(own)], PAGES)
+
+        def build(changed):
+            seen.append(sorted(r.url for r in changed.collect()))
+            return package_inserts(df.join(changed.select("url"), "url", "left_semi"), as_of)
+
+        return run_sources(spark, spec, sources, settings.get("build", build), place[1], as_of)
+
+    def found():
+        pages = spark.table(table_name(place[0], spec.tables["pages"])).select("page_text")
+        documents = spark.table(table_name(place[0], spec.tables["package_inserts"])).select("_meta_source_url", "n_pages")
+        return sorted(r.page_text for r in pages.collect()), rows(documents)
+
+    first = {"a": ["a1", "a2"], "b": ["b1"], "c": ["c1", "c2", "c3"]}
+    assert run({"a": "1", "b": "1", "c": "1"}, first) == {"package_inserts": 3, "package_insert_pages": 6}
+    assert run({"a": "1", "b": "1", "c": "1"}, {}) == {} and len(seen) == 1
+    # b changed, c has no pages any more, d is new, e has no token; a is not even looked at.
+    more = {"a": ["never"], "b": ["b9"], "d": ["d1"], "e": ["e1"]}
+    assert run({"a": "1", "b": "2", "c": "2", "d": "1", "e": None}, more) == {"package_inserts": 3, "package_insert_pages": 3}
+    assert seen[1] == ["b", "c", "d", "e"]
+    state = found()
+    assert state == (["a1", "a2", "b9", "d1", "e1"], [("a", 2), ("b", 1), ("d", 1), ("e", 1)])
+    # A source without a token always counts as changed.
+    assert run({"e": None}, {"e": ["e2"]}) == {"package_inserts": 1, "package_insert_pages": 1} and seen[2] == ["e"]
+
+    with pytest.raises(ZeroDivisionError):
+        run({"a": "2"}, {}, build=lambda changed: 1 / 0)
+    assert rows(list_states(read_states(spark, place[0])).select("status")) == [("FAILED",)]
+    # It is built by the next run, as its token was not stored.
+    assert run({"a": "2"}, {"a": ["a9"]}) and seen[3] == ["a"] and found()[0] == ["a9", "b9", "d1", "e2"]
+    tokens = spark.table(f"{place[0]}.source_state").select("url", "etag")
+    assert rows(tokens.where("url <> 'e'")) == [("a", "2"), ("b", "2"), ("c", "2"), ("d", "1")]
+
+
+def test_the_account_of_archives_comes_with_their_tables(spark, place, tmp_path):
+    spec = with_config(ADVERSE_EVENTS, {"schema_name": place[0]})
+
+    def write(name, members):
+        with zipfile.ZipFile(tmp_path / name, "w") as z:
+            for stem, names in members.items():
+                z.writestr(f"{stem}.csv", ",".join(names) + "\n" + ",".join("1" for _ in names) + "\n")
+
+    write("1.zip", ADVERSE_EVENT_COLUMNS)
+    (tmp_path / "2.zip").write_bytes(b"cut off")
+    build = lambda: adverse_events(archive_tables(spark, str(tmp_path), ADVERSE_EVENT_COLUMNS), "u", AS_OF)
+    with pytest.raises(LostInputError, match="4 inputs"):
+        run_dataset(spark, spec, build, place[1], AS_OF, {"etag": "1"})
+    assert spark.table(table_name(place[0], spec.tables["DEMO"])).count() == 0
+    assert run_dataset(spark, spec, build, place[1], AS_OF, {"etag": "1"}, allow_lost=True)["adverse_demo"] == 1
+    assert not get_watermark(spark, place[0], "adverse_events")
+    write("2.zip", {"DEMO": ADVERSE_EVENT_COLUMNS["DEMO"]})
+    run_dataset(spark, spec, build, place[1], AS_OF, {"etag": "1"}, on_duplicate="last")
+    assert get_watermark(spark, place[0], "adverse_events") == {"etag": "1"}
+    assert rows(spark.table(f"{place[0]}.run_inputs").groupBy("status").count()) == [("missing", 3), ("ok", 4 + 4 + 5), ("unreadable", 8)]

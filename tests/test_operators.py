@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -322,3 +323,47 @@ def test_links_of_one_row_go_by_their_place(spark):
     names = spark.createDataFrame([("A",), ("B",)], "name string")
     assert rows(match_exact_first(df, names)) == [("A", "u9"), ("B", "u4")]
     assert rows(match_exact_first(df.drop("link_no"), names)) == [("A", "u2"), ("B", "u4")]
+
+
+def test_both_ways_to_find_names_in_texts(spark):
+    from regtables.operators.match import by_automaton, by_rarest_gram
+
+    rng = random.Random(2)
+    word = lambda n: "".join(rng.choice("abé薬🙂 ") for _ in range(n))
+    texts = [word(rng.choice([0, 1, 2, 5, 30])) for _ in range(300)] + ["aaaa", None]
+    names = [(i, word(rng.choice([1, 2, 3, 4, 8]))) for i in range(60, 0, -1)] + [(0, ""), (99, "aa"), (98, "aa"), (97, "none of it")]
+    want = {t: min((n, x) for n, x in names if x and x in t) for t in set(texts) if t is not None and any(x and x in t for _, x in names)}
+    t = spark.createDataFrame([(x,) for x in texts], "t string").repartition(3)
+    n = spark.createDataFrame(names, "name_no int, name string").repartition(3)
+    distinct, known = t.where("t IS NOT NULL").distinct(), n.where("name <> ''").groupBy("name").agg(F.min("name_no").alias("name_no")).select("name_no", "name")
+    for found in (first_name_per_text(t, n, "t"), by_automaton(distinct, known, "t"), by_rarest_gram(distinct, known, "t")):
+        assert found.columns == ["t", "name_no", "name"]
+        assert {r.t: (r.name_no, r.name) for r in found.collect()} == want
+        assert found.count() == len(want)
+    for way in (by_automaton, by_rarest_gram):
+        assert way(distinct, known.where("false"), "t").count() == way(distinct.where("false"), known, "t").count() == 0
+
+
+def test_all_groupings_of_rules_read_the_table_once(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def seen(x):
+        reads.add(1)
+        return x
+
+    df = spark.range(1000, numPartitions=3).select(seen(F.col("id").cast("int")).alias("a"), (F.col("id") / 2).alias("b"), F.when(F.col("id") > 5, F.col("id") % 40).alias("c"))
+    df = df.withColumns({"b": F.when(F.col("a") >= 0, F.col("b")), "c": F.when(F.col("a") >= 0, F.col("c"))})
+    rules = [{"column": "a", "check": "is_unique"}, {"column": "c", "check": "is_unique"}, {"column": "c", "check": "is_in_set", "allowed_values": list(range(10))},
+             {"column": "b", "check": "is_in_set", "allowed_values": [i / 2 for i in range(1000)]}, {"column": "b", "check": "is_in_set", "allowed_values": [0.0, -0.0]}]
+    found = {r.rule_no: (r.passed, r.violations, r.message) for r in check(df, rules).collect()}
+    assert reads.value == 1000
+    shown = ", ".join(sorted(["None", *map(str, range(10, 29))]))
+    assert found == {
+        0: (True, 0, None), 1: (False, 41, "Column 'c' is not unique. Found 40 duplicate values."),
+        2: (False, 6 + sum(1 for i in range(6, 1000) if i % 40 > 9), f"Column 'c' contains values not in the allowed set: [{shown}] of 31 values"),
+        3: (True, 0, None), 4: (False, 999, f"Column 'b' contains values not in the allowed set: [{', '.join(sorted(str(i / 2) for i in range(1, 21)))}] of 999 values"),
+    }
+    # Row-wise rules take one more reading, however many there are.
+    check(df, [*rules, {"column": "b", "check": "not_null"}, {"column": "b", "check": "is_in_range", "min_value": 0, "max_value": 9}]).collect()
+    assert reads.value == 3000

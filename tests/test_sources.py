@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from regtables.plans.datasets import ADVERSE_EVENT_COLUMNS
-from regtables.sources.archives import archive_csv, archive_members, decode_files
+from regtables.sources.archives import archive_csv, archive_frames, archive_members, archive_tables, decode_files
 from regtables.sources.documents import assemble_documents, document_marks, page_links, page_section, page_table_rows
 from regtables.sources.files import binary_files, csv_records, with_source_file, xml_nodes, xml_rows
 
@@ -215,3 +215,36 @@ def test_a_page_of_many_tables(spark):
     html = f'<div id="ContentMainArea"><table class="result_list_table">{row * 30}</table></div>'
     found = page_table_rows(spark.createDataFrame([(1, "https://h.org/", html)], "page_id int, url string, html string")).collect()
     assert [r.row_no for r in found] == list(range(30)) and {r.cells[4] for r in found} == {"i" * 60}
+
+
+def test_archive_files_in_one_pass(spark, tmp_path):
+    """The source and the pass over rows give what the functions for one member give."""
+    rng = lambda k, n: "id,drug,名\n" + "".join(f'{k}-{i},"a, {i}",薬{i}\n' for i in range(n))
+    good = {"demo.CSV": rng(1, 50), "DRUG.csv": rng(2, 2), "REAC.csv": "", "x/HIST.csv": "id\n1\n"}
+    broken = archive({"DEMO.csv": rng(3, 3000), "DRUG.csv": rng(4, 5)}, "utf-8")
+    at = broken.index(b"DEMO.csv") + 400
+    contents = {"1.zip": archive(good), "2.zip": b"no archive", "3.zip": broken[:at] + bytes(200) + broken[at + 200 :], "4.zip": archive({"DEMO.csv": "id,drug\n1,x,y\n"}), "5.ZIP": b"", "note.txt": b"x"}
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    tables = {"DEMO": ["drug", "id", "none"], "DRUG": ["名"], "REAC": ["id"], "HIST": ["id"]}
+    files = binary_files(spark, str(tmp_path), "*.zip")
+    found = [archive_tables(spark, str(tmp_path), tables), archive_frames(files, tables)]
+    want = {stem: sorted(tuple(r)[1:] for r in archive_csv(files, stem, names).collect()) for stem, names in tables.items()}
+    assert [len(want[s]) for s in tables] == [50, 7, 0, 0]
+    account = sorted((r.archive[-5:], r.stem, r.status, r.charset, r.n_rows) for r in archive_members(files, list(tables)).collect())
+    for frames in found:
+        assert {stem: sorted(tuple(r)[1:] for r in f.collect()) for stem, f in frames.items()} == want
+        assert [f.columns for f in frames.values()] == [["archive", "record_no", *names] for names in tables.values()]
+        assert sorted((r.archive[-5:], r.stem, r.status, r.charset, r.n_rows) for r in frames.account.collect()) == account
+    one = archive_tables(spark, str(tmp_path / "1.zip"), {"DEMO": ["id"]})
+    assert one["DEMO"].count() == 50 and one.account.count() == 1
+    assert archive_tables(spark, str(tmp_path), {"DEMO": ["id"]}, glob="*.none")["DEMO"].count() == 0
+
+
+def test_a_partition_for_each_member(spark, tmp_path):
+    from regtables.sources.archives import _ArchiveReader
+
+    for k in range(3):
+        (tmp_path / f"{k}.zip").write_bytes(archive({"A.csv": "x\n1\n", "B.csv": "x\n2\n", "C.csv": ""}))
+    planned = _ArchiveReader({"path": str(tmp_path), "tables": '{"A": ["x"], "B": ["x"], "C": ["x"], "D": ["x"]}'}).partitions()
+    assert sorted((p.path[-5:], p.stems) for p in planned) == sorted((f"{k}.zip", s) for k in range(3) for s in (("A",), ("B",), ("C", "D")))
