@@ -66,6 +66,18 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = S
             yield batch.slice(start)
 
 
+def free_names(columns: Sequence[str], *names: str) -> list[str]:
+    """The names, with underscores added where a column has such a name already."""
+    taken = {c.lower() for c in columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def texts_of(batch: pa.RecordBatch, text: str = "text") -> list[str]:
     return [t or "" for t in batch.column(text).to_pylist()]
 

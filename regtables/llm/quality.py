@@ -10,7 +10,8 @@ Training takes at most LABELLED_ROWS labelled and UNLABELLED_ROWS other document
 of their id; their features, of fixed size, go to the driver. Scores are probabilities of good quality. Null
 texts count as empty, null metadata is a value of its own; a null label doesn't count, of several labels of a
 doc_id the smallest does. Without labels of both classes every score is 1: nothing is rejected that was not
-learnt. Rows that repeat are scored one by one; other columns are ignored; an empty table gives no rows."""
+learnt. Rows that repeat are scored one by one; other columns are ignored or kept, whatever their names; an empty
+table gives no rows. Long texts are read a megabyte at a time."""
 
 from __future__ import annotations
 
@@ -20,9 +21,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from regtables.llm.common import slices, parts_of
+from regtables.llm.common import free_names, parts_of, slices
 
 LABELLED_ROWS = 3000
 UNLABELLED_ROWS = 3000
@@ -187,27 +188,32 @@ def _score(model, kept: list[str]):
         for batch in slices(batches):
             views = _features(batch)
             found = m.scores(views) if m else (np.ones(batch.num_rows),) * 3
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *map(pa.array, found)], names=[*kept, "__content", "__metadata", "__score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *map(pa.array, found)], names=[*kept, *_SCORES])
 
     return run
 
 
-def _scored(docs: DataFrame, labels: DataFrame, kept: list[str]) -> DataFrame:
+_SCORES = ("content_score", "metadata_score", "score")
+
+
+def _scored(docs: DataFrame, labels: DataFrame, kept: list[str]) -> tuple[DataFrame, list[str]]:
+    """The ``kept`` columns and three scores, and how these are named."""
+    names = free_names(kept, *_SCORES)
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels))  # a weight per feature
-    rows = docs.select(*dict.fromkeys([*kept, "text", *_METADATA]))
-    ddl = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept), "__content double, __metadata double, __score double"])
-    return rows.mapInArrow(_score(model, kept), ddl)
+    # Tasks get the kept columns by number: names may be anything.
+    own = [f"kept{i}" for i in range(len(kept))]
+    rows = docs.select(*(F.col(f"`{c}`").alias(o) for c, o in zip(kept, own, strict=True)), "text", *_METADATA)
+    fields = [*(T.StructField(o, docs.schema[c].dataType) for c, o in zip(kept, own, strict=True)), *(T.StructField(n, T.DoubleType()) for n in _SCORES)]
+    return rows.mapInArrow(_score(model, own), T.StructType(fields)).toDF(*kept, *names), names
 
 
 def quality(docs: DataFrame, labels: DataFrame, reject_below: float = REJECT_BELOW) -> DataFrame:
     """One row per row of ``docs``: doc_id, content_score, metadata_score, score, kept."""
-    found = _scored(docs, labels, ["doc_id"])
-    return found.select(
-        "doc_id", F.col("__content").alias("content_score"), F.col("__metadata").alias("metadata_score"),
-        F.col("__score").alias("score"), (F.col("__score") >= reject_below).alias("kept"),
-    )
+    found, (content, metadata, score) = _scored(docs, labels, ["doc_id"])
+    return found.select("doc_id", content, metadata, score, (F.col(score) >= reject_below).alias("kept"))
 
 
 def accepted(docs: DataFrame, labels: DataFrame, reject_below: float = REJECT_BELOW) -> DataFrame:
     """``docs`` without the rows of poor quality, all columns kept. Nothing is shuffled."""
-    return _scored(docs, labels, docs.columns).where(F.col("__score") >= reject_below).select(*docs.columns)
+    found, (_, _, score) = _scored(docs, labels, docs.columns)
+    return found.where(F.col(score) >= reject_below).select(*(F.col(f"`{c}`") for c in docs.columns))

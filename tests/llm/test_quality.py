@@ -42,3 +42,14 @@ def test_views_teach_each_other():
     part = lambda m: tuple(v[m] for v in views)
     right = [((quality.co_train(part(few), y[few], part(~few), rounds=r).scores(part(~few))[2] > 0.5) == y[~few]).mean() for r in (0, 3)]
     assert right[1] > right[0] and right[1] > 0.85
+
+
+def test_columns_named_like_scores(spark):
+    docs = [(i, "good words here" if i % 2 else "!! ## !!", "en", f"s{i % 3}", 9, "kept", 1.0, 2, "x") for i in range(60)]
+    d = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars int, content_score string, Score double, metadata_score int, `a.b` string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    kept = quality.accepted(d, labels)
+    assert kept.columns == d.columns
+    rows = kept.collect()
+    assert {r.doc_id for r in rows} <= set(range(60)) and all((r.content_score, r.Score, r.metadata_score, r["a.b"]) == ("kept", 1.0, 2, "x") for r in rows)
+    assert quality.quality(d, labels).columns == ["doc_id", "content_score", "metadata_score", "score", "kept"]
