@@ -3,13 +3,15 @@
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` with A-Z lower-cased. A window is ``window`` consecutive words
 of an item; a shorter item is one window. Tasks cut their documents into shards, sort all suffixes of a
 shard's words, and look up every suffix of the benchmark by binary search, word by word, for its longest
-verbatim match and the places of it. What comes out are runs: item, first word in the item, first word in
-the document, number of words.
+verbatim match and the places of it. What comes out are runs, the longest stretches of a document in which windows of
+one item overlap: item, where the first of these windows stands in the item first, first word in the document, number
+of words.
 
 The benchmark goes to the tasks in blocks of at most ``block_bytes``, one pass over the documents for
 each block; with one block nothing is shuffled. A null text has no words, neither has a null item text; a
-null item_id counts as ''. Rows that repeat are found one by one, other columns are ignored, and either
-table may be empty."""
+null item_id counts as ''. Rows that repeat are found one by one, other columns are ignored, whatever their names,
+and either table may be empty. A text longer than a shard is a shard of its own; a word it repeats all over makes one
+run per item, not one for each place."""
 
 from __future__ import annotations
 
@@ -25,6 +27,7 @@ from regtables.llm.common import slices
 
 WINDOW_WORDS = 10
 SHARD_BYTES = 4 << 20
+PLACES_AT_ONCE = 2 << 20
 BLOCK_BYTES = 16 << 20
 WORD_CUTS = words.separators((0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F))
 
@@ -109,23 +112,25 @@ class Benchmark:
         self.left = np.repeat(ends, counts) - np.arange(len(self.hashes))  # words up to the item's end
         self.word = np.arange(len(self.hashes)) - np.repeat(ends - counts, counts)
         # The words an occurrence must have: a window, or the whole of a shorter item.
-        self.needed = np.minimum(window, np.repeat(counts, counts))
+        self.item_window = np.minimum(window, counts)
+        self.needed = np.repeat(self.item_window, counts)
         self.starts = np.flatnonzero(self.left >= self.needed)
 
-    def occurrences(self, array: SuffixArray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (place in the benchmark, place in the shard) at which a window occurs. known: the words that
-        the ids of the shard stand for, in order, id 1 first."""
+    def occurrences(self, array: SuffixArray, known: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Where windows of an item occur: item, first word of the window in the item, place in the shard. Of windows
+        with the same words an item has the first. Items come whole, about PLACES_AT_ONCE places at a time. known: the
+        words that the ids of the shard stand for, in order, id 1 first."""
         ids = np.searchsorted(known, self.hashes) + 1
         ids[(ids > len(known)) | (known[np.minimum(ids - 1, len(known) - 1)] != self.hashes)] = -1
-        # Of windows with the same words one is looked up.
         need = self.needed[self.starts]
         rows = np.full((len(self.starts), self.window), -2, np.int64)
         for j in range(self.window):
             rows[:, j] = np.where(j < need, ids[np.minimum(self.starts + j, len(ids) - 1)], -2)
         there = (rows != -1).all(axis=1)
-        starts, need, rows = self.starts[there], need[there], rows[there]
+        starts, rows = self.starts[there], rows[there]
         if not len(starts):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return
+        # Of windows with the same words one is looked up.
         rows, same = np.unique(rows, axis=0, return_inverse=True)
         same = same.ravel()
         lengths = (rows != -2).sum(axis=1)
@@ -135,16 +140,26 @@ class Benchmark:
         while len(going := np.flatnonzero((low < high) & (depth < lengths))):
             low[going], high[going] = array.extend(low[going], high[going], depth[going], padded[going, depth[going]])
             depth[going] += 1
-        # Every window of those words with every place of them.
-        count = (high - low)[same]
-        place = np.repeat(starts, count)
-        first = np.repeat(low[same], count)
-        step = np.arange(len(place)) - np.repeat(np.cumsum(count) - count, count)
-        return place, array.order[first + step]
+        found = np.flatnonzero((high > low)[same])
+        starts, same = starts[found], same[found]
+        _, first = np.unique(self.item[starts] * len(rows) + same, return_index=True)
+        first.sort()  # the order of the benchmark, so that an item's windows follow each other
+        starts, same = starts[first], same[first]
+        item, count = self.item[starts], (high - low)[same]
+        ends = np.flatnonzero(np.concatenate([item[1:] != item[:-1], [True]])) + 1
+        so_far, begin = np.cumsum(count), 0
+        while begin < len(starts):
+            spent = so_far[begin - 1] if begin else 0
+            end = int(max(ends[ends > begin].min(), ends[so_far[ends - 1] <= spent + PLACES_AT_ONCE].max(initial=0)))
+            own = slice(begin, end)
+            n = count[own]
+            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            yield np.repeat(item[own], n), np.repeat(self.word[starts[own]], n), array.order[np.repeat(low[same[own]], n) + step]
+            begin = end
 
 
 def _shard_runs(benchmark: Benchmark, hashes: np.ndarray, counts: np.ndarray) -> list[list[dict]]:
-    """For each document of a shard the longest matches of the benchmark in it."""
+    """For each document of a shard its stretches that consist of windows of an item."""
     n_docs, found = len(counts), [[] for _ in counts]
     if not len(hashes) or not len(benchmark.starts):
         return found
@@ -153,20 +168,18 @@ def _shard_runs(benchmark: Benchmark, hashes: np.ndarray, counts: np.ndarray) ->
     gaps = np.cumsum(counts)
     sequence = np.insert(ids.ravel() + 1, gaps, 0).astype(np.int32)
     firsts = np.concatenate([[0], gaps[:-1]]) + np.arange(n_docs)
-    place, at = benchmark.occurrences(SuffixArray(sequence), known)
-    if not len(place):
-        return found
-    # Windows one word apart in both are one longer match.
-    item, diagonal = benchmark.item[place], at - place
-    by = np.lexsort((at, diagonal, item))
-    place, at, item, diagonal = place[by], at[by], item[by], diagonal[by]
-    new = np.concatenate([[True], (item[1:] != item[:-1]) | (diagonal[1:] != diagonal[:-1]) | (at[1:] != at[:-1] + 1)])
-    head = np.flatnonzero(new)
-    tail = np.concatenate([head[1:], [len(at)]]) - 1
-    lengths = at[tail] - at[head] + benchmark.needed[place[head]]
-    docs = np.searchsorted(firsts, at[head], "right") - 1
-    for d, i, w, q, n in zip(docs.tolist(), item[head].tolist(), benchmark.word[place[head]].tolist(), (at[head] - firsts[docs]).tolist(), lengths.tolist(), strict=True):
-        found[d].append({"item_id": benchmark.item_ids[i], "item_word": w, "doc_word": q, "n_words": n})
+    for item, word, at in benchmark.occurrences(SuffixArray(sequence), known):
+        by = np.lexsort((at, item))
+        item, word, at = item[by], word[by], at[by]
+        need = benchmark.item_window[item]
+        # Windows of an item that overlap are one stretch.
+        new = np.concatenate([[True], (item[1:] != item[:-1]) | (at[1:] - at[:-1] >= need[1:])])
+        head = np.flatnonzero(new)
+        tail = np.concatenate([head[1:], [len(at)]]) - 1
+        lengths = at[tail] - at[head] + need[head]
+        docs = np.searchsorted(firsts, at[head], "right") - 1
+        for d, i, w, q, n in zip(docs.tolist(), item[head].tolist(), word[head].tolist(), (at[head] - firsts[docs]).tolist(), lengths.tolist(), strict=True):
+            found[d].append({"item_id": benchmark.item_ids[i], "item_word": w, "doc_word": q, "n_words": n})
     return found
 
 

@@ -103,3 +103,28 @@ def test_words_of_windows(monkeypatch):
     assert counts.tolist() == [len(p) for p in plain]
     flat = [w for p in plain for w in p]
     assert len(set(zip(flat, found.tolist()))) == len(set(flat)) == len(set(found.tolist()))
+
+
+def test_a_word_repeated_all_over(spark):
+    """Places of a window are not multiplied by the windows of an item; memory stays with the text."""
+    import resource
+
+    text = "again " * 400_000
+    benchmark = decontaminate.Benchmark([("a", "again " * 200), ("b", "again " * 3), ("c", "other words")], 10)
+    hashes, counts = words.hashes([text.encode(), b"x again again again y again again again again"], decontaminate.WORD_CUTS)
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    runs = decontaminate._shard_runs(benchmark, hashes, counts)
+    assert [tuple(r.values()) for r in runs[0]] == [("a", 0, 0, 400_000), ("b", 0, 0, 400_000)]
+    assert [tuple(r.values()) for r in runs[1]] == [("b", 0, 1, 3), ("b", 0, 5, 4)]
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 600_000
+
+
+def test_places_in_parts(spark, monkeypatch):
+    docs, items = cases()
+    items = [(i, t) for i, t in items if t]
+    benchmark = decontaminate.Benchmark(items, 10)
+    hashes, counts = words.hashes([(t or "").encode() for _, t in docs], decontaminate.WORD_CUTS)
+    whole = decontaminate._shard_runs(benchmark, hashes, counts)
+    for n in (1, 7, 100):
+        monkeypatch.setattr(decontaminate, "PLACES_AT_ONCE", n)
+        assert decontaminate._shard_runs(benchmark, hashes, counts) == whole
