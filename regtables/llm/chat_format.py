@@ -7,15 +7,18 @@ one string:
 
 Inside roles and texts every ``<``, any number of ``\\\\`` and ``|`` in a row gets one more backslash, so no control
 string can stand in them, and taking it away again gives the text back. ``loss`` has the (start, length) of each
-assistant text in characters.
+assistant text in characters, and the same in bytes (start_byte, n_bytes).
 
 Turns are ordered by ``turn``, then role and text where it ties; a null turn comes first, a null role or text
 counts as empty, rows without conv_id are one conversation. Other columns are ignored; an empty table gives no
-rows. A conversation is one string, so it is gathered in one row; conversations are dealt by conv_id."""
+rows. A conversation is one string, so it is gathered in one row; conversations are dealt by conv_id. Work grows with
+the turns and characters of a conversation, however long."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from regtables.functions.binding import let
 
 ROLE, TEXT, ALSO, END = "<|role|>", "<|text|>", "<|also|>", "<|end|>"
 TRAINED_ROLE = "assistant"
@@ -45,32 +48,21 @@ def _block(b: Column) -> Column:
     return F.concat(F.lit(ROLE), escaped(b["role"]), F.lit(TEXT), texts, F.lit(END))
 
 
-def _spans(blocks: Column) -> Column:
-    """Where the texts of trained blocks stand. Each text is (characters before it since the last, its length)."""
-    sizes = F.flatten(
-        F.transform(
-            blocks,
-            lambda b: F.transform(
-                b["texts"],
-                lambda t, i: F.struct(
-                    F.when(i == 0, F.length(escaped(b["role"])) + len(ROLE) + len(TEXT)).otherwise(len(ALSO)).alias("before"),
-                    F.length(escaped(t)).alias("length"),
-                    F.when(i == F.size(b["texts"]) - 1, len(END)).otherwise(0).alias("after"),
-                    (b["role"] == TRAINED_ROLE).alias("trained"),
-                ),
-            ),
-        )
-    )
-    nothing = F.array().cast("array<struct<start:int,length:int>>")
-    walked = F.aggregate(
-        sizes,
-        F.struct(F.lit(0).alias("at"), nothing.alias("spans")),
-        lambda acc, s: F.struct(
-            (acc["at"] + s["before"] + s["length"] + s["after"]).alias("at"),
-            F.when(s["trained"], F.concat(acc["spans"], F.array(F.struct((acc["at"] + s["before"]).alias("start"), s["length"].alias("length"))))).otherwise(acc["spans"]).alias("spans"),
-        ),
-    )
-    return walked["spans"]
+def _sizes(blocks: Column) -> Column:
+    """Each text in order: what stands before it since the last and behind it, and its own length, in characters and
+    bytes. Control strings are ASCII."""
+
+    def of_text(b: Column, t: Column, i: Column) -> Column:
+        role = escaped(b["role"])
+        before = lambda size: F.when(i == 0, size(role) + len(ROLE) + len(TEXT)).otherwise(len(ALSO)).cast("bigint")
+        return F.struct(
+            before(F.length).alias("before"), F.length(escaped(t)).cast("bigint").alias("length"),
+            before(F.octet_length).alias("bytes_before"), F.octet_length(escaped(t)).cast("bigint").alias("n_bytes"),
+            F.when(i == F.size(b["texts"]) - 1, len(END)).otherwise(0).alias("after"),
+            (b["role"] == TRAINED_ROLE).alias("trained"),
+        )
+
+    return F.flatten(F.transform(blocks, lambda b: F.transform(b["texts"], lambda t, i: of_text(b, t, i))))
 
 
 def formatted(rows: DataFrame) -> DataFrame:
@@ -78,7 +70,16 @@ def formatted(rows: DataFrame) -> DataFrame:
     turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     turns = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
     blocks = turns.select("conv_id", merged_turns(F.col("turns")).alias("blocks"))
-    return blocks.select("conv_id", F.array_join(F.transform("blocks", _block), "").alias("formatted"), _spans(F.col("blocks")).alias("loss"))
+    whole = blocks.select("conv_id", F.array_join(F.transform("blocks", _block), "").alias("formatted"), _sizes(F.col("blocks")).alias("sizes"))
+    # Running sums over a conversation's texts: its rows are where its string is, so nothing is moved for them.
+    each = whole.select("conv_id", "formatted", F.posexplode("sizes").alias("pos", "s"))
+    each = each.select("conv_id", F.when(F.col("pos") == 0, F.col("formatted")).alias("formatted"), "pos", "s.*")
+    so_far = Window.partitionBy("conv_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    stop = F.sum(F.col("before") + F.col("length") + F.col("after")).over(so_far) - F.col("after")
+    stop_byte = F.sum(F.col("bytes_before") + F.col("n_bytes") + F.col("after")).over(so_far) - F.col("after")
+    placed = each.withColumns({"start": stop - F.col("length"), "start_byte": stop_byte - F.col("n_bytes")})
+    span = F.struct(*(F.col(c).cast("int").alias(c) for c in ("start", "length", "start_byte", "n_bytes")))
+    return placed.groupBy("conv_id").agg(F.max("formatted").alias("formatted"), F.array_sort(F.collect_list(F.when(F.col("trained"), span))).alias("loss"))
 
 
 def read_turns(text: Column) -> Column:
@@ -96,7 +97,9 @@ def read_turns(text: Column) -> Column:
 def digests(formatted_rows: DataFrame) -> DataFrame:
     """What the formatted conversations hold, read back from them."""
     turns = F.transform(read_turns(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    trained = F.array_join(F.transform("loss", lambda s: unescaped(F.substring("formatted", s["start"] + 1, s["length"]))), "")
+    # By bytes: characters would be counted from the beginning for each span.
+    text_at = lambda data, s: unescaped(F.substring(data, s["start_byte"] + 1, s["n_bytes"]).cast("string"))
+    trained = let(F.col("formatted").cast("binary"), lambda data: F.array_join(F.transform("loss", lambda s: text_at(data, s)), ""))
     read = formatted_rows.select("conv_id", "formatted", turns.alias("turns"), trained.alias("trained"))
     return read.select(
         "conv_id",
