@@ -7,7 +7,7 @@ it comes the text to the next run, or the next word. Features:
 
 - length, shares of digits, capitals and distinct characters, changes between digits and letters and between
   cases per character,
-- dictionary coverage: the share of its characters in runs of letters that stand alone as words in at least
+- dictionary coverage: the share of its characters in runs of 3 to 12 letters that stand alone as words in at least
   ``DICTIONARY_ROWS`` places of the corpus, counted over all documents,
 - path: whether the source looks like tests or examples, or like settings or keys,
 - neighbouring words: names of credentials, of digests, of contact data, an assignment, quotes.
@@ -18,15 +18,17 @@ none. At most TRAINING_ROWS of each class train it, those with the smallest hash
 classes every score is the share of true ones, 0 if there are none.
 
 Null and empty texts have no findings, a null source is an empty path, a null doc_id is kept with its findings.
-Rows that repeat have the same findings each; other columns are ignored; an empty table gives no rows."""
+Rows that repeat have the same findings each; other columns are ignored, whatever their names; an empty table gives no
+rows. A long text, or a long word, may hold any number of candidates."""
 
 from __future__ import annotations
 
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from regtables.functions.binding import let
 from regtables.llm.common import work_folder, written
 from regtables.operators.sizing import small_side
 
@@ -51,37 +53,65 @@ FEATURES = [
 ]
 
 
+def _words(words: Column) -> Column:
+    """Long words that hold a run: word_no, word, ``since`` (characters from the long word before, or the beginning, to
+    it), and the words around. Words are one white space character apart; empty ones between are counted too."""
+    long = F.filter(F.transform(words, lambda w, i: F.struct(i.alias("word_no"), w.alias("word"))), lambda c: (F.length(c["word"]) >= MIN_LENGTH) & c["word"].rlike(RUN))
+
+    def placed(all_long: Column) -> Column:
+        def of_word(c: Column, j: Column) -> Column:
+            # get() of the index before the first is null.
+            last = F.coalesce(F.get(all_long, j - 1)["word_no"], F.lit(0))
+            between = F.slice(words, last + 1, c["word_no"] - last)
+            return F.struct(
+                c["word_no"].alias("word_no"), c["word"].alias("word"),
+                F.aggregate(between, F.lit(0).cast("bigint"), lambda acc, w: acc + F.length(w) + 1).alias("since"),
+                F.array_join(F.slice(words, F.greatest(c["word_no"] + 1 - NEAR, F.lit(1)), F.least(c["word_no"], F.lit(NEAR))), " ").alias("before"),
+                F.coalesce(F.get(words, c["word_no"] + 1), F.lit("")).alias("after"),
+            )
+
+        return F.transform(all_long, of_word)
+
+    return let(long, placed)
+
+
+def _runs(c: Column) -> Column:
+    """The runs of a word. A gap stands before each run, and one after the last. ``step`` is what a run begins behind
+    the one before it, or behind the word's beginning."""
+    cut = F.struct(F.regexp_extract_all(c["word"], F.lit(RUN), F.lit(0)).alias("runs"), F.split(c["word"], RUN, -1).alias("gaps"))
+
+    def of_word(w: Column) -> Column:
+        def of_run(value: Column, k: Column) -> Column:
+            first = F.greatest(k - NEAR, F.lit(0))
+            pieces = F.zip_with(F.slice(w["gaps"], first + 1, k - first + 1), F.slice(w["runs"], first + 1, k - first), lambda gap, run: F.concat(gap, F.coalesce(run, F.lit(""))))
+            return F.struct(
+                c["word_no"].alias("word_no"), k.alias("k"), value.alias("value"),
+                F.when(k == 0, c["since"]).otherwise(0).alias("since"),
+                (F.length(F.get(w["gaps"], k)) + F.coalesce(F.length(F.get(w["runs"], k - 1)), F.lit(0))).cast("bigint").alias("step"),
+                F.when(k < NEAR, c["before"]).otherwise("").alias("before"),
+                F.array_join(pieces, "").alias("lead"),
+                F.get(w["gaps"], k + 1).alias("tail"),
+                F.when(k + 1 == F.size(w["runs"]), c["after"]).otherwise("").alias("after"),
+            )
+
+        return F.transform(w["runs"], of_run)
+
+    return let(cut, of_word)
+
+
 def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, path, word_no, start (in characters), value, before (words), lead and tail (around it in its word), after (word)."""
+    """doc_id, path, word_no, start (in characters), value, before (words), lead and tail (around it in its word), after (word).
+
+    Places are running sums over a text's runs, so work grows with the text, however many it has."""
     words = docs.select("doc_id", F.coalesce("source", F.lit("")).alias("path"), F.split(F.coalesce("text", F.lit("")), r"\s").alias("words"))
-    long = F.filter(F.transform("words", lambda w, i: F.struct(i.alias("word_no"), w.alias("word"))), lambda c: (F.length(c["word"]) >= MIN_LENGTH) & c["word"].rlike(RUN))
-    found = F.transform(
-        long,
-        lambda c: F.struct(
-            c["word_no"].alias("word_no"),
-            c["word"].alias("word"),
-            # Words are one white space character apart; empty ones between are counted too.
-            F.aggregate(F.slice(F.col("words"), 1, c["word_no"]), F.lit(0).cast("bigint"), lambda acc, w: acc + F.length(w) + 1).alias("word_start"),
-            F.array_join(F.slice(F.col("words"), F.greatest(c["word_no"] + 1 - NEAR, F.lit(1)), F.least(c["word_no"], F.lit(NEAR))), " ").alias("before"),
-            F.coalesce(F.get(F.col("words"), c["word_no"] + 1), F.lit("")).alias("after"),
-        ),
-    )
-    rows = words.select("doc_id", "path", F.explode(found).alias("c")).select("doc_id", "path", "c.*")
-    # A gap stands before each run, and one after the last.
-    rows = rows.select("*", F.regexp_extract_all("word", F.lit(RUN), F.lit(0)).alias("runs"), F.split("word", RUN, -1).alias("gaps")).drop("word")
-    total = lambda parts: F.aggregate(parts, F.lit(0).cast("bigint"), lambda acc, x: acc + F.length(x))
-    rows = rows.select("*", F.posexplode("runs").alias("k", "value")).where(F.col("value").rlike("[0-9]") | (F.length("value") >= MIN_LETTERS))
-    k, first = F.col("k"), F.greatest(F.col("k") - NEAR, F.lit(0))
-    pieces = F.zip_with(F.slice("gaps", first + 1, k - first + 1), F.slice("runs", first + 1, k - first), lambda gap, run: F.concat(gap, F.coalesce(run, F.lit(""))))
-    return rows.select(
-        "doc_id", "path", "word_no",
-        (F.col("word_start") + total(F.slice("gaps", F.lit(1), k + 1)) + total(F.slice("runs", F.lit(1), k))).alias("start"),
-        "value",
-        F.when(k < NEAR, F.col("before")).otherwise("").alias("before"),
-        F.array_join(pieces, "").alias("lead"),
-        F.get("gaps", k + 1).alias("tail"),
-        F.when(k + 1 == F.size("runs"), F.col("after")).otherwise("").alias("after"),
-    )
+    found = let(F.col("words"), lambda w: F.flatten(F.transform(_words(w), _runs)))
+    rows = words.select("doc_id", "path", F.monotonically_increasing_id().alias("row"), found.alias("runs")).where(F.size("runs") > 0)
+    rows = rows.select("doc_id", "path", "row", F.explode("runs").alias("c")).select("doc_id", "path", "row", "c.*")
+    in_text = Window.partitionBy("row").orderBy("word_no", "k").rowsBetween(Window.unboundedPreceding, 0)
+    in_word = Window.partitionBy("row", "word_no").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("start", F.sum("since").over(in_text) + F.sum("step").over(in_word))
+    rows = rows.where(F.col("value").rlike("[0-9]") | (F.length("value") >= MIN_LETTERS))
+    return rows.select("doc_id", "path", "word_no", "start", "value", "before", "lead", "tail", "after")
 
 
 def dictionary(docs: DataFrame, parts: DataFrame, least: int = DICTIONARY_ROWS) -> DataFrame:

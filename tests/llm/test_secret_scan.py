@@ -81,3 +81,30 @@ def test_coverage_and_lack_of_labels(spark, tmp_path):
     assert [r.coverage for r in rows] == [11 / 23]
     assert [(r.score, r.is_secret) for r in scan.secrets(d).collect()] == [(0.0, False)]
     assert scan.secrets(d.limit(0)).collect() == []
+
+
+def test_many_candidates_in_one_text(spark):
+    """Twice the candidates take about twice the time, in many words or in one."""
+    import time
+
+    def took(text):
+        d = spark.createDataFrame([(1, text, "app")], "doc_id long, text string, source string")
+        start = time.perf_counter()
+        rows = scan.candidates(d).select("start", "value").collect()
+        return rows, time.perf_counter() - start
+
+    key = lambda i: f"k{i:015d}"
+    texts = {n: (" ".join(f'x{i % 7} "{key(i)}"' for i in range(n)), ",".join(key(i) for i in range(n))) for n in (100, 5000, 20_000)}
+    took(texts[100][0])
+    for which in range(2):
+        small, large = (took(texts[n][which]) for n in (5000, 20_000))
+        for (rows, _), n in ((small, 5000), (large, 20_000)):
+            text = texts[n][which]
+            assert sorted((r.start, r.value) for r in rows) == [(m.start(), m.group()) for m in re.finditer("k[0-9]{15}", text)]
+        assert large[1] < 8 * small[1] + 2
+
+
+def test_columns_named_like_parts(spark):
+    docs = [(1, 'api_key = "abcd1234abcd1234abcd"', "app", 1, "x")]
+    d = spark.createDataFrame(docs, "doc_id long, text string, source string, row int, words string")
+    assert [(r.start, r.value, r.lead) for r in scan.candidates(d).collect()] == [(11, "abcd1234abcd1234abcd", '"')]
