@@ -163,41 +163,42 @@ def _gathered(batches: Iterator[pa.RecordBatch], depth: int, first: str) -> tupl
     return column(first).astype(np.int64), column("tree").astype(np.int64), values, column("id").astype(np.int64)
 
 
-def crowded_rows(order: np.ndarray, prefixes: np.ndarray, least_depth: int, region: int) -> np.ndarray:
-    """Places of a sorted order in runs of more than ``region`` rows that share ``least_depth`` values, and in the
+def crowded_rows(order: np.ndarray, prefixes: np.ndarray, least_depth: int, region: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of a sorted order in runs of more than ``region`` rows that share ``least_depth`` values, and those in the
     first and last run, which may go on in other tasks."""
     if not len(order):
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     new = (order[1:] != order[:-1]) | (prefixes[1:, :least_depth] != prefixes[:-1, :least_depth]).any(axis=1)
     heads = np.flatnonzero(np.concatenate([[True], new]))
     sizes = np.diff(np.concatenate([heads, [len(order)]]))
-    taken = sizes > region
-    taken[[0, -1]] = True
-    return np.flatnonzero(np.repeat(taken, sizes))
+    at_end = np.zeros(len(sizes), bool)
+    at_end[[0, -1]] = True
+    return np.flatnonzero(np.repeat((sizes > region) & ~at_end, sizes)), np.flatnonzero(np.repeat(at_end, sizes))
 
 
 def _candidates(depth: int, least_depth: int, region: int):
-    """A task's range of the sorted orders: its pairs, the rows at both ends for the next tasks, and, with this
-    task as b, rows that may be crowded."""
+    """A task's range of the sorted orders: its pairs, the rows at both ends for the next tasks, crowded rows (with a
+    prefix, but no tree) and, with tree and prefix and this task as b, those of its first and last run, which may be."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         me = TaskContext.get().partitionId()
         _, tree, values, ids = _gathered(batches, depth, "tree")
         for part in _pair_rows(tree, values, ids, least_depth, region):
             yield part
-        crowd = crowded_rows(tree, values, least_depth, region)
-        for i in range(0, len(crowd), 100_000):
-            at = crowd[i : i + 100_000]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.nulls(len(at), pa.int32()),
-                    pa.array(ids[at]),
-                    pa.array(np.full(len(at), me, np.int64)),
-                    pa.array(tree[at], pa.int32()),
-                    pa.array([values[i, :least_depth].tobytes() for i in at], pa.binary()),
-                ],
-                schema=_CANDIDATE,
-            )
+        crowd, ends = crowded_rows(tree, values, least_depth, region)
+        for rows, is_end in ((crowd, False), (ends, True)):
+            for i in range(0, len(rows), 100_000):
+                at = rows[i : i + 100_000]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.nulls(len(at), pa.int32()),
+                        pa.array(ids[at]),
+                        pa.array(np.full(len(at), me, np.int64)),
+                        pa.array(tree[at], pa.int32()) if is_end else pa.nulls(len(at), pa.int32()),
+                        pa.array([values[i, :least_depth].tobytes() if is_end else b"" for i in at], pa.binary()),
+                    ],
+                    schema=_CANDIDATE,
+                )
         n = len(ids)
         at = np.concatenate([np.arange(min(region, n)), np.arange(max(0, n - region), n)])
         border = np.concatenate([np.full(min(region, n), me - 1), np.full(min(region, n), me)])
@@ -332,10 +333,13 @@ class Forest:
         ends = found.where("border is not null").select("border", "tree", "prefix", F.col("a").alias("id"))
         ends = ends.repartition("border").sortWithinPartitions("border", "tree", "prefix", "id")
         crowd = found.where("border is null and prefix is not null")
-        regions = crowd.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("n"), F.min("b").alias("first"), F.max("b").alias("last"))
+        at_ends = crowd.where("tree is not null")
+        regions = at_ends.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("n"), F.min("b").alias("first"), F.max("b").alias("last"))
         # A region in more than two tasks is not whole at any border.
-        regions = regions.where((F.col("n") > self.region) | (F.col("last") - F.col("first") > 1))
-        self.crowded = written(crowd.join(regions, ["tree", "prefix"], "left_semi").select(F.col("a").alias("id")).distinct(), f"{self.folder}/crowded")
+        regions = regions.where((F.col("n") > self.region) | (F.col("last") - F.col("first") > 1)).select("tree", "prefix")
+        # A task has two runs at its ends, so there are no more of these regions than twice the partitions.
+        crowded = crowd.where("tree is null").select("a").unionAll(at_ends.join(F.broadcast(regions), ["tree", "prefix"], "left_semi").select("a"))
+        self.crowded = written(crowded.select(F.col("a").alias("id")).distinct(), f"{self.folder}/crowded")
         pairs = found.where("border is null and prefix is null").unionAll(ends.mapInArrow(_border_candidates(*settings), _CANDIDATE_DDL))
         return written(pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("times")), f"{self.folder}/candidates")
 
