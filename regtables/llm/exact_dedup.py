@@ -5,15 +5,17 @@ bucket; an overfull bucket is split by its next bit, and where it already used a
 the directory doubles. Buckets are dealt to owners as ranges of keys that follow each other. An owner reads
 its entries in key order, chains texts whose keys collide, compares them byte by byte, and writes index files:
 
-- ``kind=entry``: bucket, key, chain, keep_id, n_rows, sha256, text: one row per distinct text
-- ``kind=member``: bucket, key, chain, doc_ids: which rows have that text
+- ``entries``: bucket, key, chain, keep_id, n_rows, sha256, text: one row per distinct text
+- ``members``: doc_id, key, sha256: which rows have that text
 
-Copies within one Arrow batch are merged before they are dealt out, so a text that makes up a third of all
-rows reaches its owner as one entry per batch, and an owner holds the distinct texts of a single key only.
+Copies within a slice of a task are counted before they are dealt out, and a text that the task sent lately goes as its
+hash alone. So a text that makes up a third of all rows reaches its owner about once per task, its rows never
+do, and an owner holds the distinct texts of a single key only.
 
 A null text counts as empty, and empty texts are copies of each other. Of copies the largest doc_id stays; a
 null doc_id is the smallest, and where a doc_id repeats within a group all its rows count as kept. Other
-columns are ignored, and an empty table gives no rows."""
+columns are ignored, whatever their names; an empty table gives no rows. A long text is an entry like others, held
+by one task at a time."""
 
 from __future__ import annotations
 
@@ -25,17 +27,20 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from regtables.llm.common import partitions, slices, work_folder, written
+from regtables.llm.common import SLICE_BYTES, ascii_lower, partitions, slices, work_folder, written
 
 BUCKET_KEYS = 1024
 ROUND_BITS = 11  # a round of counting tells apart this many more bits of the overfull buckets' keys
 MAX_DEPTH = 22  # bounds the directory, which goes to every task; deeper buckets only get longer
 KEY_BITS = 64
 
-_ENTRY = pa.schema([("owner", pa.int32()), ("bucket", pa.int32()), ("key", pa.int64()), ("sha256", pa.string()), ("text", pa.binary()), ("doc_ids", pa.list_(pa.int64()))])
-_ENTRY_DDL = "owner int, bucket int, key bigint, sha256 string, text binary, doc_ids array<bigint>"
-_PAGE = pa.schema([("kind", pa.string()), ("bucket", pa.int32()), ("key", pa.int64()), ("chain", pa.int32()), ("keep_id", pa.int64()), ("n_rows", pa.int64()), ("sha256", pa.string()), ("text", pa.binary()), ("doc_ids", pa.list_(pa.int64()))])
-_PAGE_DDL = "kind string, bucket int, key bigint, chain int, keep_id bigint, n_rows bigint, sha256 string, text binary, doc_ids array<bigint>"
+SENT_BYTES = 16 << 20  # texts a task remembers as sent
+
+_ENTRY = pa.schema([("owner", pa.int32()), ("bucket", pa.int32()), ("key", pa.int64()), ("sha256", pa.binary()), ("text", pa.binary()), ("keep_id", pa.int64()), ("n_rows", pa.int64())])
+_ENTRY_DDL = "owner int, bucket int, key bigint, sha256 binary, text binary, keep_id bigint, n_rows bigint"
+_PAGE = pa.schema([("bucket", pa.int32()), ("key", pa.int64()), ("chain", pa.int32()), ("keep_id", pa.int64()), ("n_rows", pa.int64()), ("sha256", pa.binary()), ("text", pa.binary())])
+_PAGE_DDL = "bucket int, key bigint, chain int, keep_id bigint, n_rows bigint, sha256 binary, text binary"
+_MEMBER_DDL = "doc_id bigint, key bigint, sha256 binary"
 
 
 def hash_key(text: bytes) -> int:
@@ -99,28 +104,28 @@ class Directory:
         return found
 
 
-def _merged(batch: pa.RecordBatch, key_of: Callable[[bytes], int]) -> dict[tuple[int, bytes], list]:
-    found: dict[tuple[int, bytes], list] = {}
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int | None, bytes]]:
     for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
         # bytes.lower() changes A-Z only
-        data = text.as_buffer().to_pybytes().lower() if text.is_valid else b""
-        found.setdefault((key_of(data), data), []).append(doc_id)
-    return found
+        yield doc_id, text.as_buffer().to_pybytes().lower() if text.is_valid else b""
+
 
+def _members(key_of):
+    """Per row its key and the hash of its text."""
 
-def _keys(key_of):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            keys = np.array([k for k, _ in _merged(batch, key_of)], np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64))], names=["key"])
+            rows = [(doc_id, key_of(data), hashlib.sha256(data).digest()) for doc_id, data in _texts(batch)]
+            keys = np.array([k for _, k, _ in rows], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(keys), pa.array([h for _, _, h in rows], pa.binary())], names=["doc_id", "key", "sha256"])
 
     return run
 
 
-def build_directory(rows: DataFrame, folder: str, key_of: Callable[[bytes], int] = hash_key, bucket_keys: int = BUCKET_KEYS) -> Directory:
-    """The directory for ``rows`` (doc_id, text). Each round counts the distinct keys of the overfull buckets
+def build_directory(members: DataFrame, folder: str, bucket_keys: int = BUCKET_KEYS) -> Directory:
+    """The directory for the keys of ``members``. Each round counts the distinct keys of the overfull buckets
     by their next bits. What is collected is counts by prefix, 2 ** MAX_DEPTH of them at most."""
-    keys = written(rows.mapInArrow(_keys(key_of), "key bigint").distinct(), f"{folder}-keys")
+    keys = written(members.select("key").distinct(), f"{folder}/keys")
     directory, todo = Directory(), [0]
     for base in range(0, MAX_DEPTH, ROUND_BITS):
         prefix = F.shiftrightunsigned("key", KEY_BITS - base - ROUND_BITS)
@@ -144,50 +149,65 @@ def build_directory(rows: DataFrame, folder: str, key_of: Callable[[bytes], int]
 
 
 def _entries(directory, key_of):
+    """Texts for their owners, a row per text and slice. A text that the task sent lately goes as its hash only."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, owners = directory.value
+        sent: dict[bytes, tuple[int, bytes]] = {}  # by the text itself, so that equal means byte by byte
+        held = 0
         for batch in slices(batches):
-            found = _merged(batch, key_of)
-            keys = np.array([k for k, _ in found], np.uint64)
+            found: dict[bytes, list] = {}
+            for doc_id, data in _texts(batch):
+                link = found.setdefault(data, [None, 0])
+                link[0] = max((d for d in (link[0], doc_id) if d is not None), default=None)
+                link[1] += 1
+            is_new = [data not in sent for data in found]
+            for data, new in zip(found, is_new, strict=True):
+                if new:
+                    if held > SENT_BYTES:
+                        sent, held = {}, 0
+                    sent[data] = key_of(data), hashlib.sha256(data).digest()
+                    held += len(data) + 100
+            named = [sent.get(data) or (key_of(data), hashlib.sha256(data).digest()) for data in found]
+            keys = np.array([k for k, _ in named], np.uint64)
             buckets = known.lookup(keys)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(owners[buckets]),
-                    pa.array(buckets),
-                    pa.array(keys.view(np.int64)),
-                    pa.array([hashlib.sha256(t).hexdigest() for _, t in found], pa.string()),
-                    pa.array([t for _, t in found], pa.binary()),
-                    pa.array(list(found.values()), pa.list_(pa.int64())),
-                ],
-                schema=_ENTRY,
-            )
+            columns = [
+                owners[buckets], buckets, keys.view(np.int64), [h for _, h in named], [t if n else None for t, n in zip(found, is_new, strict=True)],
+                [keep for keep, _ in found.values()], [n for _, n in found.values()],
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ENTRY, strict=True)], schema=_ENTRY)
 
     return run
 
 
 def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Owner's work: entries in key order; the texts of one key are a chain."""
+    """Owner's work: entries in key order; the texts of one key are a chain. Of the entries of a text those that bring
+    it come first."""
     here, chain, pages = None, [], []  # chain: [text, sha256, keep_id, n_rows]
 
     def entries():
-        return [("entry", *here, i, keep, n, sha, text, None) for i, (text, sha, keep, n) in enumerate(chain)]
+        return [(*here, i, keep, n, sha, text) for i, (text, sha, keep, n) in enumerate(chain)]
 
     def batch_of(rows):
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _PAGE, strict=True)], schema=_PAGE)
 
     for batch in batches:
-        for bucket, key, sha, text, doc_ids in zip(*(batch.column(c).to_pylist() for c in ("bucket", "key", "sha256", "text", "doc_ids")), strict=True):
+        size = 0
+        for bucket, key, sha, text, keep, n in zip(*(batch.column(c).to_pylist() for c in ("bucket", "key", "sha256", "text", "keep_id", "n_rows")), strict=True):
             if (bucket, key) != here:
                 pages += entries()
                 here, chain = (bucket, key), []
-            at = next((i for i, link in enumerate(chain) if link[0] == text), None)
-            if at is None:
-                at = len(chain)
-                chain.append([text, sha, None, 0])
-            link = chain[at]
-            link[2] = max((d for d in (link[2], *doc_ids) if d is not None), default=None)
-            link[3] += len(doc_ids)
-            pages.append(("member", *here, at, None, None, None, None, doc_ids))
+            is_same = (lambda link: link[1] == sha) if text is None else (lambda link: link[0] == text)
+            link = next(filter(is_same, chain), None)
+            if link is None:
+                link = [text, sha, None, 0]
+                chain.append(link)
+            link[2] = max((d for d in (link[2], keep) if d is not None), default=None)
+            link[3] += n
+            size += len(text or b"")
+            if size > SLICE_BYTES and pages:
+                yield batch_of(pages)
+                pages, size = [], 0
         if pages:
             yield batch_of(pages)
             pages = []
@@ -196,33 +216,46 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch_of(pages)
 
 
-def write_index(docs: DataFrame, folder: str, key_of: Callable[[bytes], int] = hash_key, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
-    """Indexes the texts of ``docs`` (doc_id, text) in ``folder``; gives the index files as a table."""
+def write_index(docs: DataFrame, folder: str, key_of: Callable[[bytes], int] = hash_key, bucket_keys: int = BUCKET_KEYS) -> None:
+    """Indexes the texts of ``docs`` (doc_id, text) in ``folder``: the tables ``entries`` and ``members``."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
-    directory = build_directory(rows, folder, key_of, bucket_keys)
+    members = written(rows.mapInArrow(_members(key_of), _MEMBER_DDL), f"{folder}/members")
+    directory = build_directory(members, folder, bucket_keys)
     n = partitions(spark)
     shared = spark.sparkContext.broadcast((directory, directory.owners(n)))  # MAX_DEPTH bounds it
-    dealt = rows.mapInArrow(_entries(shared, key_of), _ENTRY_DDL).repartitionById(n, F.col("owner")).sortWithinPartitions("key")
-    dealt.mapInArrow(_resolve, _PAGE_DDL).write.partitionBy("kind").parquet(folder)
-    return spark.read.schema(_PAGE_DDL).parquet(folder)
+    dealt = rows.mapInArrow(_entries(shared, key_of), _ENTRY_DDL).repartitionById(n, F.col("owner")).sortWithinPartitions("key", "sha256", F.col("text").isNull())
+    dealt.mapInArrow(_resolve, _PAGE_DDL).write.parquet(f"{folder}/entries")
 
 
 def exact_copies(docs: DataFrame, folder: str | None = None, **settings) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
-    folder = folder or work_folder(docs.sparkSession, "exact")
-    index = write_index(docs, folder, **settings)
-    entries = index.where("kind = 'entry'").select("key", "chain", "keep_id", "n_rows", "sha256")
-    members = index.where("kind = 'member'").select("key", "chain", "doc_ids")
-    return (
-        members.join(entries, ["key", "chain"])
-        .select(F.explode("doc_ids").alias("doc_id"), "keep_id", F.col("n_rows").alias("group_size"), F.col("sha256").alias("text_sha256"))
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
-        .select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    spark = docs.sparkSession
+    folder = folder or work_folder(spark, "exact")
+    write_index(docs, folder, **settings)
+    entries = spark.read.schema(_PAGE_DDL).parquet(f"{folder}/entries").select("key", "sha256", "keep_id", "n_rows")
+    # A row of a text finds its entry by an inner join, of which AQE splits the side of a text with very many rows.
+    found = spark.read.schema(_MEMBER_DDL).parquet(f"{folder}/members").join(entries, ["key", "sha256"])
+    return found.select(
+        "doc_id", "keep_id", F.col("n_rows").alias("group_size"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("sha256")).alias("text_sha256")
     )
 
 
 def without_copies(docs: DataFrame, **settings) -> DataFrame:
-    """``docs`` with one row of each group of copies, all columns kept."""
-    kept = exact_copies(docs, **settings).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"]), "left_semi")
+    """``docs`` with one row of each group of copies, all columns kept. Of rows that repeat the doc_id and the text
+    that stay, one does: the first by its text and its other columns as JSON."""
+    kept = exact_copies(docs, **settings).where("kept").groupBy(F.col("doc_id").alias("__kept"), F.col("text_sha256").alias("__hash")).agg(F.count(F.lit(1)).alias("__rows"))
+    kept = written(kept, work_folder(docs.sparkSession, "kept"))
+    names = [f"__{i}" for i in range(len(docs.columns))]  # whatever the columns are called
+    rows = docs.select(
+        *(F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)),
+        F.col("doc_id").cast("bigint").alias("__id"), F.sha2(ascii_lower(F.coalesce("text", F.lit(""))), 256).alias("__sha"),
+    )
+    same = lambda k: F.col("__id").eqNullSafe(F.col("__kept")) & (F.col("__sha") == F.col("__hash"))
+    once = rows.join(kept.where("__rows = 1"), same(kept), "left_semi").select(*names)
+    repeated = kept.where("__rows > 1")
+    if not repeated.isEmpty():
+        row = F.struct(*names)
+        several = rows.join(repeated, same(repeated), "left_semi").groupBy("__id", "__sha").agg(F.min_by(row, F.to_json(row)).alias("r"))
+        once = once.unionByName(several.select("r.*"))
+    return once.toDF(*docs.columns)

@@ -41,6 +41,31 @@ def test_without_copies(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [2, 3]
 
 
+def test_rows_that_repeat(spark):
+    docs = [(1, "a", "p"), (1, "A", "q"), (1, "a", "p"), (2, "a", "r"), (1, "b", "s"), (2, "a", "r"), (None, "n", "t"), (None, "n", "t"), (3, None, "u"), (3, "", "v"), (None, "b", "w"), (7, "c" * 100_000, "x")]
+    d = spark.createDataFrame([(*x, 1) for x in docs], "doc_id long, text string, __kept string, `a.b` int").repartition(4)
+    kept = exact_dedup.without_copies(d)
+    assert kept.columns == d.columns
+    found = sorted(((r.doc_id, (r.text or "").lower()[:3], r["__kept"]) for r in kept.collect()), key=repr)
+    assert found == sorted([(2, "a", "r"), (1, "b", "s"), (None, "n", "t"), (3, "", "v"), (7, "ccc", "x")], key=repr)
+    assert exact_dedup.without_copies(d.limit(0)).count() == 0
+
+
+def test_a_hot_text_goes_to_its_owner_once_per_task(spark, tmp_path, monkeypatch):
+    """Slices of a task after the first bring the hash and the count only."""
+    import pyarrow as pa
+
+    class Known:
+        value = (exact_dedup.Directory(), __import__("numpy").zeros(1, "i4"))
+
+    monkeypatch.setattr(exact_dedup, "slices", lambda batches: (b.slice(i, 5) for b in batches for i in range(0, b.num_rows, 5)))
+    rows = pa.RecordBatch.from_pydict({"doc_id": list(range(50)), "text": ["hot" if i % 2 else f"t{i}" for i in range(50)]})
+    sent = [r for b in exact_dedup._entries(Known, exact_dedup.hash_key)([rows]) for r in b.to_pylist()]
+    hot = [r for r in sent if r["n_rows"] > 1 or r["text"] in (b"hot", None)]
+    assert [r["text"] for r in hot] == [b"hot"] + [None] * 9 and sum(r["n_rows"] for r in hot) == 25 and max(r["keep_id"] for r in hot) == 49
+    assert sorted(r["text"] for r in sent if r not in hot) == sorted(f"t{i}".encode() for i in range(0, 50, 2))
+
+
 def test_empty_table(spark):
     assert exact_dedup.exact_copies(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
