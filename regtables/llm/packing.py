@@ -4,15 +4,18 @@ What is packed are pieces: a document's ids, or where they are longer than a seq
 sequence, the first of which may be shorter. All decisions are made on the histogram of piece lengths, which
 has as many entries as a sequence has places, however many documents there are:
 
-1. patterns of few lengths that fill a sequence are enumerated,
-2. repeat counts x >= 0 are fitted to the histogram by least squares, and rounded down,
+1. patterns of up to four lengths that fill a sequence are enumerated, for each longest length at most some PARTNERS
+   of three and four lengths,
+2. repeat counts x >= 0 are fitted to the histogram by least squares, and rounded; what rounding leaves is fitted once
+   more by other patterns,
 3. the lengths left over are packed best fit, longest first, also by counts.
 
 Pieces get a rank among those of their length from counts per (task, length), and the rank gives sequence and
 offset, so no length, however common, is gathered in one place.
 
 A null text counts as empty: its document is the end id alone. Null and repeated doc_ids are packed like
-others, row by row; other columns are ignored; an empty table gives no rows."""
+others, row by row; other columns are ignored, whatever their names; an empty table gives no rows. A long text is
+encoded by one task and gives many pieces."""
 
 from __future__ import annotations
 
@@ -30,7 +33,8 @@ from regtables.llm.tokens import BYTE_BPE, encoder
 
 CAPACITY = 2048
 PARTNERS = 24  # how many patterns of three and of four each longest length gets
-ROUNDS = 400
+ROUNDS = 150
+LEAST = (0.5, 0.1)  # from which fitted count on a pattern is taken, in the first and the second fit
 _RANKS = 48  # bits of a rank beside a length
 
 _PIECE = pa.schema(
@@ -61,27 +65,31 @@ def _pieces(tokenizer: str, end_id: int, capacity: int, with_ids: bool):
     return run
 
 
-def patterns(lengths: np.ndarray, capacity: int) -> np.ndarray:
-    """Rows of up to four lengths, 0 for none, that fill a sequence or nearly so. ``lengths`` are those that
-    occur. Each longest length gets all its pairs, and partners at even distances for three and four."""
+def patterns(left: np.ndarray, capacity: int, turn: int = 0) -> np.ndarray:
+    """Rows of up to four lengths, 0 for none, that fill a sequence exactly, of lengths that ``left``, a histogram, has.
+    Each longest length gets all its pairs, and partners at even distances for three and four; ``turn`` shifts these."""
+    lengths = np.flatnonzero(left)
     there = np.zeros(capacity + 1, bool)
     there[lengths] = True
+
+    def some(low: int, high: int, n: int) -> list[int]:
+        """Of the lengths from ``low`` to ``high`` up to ``n`` at even distances."""
+        found = lengths[np.searchsorted(lengths, low) : np.searchsorted(lengths, high, "right")]
+        at = (np.arange(n) * len(found) // n + turn * (len(found) // (4 * n) + 1)) % max(1, len(found))
+        return found[np.unique(at)].tolist() if len(found) else []
+
     found = set()
     for a in lengths[::-1].tolist():
         rest = capacity - a
-        for waste in range(3):
-            b = rest - waste
-            if 0 < b <= a and there[b]:
-                found.add((a, b, 0, 0))
-        seconds = lengths[(lengths <= min(a, rest)) & (lengths * 3 >= rest)]
-        for b in seconds[np.linspace(0, len(seconds) - 1, min(PARTNERS, len(seconds))).astype(int)].tolist() if len(seconds) else []:
-            left = rest - b
-            if 0 < left <= b and there[left]:
-                found.add((a, b, left, 0))
-            thirds = lengths[(lengths <= min(b, left)) & (lengths * 2 >= left)]
-            for c in thirds[np.linspace(0, len(thirds) - 1, min(3, len(thirds))).astype(int)].tolist() if len(thirds) else []:
-                if 0 < left - c <= c and there[left - c]:
-                    found.add((a, b, c, left - c))
+        if 0 < rest <= a and there[rest]:
+            found.add((a, rest, 0, 0))
+        for b in some(-(-rest // 3), min(a, rest), PARTNERS):
+            last = rest - b
+            if 0 < last <= b and there[last]:
+                found.add((a, b, last, 0))
+            for c in some(-(-last // 2), min(b, last), 3):
+                if 0 < last - c <= c and there[last - c]:
+                    found.add((a, b, c, last - c))
     return np.array(sorted(found, reverse=True), np.int64).reshape(-1, 4)
 
 
@@ -114,15 +122,15 @@ def fit(rows: np.ndarray, histogram: np.ndarray, rounds: int = ROUNDS) -> np.nda
     return x
 
 
-def rounded(rows: np.ndarray, x: np.ndarray, histogram: np.ndarray) -> tuple[list[tuple[tuple, int]], np.ndarray]:
-    """Whole repeat counts, the largest first, none beyond what is there; and the histogram of the rest."""
-    left, plan = histogram.copy(), []
+def rounded(rows: np.ndarray, x: np.ndarray, left: np.ndarray, least: float) -> tuple[list[tuple[tuple, int]], np.ndarray]:
+    """Whole repeat counts, the largest first: x rounded down, but one for an x of ``least``; none beyond what is
+    there. And the histogram of the rest."""
+    left, plan = left.copy(), []
     for k in np.argsort(-x, kind="stable").tolist():
-        n = int(x[k] + 0.5)
-        if n < 1:
+        if x[k] < least:
             break
         lengths, times = np.unique(rows[k][rows[k] > 0], return_counts=True)
-        n = int(min(n, (left[lengths] // times).min()))
+        n = int(min(max(1, int(x[k])), (left[lengths] // times).min()))
         if n:
             left[lengths] -= n * times
             plan.append((tuple(zip(lengths.tolist(), times.tolist(), strict=True))[::-1], n))
@@ -158,18 +166,26 @@ def best_fit(histogram: np.ndarray, capacity: int) -> list[tuple[tuple, int]]:
     return [entry for entries in open_.values() for entry in entries]
 
 
+def fitted_plan(histogram: np.ndarray, capacity: int) -> tuple[list[tuple[tuple, int]], np.ndarray]:
+    """Sequences by patterns, and the histogram of the rest. A second fit, over other patterns, is to what the first
+    one's rounding left; as its counts are small, they are rounded up from LEAST on."""
+    plan, left = [], histogram.copy()
+    for turn, least in enumerate(LEAST):
+        rows = patterns(left, capacity, turn)
+        if len(rows):
+            more, left = rounded(rows, fit(rows, left), left, least)
+            plan += more
+    return plan, left
+
+
 def plan_for(histogram: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple, int]]:
     """(content, number of sequences) entries that use up the histogram; content has (length, times)."""
     whole = int(histogram[capacity])
     rest = histogram.copy()
     rest[capacity] = 0
     plan = [(((capacity, 1),), whole)] if whole else []
-    rows = patterns(np.flatnonzero(rest), capacity)
-    fitted, left = rounded(rows, fit(rows, rest), rest) if len(rows) else ([], rest)
-    by_pattern = fitted + best_fit(left, capacity)
-    plain = best_fit(rest, capacity)
-    # Rounding leaves a poor rest where there are few documents of each length; then best fit alone is closer.
-    return plan + min(by_pattern, plain, key=lambda p: sum(n for _, n in p))
+    fitted, left = fitted_plan(rest, capacity)
+    return plan + fitted + best_fit(left, capacity)
 
 
 def _slots(plan: list[tuple[tuple, int]]) -> dict[str, np.ndarray]:

@@ -82,3 +82,31 @@ def test_fit_is_the_least_squares_solution():
     rows = np.array([(3, 1, 0, 0), (2, 2, 0, 0), (1, 1, 1, 1)])
     x = packing.fit(rows, np.array([0, 14, 8, 6, 0]), rounds=3000)
     assert np.allclose(x, [6, 4, 2], atol=1e-3)
+
+
+def test_most_sequences_come_from_patterns():
+    """The plan by patterns holds by itself; best fit packs what rounding leaves."""
+    rng = np.random.default_rng(4)
+    for n, share in ((300, 0.25), (3000, 0.8), (60_000, 0.9)):
+        lengths = np.minimum(2047, np.exp(rng.normal(6, 1.1, n)).astype(int) + 1)
+        h = np.bincount(lengths, minlength=2049)
+        fitted, left = packing.fitted_plan(h, 2048)
+        used = np.zeros_like(h)
+        for content, k in fitted:
+            assert sum(a * b for a, b in content) == 2048 and sum(b for _, b in content) <= 4
+            for a, b in content:
+                used[a] += b * k
+        assert (used + left == h).all() and (left >= 0).all()
+        total = sum(k for _, k in packing.plan_for(h))
+        assert sum(k for _, k in fitted) >= share * total
+        assert total <= min(lengths.sum() / 2048 * 1.01 + 2, sum(k for _, k in packing.best_fit(h, 2048)) * 1.005 + 1)
+
+
+def test_patterns_by_brute_force():
+    lengths = [1, 2, 3, 5, 8, 9]
+    h = np.zeros(13, np.int64)
+    h[lengths] = 1
+    want = {tuple(sorted(p, reverse=True)) for a in lengths for b in [0, *lengths] for c in [0, *lengths] for d in [0, *lengths] if sum(p := (a, b, c, d)) == 12}
+    want = {p for p in want if p[1]}
+    found = {tuple(r) for r in packing.patterns(h, 12).tolist()}
+    assert found <= want and {p for p in want if p[2] == 0} <= found and len(found) > len(want) / 2
