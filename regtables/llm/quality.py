@@ -171,7 +171,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     without = ids.join(known, "doc_id", "left_anti").select("doc_id", F.lit(None).cast("int").alias("label"), turn).orderBy("turn", "doc_id").limit(UNLABELLED_ROWS)
     picked = with_label.unionAll(without.select("doc_id", "label", "turn")).dropDuplicates(["doc_id"])
     rows = docs.select("doc_id", "text", *_METADATA).join(F.broadcast(picked), "doc_id").drop("doc_id")
-    found = rows.mapInArrow(_vectors, "label int, turn bigint, content binary, metadata binary").toPandas()
+    found = rows.mapInArrow(_vectors, "label int, turn bigint, content binary, metadata binary")
+    # A row per picked id, however often it repeats.
+    found = found.groupBy("turn").agg(F.min(F.struct("label", "content", "metadata")).alias("v")).select("v.label", "turn", "v.content", "v.metadata").toPandas()
     found = found.sort_values(["turn", "content", "metadata"], kind="stable")
     if not len(found):
         return None

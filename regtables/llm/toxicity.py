@@ -1,17 +1,21 @@
 """Toxic text by compression distance.
 
-A window is a word with the spaces around it, lower-cased. Two zstandard dictionaries are trained on labelled
-documents: both hold the most frequent windows of ordinary text, and at their near end, where matches are
-cheapest, the ones that are frequent in toxic and in ordinary documents respectively. A window's gain is what
-it takes less with the toxic dictionary than with the ordinary one. Gains of a whole document (the largest,
-and how many reach ``WINDOW_GAIN``) give its score through a logistic curve, calibrated on labelled documents
-that the dictionaries have not seen.
-
-Training takes at most TOXIC_ROWS and ORDINARY_ROWS labelled documents, those with the smallest hash of their
-id. Scores depend on the text alone. Null and empty texts have no window and get the score of no gain; a label
-that is null doesn't count, of several labels of a doc_id the largest does. Without labels of both kinds the
-score is the share of toxic labels, 0 if there are none. Rows that repeat are scored one by one; other columns
-are ignored; an empty table gives no rows."""
+Windows are ``WINDOW_WORDS`` words that follow each other, lower-cased. Two zstandard dictionaries are trained on labelled
+documents: both hold the most frequent words of ordinary text, and at their near end, where matches are cheapest,
+segments (4 to 10 characters of words that two documents of the kind have, with the spaces around) that toxic documents
+have more often than ordinary ones, and the other way round. A window's gain is what it takes less with the toxic dictionary than with the
+ordinary one. Gains of a whole document (the largest, and how many reach ``WINDOW_GAIN``) give its score through a
+logistic curve, calibrated on labelled documents that the dictionaries have not seen. These also choose how long the
+near ends are: a longer one knows more segments, but makes each of them dearer.
+
+Training takes at most TOXIC_ROWS and ORDINARY_ROWS labelled documents, those with the smallest hash of their id, one
+text of each id. Their texts stay in tasks: the driver gets document counts of MAX_WORDS words at most, and a few
+numbers per document. Scores depend on the text alone.
+
+Null and empty texts have no window and get the score of no gain; a label that is null doesn't count, of several labels
+of a doc_id the largest does. Without labels of both kinds the score is the share of toxic labels, 0 if there are none.
+Rows that repeat are scored one by one; other columns are ignored, whatever their names; an empty table gives no
+rows. Of a long text all windows are compressed, a slice at a time."""
 
 from __future__ import annotations
 
@@ -24,47 +28,86 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from regtables.llm.common import slices, texts_of
+from regtables.llm.common import slices, texts_of, work_folder, written
 
 TOXIC_ROWS = 1500
 ORDINARY_ROWS = 3000
+MAX_WORDS = 200_000
 BASE_BYTES = 12_000
-NEAR_BYTES = 800
-WINDOW_GAIN = 3
+NEAR_BYTES = (200, 400, 800, 1600)  # of which calibration chooses one
+SEGMENT_CHARS = (4, 10)
+LEAST_DOCUMENTS = 3  # that have a segment
+WINDOW_WORDS = 3
+WINDOW_GAIN = 4
+N_FEATURES = 5
 HELD_FOLD, FOLDS = 2, 4
 THRESHOLD = 0.3
-KEPT_WINDOWS = 400_000
+KEPT_WINDOWS = 100_000
 
 # Opens every window and ends every dictionary, so that blocks are always compressed, never stored.
 _LEAD = bytes([1, 2, 3, 4, 5, 6, 7, 8, 16, 15, 17, 14, 18, 11, 19, 12, 20, 21, 22, 26, 23, 27, 24, 28, 25, 29, 30, 31])
 
 
 def windows(text: str) -> list[str]:
-    return text.lower().split()
-
-
-def _near_end(own: Counter, other: Counter, n_own: int, n_other: int) -> bytes:
-    """Windows that many documents of one kind have and few of the other, the most frequent last."""
-    least = max(2, 0.02 * n_own)
-    lead = {w: own[w] / n_own - 5 * other[w] / n_other for w in own if own[w] >= least}
-    found, size = [], 0
-    for w in sorted((w for w in lead if lead[w] > 0), key=lambda w: (-lead[w], w)):
-        size += len(w.encode()) + 1
-        if size > NEAR_BYTES:
+    words = text.lower().split()
+    return [" ".join(words[i : i + WINDOW_WORDS]) for i in range(0, len(words), WINDOW_WORDS)]
+
+
+def _segments_of(word: str) -> set[str]:
+    framed, (low, high) = f" {word} ", SEGMENT_CHARS
+    return {framed[i : i + n] for n in range(low, high + 1) for i in range(len(framed) - n + 1)}
+
+
+def segments(counts: list[tuple[str, int, int]], n_own: int, n_other: int) -> list[str]:
+    """Segments that documents of one kind have and few of the other, those that gain most first. counts: words with
+    the number of documents of either kind that have them. A segment's count is the sum over its words, less its
+    square root, as small counts are chance. Of segments inside each other the better one is kept."""
+    own_times: dict[str, int] = {}
+    other_times: dict[str, int] = {}
+    for word, own, other in counts:
+        if own > 1 and own / n_own > 5 * other / n_other:
+            own_times.update(dict.fromkeys(_segments_of(word), 0))
+    for word, own, other in counts:
+        for x in _segments_of(word):
+            if x in own_times:
+                own_times[x] += own
+                if other:
+                    other_times[x] = other_times.get(x, 0) + other
+    worth: dict[str, float] = {}
+    for x, n in own_times.items():
+        against = other_times.get(x, 0)
+        lead = (n - n**0.5) / n_own - 5 * (against + 0.5 * against**0.5) / n_other
+        if n >= LEAST_DOCUMENTS and lead > 0:
+            worth[x] = lead * (len(x) - 2)  # a match of two characters gains nothing
+    found: list[str] = []
+    size = 0
+    for x in sorted(worth, key=lambda x: (-worth[x], x)):
+        if not any(x in y or y in x for y in found):
+            found.append(x)
+            size += len(x.encode())
+            if size > max(NEAR_BYTES):
+                break
+    return found
+
+
+def _near_end(found: list[str], limit: int) -> bytes:
+    """The best segments within ``limit`` bytes, the best last."""
+    kept, size = [], 0
+    for x in found:
+        size += len(x.encode())
+        if size > limit:
             break
-        found.append(f" {w}")
-    return "".join(reversed(found)).encode() + b" "
+        kept.append(x)
+    return "".join(reversed(kept)).encode() + b" "
 
 
-def train_dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
-    """The toxic and the ordinary dictionary; windows count once for each document."""
-    own, other = Counter(), Counter()
-    for kind, texts in ((own, toxic), (other, ordinary)):
-        for t in texts:
-            kind.update(set(windows(t)))
-    frequent = sorted(other, key=lambda w: (-other[w], w))[:4000]
-    base = "".join(f" {w} " for w in frequent).encode()[:BASE_BYTES]
-    return tuple(base + end + _LEAD for end in (_near_end(own, other, len(toxic), len(ordinary)), _near_end(other, own, len(ordinary), len(toxic))))
+def train_dictionaries(counts: list[tuple[str, int, int]], n_toxic: int, n_ordinary: int) -> list[tuple[bytes, bytes]]:
+    """The toxic and the ordinary dictionary, for each of NEAR_BYTES. counts: words with the number of toxic and of
+    ordinary documents that have them."""
+    frequent = sorted(counts, key=lambda c: (-c[2], c[0]))
+    base = "".join(f" {w} " for w, _, n in frequent[:BASE_BYTES] if n).encode()[:BASE_BYTES]
+    ends = segments(counts, n_toxic, n_ordinary), segments([(w, b, a) for w, a, b in counts], n_ordinary, n_toxic)
+    return [tuple(base + _near_end(found, limit) + _LEAD for found in ends) for limit in NEAR_BYTES]
 
 
 class Gains:
@@ -114,12 +157,14 @@ class Model:
     def __init__(self, dictionaries=None, center=None, scale=None, weights=None, share: float = 0.0):
         self.dictionaries, self.center, self.scale, self.weights, self.share = dictionaries, center, scale, weights, share
 
+    def curve(self, x: np.ndarray) -> np.ndarray:
+        z = (x - self.center) / self.scale
+        return 1 / (1 + np.exp(-np.clip(z @ self.weights[:-1] + self.weights[-1], -30, 30)))
+
     def scores(self, texts: list[str]) -> np.ndarray:
         if self.dictionaries is None:
             return np.full(len(texts), self.share)
-        x = np.array([features(g) for g in _gains(self.dictionaries).of(texts)]).reshape(-1, 5)
-        z = (x - self.center) / self.scale
-        return 1 / (1 + np.exp(-np.clip(z @ self.weights[:-1] + self.weights[-1], -30, 30)))
+        return self.curve(np.array([features(g) for g in _gains(self.dictionaries).of(texts)]).reshape(-1, N_FEATURES))
 
 
 @lru_cache(maxsize=2)
@@ -127,15 +172,8 @@ def _gains(dictionaries: tuple[bytes, bytes]) -> Gains:
     return Gains(dictionaries)
 
 
-def fit(toxic: list[str], ordinary: list[str]) -> Model:
-    """Two thirds of the texts make the dictionaries, the rest calibrates the curve."""
-    if min(len(toxic), len(ordinary)) < 3:
-        return Model(share=len(toxic) / max(1, len(toxic) + len(ordinary)))
-    seen = [t for i, t in enumerate(toxic) if i % 3], [t for i, t in enumerate(ordinary) if i % 3]
-    dictionaries = train_dictionaries(*seen)
-    unseen = toxic[::3] + ordinary[::3]
-    y = np.array([1.0] * len(toxic[::3]) + [0.0] * len(ordinary[::3]))
-    x = np.array([features(g) for g in Gains(dictionaries).of(unseen)])
+def calibrated(dictionaries: tuple[bytes, bytes], x: np.ndarray, y: np.ndarray) -> Model:
+    """A logistic curve over the features ``x`` of documents labelled ``y``."""
     center, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
     z = np.column_stack([(x - center) / scale, np.ones(len(x))])
     weights = np.zeros(z.shape[1])
@@ -149,17 +187,58 @@ def fit(toxic: list[str], ordinary: list[str]) -> Model:
     return Model(dictionaries, center, scale, weights)
 
 
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches):
+        kinds = Counter(), Counter()
+        for toxic, text in zip(batch.column("toxic").to_pylist(), texts_of(batch), strict=True):
+            kinds[0 if toxic else 1].update(set(text.lower().split()))
+        words = list(kinds[0].keys() | kinds[1].keys())
+        columns = [pa.array(words, pa.string()), *(pa.array([k[w] for w in words], pa.int64()) for k in kinds)]
+        yield pa.RecordBatch.from_arrays(columns, names=["word", "toxic", "ordinary"])
+
+
+def _features(choices):
+    """Features under each pair of dictionaries."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gains = [Gains(d) for d in choices.value]
+        for batch in slices(batches):
+            found = [[features(x) for x in g.of(texts_of(batch))] for g in gains]
+            rows = [np.concatenate(own).tolist() for own in zip(*found, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(rows, pa.list_(pa.float64()))], names=["doc_id", "toxic", "features"])
+
+    return run
+
+
 def train(docs: DataFrame, labels: DataFrame, fold=HELD_FOLD, folds: int = FOLDS) -> Model:
     """Learns from labelled documents outside ``fold``. Of the labels, ids are picked first; then only the
-    picked documents are read, a bounded number of rows."""
+    picked documents are read, a text of each. Two thirds of them make the dictionaries, the rest calibrates."""
+    spark = docs.sparkSession
     ids = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    ids = ids.where(F.crc32(F.col("doc_id").cast("string")) % folds != fold)
-    kinds = []
-    for toxic, limit in ((1, TOXIC_ROWS), (0, ORDINARY_ROWS)):
-        picked = ids.where(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).select("doc_id")
-        rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").where("text is not null").collect()
-        kinds.append([r.text for r in sorted(rows, key=lambda r: (r.doc_id * 2654435761 % (1 << 32), r.doc_id, r.text))])
-    return fit(*kinds)
+    ids = ids.where(F.crc32(F.col("doc_id").cast("string")) % folds != fold).withColumn("toxic", (F.col("toxic") == 1).cast("int"))
+    few = lambda kind, n: ids.where(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+    picked = F.broadcast(few(1, TOXIC_ROWS).unionAll(few(0, ORDINARY_ROWS)))
+    texts = docs.select("doc_id", "text").where("text is not null").join(picked, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    sample = written(texts, f"{work_folder(spark, 'toxicity')}/sample")
+    n = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if min(n.get(0, 0), n.get(1, 0)) < 3:
+        return Model(share=n.get(1, 0) / max(1, sum(n.values())))
+    is_apart = F.pmod(F.xxhash64("doc_id", F.lit("calibration")), 3) == 0
+    seen = sample.where(~is_apart)
+    kinds = {r.toxic: r.n for r in seen.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = seen.select("text", "toxic").mapInArrow(_word_counts, "word string, toxic bigint, ordinary bigint").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+    counts = counts.where("toxic + ordinary > 1").orderBy(F.desc(F.col("toxic") + F.col("ordinary")), "word").limit(MAX_WORDS)
+    choices = train_dictionaries([tuple(r) for r in counts.collect()], max(1, kinds.get(1, 0)), max(1, kinds.get(0, 0)))
+    apart = sample.where(is_apart).mapInArrow(_features(spark.sparkContext.broadcast(choices)), "doc_id bigint, toxic int, features array<double>")
+    rows = sorted(apart.collect())  # a few numbers per picked document
+    y = np.array([r.toxic for r in rows], float)
+    if len(set(y)) < 2:
+        return Model(share=n.get(1, 0) / sum(n.values()))
+    x = np.array([r.features for r in rows])
+    models = [calibrated(d, x[:, k * N_FEATURES : (k + 1) * N_FEATURES], y) for k, d in enumerate(choices)]
+    loss = lambda p: -np.log(np.where(y == 1, p, 1 - p).clip(1e-9)).mean()
+    losses = [loss(m.curve(x[:, k * N_FEATURES : (k + 1) * N_FEATURES])) for k, m in enumerate(models)]
+    return models[int(np.argmin(losses))]
 
 
 def _score(model):
@@ -172,7 +251,7 @@ def _score(model):
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, fold=HELD_FOLD, folds: int = FOLDS) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted."""
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, fold, folds))  # two dictionaries of about 13 kB
+    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, fold, folds))  # two dictionaries of some 15 kB
     scored = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(_score(model), "doc_id bigint, score double")
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == fold, F.lit(False))
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -38,3 +38,48 @@ def test_odd_rows(spark):
     none = toxicity.toxicity(docs, labels.limit(0)).collect()
     assert {r.score for r in none} == {0.0}
     assert toxicity.toxicity(docs.limit(0), labels).collect() == []
+
+
+def test_parts_of_words_tell(spark):
+    """What toxic documents share is a stem; each of its words is in a few of them only."""
+    rng = random.Random(2)
+    stem = lambda: "grumpf" + rng.choice("abcdefgh") + rng.choice("xyz")
+    bad = [(i, words(rng, 40, stem(), stem()), 1) for i in range(150)]
+    good = [(i, words(rng, 40, "grumble", "umpire"), 0) for i in range(150, 450)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in bad + good], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, x) for i, _, x in bad + good], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity.toxicity(docs, labels).collect()}
+    held = [(got[i].predicted, x) for i, _, x in bad + good if got[i].held_out]
+    assert len(held) > 60 and sum(p == x for p, x in held) >= 0.95 * len(held)
+
+
+def test_gains_are_differences_of_whole_blocks():
+    """Gains by a compressor that is made anew for each window."""
+    counts = [("river", 0, 50), ("stone", 5, 40), ("nasty", 30, 0), ("nastier", 20, 0), ("morning", 1, 60)]
+    for dictionaries in toxicity.train_dictionaries(counts, 60, 120):
+        texts = ["the nasty river and a nastier stone", "", "Morning " * 7]
+        found = toxicity.Gains(dictionaries).of(texts)
+        for text, own in zip(texts, found, strict=True):
+            plain = []
+            for w in toxicity.windows(text):
+                data = toxicity._LEAD + f" {w} ".encode()
+                sizes = [len(toxicity.Gains._compressor(d).compress(data)) for d in dictionaries]
+                plain.append(sizes[1] - sizes[0])
+            assert own.tolist() == plain
+        assert found[0].max() >= 3 and len(found[1]) == 0
+
+
+def test_segments_by_hand():
+    counts = [("nasty", 10, 0), ("nastier", 10, 0), ("river", 0, 10), ("nation", 1, 9)]
+    found = toxicity.segments(counts, 20, 20)
+    assert found[0] in (" nast", "nasti", " nasti", " nastier", " nastier ") and not any("river" in x or "nati" in x for x in found)
+    assert all(a is b or (a not in b and b not in a) for a in found for b in found)
+
+
+def test_a_repeated_id_is_one_text(spark):
+    rng = random.Random(3)
+    rows = [(i, words(rng, 20, *(["vile"] * 3 if i < 30 else []))) for i in range(90)] + [(5, "other text of the same id")] * 200
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, int(i < 30)) for i in range(90)], "doc_id long, toxic int")
+    got = toxicity.toxicity(docs, labels).collect()
+    assert len(got) == len(rows) and sum(r.predicted for r in got if r.doc_id < 30 and r.doc_id != 5) >= 26
