@@ -127,7 +127,7 @@ def apply_edit(tree: Tree, text: str, start: int, length: int, replacement: str,
 
 
 def _counter(tokenizer: str):
-    return lambda parts: [len(x) // 4 for x in encoder(tokenizer).encode(parts)]
+    return lambda parts: encoder(tokenizer).encode_all(parts)[1].tolist()
 
 
 def _build(tokenizer: str, size: int):

@@ -18,6 +18,7 @@ import pyarrow.compute as pc
 BYTE_BPE = "byte_bpe_50k.json"
 KEPT_UNITS = 300_000
 GROUP = 200
+FEW = 40  # texts or units that are not worth the start of bulk operations
 
 # A byte-level pre-tokenizer never lets a space stand inside or at the end of a piece that has other
 # characters, so a text may be cut before each space that follows another character.
@@ -25,6 +26,7 @@ _CUT = re.compile(r"(?<=\S)(?= )")
 # What a plain cut at spaces is wrong for: a white space character followed by a space, and NUL, which marks units.
 _SPACES = "".join(f"\\x{{{c:x}}}" for c in range(0x3001) if chr(c).isspace())
 _ODD_SPACE = rf"\x00|[{_SPACES}] "
+_ODD = re.compile("\0|[" + "".join(chr(c) for c in range(0x3001) if chr(c).isspace()) + "] ")
 
 # The tokenizer's pattern for characters up to U+00FF, whose letters and numbers are known; characters on
 # which regular expression engines differ are left to the tokenizer itself.
@@ -132,7 +134,10 @@ class Encoder:
         """The ids of all texts, one after another, and how many each has."""
         if len(self.young.number) >= self.kept:
             self.old, self.young = self.young, _Known()
-        odd = pc.match_substring_regex(pa.array(texts, pa.large_string()), _ODD_SPACE).to_pylist()
+        if len(texts) > FEW:
+            odd = pc.match_substring_regex(pa.array(texts, pa.large_string()), _ODD_SPACE).to_pylist()
+        else:
+            odd = [_ODD.search(t) is not None for t in texts]
         whole, counts = [], []
 
         def cut() -> Iterator[list[str]]:  # one text's units at a time: they are looked up while near, then let go
@@ -181,7 +186,7 @@ class Encoder:
         new, numbers = self._new()
         if not new:
             return
-        if not self.byte_level:
+        if not self.byte_level or len(new) <= FEW:
             self.young.put(numbers, *self._ids(self.tokenizer, [_plain(u) for u in new]))
             return
         names = pa.array(new)
