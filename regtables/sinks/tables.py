@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from regtables.operators.conform import conform
 from regtables.operators.sizing import is_small, text_bytes
@@ -161,14 +161,13 @@ def ensure_tables(spark: SparkSession, schema_name: str, specs: Sequence[TableSp
 
 
 def stage(df: DataFrame, spec: TableSpec, schema_name: str, root: str) -> Staged:
-    """Writes the rows in the columns of the spec, matched by name, and counts them on the way."""
+    """Writes the rows in the columns of the spec, matched by name, and counts them in the files."""
     location = _new_location(root, schema_name, spec)
-    counted = Observation()
-    rows = conform(df, spec.schema)
-    key_bytes = F.coalesce(F.sum(text_bytes(rows, spec.primary_key)), F.lit(0))
-    rows = rows.observe(counted, F.count(F.lit(1)).alias("n"), key_bytes.alias("key_bytes"))
-    _write(_by_bucket(rows, spec), spec, schema_name, location)
-    return Staged(df.sparkSession.read.schema(spec.schema).parquet(location), location, counted.get["n"], counted.get["key_bytes"])
+    _write(_by_bucket(conform(df, spec.schema), spec), spec, schema_name, location)
+    rows = df.sparkSession.read.schema(spec.schema).parquet(location)
+    # Not by an Observation: a session that has made one can't train a model of Spark ML any more (4.1).
+    found = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(text_bytes(rows, spec.primary_key)), F.lit(0)).alias("key_bytes")).first()
+    return Staged(rows, location, found.n, found.key_bytes)
 
 
 def _key_rank(column: Column, kind: T.DataType) -> Column | None:
@@ -262,10 +261,10 @@ def _bucketed(spark: SparkSession, spec: TableSpec, schema_name: str, folder: st
 
 
 def _rewritten(rows: DataFrame, spec: TableSpec, schema_name: str, folder: str, parts: tuple[Part, ...]) -> Edit:
-    counted = Observation()
     new = f"{spec.name}/{uuid.uuid4().hex}"
-    _write(rows.observe(counted, F.count(F.lit(1)).alias("n")), spec, schema_name, f"{folder}/{new}")
-    return Edit("rewrite", (Part(new, counted.get["n"]),), parts)
+    _write(rows, spec, schema_name, f"{folder}/{new}")
+    n_rows = rows.sparkSession.read.schema(spec.schema).parquet(f"{folder}/{new}").count()
+    return Edit("rewrite", (Part(new, n_rows),), parts)
 
 
 def compact(spark: SparkSession, schema_name: str, spec: TableSpec, root: str) -> None:
