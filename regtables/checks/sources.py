@@ -7,13 +7,16 @@ import zipfile
 from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regtables.checks.registry import check, new_folder, table
-from regtables.sources.archives import archive_csv, archive_members, archive_tables, decode_files
+from regtables.sources.archives import archive_csv, archive_members, archive_tables, decode_files, in_pieces
 from regtables.sources.files import binary_files, csv_records, parquet_table, with_source_file, xml_nodes, xml_rows
 from regtables.sources.ranges import file_system
 
+_FILES = pa.schema([("path", pa.string()), ("content", pa.binary())])
+
 
 @check("scan_parquet", "SELECT count(*) AS n_rows, count(DISTINCT o_custkey) AS customers, min(o_orderkey) AS low, max(o_orderkey) AS high FROM orders")
 def parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,12 +75,15 @@ SELECT doc_id, CASE WHEN lang = 'de' AND strlen(text) > length(text) THEN 'cp125
 FROM documents
 """)
 def decoded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def encode(batches):
+    def encoded(batches):
+        codecs = {"de": "cp1252", "es": "utf-8-sig"}
         for b in batches:
-            codec = b["lang"].map({"de": "cp1252", "es": "utf-8-sig"}).fillna("utf-8")
-            yield pd.DataFrame({"path": b["doc_id"].astype(str), "content": [t.encode(c) for t, c in zip(b["text"], codec)]})
+            for path, lang, text in zip(b.column("path"), b.column("lang"), b.column("text")):
+                content = text.as_py().encode(codecs.get(lang.as_py(), "utf-8"))
+                yield len(content), (path.as_py(), content)
 
-    files = table(spark, sf_dir, "documents").select("doc_id", "lang", "text").mapInPandas(encode, "path string, content binary")
+    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), "lang", "text")
+    files = texts.mapInArrow(lambda batches: in_pieces(encoded(batches), _FILES), "path string, content binary")
     return decode_files(files, ("utf-8", "cp1252"), "cp1252").withColumn("doc_id", F.col("path").cast("bigint")).drop("path")
 
 
@@ -88,11 +94,14 @@ def decoded_japanese(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.expr("concat('識別番号,医薬品名\n', o_orderkey, ',薬', o_orderpriority)")
     files = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("path"), text.alias("text"))
 
-    def encode(batches):
+    def encoded(batches):
         for b in batches:
-            yield pd.DataFrame({"path": b["path"], "content": [t.encode("cp932") for t in b["text"]]})
+            for path, text in zip(b.column("path"), b.column("text")):
+                content = text.as_py().encode("cp932")
+                yield len(content), (path.as_py(), content)
 
-    return decode_files(files.mapInPandas(encode, "path string, content binary")).withColumn("o_orderkey", F.col("path").cast("bigint")).drop("path")
+    files = files.mapInArrow(lambda batches: in_pieces(encoded(batches), _FILES), "path string, content binary")
+    return decode_files(files).withColumn("o_orderkey", F.col("path").cast("bigint")).drop("path")
 
 
 @check("scan_binary", "SELECT CAST(p_partkey AS VARCHAR) AS part, sha256(p_name || p_brand) AS hash FROM part")

@@ -17,7 +17,7 @@ import json
 import uuid
 import zipfile
 import zlib
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import BinaryIO
@@ -36,6 +36,8 @@ FALLBACK_CHARSET = "cp932"
 CHUNK_ROWS = 20_000
 _BLOCK = 1 << 20
 _HELD_BYTES = 32 << 20
+# What a task gives on at once, if a single file isn't longer: rows, and bytes of the files.
+_PIECE_ROWS, _PIECE_BYTES = 4096, 1 << 20
 # What a broken archive or member raises; pandas parse errors are ValueErrors.
 _UNREADABLE = (zipfile.BadZipFile, zlib.error, OSError, EOFError, ValueError, RuntimeError, NotImplementedError)
 
@@ -62,29 +64,38 @@ def resolve_charset(open_stream, candidates: Sequence[str], fallback: str) -> tu
     return fallback, False
 
 
+_DECODED = pa.schema([("path", pa.string()), ("charset", pa.string()), ("decode_errors", pa.int64()), ("text", pa.string())])
+
+
+def in_pieces(rows: Iterable[tuple[int, tuple]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows, each with the bytes it stands for, as batches that are bounded in rows and in bytes: a task holds one of
+    these, however many rows it has and however short they are."""
+    done, held = [], 0
+    for size, row in rows:
+        done.append(row)
+        held += size
+        if held >= _PIECE_BYTES or len(done) >= _PIECE_ROWS:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*done), schema)], schema=schema)
+            done, held = [], 0
+    if done:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*done), schema)], schema=schema)
+
+
 def decode_files(
     files: DataFrame, candidates: Sequence[str] = CHARSETS, fallback: str = FALLBACK_CHARSET
 ) -> DataFrame:
     """``(path, charset, decode_errors, text)`` of binary files. Bytes the fallback cannot read
     become U+FFFD, and ``decode_errors`` counts them."""
 
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        done, held = [], 0
-        names = ["path", "charset", "decode_errors", "text"]
+    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, tuple]]:
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
+            for path, content in zip(batch.column("path"), (c.as_py() for c in batch.column("content"))):
                 charset, strict = resolve_charset(lambda: io.BytesIO(content), candidates, fallback)
                 text = content.decode(charset, "strict" if strict else "replace")
-                done.append((path, charset, 0 if strict else text.count("\ufffd"), text))
-                held += len(content)
-                if held > _HELD_BYTES:
-                    yield pd.DataFrame(done, columns=names)
-                    done, held = [], 0
-        if done:
-            yield pd.DataFrame(done, columns=names)
+                yield len(content), (path.as_py(), charset, 0 if strict else text.count("\ufffd"), text)
 
-    return files.select("path", "content").mapInPandas(
-        decode, "path string, charset string, decode_errors bigint, text string"
+    return files.select("path", "content").mapInArrow(
+        lambda batches: in_pieces(decoded(batches), _DECODED), "path string, charset string, decode_errors bigint, text string"
     )
 
 

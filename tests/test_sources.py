@@ -1,11 +1,12 @@
 import io
 import zipfile
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from regtables.plans.datasets import ADVERSE_EVENT_COLUMNS
-from regtables.sources.archives import archive_csv, archive_frames, archive_members, archive_tables, decode_files
+from regtables.sources.archives import archive_csv, archive_frames, archive_members, archive_tables, decode_files, in_pieces
 from regtables.sources.documents import assemble_documents, document_marks, page_links, page_section, page_table_rows
 from regtables.sources.files import binary_files, csv_records, with_source_file, xml_nodes, xml_rows
 
@@ -112,6 +113,18 @@ def test_decode(spark):
     assert got["x"] == ("cp932", 2, "a\ufffd b\ufffd ")
 
 
+def test_what_a_decoding_task_holds_is_bounded(spark):
+    """In rows for short files, in bytes for long ones."""
+    schema = pa.schema([("path", pa.string()), ("n", pa.int64())])
+    short = [b.num_rows for b in in_pieces(((40, (str(i), i)) for i in range(50_000)), schema)]
+    assert max(short) <= 5000 and sum(short) == 50_000
+    long = [b.num_rows for b in in_pieces(((300_000, (str(i), i)) for i in range(20)), schema)]
+    assert max(long) <= 4 and sum(long) == 20
+    assert list(in_pieces(iter([]), schema)) == []
+    files = spark.range(30_000, numPartitions=1).selectExpr("cast(id AS string) AS path", "encode(concat('é', id), 'UTF-8') AS content")
+    assert decode_files(files).where("text = concat('é', path) AND charset = 'utf-8' AND decode_errors = 0").distinct().count() == 30_000
+
+
 def test_archives(spark, tmp_path):
     good = archive({"demo.CSV": '識別番号,性別,転帰\n0001,男性,"回復\n軽快"\n0002,,"a,b"\n', "DRUG.csv": "医薬品名,識別番号\n薬A,0001\n", "REAC.csv": "", "sub/HIST.csv": "x\n1\n"})
     ragged = archive({"DEMO.csv": "識別番号,性別\n1,x\n2,y,z,w\n"}, "utf-8")
