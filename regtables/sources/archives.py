@@ -1,8 +1,8 @@
 """Archives of CSV members, and the charset of files.
 
 :func:`archive_tables` reads archives of any size where they lie: a data source looks at their central directories and
-plans a partition for each member, which a task finds by its place in the archive. All members are read in one
-pass, and an account of what could not be read comes with the tables. A deflated member cannot be split.
+plans a partition for each member, which a task finds by its place in the archive; of many archives the small ones are
+put together, whole, into tasks of about the same size. All members are read in one pass, and an account of what could not be read comes with the tables. A deflated member cannot be split.
 
 The functions on ``(path, content)`` are for archives that are rows already, at most 2 GB each. Tasks decode and parse
 a member as a stream, a bounded number of rows at a time.
@@ -35,6 +35,8 @@ CHARSETS = ("utf-8", "cp932")
 FALLBACK_CHARSET = "cp932"
 CHUNK_ROWS = 20_000
 _BLOCK = 1 << 20
+# Into how many tasks many small archives are put together at least, and what such a task reads at most.
+_TASKS, _TASK_BYTES = 64, 16 << 20
 _HELD_BYTES = 32 << 20
 # What a task gives on at once, if a single file isn't longer: rows, and bytes of the files.
 _PIECE_ROWS, _PIECE_BYTES = 4096, 1 << 20
@@ -266,20 +268,30 @@ class _Members(InputPartition):
     stems: tuple[str, ...]
 
 
+@dataclass
+class _Archives(InputPartition):
+    """Small archives that one task reads whole, one after the other."""
+
+    paths: tuple[str, ...]
+
+
 class _ArchiveReader(DataSourceReader):
     def __init__(self, options: Mapping[str, str]):
         self.path, self.glob = options["path"], options.get("glob", "*.zip")
         self.tables: dict[str, list[str]] = json.loads(options["tables"])
         self.candidates = json.loads(options.get("candidates", json.dumps(CHARSETS)))
         self.fallback = options.get("fallback", FALLBACK_CHARSET)
+        self.tasks = int(options.get("tasks", _TASKS))
 
-    def _files(self) -> list[str]:
+    def _files(self) -> list[tuple[str, int]]:
+        """Paths and sizes."""
         system, name = file_system(self.path)
-        if system.get_file_info(name).type == pafs.FileType.File:
-            return [self.path]
+        own = system.get_file_info(name)
+        if own.type == pafs.FileType.File:
+            return [(self.path, own.size or 0)]
         found = system.get_file_info(pafs.FileSelector(name))
-        names = sorted(f.base_name for f in found if f.type == pafs.FileType.File and fnmatch.fnmatch(f.base_name, self.glob))
-        return [f"{self.path.rstrip('/')}/{n}" for n in names]
+        names = sorted((f.base_name, f.size or 0) for f in found if f.type == pafs.FileType.File and fnmatch.fnmatch(f.base_name, self.glob))
+        return [(f"{self.path.rstrip('/')}/{n}", size) for n, size in names]
 
     @staticmethod
     def _open(path: str) -> BinaryIO:
@@ -298,19 +310,46 @@ class _ArchiveReader(DataSourceReader):
         return [_Members(path, (s,)) for s in full] + ([_Members(path, rest)] if rest else [])
 
     def partitions(self) -> Sequence[InputPartition]:
+        """A few archives are dealt out by member. Of many, those that are small beside a task's share of the bytes are
+        put together until they make one up, so tasks grow in size and not in number; they are not opened here."""
+        found = self._files()
+        share = min(_TASK_BYTES, sum(size for _, size in found) // self.tasks) if len(found) > self.tasks else 0
+        packs, held = [], 0
+        for path, size in found:
+            if size < share:
+                if not packs or held + size > share:
+                    packs.append([])
+                    held = 0
+                packs[-1].append(path)
+                held += size
         # Only central directories are read here, many at a time.
         with ThreadPoolExecutor(max_workers=32) as pool:
-            planned = [p for own in pool.map(self._plan, self._files()) for p in own]
-        return planned or [_Members("", ())]
+            planned = [p for own in pool.map(self._plan, [path for path, size in found if size >= share]) for p in own]
+        return [*planned, *(_Archives(tuple(p)) for p in packs)] or [_Members("", ())]
+
+    def read(self, partition: _Members | _Archives) -> Iterator[pa.RecordBatch]:
+        if isinstance(partition, _Members):
+            yield from self._rows(partition.path, lambda: self._open(partition.path), partition.stems)
+            return
+        for path in partition.paths:
+            # A small archive is fetched once, not once for each look at each member.
+            try:
+                with self._open(path) as file:
+                    content = file.read()
+            except OSError:
+                yield from self._rows(path, lambda: self._open(path), tuple(self.tables))
+                continue
+            yield from self._rows(path, content, tuple(self.tables))
 
-    def read(self, partition: _Members) -> Iterator[pa.RecordBatch]:
-        for stem in partition.stems:
-            yield from _member_rows(partition.path, lambda: self._open(partition.path), stem, self.tables[stem], self.candidates, self.fallback)
+    def _rows(self, path: str, content: bytes | Callable[[], BinaryIO], stems: Sequence[str]) -> Iterator[pa.RecordBatch]:
+        for stem in stems:
+            yield from _member_rows(path, content, stem, self.tables[stem], self.candidates, self.fallback)
 
 
 class ArchiveSource(DataSource):
     """``spark.read.format("archive_csv")``: CSV members of zip archives. Options: ``path``, ``glob``, ``tables`` (JSON: columns
-    by member name without ``.csv``), ``candidates`` (JSON: charsets), ``fallback``. A row per record, and one per member
+    by member name without ``.csv``), ``candidates`` (JSON: charsets), ``fallback``, ``tasks`` (more archives than that are put
+    together to about as many). A row per record, and one per member
     without a ``record_no``, which tells what became of it."""
 
     @classmethod
@@ -345,7 +384,7 @@ def archive_tables(
     """For each member name the rows of ``<name>.csv`` (any case) of all archives under the path, as
     :func:`archive_csv` gives them, and their account."""
     spark.dataSource.register(ArchiveSource)
-    options = {"glob": glob, "tables": json.dumps({s: list(c) for s, c in tables.items()}), "candidates": json.dumps(list(candidates)), "fallback": fallback}
+    options = {"glob": glob, "tables": json.dumps({s: list(c) for s, c in tables.items()}), "candidates": json.dumps(list(candidates)), "fallback": fallback, "tasks": str(max(_TASKS, 4 * spark.sparkContext.defaultParallelism))}
     return _kept(spark.read.format("archive_csv").options(**options).load(path), tables)
 
 
