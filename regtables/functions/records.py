@@ -28,11 +28,24 @@ def content_hash(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
-def hash_parts(json: Column) -> list[Column]:
-    """Aggregates behind :func:`combined_hash`: sums over two parts of each row's hash. They are combined before
+def hash_numbers(hash: Column) -> list[Column]:
+    """Two parts of a hash as numbers of 60 bits."""
+    return [F.conv(F.substring(hash, at, 15), 16, 10).cast("bigint") for at in (1, 16)]
+
+
+def hash_sums(a: Column, b: Column) -> list[Column]:
+    """Aggregates behind :func:`combined_hash`, of the rows' :func:`hash_numbers`. The halves of a number are summed up
+    apart, as bigint, which costs a fraction of a sum of decimals and holds for 2^33 rows. Sums are combined before
     a shuffle, and any order of the rows gives the same."""
-    part = lambda at: F.conv(F.substring(F.sha2(json, 256), at, 15), 16, 10).cast("decimal(38,0)")
-    return [F.sum(part(1)).alias("_hash_a"), F.sum(part(16)).alias("_hash_b")]
+    half = F.lit(1 << 30)
+    high = lambda n: F.sum(F.shiftright(n, 30)).cast("decimal(19,0)") * half.cast("decimal(10,0)")
+    low = lambda n: F.sum(n.bitwiseAND(half - 1)).cast("decimal(19,0)")
+    return [(high(a) + low(a)).alias("_hash_a"), (high(b) + low(b)).alias("_hash_b")]
+
+
+def hash_parts(json: Column) -> list[Column]:
+    """:func:`hash_sums` over the hashes of the rows' JSON."""
+    return hash_sums(*hash_numbers(F.sha2(json, 256)))
 
 
 def combined_hash(n_rows: Column) -> Column:

@@ -12,23 +12,20 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from regtables.functions.records import combined_hash, content_hash, hash_parts, json_array, raw_json
+from regtables.functions.records import combined_hash, content_hash, hash_numbers, hash_sums, json_array, raw_json
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def _joined_cells(df: DataFrame, keys: Sequence[str], order: Sequence[str], joined: Sequence[str], separator: str) -> DataFrame:
-    """Per key the distinct values of each ``joined`` column in the order they are first seen."""
+def _seen_values(df: DataFrame, keys: Sequence[str], order: Sequence[str], joined: Sequence[str]) -> DataFrame:
+    """Per key the distinct values ``_v`` of the ``joined`` columns, each with the place it is first seen at."""
     named = F.array(*[F.struct(F.lit(i).alias("at"), F.col(c).cast("string").alias("value")) for i, c in enumerate(joined)])
-    own = [F.col(k).alias(f"_key_{k}") for k in keys]
-    values = df.select(*own, F.struct(*order).alias("_order"), F.explode(named).alias("_v")).where("_v.value IS NOT NULL")
+    values = df.select(*[F.col(k).alias(f"_key_{k}") for k in keys], F.struct(*order).alias("_order"), F.explode(named).alias("_v"))
     names = [f"_key_{k}" for k in keys]
-    seen = values.groupBy(*names, "_v.at", "_v.value").agg(F.min("_order").alias("_order"))
-    lists = seen.groupBy(*names).agg(F.sort_array(F.collect_list(F.struct("_order", "at", "value"))).alias("_seen"))
-    cell = lambda i: F.array_join(F.transform(F.filter("_seen", lambda v: v["at"] == i), lambda v: v["value"]), separator)
-    return lists.select(*names, *[cell(i).alias(c) for i, c in enumerate(joined)])
+    seen = values.where("_v.value IS NOT NULL").groupBy(*names, "_v.at", "_v.value").agg(F.min("_order").alias("_order"))
+    return seen.select(*names, F.struct("_order", "at", "value").alias("_v"))
 
 
 def collapse_by_key(
@@ -54,19 +51,29 @@ def collapse_by_key(
     wanted = {name: v for name, v in wanted.items() if not isinstance(v, str) or v in have}
     joined = [c for c in joined if c in have]
     record = [c for c in record if c in have]
-    rank = F.struct(*order)
     firsts = {name: F.col(v) if isinstance(v, str) else v for name, v in wanted.items()}
-    aggregates = [F.min_by(v, F.when(v.isNotNull(), rank)).alias(c) for c, v in firsts.items()]
+    # What is costly is worked out once per row, before the aggregates, which look at it several times.
+    rank, names = F.struct(*order), [f"_key_{k}" for k in keys]
+    rows = df.select(
+        *[F.col(k).alias(n) for k, n in zip(keys, names)], rank.alias("_order"), *[v.alias(f"_first_{c}") for c, v in firsts.items()],
+        *([F.sha2(raw_json([rank.alias("place"), F.struct(*record).alias("row")]), 256).alias("_hash")] if record else []),
+    )
+    aggregates = [F.min_by(f"_first_{c}", F.when(F.col(f"_first_{c}").isNotNull(), F.col("_order"))).alias(f"_first_{c}") for c in firsts]
     if record:
-        aggregates += hash_parts(raw_json([rank.alias("place"), F.struct(*record).alias("row")]))
-    groups = df.groupBy(*keys).agg(*aggregates, F.count(F.lit(1)).alias("n_rows"))
-    out = [*keys, *firsts]
+        a, b = hash_numbers(F.col("_hash"))
+        rows = rows.withColumns({"_a": a, "_b": b}).drop("_hash")
+        aggregates += hash_sums(F.col("_a"), F.col("_b"))
+    groups = rows.groupBy(*names).agg(*aggregates, F.count(F.lit(1)).alias("n_rows"))
+    out = [*[F.col(n).alias(k) for k, n in zip(keys, names)], *[F.col(f"_first_{c}").alias(c) for c in firsts]]
     if joined:
-        cells = _joined_cells(df, keys, order, joined, separator)
-        same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
-        renamed = cells.select(*[f"_key_{k}" for k in keys], *[F.col(c).alias(f"_cell_{c}") for c in joined])
-        groups = groups.join(renamed, same, "left")
-        out += [F.coalesce(f"_cell_{c}", F.lit("")).alias(c) for c in joined]
+        # A key's group and its values are brought together by one shuffle; each key has one group.
+        seen = _seen_values(df, keys, order, joined)
+        group = F.struct(*[c for c in groups.columns if c not in names]).alias("_group")
+        both = groups.select(*names, group).unionByName(seen, allowMissingColumns=True).repartition(*names)
+        found = both.groupBy(*names).agg(F.first("_group", ignorenulls=True).alias("_group"), F.sort_array(F.collect_list("_v")).alias("_seen"))
+        groups = found.select(*names, "_group.*", "_seen")
+        cell = lambda i: F.array_join(F.transform(F.filter("_seen", lambda v: v["at"] == i), lambda v: v["value"]), separator)
+        out += [cell(i).alias(c) for i, c in enumerate(joined)]
     out.append("n_rows")
     if record:
         out.append(combined_hash(F.col("n_rows")).alias("_meta_source_content_hash"))
