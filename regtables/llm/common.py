@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -12,6 +14,7 @@ from regtables.operators.sizing import shared_folder
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SLICE_BYTES = 4 << 20  # text that a task works on at once, if a single text isn't longer
+GIVE_BACK_BYTES = 16 << 20  # text after which a task gives back what it has freed
 
 
 def work_folder(spark: SparkSession, what: str) -> str:
@@ -50,20 +53,43 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, ASCII_UPPER, ASCII_UPPER.lower())
 
 
+@lru_cache
+def _trim():
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError, TypeError):  # not glibc
+        return lambda pad: 0
+
+
+def give_back() -> None:
+    """Returns memory that was freed to the system. Arrow and the C library keep it otherwise, and a Python worker lives
+    on after its task: those that wait would hold their peak beside those that work."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches with about ``limit`` bytes of text each; a longer text stands alone."""
-    for batch in batches:
-        start, size = 0, 0
-        column = batch.column(text)
-        for i in range(batch.num_rows):
-            value = column[i]
-            own = value.as_buffer().size if value.is_valid else 0
-            if i > start and size + own > limit:
-                yield batch.slice(start, i - start)
-                start, size = i, 0
-            size += own
-        if start < batch.num_rows:
-            yield batch.slice(start)
+    passed = 0
+    try:
+        for batch in batches:
+            start, size = 0, 0
+            column = batch.column(text)
+            for i in range(batch.num_rows):
+                value = column[i]
+                own = value.as_buffer().size if value.is_valid else 0
+                if i > start and size + own > limit:
+                    yield batch.slice(start, i - start)
+                    start, size = i, 0
+                size += own
+                passed += own
+            if start < batch.num_rows:
+                yield batch.slice(start)
+            if passed > GIVE_BACK_BYTES:
+                give_back()
+                passed = 0
+    finally:
+        give_back()
 
 
 def free_names(columns: Sequence[str], *names: str) -> list[str]:

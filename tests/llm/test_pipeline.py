@@ -35,3 +35,21 @@ def test_run(spark):
     found = corpus_pipeline.run(spark, SF_DIR)
     rows = sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in found.collect())
     assert rows and hashlib.sha256(repr(rows).encode()).hexdigest() == hashlib.sha256(repr(sorted(set(rows))).encode()).hexdigest()
+
+
+def test_tasks_give_back_what_they_freed(monkeypatch):
+    """While they read much text, and at their end, also if they stop early."""
+    import pyarrow as pa
+
+    from regtables.llm import common
+
+    calls = []
+    monkeypatch.setattr(common, "give_back", lambda: calls.append(1))
+    batch = pa.RecordBatch.from_pydict({"text": ["x" * (1 << 20)] * 20})
+    assert sum(b.num_rows for b in common.slices(iter([batch] * 3))) == 60 and len(calls) == 4
+    some = common.slices(iter([batch]))
+    next(some)
+    some.close()
+    assert len(calls) == 5
+    monkeypatch.undo()
+    common.give_back()
