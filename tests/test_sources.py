@@ -261,3 +261,23 @@ def test_a_partition_for_each_member(spark, tmp_path):
         (tmp_path / f"{k}.zip").write_bytes(archive({"A.csv": "x\n1\n", "B.csv": "x\n2\n", "C.csv": ""}))
     planned = _ArchiveReader({"path": str(tmp_path), "tables": '{"A": ["x"], "B": ["x"], "C": ["x"], "D": ["x"]}'}).partitions()
     assert sorted((p.path[-5:], p.stems) for p in planned) == sorted((f"{k}.zip", s) for k in range(3) for s in (("A",), ("B",), ("C", "D")))
+
+
+def test_many_small_archives_share_tasks(spark, tmp_path):
+    """Tasks do not grow in number with the archives; rows and account are those of a task per member."""
+    from regtables.sources.archives import _ArchiveReader, _Members
+
+    for k in range(90):
+        (tmp_path / f"{k:02d}.zip").write_bytes(b"no archive" if k == 7 else archive({"A.csv": f"x\n{k}\n", "B.csv": "" if k % 2 else "x\n2\n"}))
+    rows = "x\n" + "".join(f"{i * 7919 % 100_003}\n" for i in range(20_000))
+    (tmp_path / "large.zip").write_bytes(archive({"A.csv": rows, "B.csv": rows}))
+    tables = '{"A": ["x"], "B": ["x"]}'
+    planned = _ArchiveReader({"path": str(tmp_path), "tables": tables, "tasks": "8"}).partitions()
+    assert len(planned) <= 20
+    assert sorted(p.stems for p in planned if isinstance(p, _Members) and p.path.endswith("large.zip")) == [("A",), ("B",)]
+    assert sorted(n[-6:] for p in planned if not isinstance(p, _Members) for n in p.paths) == [f"{k:02d}.zip" for k in range(90)]
+    found = archive_tables(spark, str(tmp_path), {"A": ["x"], "B": ["x"]})
+    assert found["A"].count() == 89 + 20_000 and found["B"].count() == 45 + 20_000
+    assert found["A"].where("archive LIKE '%/11.zip' AND x = '11'").count() == 1
+    status = {(r.status, r.stem): r["count"] for r in found.account.groupBy("status", "stem").count().collect()}
+    assert status == {("ok", "A"): 90, ("ok", "B"): 46, ("empty", "B"): 44, ("unreadable", "A"): 1, ("unreadable", "B"): 1}
