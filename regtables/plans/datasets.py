@@ -131,6 +131,7 @@ def approvals(
         first=first,
         joined=["brand_name_jp", "generic_name_jp", "applicant_name_jp", "indication"],
         record=[c for c in records.columns if c not in order],
+        sized=True,
     )
     table = collapsed.withColumn("approval_id", lenient_int(F.col("approval_id")))
     table = add_lineage(table, source_url, as_of, pipeline_version)

@@ -377,3 +377,21 @@ def test_a_collapsed_group_and_its_values_meet_in_one_shuffle(spark):
     assert plan.count("Exchange hashpartitioning") == 3 and "Join" not in plan
     rows = collapse_by_key(df, "k", ["n"], first={"f": "v"}, joined=["v"]).collect()
     assert {(r.k, r.f, r.v, r.n_rows) for r in rows} == {(None, "a", "a\nb", 2), ("k", None, "", 1), ("l", "x", "x", 2)}
+
+
+def test_rows_of_small_groups_are_moved_once(spark, monkeypatch):
+    """Measured groups: one shuffle for the small ones; those of large buckets are combined first, with the same result."""
+    df = spark.range(3000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 50 > 0 THEN cast(id % 700 AS string) END AS k", "id AS n",
+        "concat('v', id % 11) AS v", "nullif(id % 4, 1) AS w", "if(id % 2 = 0, NULL, id % 5) AS f",
+    ).repartition(6)
+    collapsed = lambda sized: collapse_by_key(df, "k", ["n"], first=["f"], joined=["v", "w"], record=["v", "w"], sized=sized)
+    hashed = lambda done: done._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    expected = rows(collapsed(False), "k")
+    assert hashed(collapsed(False)) == 3 and hashed(collapsed(True)) == 1
+    assert rows(collapsed(True), "k") == expected
+    monkeypatch.setattr("regtables.operators.collapse._BUCKET_ROWS", 20)  # the hot key and the null one
+    assert hashed(collapsed(True)) == 4
+    assert rows(collapsed(True), "k") == expected
+    monkeypatch.setattr("regtables.operators.collapse._BUCKET_ROWS", 0)
+    assert rows(collapsed(True), "k") == expected
