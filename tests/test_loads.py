@@ -3,6 +3,7 @@ import json
 import uuid
 import zipfile
 from datetime import date, datetime, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -448,3 +449,11 @@ def test_the_account_of_archives_comes_with_their_tables(spark, place, tmp_path)
     run_dataset(spark, spec, build, place[1], AS_OF, {"etag": "1"}, on_duplicate="last")
     assert get_watermark(spark, place[0], "adverse_events") == {"etag": "1"}
     assert rows(spark.table(f"{place[0]}.run_inputs").groupBy("status").count()) == [("missing", 3), ("ok", 4 + 4 + 5), ("unreadable", 8)]
+
+
+def test_files_of_a_load_are_compressed_well(spark, place):
+    """Hashes in hex and JSON are most of what a load writes."""
+    ensure_tables(spark, place[0], [T1], place[1])
+    staged = stage(spark.range(20000).select(F.col("id").cast("int").alias("id"), F.sha2(F.col("id").cast("string"), 256).alias("name")), T1, *place)
+    files = list(Path(staged.location.removeprefix("file:")).glob("*.parquet"))
+    assert sum(f.stat().st_size for f in files) < 0.75 * 20000 * 64
