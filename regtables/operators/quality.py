@@ -120,7 +120,7 @@ def invalid_values(df: DataFrame, column: str, allowed_values: Sequence[Any]) ->
     return bad.groupBy(F.col(f"`{column}`").alias("value")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def _as_text(df: DataFrame, name: str) -> Column:
+def as_text(df: DataFrame, name: str) -> Column:
     """The value as text, the same for equal values and for them only."""
     c, kind = F.col(f"`{name}`"), df.schema[name].dataType
     if isinstance(kind, (T.FloatType, T.DoubleType)):
@@ -146,7 +146,7 @@ def _grouped_report(df: DataFrame, rules: Mapping[int, Mapping[str, Any]]) -> Da
 
     def entry(no: int, rule: Mapping[str, Any]) -> Column:
         listed = rule["check"] == "is_in_set"
-        e = F.struct(F.lit(no).alias("rule_no"), _as_text(df, rule["column"]).alias("value"), F.lit(listed).alias("listed"))
+        e = F.struct(F.lit(no).alias("rule_no"), as_text(df, rule["column"]).alias("value"), F.lit(listed).alias("listed"))
         return F.when(~in_set(df, rule["column"], rule["allowed_values"]), e) if listed else e
 
     entries = F.filter(F.array(*(entry(no, r) for no, r in rules.items())), lambda e: e.isNotNull())

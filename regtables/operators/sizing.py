@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -26,9 +27,24 @@ def pin(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Within it the shuffle files of a query go as soon as it has ended. Else they stay until the driver happens to
+    collect its garbage, and those of all queries of a load lie beside each other."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
 def text_bytes(df: DataFrame, columns: Sequence[str]) -> Column:
-    """Bytes a row takes. Only text columns are read for it; others count 16."""
-    is_text = lambda c: isinstance(df.schema[c].dataType, T.StringType)
+    """Bytes a row takes. Only columns of texts, bytes and nested values are read for it; others count 16."""
+    is_text = lambda c: isinstance(df.schema[c].dataType, (T.StringType, T.BinaryType))
     is_nested = lambda c: isinstance(df.schema[c].dataType, (T.ArrayType, T.StructType, T.MapType))
     size = F.lit(16 * len(columns)).cast("bigint")
     for c in columns:

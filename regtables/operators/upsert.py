@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
 
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from regtables.functions.records import hash_numbers
+from regtables.operators.quality import as_text
 from regtables.operators.sizing import pin, small_side
 
+_BITS = 1 << 15  # of what bitmap_construct_agg makes
+
 
 def check_merge_keys(columns: Sequence[str], keys: Sequence[str]) -> None:
     if not keys:
@@ -47,6 +53,48 @@ def one_row_per_key(source: DataFrame, keys: Sequence[str], on_duplicate: str, o
     return source.join(repeated, list(keys), "left_anti").unionByName(last)
 
 
+def _bit(bitmap: str) -> Column:
+    """Whether the bit of the row's place is set; null without a bitmap."""
+    place = F.col("_at.row_index") % _BITS
+    byte = F.conv(F.hex(F.substring(F.col(bitmap), (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.getbit(byte, (place % 8).cast("int")) == 1
+
+
+def last_of_files(source: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """As :func:`one_row_per_key` with ``last``, for rows that are read from files of one folder.
+
+    A row is moved as two hashes and its place only. Of equal rows one stays, which is seen to before they are moved. Keys that have other rows still are resolved by
+    their rows; all others stay where they are, and a bit per row, sent to all tasks, tells which. Rows are equal
+    if 120 bits of a SHA-256 are."""
+    complete = reduce(Column.__and__, [F.col(f"`{k}`").isNotNull() for k in keys])
+    # Each value with its length in front, so that no two rows give the same text.
+    value = lambda c: F.coalesce(F.concat(F.octet_length(as_text(source, c)).cast("string"), F.lit(":"), as_text(source, c)), F.lit("-"))
+    same = F.sha2(F.concat(*map(value, source.columns)), 256).alias("_hash")
+    at = F.struct(F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.row_index").alias("row_index")).alias("_at")
+    places = source.where(complete).select(F.xxhash64(*keys).alias("_key"), same, at)
+    a, b = hash_numbers(F.col("_hash"))
+    places = places.select("_key", a.alias("_a"), b.alias("_b"), "_at")
+    distinct = places.groupBy("_key", "_a", "_b").agg(F.min("_at").alias("_at"), F.count(F.lit(1)).alias("n")).select("_key", "_at", "n")
+    several = F.count(F.lit(1)).over(Window.partitionBy("_key")) > 1
+    bits = lambda where: F.bitmap_construct_agg(F.when(where, F.col("_at.row_index") % _BITS))
+    block = lambda: [F.col("_at.file_name").alias("_file"), F.expr(f"_at.row_index div {_BITS}").alias("_block")]
+    marks = distinct.withColumn("several", several).groupBy(*block()).agg(
+        bits(~F.col("several")).alias("_stays"), bits(F.col("several")).alias("_open"),
+        F.count_if("several").alias("n_open"), (F.sum("n") - F.count(F.lit(1))).alias("n_equal"),
+    )
+    marks = pin(marks)
+    told = marks.agg(F.sum("n_open").alias("open"), F.sum("n_equal").alias("equal")).first()
+    if not (told.open or told.equal):
+        return source
+    placed = source.select("*", at, complete.alias("_complete"))
+    marked = placed.select("*", *block()).join(small_side(marks.select("_file", "_block", "_stays", "_open"), pinned=True), ["_file", "_block"], "left")
+    found = marked.where(~F.col("_complete") | F.coalesce(_bit("_stays"), F.lit(False))).select(*source.columns)
+    if not told.open:
+        return found
+    rest = marked.where(F.col("_complete") & _bit("_open")).select(*source.columns)
+    return found.unionByName(latest_per_key(rest, keys, order or [c for c in source.columns if c not in keys]))
+
+
 def _source_keys(source: DataFrame, keys: Sequence[str], few: bool | None) -> DataFrame:
     found = source.select(*keys).na.drop()
     if few is None:

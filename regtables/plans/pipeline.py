@@ -13,11 +13,11 @@ from regtables import __version__
 from regtables.functions.records import document_id
 from regtables.operators.changes import changed_sources
 from regtables.operators.quality import failures, invalid_values
-from regtables.operators.sizing import pin
+from regtables.operators.sizing import is_small, pin, shuffles_released
 from regtables.plans.specs import INGESTION_STATE, LOAD_MODES, RULE_VALUES, RUN_INPUTS, SOURCE_STATE, DatasetSpec, TableSpec
 from regtables.sinks.log import Edit, Snapshot
 from regtables.sinks.state import get_watermark, run_row, save_run, state_edit
-from regtables.sinks.tables import Staged, bulk_load, commit, edit_of, ensure_tables, read_table, replaced_sources, stage
+from regtables.sinks.tables import Staged, bulk_load, commit, edit_of, ensure_tables, read_table, replaced_sources, resolved, stage
 
 
 class LostInputError(ValueError):
@@ -37,6 +37,15 @@ def _side_by_side(spark: SparkSession, work: Callable, keys: Sequence[str]) -> d
         return dict(zip(keys, pool.map(inheritable_thread_target(spark)(work), keys)))
 
 
+def _one_by_one(spark: SparkSession, work: Callable, staged: Mapping[str, Staged]) -> dict:
+    """``work`` of the small tables at once and then of each large one, which keeps all cores busy by itself, so that
+    what large ones need on disk meanwhile does not add up."""
+    small = [k for k, s in staged.items() if is_small(s.n_rows, s.key_bytes)]
+    done = _side_by_side(spark, work, small)
+    done |= {k: work(k) for k in staged if k not in done}
+    return {k: done[k] for k in staged}
+
+
 def _store_invalid_values(spark: SparkSession, spec: DatasetSpec, staged: Mapping[str, Staged], root: str) -> None:
     """Adds every value outside an allowed set to ``rule_values``; messages show only some of them."""
     ensure_tables(spark, spec.schema_name, [RULE_VALUES], root)
@@ -83,16 +92,27 @@ def load_tables(
     if mode not in LOAD_MODES:
         raise ValueError(f"load mode must be one of {LOAD_MODES}, not {mode!r}")
     schema = spec.schema_name
-    staged = {k: s for k, s in _checked(spark, spec, frames, root).items() if s.n_rows}
+    with shuffles_released(spark):
+        staged = {k: s for k, s in _checked(spark, spec, frames, root).items() if s.n_rows}
+        loaded = {spec.tables[k].name: rows.n_rows for k, rows in staged.items()}
+        if mode == "merge" and on_duplicate == "last":
+            staged = _one_by_one(spark, lambda k: resolved(staged[k], spec.tables[k], schema, on_duplicate), staged)
+        _publish(spark, spec, staged, root, mode, on_duplicate, run)
+    return loaded
+
+
+def _publish(
+    spark: SparkSession, spec: DatasetSpec, staged: Mapping[str, Staged], root: str, mode: str, on_duplicate: str, run: DataFrame | None
+) -> None:
+    schema = spec.schema_name
 
     def edits(snapshot: Snapshot) -> dict[str, Edit]:
         edit = lambda k: edit_of(staged[k], spec.tables[k], schema, mode, snapshot.parts(spec.tables[k].name), on_duplicate=on_duplicate)
-        made = {spec.tables[k].name: e for k, e in _side_by_side(spark, edit, list(staged)).items()}
+        made = {spec.tables[k].name: e for k, e in _one_by_one(spark, edit, staged).items()}
         return made | (state_edit(spark, schema, root, run, snapshot) if run is not None else {})
 
     changed = [spec.tables[k] for k in staged] + ([INGESTION_STATE] if run is not None else [])
     commit(spark, schema, root, changed, edits)
-    return {spec.tables[k].name: rows.n_rows for k, rows in staged.items()}
 
 
 def _stored_account(spark: SparkSession, spec: DatasetSpec, inputs: DataFrame | None, root: str, as_of: datetime) -> int:
@@ -142,7 +162,8 @@ def run_dataset(
         save_run(spark, spec.schema_name, root, ended("SUCCESS", watermark))
         return {}
     try:
-        built = build()
+        with shuffles_released(spark):
+            built = build()
         lost = _stored_account(spark, spec, account() if account else getattr(built, "account", None), root, as_of)
         if lost and not allow_lost:
             raise LostInputError(f"{lost} inputs of {spec.name} are unreadable, see {spec.schema_name}.run_inputs")

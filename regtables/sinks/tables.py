@@ -11,13 +11,13 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from regtables.operators.conform import conform
 from regtables.operators.sizing import is_small, text_bytes
-from regtables.operators.upsert import check_merge_keys, one_row_per_key, with_keys, without_keys
+from regtables.operators.upsert import check_merge_keys, last_of_files, one_row_per_key, with_keys, without_keys
 from regtables.plans.specs import TableSpec
 from regtables.sinks.log import CommitLog, Edit, Part, Snapshot, without_files
 from regtables.sinks.storage import Storage
@@ -36,6 +36,7 @@ class Staged:
     location: str
     n_rows: int
     key_bytes: int = 0
+    resolved: bool = False  # each key has one row
 
     @property
     def folder(self) -> str:
@@ -167,10 +168,34 @@ def stage(df: DataFrame, spec: TableSpec, schema_name: str, root: str) -> Staged
     """Writes the rows in the columns of the spec, matched by name, and counts them in the files."""
     location = _new_location(root, schema_name, spec)
     _write(_by_bucket(conform(df, spec.schema), spec), spec, schema_name, location)
-    rows = df.sparkSession.read.schema(spec.schema).parquet(location)
+    return _counted(df.sparkSession, spec, location)
+
+
+def _counted(spark: SparkSession, spec: TableSpec, location: str, resolved: bool = False) -> Staged:
+    rows = spark.read.schema(spec.schema).parquet(location)
     # Not by an Observation: a session that has made one can't train a model of Spark ML any more (4.1).
     found = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(text_bytes(rows, spec.primary_key)), F.lit(0)).alias("key_bytes")).first()
-    return Staged(rows, location, found.n, found.key_bytes)
+    return Staged(rows, location, found.n, found.key_bytes, resolved)
+
+
+def _one_row_per_key(staged: Staged, keys: Sequence[str], on_duplicate: str, order: Sequence[str]) -> DataFrame:
+    if staged.resolved:
+        return staged.rows
+    return last_of_files(staged.rows, keys, order) if on_duplicate == "last" else one_row_per_key(staged.rows, keys, on_duplicate, order)
+
+
+def resolved(staged: Staged, spec: TableSpec, schema_name: str, on_duplicate: str) -> Staged:
+    """Staged rows with their repeated keys resolved, for a merge by the primary key. They are written in place of the
+    staged ones, which only the caller knows of: those are removed, so a load never holds both of all its tables."""
+    check_merge_keys(list(spec.columns), list(spec.primary_key))
+    source = _one_row_per_key(staged, spec.primary_key, on_duplicate, ())
+    if source is staged.rows:
+        return replace(staged, resolved=True)
+    spark, folder = source.sparkSession, staged.schema_folder
+    location = f"{folder}/{spec.name}/{uuid.uuid4().hex}"
+    _write(_by_bucket(source, spec), spec, schema_name, location)
+    Storage(spark, folder).delete(staged.folder)
+    return _counted(spark, spec, location, resolved=True)
 
 
 def _key_rank(column: Column, kind: T.DataType) -> Column | None:
@@ -337,7 +362,7 @@ def _merged(
     spark, folder = staged.rows.sparkSession, staged.schema_folder
     keys = list(keys if keys is not None else spec.primary_key)
     check_merge_keys(list(spec.columns), keys)
-    source = one_row_per_key(staged.rows, keys, on_duplicate, order)
+    source = _one_row_per_key(staged, keys, on_duplicate, order)
     few = is_small(staged.n_rows, staged.key_bytes) if tuple(keys) == tuple(spec.primary_key) else None
     by = list(spec.replaced_by) or keys
     if spec.buckets:

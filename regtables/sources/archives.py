@@ -367,7 +367,7 @@ def _kept(found: DataFrame, tables: Mapping[str, Sequence[str]]) -> Frames:
     """What a pass found, kept in the shared folder by member, so that the pass is made once."""
     spark = found.sparkSession
     folder = f"{shared_folder(spark)}/regtables/archives-{uuid.uuid4().hex}"
-    found.write.partitionBy("stem").parquet(folder)
+    found.write.partitionBy("stem").option("compression", "zstd").parquet(folder)
     kept = spark.read.schema(found.schema).parquet(folder)
 
     def table(stem: str) -> DataFrame:

@@ -8,7 +8,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from regtables.operators.upsert import without_keys
+from regtables.operators.sizing import _CLEANUP, shuffles_released
+from regtables.operators.upsert import last_of_files, one_row_per_key, without_keys
 from regtables.plans.datasets import (
     ADVERSE_EVENT_COLUMNS, APPROVAL_COLUMNS, OLD_APPROVAL_COLUMNS, adverse_events, approval_records, approval_rows, approval_tables, approvals, package_inserts, review_reports,
 )
@@ -19,7 +20,7 @@ from regtables.plans.specs import (
 from regtables.plans.types import is_required, schema_of, spark_type, store_type
 from regtables.sinks.state import get_watermark, latest_state, list_states, read_states, run_row, upsert_state
 from regtables.sources.archives import archive_tables
-from regtables.sinks.tables import bulk_load, ensure_tables, execute_merge, merge_statement, stage, table_name, write_jdbc
+from regtables.sinks.tables import bulk_load, ensure_tables, execute_merge, log_of, merge_statement, stage, table_name, write_jdbc
 from regtables.streaming.intake import read_new_files, stream_upsert
 
 AS_OF = datetime(2025, 9, 10, 12, 0, tzinfo=timezone.utc)
@@ -457,3 +458,39 @@ def test_files_of_a_load_are_compressed_well(spark, place):
     staged = stage(spark.range(20000).select(F.col("id").cast("int").alias("id"), F.sha2(F.col("id").cast("string"), 256).alias("name")), T1, *place)
     files = list(Path(staged.location.removeprefix("file:")).glob("*.parquet"))
     assert sum(f.stat().st_size for f in files) < 0.75 * 20000 * 64
+
+
+def test_last_rows_are_told_by_their_places(spark, tmp_path):
+    """The same rows as by moving whole rows; only keys that have other rows still are resolved by these."""
+    spec = "cast({} AS string) AS k", "cast(id % 3 AS int) AS a", "if(id % 5 < 2, 'x', NULL) AS b", "cast(id % 2 AS double) - 0.5 AS c", "timestamp_micros(id % 2) AS t"
+    for i, key in enumerate(["if(id % 10 < 4, id % 100, id)", "id", "if(id % 7 = 0, NULL, id div 2)", "'hot'"]):
+        spark.range(6000).selectExpr(spec[0].format(key), *spec[1:]).repartition(3).write.option("parquet.block.size", 20000).parquet(f"{tmp_path}/{i}")
+        source = spark.read.parquet(f"{tmp_path}/{i}")
+        for order in ((), ("c", "a", "b", "t")):
+            found, expected = last_of_files(source, ["k"], order), one_row_per_key(source, ["k"], "last", order)
+            assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+        assert (found is source) == (i == 1)
+    # Equal rows: nothing but their places is moved.
+    equal = spark.range(6000).selectExpr("cast(id % 4000 AS string) AS k", "id % 4000 AS v").repartition(3)
+    equal.write.parquet(f"{tmp_path}/equal")
+    found = last_of_files(spark.read.parquet(f"{tmp_path}/equal"), ["k"], ())
+    assert "Aggregate" not in found._jdf.queryExecution().executedPlan().toString()
+    assert rows(found) == rows(equal.distinct())
+
+
+def test_a_load_leaves_only_the_files_of_its_table(spark, place):
+    """Staged rows whose repeated keys were resolved go, and so do shuffle files; the count is of all rows loaded."""
+    spec = DatasetSpec("d", "merge", {"t": T1}, place[0])
+    df = spark.range(300).selectExpr("cast(id % 200 AS int) AS id", "concat('n', id % 200) AS name")
+    before = spark.conf.get(_CLEANUP, None)
+    within = []
+    for _ in range(2):
+        ensure_tables(spark, place[0], [T1], place[1])
+        assert load_tables(spark, spec, {"t": df}, place[1], on_duplicate="last") == {"t1": 300}
+        within.append(spark.table(table_name(place[0], T1)).count())
+    assert within == [200, 200] and spark.conf.get(_CLEANUP, None) == before
+    with shuffles_released(spark):
+        assert spark.conf.get(_CLEANUP) == "true"
+    log = log_of(spark, *place)
+    named = {p.folder for v in log.versions() for p in log.snapshot(v).parts("t1")}
+    assert {f"t1/{e.name}" for e in log.storage.entries("t1") if e.is_folder} == named

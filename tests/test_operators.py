@@ -395,3 +395,8 @@ def test_rows_of_small_groups_are_moved_once(spark, monkeypatch):
     assert rows(collapsed(True), "k") == expected
     monkeypatch.setattr("regtables.operators.collapse._BUCKET_ROWS", 0)
     assert rows(collapsed(True), "k") == expected
+
+
+def test_bytes_count_before_a_broadcast(spark):
+    """A side of few rows is not small if they hold large binaries."""
+    assert size_of(spark.range(3).selectExpr("id", "cast(repeat('x', 5000) AS binary) AS b")) == (3, 3 * (5000 + 32))
